@@ -79,26 +79,29 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
     return out.select(*TXN_COLUMNS, "txn_date")
 
 
-def _account_keys(accounts: DataFrame, key: str = "account_id") -> DataFrame:
+def _parent_keys(parent: DataFrame, key: str) -> DataFrame:
     # distinct(): each key once, combined map-side; the join that follows
     # needs the same hash partitioning, so it costs no extra shuffle.
-    return (accounts.select(F.col(key).alias("_acct")).filter(F.col("_acct").isNotNull())
+    return (parent.select(F.col(key).alias("_pk")).filter(F.col("_pk").isNotNull())
             .distinct())
 
 
-def drop_orphans(df: DataFrame, accounts: DataFrame, key: str = "account_id") -> DataFrame:
-    keys = _account_keys(accounts, key)
-    return df.join(keys, df[key] == keys["_acct"], "left_semi")
+def drop_orphans(df: DataFrame, parent: DataFrame, key: str = "account_id",
+                 parent_key: str | None = None) -> DataFrame:
+    """Rows whose key exists in ``parent`` (left-semi join)."""
+    keys = _parent_keys(parent, parent_key or key)
+    return df.join(keys, df[key] == keys["_pk"], "left_semi")
 
 
-def orphans_of(df: DataFrame, accounts: DataFrame, key: str = "account_id") -> DataFrame:
+def orphans_of(df: DataFrame, parent: DataFrame, key: str = "account_id",
+               parent_key: str | None = None) -> DataFrame:
     """Rows whose key has no parent. NULL keys are orphans too (as with a
     left-anti join); they are split off before the join so they never
     meet in one task."""
-    keys = _account_keys(accounts, key)
+    keys = _parent_keys(parent, parent_key or key)
     nulls = df.filter(F.col(key).isNull())
     rest = df.filter(F.col(key).isNotNull())
-    return nulls.unionByName(rest.join(keys, rest[key] == keys["_acct"], "left_anti"))
+    return nulls.unionByName(rest.join(keys, rest[key] == keys["_pk"], "left_anti"))
 
 
 def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None, *,
@@ -155,4 +158,4 @@ def clean_summary(raw: DataFrame, accounts: DataFrame | None = None, *,
     kept, quarantine = split_transactions(raw, accounts, policy=policy)
     lines = (kept.select(F.lit("kept").alias("outcome"))
              .unionByName(quarantine.select(F.col("reason").alias("outcome"))))
-    return lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+    return lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"))

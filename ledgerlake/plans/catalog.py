@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import cleaning, dims, sequence
+from ledgerlake.operators import cleaning, dims, quality, sequence
+from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
 from ledgerlake.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,8 +41,135 @@ def q_dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.build_dim_account(tables.accounts(spark, sf_dir))
 
 
+# ---------------------------------------------------------- quality gate
+
+# Rule sets over the driver tables. The raw transactions repeat txn_id;
+# several foreign keys have real gaps (customers without events, orders
+# without line items, documents without labels); discounts exceed 5 %.
+NULL_RULES = (
+    TableRules("customer", not_null=("c_custkey", "c_name", "c_nationkey")),
+    TableRules("orders", not_null=("o_orderkey", "o_custkey", "o_orderdate")),
+    TableRules("lineitem", not_null=("l_orderkey", "l_linenumber", "l_extendedprice",
+                                     "l_shipdate")),
+    TableRules("events", not_null=("event_id", "user_id", "ts", "value")),
+    TableRules("documents", not_null=("doc_id", "text")),
+)
+UNIQUE_RULES = (
+    TableRules("transactions", unique=("txn_id",)),
+    TableRules("customer", unique=("c_custkey",)),
+    TableRules("orders", unique=("o_orderkey", "o_custkey")),
+    TableRules("events", unique=("event_id",)),
+    TableRules("documents", unique=("doc_id",)),
+    TableRules("labels", unique=("doc_id",)),
+)
+FK_RULES = (
+    TableRules("orders", foreign_keys=(ForeignKey("o_custkey", "customer", "c_custkey"),)),
+    TableRules("lineitem", foreign_keys=(ForeignKey("l_orderkey", "orders", "o_orderkey"),
+                                         ForeignKey("l_partkey", "part", "p_partkey"),
+                                         ForeignKey("l_suppkey", "supplier", "s_suppkey"))),
+    TableRules("customer", foreign_keys=(ForeignKey("c_nationkey", "nation", "n_nationkey"),
+                                         ForeignKey("c_custkey", "events", "user_id"))),
+    TableRules("nation", foreign_keys=(ForeignKey("n_regionkey", "region", "r_regionkey"),)),
+    TableRules("events", foreign_keys=(ForeignKey("user_id", "customer", "c_custkey"),)),
+    TableRules("orders", foreign_keys=(ForeignKey("o_orderkey", "lineitem", "l_orderkey"),)),
+    TableRules("documents", foreign_keys=(ForeignKey("doc_id", "labels", "doc_id"),)),
+    TableRules("labels", foreign_keys=(ForeignKey("doc_id", "documents", "doc_id"),)),
+)
+RANGE_RULES = (
+    TableRules("lineitem", ranges=(ValueRange("l_discount", 0, 0.05),
+                                   ValueRange("l_tax", 0, 0.08))),
+    TableRules("customer", ranges=(ValueRange("c_acctbal", 0, 10000),)),
+    TableRules("events", ranges=(ValueRange("value", 0, 100),)),
+)
+
+
+def _driver_tables(spark: SparkSession, sf_dir: str, suite) -> dict[str, DataFrame]:
+    names = {r.table for r in suite} | {fk.parent for r in suite for fk in r.foreign_keys}
+    out = {}
+    for n in names:
+        out[n] = (tables.transactions(spark, sf_dir) if n == "transactions"
+                  else tables.table(spark, sf_dir, n))
+    return out
+
+
+def _rules_query(suite) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return quality.run_rules(_driver_tables(spark, sf_dir, suite), suite)
+    return q
+
+
+def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star-schema suite (plus the labelled additions) over the star
+    built from the driver tables; dim_loan / fact_deposit have no source
+    here and are skipped."""
+    star = {"dim_customer": q_dim_customer(spark, sf_dir),
+            "dim_account": q_dim_account(spark, sf_dir),
+            "fact_transaction": q_fact_transaction(spark, sf_dir)}
+    return quality.run_rules(star, quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS)
+
+
+# ------------------------------------------------------ quarantine / report
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.quarantine_transactions(tables.transactions(spark, sf_dir),
+                                            tables.accounts(spark, sf_dir))
+
+
+def q_clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_summary(tables.transactions(spark, sf_dir),
+                                  tables.accounts(spark, sf_dir))
+
+
+def q_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label row (anti-join, NULL keys count)."""
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = tables.table(spark, sf_dir, "labels")
+    return cleaning.orphans_of(docs, labels, "doc_id", parent_key="doc_id")
+
+
 # ------------------------------------------------------------ SQL oracles
 
+def _sql_table(name: str, sources=None) -> str:
+    if sources and name in sources:
+        return sources[name]
+    return f"({_TXN})" if name == "transactions" else name
+
+
+def _sql_rule(table, rule, column, detail, violations, from_sql) -> str:
+    detail_sql = "CAST(NULL AS VARCHAR)" if detail is None else f"'{detail}'"
+    return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, "
+            f"{detail_sql} AS detail, {violations} AS violations, count(*) AS total "
+            f"FROM {from_sql} x")
+
+
+def _sql_rules(suite, sources=None) -> str:
+    parts = []
+    for r in suite:
+        t = _sql_table(r.table, sources)
+        for c in r.not_null:
+            parts.append(_sql_rule(r.table, "not_null", c, None,
+                                   f"count(*) FILTER (WHERE {c} IS NULL)", t))
+        for c in r.unique:
+            parts.append(_sql_rule(
+                r.table, "unique", c, None,
+                f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {c} FROM {t} y) d)", t))
+        for g in r.ranges:
+            parts.append(_sql_rule(
+                r.table, "range", g.column, g.detail,
+                f"count(*) FILTER (WHERE {g.column} < {g.lo} OR {g.column} > {g.hi})", t))
+        for fk in r.foreign_keys:
+            if sources and fk.parent not in sources:
+                continue
+            p = _sql_table(fk.parent, sources)
+            parts.append(_sql_rule(
+                r.table, "referential", fk.column, f"{fk.parent}.{fk.parent_column}",
+                f"count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {p} p "
+                f"WHERE p.{fk.parent_column} = x.{fk.column}))", t))
+    body = "\n  UNION ALL ".join(parts)
+    return (f"SELECT table_name, rule, column_name, detail, violations, total, "
+            f"violations = 0 AS passed FROM (\n  {body}) r")
+
+
 _TXN = """
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS txn_id,
          l_orderkey AS account_id, l_extendedprice AS amount,
@@ -89,11 +217,60 @@ _DIM_ACCOUNT = """
                    o_totalprice NULLS FIRST, o_orderdate NULLS FIRST) = 1"""
 
 
+_NUMBERED = f"""
+  SELECT t.*,
+         CASE WHEN txn_id IS NULL OR account_id IS NULL OR amount IS NULL OR isnan(amount)
+                   OR txn_ts IS NULL THEN 'null_key' END AS row_reason,
+         row_number() OVER (PARTITION BY txn_id,
+                                 (txn_id IS NULL OR account_id IS NULL OR amount IS NULL
+                                  OR isnan(amount) OR txn_ts IS NULL)
+                            ORDER BY txn_ts NULLS FIRST, amount NULLS FIRST,
+                                     category NULLS FIRST, account_id NULLS FIRST) AS rn
+  FROM ({_TXN}) t"""
+
+_OUTCOME = f"""
+  SELECT n.*,
+         CASE WHEN row_reason IS NOT NULL THEN row_reason
+              WHEN rn > 1 THEN 'duplicate'
+              WHEN NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = n.account_id)
+                   THEN 'orphan'
+              ELSE 'kept' END AS outcome
+  FROM ({_NUMBERED}) n"""
+
+_QUARANTINE = f"""
+  SELECT txn_id, account_id, amount, category, txn_ts, outcome AS reason
+  FROM ({_OUTCOME}) x WHERE outcome <> 'kept'"""
+
+_CLEAN_SUMMARY = f"""
+  SELECT outcome, count(*) AS row_count FROM ({_OUTCOME}) x GROUP BY outcome"""
+
+_ORPHAN_ROWS = """
+  SELECT doc_id, lang, source, n_chars FROM documents d
+  WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
+
+_STAR_TABLES = {"dim_customer": f"({_DIM_CUSTOMER})", "dim_account": f"({_DIM_ACCOUNT})",
+                "fact_transaction": f"({_FACT})"}
+
+
+def _sql_star_rules(suite) -> str:
+    present = [r for r in suite if r.table in _STAR_TABLES]
+    sql = _sql_rules(present, _STAR_TABLES)
+    return sql
+
+
 QUERIES: dict[str, Query] = {
     "fact_transaction": q_fact_transaction,
     "clean_transactions": q_clean_transactions,
     "dim_customer": q_dim_customer,
     "dim_account": q_dim_account,
+    "dq_nulls": _rules_query(NULL_RULES),
+    "dq_unique": _rules_query(UNIQUE_RULES),
+    "dq_referential": _rules_query(FK_RULES),
+    "dq_range": _rules_query(RANGE_RULES),
+    "dq_report": q_dq_report,
+    "quarantine": q_quarantine,
+    "clean_summary": q_clean_summary,
+    "orphan_rows": q_orphan_rows,
 }
 
 ORACLES: dict[str, str] = {
@@ -101,4 +278,12 @@ ORACLES: dict[str, str] = {
     "clean_transactions": _CLEAN,
     "dim_customer": _DIM_CUSTOMER,
     "dim_account": _DIM_ACCOUNT,
+    "dq_nulls": _sql_rules(NULL_RULES),
+    "dq_unique": _sql_rules(UNIQUE_RULES),
+    "dq_referential": _sql_rules(FK_RULES),
+    "dq_range": _sql_rules(RANGE_RULES),
+    "dq_report": _sql_star_rules(quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS),
+    "quarantine": _QUARANTINE,
+    "clean_summary": _CLEAN_SUMMARY,
+    "orphan_rows": _ORPHAN_ROWS,
 }
