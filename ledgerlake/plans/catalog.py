@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import cleaning, dims, quality, sequence
 from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
-from ledgerlake.sources import tables
+from ledgerlake.functions.columns import encode_envelope
+from ledgerlake.operators import star
+from ledgerlake.session import scratch_path
+from ledgerlake.sinks.writers import ParquetWriter
+from ledgerlake.sources import curated, tables
+from ledgerlake.streaming import parse, totals, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +132,79 @@ def q_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.orphans_of(docs, labels, "doc_id", parent_key="doc_id")
 
 
+# ------------------------------------------------ curated layer / star use
+
+SLICE = ("1998-01-01", "1998-03-31")
+
+
+def q_curated_date_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the fact partitioned by txn_date, read one quarter back
+    (PartitionFilters prune the other dates)."""
+    fact = q_fact_transaction(spark, sf_dir)
+    writer = ParquetWriter(scratch_path(spark, "curated"))
+    path = writer.write(fact, "fact_transaction", "txn_date")
+    return curated.read_date_slice(spark, path, *SLICE, schema=fact.schema)
+
+
+def q_star_spend_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.spend_by_segment(q_fact_transaction(spark, sf_dir),
+                                 q_dim_account(spark, sf_dir), q_dim_customer(spark, sf_dir))
+
+
+# -------------------------------------------------------------- streaming
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = tables.table(spark, sf_dir, "events").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .parquet(sf_dir))
+    return tables.stream_events(src)
+
+
+def _cents(df: DataFrame, *cols: str) -> DataFrame:
+    # Float sums depend on addition order; compare at cent precision.
+    return df.withColumns({c: F.round(c, 2) for c in cols})
+
+
+def q_category_totals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = tables.stream_events(tables.table(spark, sf_dir, "events"))
+    return _cents(totals.category_totals(ev), "running_total")
+
+
+def q_category_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ck = scratch_path(spark, "totals"), scratch_path(spark, "totals-ckpt")
+    totals.start_running_totals(_events_stream(spark, sf_dir), out, ck).awaitTermination()
+    return _cents(totals.latest_totals(spark, out), "running_total")
+
+
+def stage_weekly_envelopes(spark: SparkSession, sf_dir: str) -> str:
+    """Events as base64 envelopes, one file per ISO week (each file is one
+    micro-batch below). Stand-in for the arriving stream."""
+    ev = tables.stream_events(tables.table(spark, sf_dir, "events"))
+    env = ev.select(F.date_trunc("week", "txn_ts").cast("date").alias("week"),
+                    encode_envelope(*parse.EVENT_COLUMNS).alias("data"))
+    path = scratch_path(spark, "envelopes")
+    env.repartition("week").write.partitionBy("week").parquet(path)
+    return path
+
+
+def q_category_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = stage_weekly_envelopes(spark, sf_dir)
+    decoded = parse.decode_events(parse.read_envelopes(spark, staged, max_files_per_trigger=1))
+    ledger = totals.CategoryLedger(scratch_path(spark, "ledger"),
+                                   scratch_path(spark, "ledger-quarantine"))
+    ledger.start(decoded, scratch_path(spark, "ledger-ckpt")).awaitTermination()
+    return _cents(ledger.view(spark), "running_total")
+
+
+def q_daily_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ck = scratch_path(spark, "daily"), scratch_path(spark, "daily-ckpt")
+    windows.start_windowed_totals(_events_stream(spark, sf_dir), out, ck).awaitTermination()
+    df = windows.latest_windows(spark, out)
+    return _cents(df, "total").withColumns({
+        "window_start": F.col("window_start").cast("timestamp_ntz"),
+        "window_end": F.col("window_end").cast("timestamp_ntz")})
+
+
 # ------------------------------------------------------------ SQL oracles
 
 def _sql_table(name: str, sources=None) -> str:
@@ -258,6 +336,33 @@ def _sql_star_rules(suite) -> str:
     return sql
 
 
+_CURATED_SLICE = f"""
+  SELECT * FROM ({_FACT}) f WHERE txn_date BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'"""
+
+_STAR_SPEND = f"""
+  SELECT c.segment, f.category, round(sum(f.amount), 2) AS total_amount,
+         count(*) AS txn_count
+  FROM ({_FACT}) f
+  JOIN ({_DIM_ACCOUNT}) a ON f.account_id = a.account_id
+  JOIN ({_DIM_CUSTOMER}) c ON a.customer_id = c.customer_id
+  GROUP BY c.segment, f.category"""
+
+_CATEGORY_TOTALS = """
+  SELECT event_type AS category, round(sum(value), 2) AS running_total,
+         count(*) AS txn_count
+  FROM events GROUP BY event_type"""
+
+_CATEGORY_LEDGER = """
+  SELECT event_type AS category, round(sum(value), 2) AS running_total,
+         count(*) AS txn_count, count(DISTINCT date_trunc('week', ts)) AS batch_count
+  FROM events GROUP BY event_type"""
+
+_DAILY_TOTALS = """
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+         CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
+         event_type AS category, round(sum(value), 2) AS total, count(*) AS txn_count
+  FROM events GROUP BY 1, 2, 3"""
+
 QUERIES: dict[str, Query] = {
     "fact_transaction": q_fact_transaction,
     "clean_transactions": q_clean_transactions,
@@ -271,6 +376,12 @@ QUERIES: dict[str, Query] = {
     "quarantine": q_quarantine,
     "clean_summary": q_clean_summary,
     "orphan_rows": q_orphan_rows,
+    "curated_date_slice": q_curated_date_slice,
+    "star_spend_by_segment": q_star_spend_by_segment,
+    "category_totals_batch": q_category_totals_batch,
+    "category_totals_stream": q_category_totals_stream,
+    "category_ledger": q_category_ledger,
+    "daily_totals_stream": q_daily_totals_stream,
 }
 
 ORACLES: dict[str, str] = {
@@ -286,4 +397,10 @@ ORACLES: dict[str, str] = {
     "quarantine": _QUARANTINE,
     "clean_summary": _CLEAN_SUMMARY,
     "orphan_rows": _ORPHAN_ROWS,
+    "curated_date_slice": _CURATED_SLICE,
+    "star_spend_by_segment": _STAR_SPEND,
+    "category_totals_batch": _CATEGORY_TOTALS,
+    "category_totals_stream": _CATEGORY_TOTALS,
+    "category_ledger": _CATEGORY_LEDGER,
+    "daily_totals_stream": _DAILY_TOTALS,
 }
