@@ -151,7 +151,7 @@ def number_within(df: DataFrame, keys, order, out: str, *,
     b = F.broadcast(blocks.withColumnsRenamed(renamed))
     on = reduce(lambda x, y: x & y,
                 [placed[k].eqNullSafe(b[f"_b_{k}"]) for k in keys]
-                + [placed["_pid"] == b["_b_pid"]])
+                + [placed["_pid"] == b["_b__pid"]])
     hot_ranked = (placed.join(b, on, "inner")
                   .withColumn(out, (F.col("_pos") - F.col("_first") + F.col("_offset") + 1)
                               .cast("int"))
