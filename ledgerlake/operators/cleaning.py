@@ -95,13 +95,14 @@ def drop_orphans(df: DataFrame, parent: DataFrame, key: str = "account_id",
 
 def orphans_of(df: DataFrame, parent: DataFrame, key: str = "account_id",
                parent_key: str | None = None) -> DataFrame:
-    """Rows whose key has no parent. NULL keys are orphans too (as with a
-    left-anti join); they are split off before the join so they never
-    meet in one task."""
-    keys = _parent_keys(parent, parent_key or key)
-    nulls = df.filter(F.col(key).isNull())
-    rest = df.filter(F.col(key).isNotNull())
-    return nulls.unionByName(rest.join(keys, rest[key] == keys["_pk"], "left_anti"))
+    """Rows whose key has no parent; a NULL key is an orphan too (as with a
+    left-anti join). One pass: left join on the distinct parent keys with a
+    match flag. Broadcast when the parent keys are small (Spark's size
+    estimate, or AQE at runtime); otherwise a shuffled join whose skewed
+    partitions – a hot key, or many NULL keys – AQE splits."""
+    keys = _parent_keys(parent, parent_key or key).withColumn("_hit", F.lit(True))
+    return (df.join(keys, df[key] == keys["_pk"], "left")
+            .filter(F.col("_hit").isNull()).select(*df.columns))
 
 
 def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None, *,

@@ -90,14 +90,23 @@ class CategoryLedger:
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body. ``batch`` holds events, optionally with a
         ``_bad`` column from ``decode_events``."""
+        cached = False
         if "_bad" in batch.columns:
             if self.quarantine_path:
-                (bad_events(batch).write.mode("overwrite")
-                 .parquet(f"{self.quarantine_path}/batch_id={batch_id}"))
+                # The micro-batch is read twice (bad rows, partial sums):
+                # keep it for the duration of this batch only.
+                batch = batch.persist()
+                cached = True
+                bad = bad_events(batch)
+                if not bad.isEmpty():
+                    bad.write.mode("overwrite").parquet(
+                        f"{self.quarantine_path}/batch_id={batch_id}")
             batch = good_events(batch)
         partial = batch.groupBy("category").agg(F.sum("amount").alias("total"),
                                                 F.count(F.lit(1)).alias("n"))
         partial.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if cached:
+            batch.unpersist()
 
     def start(self, events: DataFrame, checkpoint: str, *, trigger: str | None = "availableNow",
               name: str | None = None) -> StreamingQuery:
