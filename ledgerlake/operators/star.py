@@ -27,3 +27,29 @@ def spend_by_segment(fact: DataFrame, dim_account: DataFrame, dim_customer: Data
     return (j.groupBy("segment", "category")
             .agg(F.round(F.sum("amount"), 2).alias("total_amount"),
                  F.count(F.lit(1)).alias("txn_count")))
+
+
+def deposits_per_customer(fact_deposit: DataFrame, dim_account: DataFrame) -> DataFrame:
+    """Deposit count and sum per customer (deposit → account → customer)."""
+    a = dim_account.select(F.col("account_id").alias("_aid"), "customer_id")
+    j = fact_deposit.select("account_id", "amount").join(
+        a, F.col("account_id") == F.col("_aid"), "inner")
+    return (j.groupBy("customer_id")
+            .agg(F.count(F.lit(1)).alias("deposit_count"),
+                 F.round(F.sum("amount"), 2).alias("deposit_total")))
+
+
+def loan_book_by_status(dim_loan: DataFrame) -> DataFrame:
+    """Loan count, principal and average rate per lifecycle status."""
+    return (dim_loan.groupBy("status")
+            .agg(F.count(F.lit(1)).alias("loan_count"),
+                 F.round(F.sum("principal"), 2).alias("principal_total"),
+                 F.round(F.avg("interest_rate"), 4).alias("avg_interest_rate")))
+
+
+def daily_spend(fact: DataFrame) -> DataFrame:
+    """Per txn_date and category: the partition-aligned daily rollup that
+    downstream reports read with date pruning."""
+    return (fact.groupBy("txn_date", "category")
+            .agg(F.round(F.sum("amount"), 2).alias("total_amount"),
+                 F.count(F.lit(1)).alias("txn_count")))

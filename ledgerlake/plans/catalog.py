@@ -190,12 +190,25 @@ def stage_weekly_envelopes(spark: SparkSession, sf_dir: str) -> str:
 def q_category_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = stage_weekly_envelopes(spark, sf_dir)
     decoded = parse.decode_events(parse.read_envelopes(spark, staged, max_files_per_trigger=1))
-    ledger = totals.CategoryLedger(scratch_path(spark, "ledger"),
-                                   scratch_path(spark, "ledger-quarantine"))
+    ledger = totals.CategoryLedger(scratch_path(spark, "ledger"))
     ledger.start(decoded, scratch_path(spark, "ledger-ckpt")).awaitTermination()
     return _cents(ledger.view(spark), "running_total")
 
 
+def q_ledger_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and distinct categories per micro-batch (one batch per
+    week of events)."""
+    staged = stage_weekly_envelopes(spark, sf_dir)
+    decoded = parse.decode_events(parse.read_envelopes(spark, staged, max_files_per_trigger=1))
+    ledger = totals.CategoryLedger(scratch_path(spark, "ledger"))
+    ledger.start(decoded, scratch_path(spark, "ledger-ckpt")).awaitTermination()
+    return ledger.batch_summary(spark).drop("batch_id")
+
+
+def q_daily_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.daily_spend(q_fact_transaction(spark, sf_dir))
+
+
 def q_daily_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = scratch_path(spark, "daily"), scratch_path(spark, "daily-ckpt")
     windows.start_windowed_totals(_events_stream(spark, sf_dir), out, ck).awaitTermination()
@@ -347,6 +360,14 @@ _STAR_SPEND = f"""
   JOIN ({_DIM_CUSTOMER}) c ON a.customer_id = c.customer_id
   GROUP BY c.segment, f.category"""
 
+_LEDGER_BATCHES = """
+  SELECT count(*) AS records, count(DISTINCT event_type) AS categories
+  FROM events GROUP BY date_trunc('week', ts)"""
+
+_DAILY_SPEND = f"""
+  SELECT txn_date, category, round(sum(amount), 2) AS total_amount, count(*) AS txn_count
+  FROM ({_FACT}) f GROUP BY txn_date, category"""
+
 _CATEGORY_TOTALS = """
   SELECT event_type AS category, round(sum(value), 2) AS running_total,
          count(*) AS txn_count
@@ -382,6 +403,8 @@ QUERIES: dict[str, Query] = {
     "category_totals_stream": q_category_totals_stream,
     "category_ledger": q_category_ledger,
     "daily_totals_stream": q_daily_totals_stream,
+    "ledger_batch_summary": q_ledger_batch_summary,
+    "daily_spend": q_daily_spend,
 }
 
 ORACLES: dict[str, str] = {
@@ -403,4 +426,6 @@ ORACLES: dict[str, str] = {
     "category_totals_stream": _CATEGORY_TOTALS,
     "category_ledger": _CATEGORY_LEDGER,
     "daily_totals_stream": _DAILY_TOTALS,
+    "ledger_batch_summary": _LEDGER_BATCHES,
+    "daily_spend": _DAILY_SPEND,
 }

@@ -43,6 +43,13 @@ def category_totals(events: DataFrame) -> DataFrame:
                                           F.count(F.lit(1)).alias("txn_count"))
 
 
+def with_batch_metrics(events: DataFrame, name: str = "batch") -> DataFrame:
+    """Attach per-micro-batch metrics (records, amount sum) to a stream;
+    they appear in ``query.lastProgress["observedMetrics"][name]``."""
+    return events.observe(name, F.count(F.lit(1)).alias("records"),
+                          F.sum("amount").alias("amount_sum"))
+
+
 def _trigger(writer, trigger):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -76,37 +83,38 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("category", T.StringType(), True),
     T.StructField("total", T.DoubleType(), True),
     T.StructField("n", T.LongType(), True),
+    T.StructField("reason", T.StringType(), True),
+    T.StructField("data", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
 ])
 
 
 class CategoryLedger:
-    """Idempotent per-batch ledger of partial category sums."""
+    """Idempotent per-batch ledger of partial category sums.
+
+    One write per micro-batch into ``<path>/batch_id=<id>``: the partial
+    sums, plus – when the input carries ``_bad`` from ``decode_events`` –
+    the rejected envelopes with their reason (rows with ``reason`` set).
+    A replayed batch overwrites its own folder with the same content.
+    """
 
-    def __init__(self, path: str, quarantine_path: str | None = None):
+    def __init__(self, path: str):
         self.path = path.rstrip("/")
-        self.quarantine_path = quarantine_path
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` body. ``batch`` holds events, optionally with a
-        ``_bad`` column from ``decode_events``."""
-        cached = False
+        """``foreachBatch`` body."""
+        good = good_events(batch) if "_bad" in batch.columns else batch
+        out = (good.groupBy("category")
+               .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
+               .select("category", "total", "n", F.lit(None).cast("string").alias("reason"),
+                       F.lit(None).cast("string").alias("data")))
         if "_bad" in batch.columns:
-            if self.quarantine_path:
-                # The micro-batch is read twice (bad rows, partial sums):
-                # keep it for the duration of this batch only.
-                batch = batch.persist()
-                cached = True
-                bad = bad_events(batch)
-                if not bad.isEmpty():
-                    bad.write.mode("overwrite").parquet(
-                        f"{self.quarantine_path}/batch_id={batch_id}")
-            batch = good_events(batch)
-        partial = batch.groupBy("category").agg(F.sum("amount").alias("total"),
-                                                F.count(F.lit(1)).alias("n"))
-        partial.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        if cached:
-            batch.unpersist()
+            bad = bad_events(batch).select(
+                F.lit(None).cast("string").alias("category"),
+                F.lit(None).cast("double").alias("total"),
+                F.lit(None).cast("long").alias("n"), "reason", "data")
+            out = out.unionByName(bad)
+        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def start(self, events: DataFrame, checkpoint: str, *, trigger: str | None = "availableNow",
               name: str | None = None) -> StreamingQuery:
@@ -119,12 +127,22 @@ class CategoryLedger:
     def entries(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 
+    def quarantine(self, spark: SparkSession) -> DataFrame:
+        return (self.entries(spark).filter(F.col("reason").isNotNull())
+                .select("data", "reason", "batch_id"))
+
     def view(self, spark: SparkSession) -> DataFrame:
-        return (self.entries(spark).groupBy("category")
+        return (self.entries(spark).filter(F.col("reason").isNull()).groupBy("category")
                 .agg(F.sum("total").alias("running_total"),
                      F.sum("n").alias("txn_count"),
                      F.count(F.lit(1)).alias("batch_count")))
 
+    def batch_summary(self, spark: SparkSession) -> DataFrame:
+        """Per micro-batch: records processed and distinct categories seen
+        (what the original consumer printed per invocation)."""
+        return (self.entries(spark).filter(F.col("reason").isNull()).groupBy("batch_id")
+                .agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("categories")))
+
     def compact(self, spark: SparkSession, target: str) -> str:
         """Fold all ledger batches into one table of per-category sums
         (for long-running ledgers); returns ``target``."""

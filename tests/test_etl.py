@@ -124,3 +124,13 @@ def test_register_existing_files_and_date_slice(spark, tmp_dir):
 def test_report_schema(spark):
     report = quality.run_rules({}, quality.STAR_SCHEMA_RULES)
     assert report.schema == quality.REPORT_SCHEMA and report.count() == 0
+
+
+def test_audit_dirty_transactions(spark, tmp_dir):
+    from ledgerlake.plans.etl import audit_transactions
+    raw = load_raw(spark, raw_zone(f"{tmp_dir}/raw", dirty=True))
+    summary, report = audit_transactions(raw["transactions"], raw["accounts"])
+    assert {r.outcome: r.row_count for r in summary.collect()} == {
+        "kept": 3, "duplicate": 1, "orphan": 1}
+    failed = [(r.rule, r.column_name, r.violations) for r in report.collect() if not r.passed]
+    assert failed == [("referential", "account_id", 1)]

@@ -42,7 +42,7 @@ def view(ledger, spark):
 def test_ledger_fixture_and_replay(spark, tmp_dir):
     src = f"{tmp_dir}/in"
     fixture_stream(spark, src)
-    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger", f"{tmp_dir}/quarantine")
+    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger")
     ck = f"{tmp_dir}/ck"
 
     def run():
@@ -67,11 +67,11 @@ def test_bad_events_go_to_quarantine(spark, tmp_dir):
     no_cat = base64.b64encode(json.dumps({"txn_id": "t9", "amount": 3.0}).encode()).decode()
     write_batch_file(spark, src, ["%%%not-base64", no_cat,
                                   base64.b64encode(b"{oops").decode()])
-    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger", f"{tmp_dir}/quarantine")
+    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger")
     stream = parse.decode_events(parse.read_envelopes(spark, src, max_files_per_trigger=1))
     ledger.start(stream, f"{tmp_dir}/ck").awaitTermination()
     assert view(ledger, spark) == {"rent": (6.0, 3, 2), "dining": (-2.5, 1, 1)}
-    reasons = sorted(r.reason for r in spark.read.parquet(f"{tmp_dir}/quarantine").collect())
+    reasons = sorted(r.reason for r in ledger.quarantine(spark).collect())
     assert reasons == ["bad_envelope", "bad_envelope", "missing_field"]
 
 
