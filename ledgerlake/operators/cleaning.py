@@ -28,6 +28,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.columns import as_date, as_double, as_timestamp, is_missing
 from ledgerlake.operators.ranking import (
@@ -63,12 +64,21 @@ def tag_rows(raw: DataFrame) -> DataFrame:
 
 
 def _valid_typed(raw: DataFrame) -> DataFrame:
-    """Rows passing checks 1–4, raw layout, amount/txn_ts typed."""
-    tagged = tag_rows(raw)
-    # Explicit IS NOT NULL conjuncts reach the Parquet scan as PushedFilters.
-    pushed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUIRED])
-    return (tagged.filter(pushed & F.col("_reason").isNull())
-            .withColumns({"amount": F.col("_amount"), "txn_ts": F.col("_txn_ts")}))
+    """Rows passing checks 1–4, raw layout, amount/txn_ts typed. Written as
+    plain conjuncts (not via the reason column): the IS NOT NULL terms
+    reach the Parquet scan as PushedFilters."""
+    df = raw.withColumns({"_amount": as_double(raw, "amount"),
+                          "_txn_ts": as_timestamp(raw, "txn_ts")})
+    ok = [F.col(c).isNotNull() for c in REQUIRED]
+    ok += [~is_missing(raw, c) for c in REQUIRED if isinstance(
+        raw.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    ok += [F.col("_amount").isNotNull() & ~F.isnan(F.col("_amount")),
+           F.col("_txn_ts").isNotNull()]
+    if CORRUPT in raw.columns:
+        ok.append(F.col(CORRUPT).isNull())
+    return (df.filter(reduce(lambda a, b: a & b, ok))
+            .withColumns({"amount": F.col("_amount"), "txn_ts": F.col("_txn_ts")})
+            .drop("_amount", "_txn_ts"))
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
