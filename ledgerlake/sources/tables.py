@@ -21,6 +21,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Event times are naive (timestamp_ntz); day boundaries and parsed text
+    # must not depend on the caller's zone.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
