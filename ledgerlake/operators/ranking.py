@@ -16,7 +16,9 @@ Two shapes:
   1. range-partition the hot rows on ``(key, order)``; Spark's range
      partitioner splits one key across many tasks in sort order;
   2. inside each partition the position of a row comes from
-     ``monotonically_increasing_id`` after a local sort;
+     ``monotonically_increasing_id`` after a local sort; this placement is
+     checkpointed once (range bounds are sampled, so a second evaluation
+     could differ);
   3. a tiny table of ``(key, partition) → first position, row count``
      (at most ``partitions + hot keys`` rows) yields each block's offset
      with a window over that small table;
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ledgerlake.session import checkpoint_root
+
 
 @dataclass(frozen=True)
 class HotKeyPolicy:
@@ -136,10 +140,16 @@ def number_within(df: DataFrame, keys, order, out: str, *,
     est_rows = hot.agg(F.sum("_hot_rows")).first()[0] or 0
     parts = max(1, min(100_000, math.ceil(est_rows / policy.rows_per_task)))
     key_order = [F.col(k).asc_nulls_first() for k in keys] + ordering
+    # Placement is materialised once (reliable checkpoint in the shared
+    # checkpoint folder): the range bounds come from a sample whose row
+    # order after a shuffle is not fixed, so two evaluations could place
+    # rows differently; positions and blocks must come from the same one.
+    checkpoint_root(df.sparkSession)
     placed = (hot_rows.repartitionByRange(parts, *key_order)
               .sortWithinPartitions(*key_order)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+              .withColumn("_pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     # One row per (key, partition) a hot key touches: <= parts + hot keys.
     blocks = (placed.groupBy(*keys, "_pid")
               .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")))
