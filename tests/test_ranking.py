@@ -39,13 +39,13 @@ def test_split_path_equals_plain_window(spark):
     assert got.count() == df.count()
     assert {(r.k, r.id): r.rn for r in got.collect()} == brute(df)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan
+    assert "_pid" in plan and "_pos" in plan  # hot rows took the split path
 
 
 def test_plain_path_when_no_hot_keys(spark):
     df = skewed(spark)
     got = number_within(df, "k", ["ts", "id"], "rn")  # default policy: nothing is hot
-    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert "_pid" not in got._jdf.queryExecution().executedPlan().toString()
     assert {(r.k, r.id): r.rn for r in got.collect()} == brute(df)
 
 
