@@ -198,6 +198,32 @@ def q_category_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cents(ledger.view(spark), "running_total")
 
 
+def _append_stream(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Run a stateless (or watermarked) stream to a Parquet sink (append,
+    exactly-once through the sink's commit log); return the sink path."""
+    out, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-ckpt")
+    (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return out
+
+
+def q_stream_dedupe_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream dedupe by txn_id within a 1-hour watermark, then totals of
+    the surviving events."""
+    deduped = windows.dedupe_within_watermark(_events_stream(spark, sf_dir), delay="1 hour")
+    out = _append_stream(spark, deduped, "dedupe")
+    return _cents(totals.category_totals(spark.read.parquet(out)), "running_total")
+
+
+def q_stream_known_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-static semi-join: events of known customers only, then totals."""
+    customers = tables.table(spark, sf_dir, "customer")
+    known = cleaning.drop_orphans(_events_stream(spark, sf_dir), customers, "account_id",
+                                  parent_key="c_custkey")
+    out = _append_stream(spark, known, "known-users")
+    return _cents(totals.category_totals(spark.read.parquet(out)), "running_total")
+
+
 def q_ledger_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records and distinct categories per micro-batch (one batch per
     week of events)."""
@@ -381,6 +407,18 @@ _CATEGORY_LEDGER = """
          count(*) AS txn_count, count(DISTINCT date_trunc('week', ts)) AS batch_count
   FROM events GROUP BY event_type"""
 
+_KNOWN_USER_TOTALS = """
+  SELECT event_type AS category, round(sum(value), 2) AS running_total,
+         count(*) AS txn_count
+  FROM events e WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id)
+  GROUP BY event_type"""
+
+_DEDUPE_TOTALS = """
+  SELECT event_type AS category, round(sum(value), 2) AS running_total,
+         count(*) AS txn_count
+  FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1) e
+  GROUP BY event_type"""
+
 _DAILY_TOTALS = """
   SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
          CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
@@ -408,6 +446,8 @@ QUERIES: dict[str, Query] = {
     "daily_totals_stream": q_daily_totals_stream,
     "ledger_batch_summary": q_ledger_batch_summary,
     "daily_spend": q_daily_spend,
+    "stream_dedupe_totals": q_stream_dedupe_totals,
+    "stream_known_user_totals": q_stream_known_user_totals,
 }
 
 ORACLES: dict[str, str] = {
@@ -431,4 +471,6 @@ ORACLES: dict[str, str] = {
     "daily_totals_stream": _DAILY_TOTALS,
     "ledger_batch_summary": _LEDGER_BATCHES,
     "daily_spend": _DAILY_SPEND,
+    "stream_dedupe_totals": _DEDUPE_TOTALS,
+    "stream_known_user_totals": _KNOWN_USER_TOTALS,
 }
