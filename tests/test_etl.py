@@ -134,3 +134,16 @@ def test_audit_dirty_transactions(spark, tmp_dir):
         "kept": 3, "duplicate": 1, "orphan": 1}
     failed = [(r.rule, r.column_name, r.violations) for r in report.collect() if not r.passed]
     assert failed == [("referential", "account_id", 1)]
+
+
+def test_dynamic_overwrite_keeps_other_dates(spark, tmp_dir):
+    df = spark.createDataFrame([("t1", "2026-01-01"), ("t2", "2026-01-02")],
+                               "txn_id string, txn_date string")
+    ParquetWriter(f"{tmp_dir}/c").write(df, "f", "txn_date")
+    reload = spark.createDataFrame([("t9", "2026-01-02")], "txn_id string, txn_date string")
+    ParquetWriter(f"{tmp_dir}/c", dynamic=True).write(reload, "f", "txn_date")
+    got = sorted((r.txn_id, str(r.txn_date)) for r in spark.read.parquet(f"{tmp_dir}/c/f").collect())
+    assert got == [("t1", "2026-01-01"), ("t9", "2026-01-02")]
+    # static (default) overwrite replaces the whole table
+    ParquetWriter(f"{tmp_dir}/c").write(reload, "f", "txn_date")
+    assert spark.read.parquet(f"{tmp_dir}/c/f").count() == 1
