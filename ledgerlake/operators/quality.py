@@ -10,14 +10,15 @@ Rule kinds (semantics follow the checks they replace):
 * ``range``        violations = values below ``lo`` or above ``hi``
                    (inclusive bounds; NULL passes, NaN fails)
 
-Execution: all not_null / unique / range rules of one table are folded into
-a single aggregate over that table (one scan, partial aggregation before
-the shuffle; ``count(DISTINCT c)`` is planned as a two-level aggregate
-keyed by ``c``, so a hot value is combined map-side). Each referential rule
-is one left join of the child key column against the distinct parent keys
-(broadcast when small by Spark's size estimate or AQE's runtime size,
-shuffled otherwise; AQE splits a skewed child partition). The report is
-lazy: one action runs every rule.
+Execution: all rules of one table are folded into a single aggregate over
+that table, so each table – including a derived one such as the fact – is
+evaluated once. ``count(DISTINCT c)`` is planned as a two-level aggregate
+keyed by ``c``, so a hot value is combined map-side. Referential rules add
+a left join of the table to the distinct keys of each parent, with a match
+flag (broadcast when the keys are small by Spark's size estimate or AQE's
+runtime size, shuffled otherwise; AQE splits a skewed child partition, so
+a hot or NULL key does not stall one task). The report is lazy: one action
+runs every rule.
 
 Report columns: table_name, rule, column_name, detail, violations, total,
 passed. ``enforce`` raises ``DataQualityError`` on failed rows; the
@@ -120,29 +121,83 @@ def _distinct_with_null(c: str) -> F.Column:
         F.max(F.col(c).isNull().cast("int")), F.lit(0))
 
 
-def table_checks(df: DataFrame, rules: TableRules) -> DataFrame | None:
-    """not_null, unique and range rules of one table → report rows from a
-    single aggregate."""
-    aggs: list[F.Column] = [F.count(F.lit(1)).alias("_total")]
+def _flag_parents(df: DataFrame, fks, parents: dict[str, DataFrame]) -> DataFrame:
+    """Left-join ``df`` to the distinct keys of each parent, adding a match
+    flag ``_hit{i}`` per foreign key. Parent keys are distinct, so the row
+    count of ``df`` is unchanged; a NULL child key never matches."""
+    for i, fk in enumerate(fks):
+        keys = (parents[fk.parent].select(F.col(fk.parent_column).alias(f"_pk{i}"))
+                .filter(F.col(f"_pk{i}").isNotNull()).distinct()
+                .withColumn(f"_hit{i}", F.lit(True)))
+        df = df.join(keys, df[fk.column] == keys[f"_pk{i}"], "left")
+    return df
+
+
+def _q(name: str) -> str:
+    """Quote an identifier for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _s(text: str | None) -> str:
+    """SQL string literal (or NULL)."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def table_checks(df: DataFrame, rules: TableRules,
+                 parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """All rules of one table → report rows from a single aggregate. With
+    ``parents``, the table's foreign keys are checked in the same pass
+    (the child is evaluated once, which matters when it is a derived
+    table such as the fact).
+
+    The aggregate and the unpivot into report rows are written as SQL
+    expressions, so building the plan costs a few calls into the JVM per
+    table rather than several per rule."""
+    fks = [fk for fk in rules.foreign_keys if parents and fk.parent in parents]
+    if fks:
+        df = _flag_parents(df, fks, parents)
+    aggs = ["count(1) AS _total"]
     specs: list[tuple[str, str, str | None, str]] = []
     for i, c in enumerate(rules.not_null):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_nn{i}"))
+        aggs.append(f"count_if({_q(c)} IS NULL) AS _nn{i}")
         specs.append(("not_null", c, None, f"_nn{i}"))
     for i, c in enumerate(rules.unique):
-        aggs.append(_distinct_with_null(c).alias(f"_uq{i}"))
+        # count(DISTINCT) ignores NULL; one NULL counts as one more value
+        aggs.append(f"count(DISTINCT {_q(c)}) + coalesce(max(CAST({_q(c)} IS NULL AS INT)), 0)"
+                    f" AS _uq{i}")
         specs.append(("unique", c, None, f"_uq{i}"))
+    for i, fk in enumerate(fks):
+        aggs.append(f"count_if(_hit{i} IS NULL) AS _fk{i}")
+        specs.append(("referential", fk.column, f"{fk.parent}.{fk.parent_column}", f"_fk{i}"))
     for i, r in enumerate(rules.ranges):
-        aggs.append(F.count_if(out_of_range(F.col(r.column), r.lo, r.hi)).alias(f"_rg{i}"))
+        aggs.append(f"count_if({_range_sql(_q(r.column), r.lo, r.hi)}) AS _rg{i}")
         specs.append(("range", r.column, r.detail, f"_rg{i}"))
     if not specs:
         return None
-    agg = df.agg(*aggs)
-    total = F.col("_total")
-    rows = []
+    agg = df.agg(*[F.expr(e) for e in aggs])
+    cells = []
     for rule, col, detail, name in specs:
-        v = total - F.col(name) if rule == "unique" else F.col(name)
-        rows.append(_row(rules.table, rule, col, detail, v, total))
-    return agg.select(F.inline(F.array(*rows)))
+        v = f"_total - {name}" if rule == "unique" else name
+        cells.append(f"{_s(rules.table)}, {_s(rule)}, {_s(col)}, {_s(detail)}, "
+                     f"CAST({v} AS BIGINT), CAST(_total AS BIGINT)")
+    rows = agg.selectExpr(
+        f"stack({len(specs)}, {', '.join(cells)}) "
+        "AS (table_name, rule, column_name, detail, violations, total)")
+    return rows.selectExpr("table_name", "rule", "column_name", "detail", "violations",
+                           "total", "violations = 0 AS passed")
+
+
+def _range_sql(c: str, lo, hi) -> str:
+    """Same test as ``functions.columns.out_of_range``: inclusive bounds,
+    NULL passes, NaN fails (NaN sorts above every number)."""
+    parts = []
+    if lo is not None:
+        parts.append(f"{c} < {float(lo)!r}")
+    if hi is not None:
+        parts.append(f"{c} > {float(hi)!r}")
+    return f"coalesce({' OR '.join(parts) or 'false'}, false)"
 
 
 def referential_check(child: DataFrame, child_table: str, fk: ForeignKey,
@@ -170,16 +225,12 @@ def run_rules(tables: dict[str, DataFrame], suite, *, skip_missing: bool = True)
             if skip_missing:
                 continue
             raise KeyError(rules.table)
-        df = tables[rules.table]
-        t = table_checks(df, rules)
+        missing = [fk.parent for fk in rules.foreign_keys if fk.parent not in tables]
+        if missing and not skip_missing:
+            raise KeyError(missing[0])
+        t = table_checks(tables[rules.table], rules, tables)
         if t is not None:
             parts.append(t)
-        for fk in rules.foreign_keys:
-            if fk.parent not in tables:
-                if skip_missing:
-                    continue
-                raise KeyError(fk.parent)
-            parts.append(referential_check(df, rules.table, fk, tables[fk.parent]))
     if not parts:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([], REPORT_SCHEMA)

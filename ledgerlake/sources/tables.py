@@ -20,11 +20,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_PLANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. The DataFrame (a plan: file listing and footer
+    schema, no data) is reused within a session; every action still reads
+    the files."""
     # Event times are naive (timestamp_ntz); day boundaries and parsed text
     # must not depend on the caller's zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _PLANS or _PLANS[key].sparkSession is not spark:
+        _PLANS[key] = spark.read.parquet(path)
+    return _PLANS[key]
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

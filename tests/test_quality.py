@@ -98,3 +98,11 @@ def test_one_aggregate_per_table(spark):
     # a single scan feeds every rule of the table
     assert plan.count("Scan") == 1
     assert len(plan and rows(quality.table_checks(df, rules))) == 4
+
+
+def test_self_reference_in_suite(spark):
+    df = spark.createDataFrame([("e1", None), ("e2", "e1"), ("e3", "e9")], "id string, boss string")
+    suite = (TableRules("emp", unique=("id",), foreign_keys=(ForeignKey("boss", "emp", "id"),)),)
+    r = rows(quality.run_rules({"emp": df}, suite))
+    assert r[("emp", "referential", "boss")] == (2, 3, False)
+    assert r[("emp", "unique", "id")] == (0, 3, True)
