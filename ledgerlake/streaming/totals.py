@@ -79,6 +79,15 @@ def latest_totals(spark: SparkSession, out_path: str) -> DataFrame:
             .select("category", "_t.running_total", "_t.txn_count"))
 
 
+def compact_latest(spark: SparkSession, out_path: str, target: str) -> str:
+    """Fold the per-batch outputs of ``start_running_totals`` into one
+    table of current totals (long-running streams accumulate one folder per
+    batch); ``latest_totals`` over the compacted table is the same view."""
+    (latest_totals(spark, out_path).withColumn("batch_id", F.lit(-1).cast("long"))
+     .write.mode("overwrite").parquet(target))
+    return target
+
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("category", T.StringType(), True),
     T.StructField("total", T.DoubleType(), True),
