@@ -147,3 +147,24 @@ def test_dynamic_overwrite_keeps_other_dates(spark, tmp_dir):
     # static (default) overwrite replaces the whole table
     ParquetWriter(f"{tmp_dir}/c").write(reload, "f", "txn_date")
     assert spark.read.parquet(f"{tmp_dir}/c/f").count() == 1
+
+
+def test_etl_with_hot_key_split_path(spark, tmp_dir):
+    """One account holds most transactions; with a policy that marks it hot
+    the published fact equals a run without splitting."""
+    from ledgerlake.operators.ranking import HotKeyPolicy
+    root = raw_zone(f"{tmp_dir}/raw")
+    rows = [{"txn_id": f"h{i:03d}", "account_id": "a1", "amount": float(i), "category": "rent",
+             "txn_ts": f"2026-01-{1 + i % 20:02d}T{i % 24:02d}:00:00"} for i in range(300)]
+    rows += [{"txn_id": f"c{i:03d}", "account_id": "a2", "amount": 1.0, "category": "food",
+              "txn_ts": "2026-01-03T00:00:00"} for i in range(5)]
+    _lines(f"{root}/transactions/transactions.jsonl", rows)
+    raw = load_raw(spark, root)
+    hot = run_etl(spark, raw, ParquetWriter(f"{tmp_dir}/hot"),
+                  policy=HotKeyPolicy(min_rows=50, fraction=1.0, rows_per_task=40))
+    plain = run_etl(spark, raw, ParquetWriter(f"{tmp_dir}/plain"))
+    assert hot.passed and plain.passed
+    pick = lambda p: sorted((r.txn_id, r.txn_seq_in_account)
+                            for r in spark.read.parquet(f"{p}/fact_transaction").collect())
+    assert pick(f"{tmp_dir}/hot") == pick(f"{tmp_dir}/plain")
+    assert len(pick(f"{tmp_dir}/hot")) == 305
