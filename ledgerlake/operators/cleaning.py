@@ -41,11 +41,21 @@ TXN_COLUMNS = ("txn_id", "account_id", "amount", "category", "txn_ts")
 REASONS = ("corrupt_record", "null_key", "bad_amount", "bad_txn_ts", "duplicate", "orphan")
 
 
-def survivor_order(df: DataFrame) -> list[str]:
-    """Total order for picking the survivor among copies of one txn_id."""
+def _text_typed(raw: DataFrame) -> list[str]:
+    """Columns that arrive as text and are typed by cleaning."""
+    return [c for c in ("amount", "txn_ts")
+            if isinstance(raw.schema[c].dataType, T.StringType)]
+
+
+def survivor_order(raw: DataFrame) -> list[str]:
+    """Total order for picking the survivor among copies of one txn_id:
+    typed txn_ts, amount, then category, account_id, the remaining raw
+    columns, and finally the original text of typed columns (two texts of
+    one instant, e.g. ``+02:00`` and ``Z``, must not tie)."""
     first = ["txn_ts", "amount", "category", "account_id"]
-    rest = [c for c in df.columns if c not in first and c != "txn_id" and not c.startswith("_")]
-    return [c for c in first if c in df.columns] + rest
+    rest = [c for c in raw.columns if c not in first and c != "txn_id" and not c.startswith("_")]
+    return ([c for c in first if c in raw.columns] + rest
+            + [f"_{c}_raw" for c in _text_typed(raw)])
 
 
 def tag_rows(raw: DataFrame) -> DataFrame:
@@ -64,21 +74,28 @@ def tag_rows(raw: DataFrame) -> DataFrame:
 
 
 def _valid_typed(raw: DataFrame) -> DataFrame:
-    """Rows passing checks 1–4, raw layout, amount/txn_ts typed. Written as
-    plain conjuncts (not via the reason column): the IS NOT NULL terms
+    """Rows passing checks 1–4 in the raw layout, with amount/txn_ts typed
+    and their original values kept in ``_amount_raw``/``_txn_ts_raw``.
+    The IS NOT NULL conjuncts are applied to the raw columns first, so they
     reach the Parquet scan as PushedFilters."""
-    df = raw.withColumns({"_amount": as_double(raw, "amount"),
-                          "_txn_ts": as_timestamp(raw, "txn_ts")})
     ok = [F.col(c).isNotNull() for c in REQUIRED]
     ok += [~is_missing(raw, c) for c in REQUIRED if isinstance(
         raw.schema[c].dataType, (T.DoubleType, T.FloatType))]
-    ok += [F.col("_amount").isNotNull() & ~F.isnan(F.col("_amount")),
-           F.col("_txn_ts").isNotNull()]
     if CORRUPT in raw.columns:
         ok.append(F.col(CORRUPT).isNull())
-    return (df.filter(reduce(lambda a, b: a & b, ok))
-            .withColumns({"amount": F.col("_amount"), "txn_ts": F.col("_txn_ts")})
-            .drop("_amount", "_txn_ts"))
+    df = (raw.filter(reduce(lambda a, b: a & b, ok))
+          .withColumns({"_amount_raw": F.col("amount"), "_txn_ts_raw": F.col("txn_ts")})
+          .withColumns({"amount": as_double(raw, "amount"),
+                        "txn_ts": as_timestamp(raw, "txn_ts")}))
+    return df.filter(F.col("amount").isNotNull() & ~F.isnan(F.col("amount"))
+                     & F.col("txn_ts").isNotNull())
+
+
+def _as_read(df: DataFrame, raw: DataFrame) -> DataFrame:
+    """Back to the raw layout, typed columns restored to their original
+    values."""
+    return df.withColumns({"amount": F.col("_amount_raw"),
+                           "txn_ts": F.col("_txn_ts_raw")}).select(*raw.columns)
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
@@ -117,38 +134,30 @@ def orphans_of(df: DataFrame, parent: DataFrame, key: str = "account_id",
 
 def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None, *,
                             policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Every rejected row once, with its raw columns and ``reason``."""
-    raw_cols = [c for c in raw.columns]
-    tagged = tag_rows(raw)
-    rejected = (tagged.filter(F.col("_reason").isNotNull())
-                .select(*raw_cols, F.col("_reason").alias("reason")))
-
-    valid = tagged.filter(F.col("_reason").isNull()).withColumns(
-        {"_amount_raw": F.col("amount"), "_txn_ts_raw": F.col("txn_ts")})
+    """Every rejected row once, exactly as read, with its ``reason``."""
+    rejected = (tag_rows(raw).filter(F.col("_reason").isNotNull())
+                .select(*raw.columns, F.col("_reason").alias("reason")))
+
+    valid = _valid_typed(raw)
+    order = survivor_order(raw)
     # Ids seen more than once: an aggregate of the id column alone, combined
     # map-side. Only rows of those ids are numbered; AQE turns the semi-join
     # into a broadcast when the repeated ids are few.
     repeated = (valid.groupBy("txn_id").agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > 1).select(F.col("txn_id").alias("_dup_id")))
     candidates = valid.join(repeated, valid["txn_id"] == repeated["_dup_id"], "left_semi")
-    typed = candidates.withColumns({"amount": F.col("_amount"), "txn_ts": F.col("_txn_ts")})
     # Hot ids are found on the raw id column (a cheap columnar scan); the
     # raw counts bound the candidate counts from above.
-    numbered = number_within(typed, "txn_id", survivor_order(raw), "_rn", policy=policy,
+    numbered = number_within(candidates, "txn_id", order, "_rn", policy=policy,
                              hot=hot_keys(raw, "txn_id", policy))
-    dups = (numbered.filter(F.col("_rn") > 1)
-            .withColumns({"amount": F.col("_amount_raw"), "txn_ts": F.col("_txn_ts_raw")})
-            .select(*raw_cols, F.lit("duplicate").alias("reason")))
+    dups = _as_read(numbered.filter(F.col("_rn") > 1), raw).withColumn(
+        "reason", F.lit("duplicate"))
     out = rejected.unionByName(dups)
 
     if accounts is not None:
-        kept = clean_transactions(raw)
-        orphan = orphans_of(kept, accounts)
-        # Back to the raw layout: typed values go out as they were read.
-        orphan_raw = orphan.select(*[
-            (F.col(c).cast(raw.schema[c].dataType) if c in orphan.columns
-             else F.lit(None).cast(raw.schema[c].dataType)).alias(c) for c in raw_cols])
-        out = out.unionByName(orphan_raw.withColumn("reason", F.lit("orphan")))
+        survivors = keep_first(valid, "txn_id", order)
+        orphan = _as_read(orphans_of(survivors, accounts), raw)
+        out = out.unionByName(orphan.withColumn("reason", F.lit("orphan")))
     return out
 
 

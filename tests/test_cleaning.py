@@ -155,3 +155,19 @@ def test_null_dimension_key_survives_as_one_row(spark):
     dim = dims.build_dim_customer(spark.createDataFrame(rows, CUSTOMERS))
     assert dim.count() == 1
     assert dim.filter(F.col("customer_id").isNull()).collect()[0]["full_name"] == "A"
+
+
+def test_quarantine_keeps_rows_as_read(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in TXN_COLS])
+    rows = [("t1", "a1", "5", "x", "2026-01-01T10:00:00+02:00"),   # same instant as next
+            ("t1", "a1", "5", "x", "2026-01-01T08:00:00Z"),
+            ("t2", "a9", "1.50", "x", "2026-01-02T00:00:00+00:00")]  # orphan
+    df = spark.createDataFrame(rows, schema)
+    accounts = spark.createDataFrame([("a1",)], "account_id string")
+    kept, q = cleaning.split_transactions(df, accounts)
+    got = sorted((r.txn_id, r.amount, r.txn_ts, r.reason) for r in q.collect())
+    # the survivor of t1 is the copy whose original text sorts first
+    assert got == [("t1", "5", "2026-01-01T10:00:00+02:00", "duplicate"),
+                   ("t2", "1.50", "2026-01-02T00:00:00+00:00", "orphan")]
+    assert [(r.txn_id, r.amount) for r in kept.collect()] == [("t1", 5.0)]
