@@ -50,12 +50,16 @@ class HotKeyPolicy:
     ``rows_per_task``: target rows per task when a hot key is split.
     ``max_keys``: the hottest keys kept (bounds driver memory; keys beyond
     it still get correct numbers on the plain path).
+    ``max_parts``: cap on the hot path's range partitions; Spark's range
+    partitioner collects about 100 sampled keys per partition on the
+    driver, so this bounds that sample.
     """
 
     min_rows: int = 2_000_000
     fraction: float = 0.01
     rows_per_task: int = 500_000
     max_keys: int = 100_000
+    max_parts: int = 16_384
     seed: int = 17
 
     @property
@@ -138,7 +142,7 @@ def number_within(df: DataFrame, keys, order, out: str, *,
     cold_ranked = cold_rows.withColumn(out, F.row_number().over(plain))
 
     est_rows = hot.agg(F.sum("_hot_rows")).first()[0] or 0
-    parts = max(1, min(100_000, math.ceil(est_rows / policy.rows_per_task)))
+    parts = max(1, min(policy.max_parts, math.ceil(est_rows / policy.rows_per_task)))
     key_order = [F.col(k).asc_nulls_first() for k in keys] + ordering
     # Placement is materialised once (reliable checkpoint in the shared
     # checkpoint folder): the range bounds come from a sample whose row
