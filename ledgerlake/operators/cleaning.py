@@ -179,3 +179,17 @@ def clean_summary(raw: DataFrame, accounts: DataFrame | None = None, *,
     lines = (kept.select(F.lit("kept").alias("outcome"))
              .unionByName(quarantine.select(F.col("reason").alias("outcome"))))
     return lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def removal_report(summary: DataFrame) -> DataFrame:
+    """Before / after / removed, in the shape of the original dirty-data
+    run: cleaning (nulls, bad values, duplicates) does not remove orphans,
+    so ``clean_rows`` counts them; ``orphan_rows`` shows how many the
+    referential step would still reject. Computed from ``clean_summary``
+    (one tiny aggregate)."""
+    n = lambda o: F.sum(F.when(F.col("outcome") == o, F.col("row_count")).otherwise(0))
+    return summary.agg(
+        F.sum("row_count").alias("raw_rows"),
+        (n("kept") + n("orphan")).alias("clean_rows"),
+        (F.sum("row_count") - n("kept") - n("orphan")).alias("removed_rows"),
+        n("orphan").alias("orphan_rows"))

@@ -127,6 +127,10 @@ def q_clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   tables.accounts(spark, sf_dir))
 
 
+def q_removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.removal_report(q_clean_summary(spark, sf_dir))
+
+
 def q_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without a label row (anti-join, NULL keys count)."""
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
@@ -364,6 +368,13 @@ _QUARANTINE = f"""
 _CLEAN_SUMMARY = f"""
   SELECT outcome, count(*) AS row_count FROM ({_OUTCOME}) x GROUP BY outcome"""
 
+_REMOVAL_REPORT = f"""
+  SELECT count(*) AS raw_rows,
+         count(*) FILTER (WHERE outcome IN ('kept', 'orphan')) AS clean_rows,
+         count(*) FILTER (WHERE outcome NOT IN ('kept', 'orphan')) AS removed_rows,
+         count(*) FILTER (WHERE outcome = 'orphan') AS orphan_rows
+  FROM ({_OUTCOME}) x"""
+
 _ORPHAN_ROWS = """
   SELECT doc_id, lang, source, n_chars FROM documents d
   WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
@@ -438,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "quarantine": q_quarantine,
     "clean_summary": q_clean_summary,
     "orphan_rows": q_orphan_rows,
+    "removal_report": q_removal_report,
     "curated_date_slice": q_curated_date_slice,
     "star_spend_by_segment": q_star_spend_by_segment,
     "category_totals_batch": q_category_totals_batch,
@@ -463,6 +475,7 @@ ORACLES: dict[str, str] = {
     "quarantine": _QUARANTINE,
     "clean_summary": _CLEAN_SUMMARY,
     "orphan_rows": _ORPHAN_ROWS,
+    "removal_report": _REMOVAL_REPORT,
     "curated_date_slice": _CURATED_SLICE,
     "star_spend_by_segment": _STAR_SPEND,
     "category_totals_batch": _CATEGORY_TOTALS,

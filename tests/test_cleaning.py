@@ -77,6 +77,9 @@ def test_dirty_split(spark):
     summary = {r.outcome: r.row_count for r in
                cleaning.clean_summary(raw, _accounts(spark)).collect()}
     assert summary == {"kept": 4, "duplicate": 1, "null_key": 1, "orphan": 1, "bad_txn_ts": 1}
+    report = cleaning.removal_report(cleaning.clean_summary(raw, _accounts(spark))).collect()[0]
+    assert (report.raw_rows, report.clean_rows, report.removed_rows, report.orphan_rows) == (
+        8, 5, 3, 1)
 
 
 def test_valid_copy_wins_over_bad_copy(spark):
