@@ -127,6 +127,13 @@ def q_clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   tables.accounts(spark, sf_dir))
 
 
+def q_dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty-data audit's rule report (cleaned, not orphan-filtered
+    transactions against the account dimension)."""
+    from ledgerlake.plans.etl import audit_transactions
+    return audit_transactions(tables.transactions(spark, sf_dir), tables.accounts(spark, sf_dir))[1]
+
+
 def q_removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.removal_report(q_clean_summary(spark, sf_dir))
 
@@ -368,6 +375,12 @@ _QUARANTINE = f"""
 _CLEAN_SUMMARY = f"""
   SELECT outcome, count(*) AS row_count FROM ({_OUTCOME}) x GROUP BY outcome"""
 
+def _sql_audit() -> str:
+    from ledgerlake.plans.etl import AUDIT_RULES
+    return _sql_rules(AUDIT_RULES, {"fact_transaction": f"({_CLEAN})",
+                                    "dim_account": f"({_DIM_ACCOUNT})"})
+
+
 _REMOVAL_REPORT = f"""
   SELECT count(*) AS raw_rows,
          count(*) FILTER (WHERE outcome IN ('kept', 'orphan')) AS clean_rows,
@@ -450,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "clean_summary": q_clean_summary,
     "orphan_rows": q_orphan_rows,
     "removal_report": q_removal_report,
+    "dq_audit": q_dq_audit,
     "curated_date_slice": q_curated_date_slice,
     "star_spend_by_segment": q_star_spend_by_segment,
     "category_totals_batch": q_category_totals_batch,
@@ -476,6 +490,7 @@ ORACLES: dict[str, str] = {
     "clean_summary": _CLEAN_SUMMARY,
     "orphan_rows": _ORPHAN_ROWS,
     "removal_report": _REMOVAL_REPORT,
+    "dq_audit": _sql_audit(),
     "curated_date_slice": _CURATED_SLICE,
     "star_spend_by_segment": _STAR_SPEND,
     "category_totals_batch": _CATEGORY_TOTALS,
