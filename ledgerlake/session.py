@@ -27,6 +27,12 @@ BASE_CONF = {
     # large partitions are far above this size).
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Stream state off the JVM heap (windows, watermark dedupe grow with the
+    # number of keys); changelog checkpointing uploads only the changes of
+    # each micro-batch.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
