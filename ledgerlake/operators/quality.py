@@ -242,6 +242,10 @@ def failures(report: DataFrame) -> list:
 
 
 def message(row) -> str:
+    """Error text of a failed rule.
+
+    Fixed values: these texts are worded as the original checks raise them,
+    so callers that match on the message keep working."""
     if row["rule"] == "not_null":
         return f"[{row['table_name']}] column '{row['column_name']}' has {row['violations']} null values"
     if row["rule"] == "unique":
