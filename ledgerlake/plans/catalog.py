@@ -134,6 +134,18 @@ def q_dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_transactions(tables.transactions(spark, sf_dir), tables.accounts(spark, sf_dir))[1]
 
 
+def q_etl_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole gated ETL job over the driver tables: build the star,
+    checkpoint it, gate it, publish every table (Parquet, fact partitioned
+    by txn_date) below the shared scratch root; returns the gate's report."""
+    from ledgerlake.plans.etl import run_etl
+    raw = {"customers": tables.customers(spark, sf_dir),
+           "accounts": tables.accounts(spark, sf_dir),
+           "transactions": tables.transactions(spark, sf_dir)}
+    result = run_etl(spark, raw, ParquetWriter(scratch_path(spark, "etl")))
+    return result.report
+
+
 def q_removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.removal_report(q_clean_summary(spark, sf_dir))
 
@@ -464,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "orphan_rows": q_orphan_rows,
     "removal_report": q_removal_report,
     "dq_audit": q_dq_audit,
+    "etl_gate_report": q_etl_gate_report,
     "curated_date_slice": q_curated_date_slice,
     "star_spend_by_segment": q_star_spend_by_segment,
     "category_totals_batch": q_category_totals_batch,
@@ -491,6 +504,9 @@ ORACLES: dict[str, str] = {
     "orphan_rows": _ORPHAN_ROWS,
     "removal_report": _REMOVAL_REPORT,
     "dq_audit": _sql_audit(),
+    "etl_gate_report": _sql_rules(
+        [r for r in quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS
+         if r.table in _STAR_TABLES], _STAR_TABLES),
     "curated_date_slice": _CURATED_SLICE,
     "star_spend_by_segment": _STAR_SPEND,
     "category_totals_batch": _CATEGORY_TOTALS,
