@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import cleaning, dims, quality, sequence
-from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
 from ledgerlake.functions.columns import encode_envelope
-from ledgerlake.operators import star
+from ledgerlake.operators import cleaning, dims, quality, sequence, star
+from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
+from ledgerlake.operators.ranking import hot_keys
+from ledgerlake.plans.etl import AUDIT_RULES, audit_transactions, run_etl
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.writers import ParquetWriter
 from ledgerlake.sources import curated, tables
@@ -34,7 +35,6 @@ def q_fact_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.clean_transactions(raw)
     # Hot accounts are looked up on the raw account column (cheap scan);
     # raw counts bound the cleaned counts from above.
-    from ledgerlake.operators.ranking import hot_keys
     return sequence.build_fact_transaction(clean, hot=hot_keys(raw, "account_id"))
 
 
@@ -130,7 +130,6 @@ def q_clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty-data audit's rule report (cleaned, not orphan-filtered
     transactions against the account dimension)."""
-    from ledgerlake.plans.etl import audit_transactions
     return audit_transactions(tables.transactions(spark, sf_dir), tables.accounts(spark, sf_dir))[1]
 
 
@@ -138,7 +137,6 @@ def q_etl_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole gated ETL job over the driver tables: build the star,
     checkpoint it, gate it, publish every table (Parquet, fact partitioned
     by txn_date) below the shared scratch root; returns the gate's report."""
-    from ledgerlake.plans.etl import run_etl
     raw = {"customers": tables.customers(spark, sf_dir),
            "accounts": tables.accounts(spark, sf_dir),
            "transactions": tables.transactions(spark, sf_dir)}
@@ -388,7 +386,6 @@ _CLEAN_SUMMARY = f"""
   SELECT outcome, count(*) AS row_count FROM ({_OUTCOME}) x GROUP BY outcome"""
 
 def _sql_audit() -> str:
-    from ledgerlake.plans.etl import AUDIT_RULES
     return _sql_rules(AUDIT_RULES, {"fact_transaction": f"({_CLEAN})",
                                     "dim_account": f"({_DIM_ACCOUNT})"})
 
