@@ -74,34 +74,45 @@ def tag_rows(raw: DataFrame) -> DataFrame:
 
 
 def _valid_typed(raw: DataFrame) -> DataFrame:
-    """Rows passing checks 1–4 in the raw layout, with amount/txn_ts typed
-    and their original values kept in ``_amount_raw``/``_txn_ts_raw``.
-    The IS NOT NULL conjuncts are applied to the raw columns first, so they
-    reach the Parquet scan as PushedFilters."""
+    """Rows passing checks 1–4 in the raw layout, with amount/txn_ts typed.
+    Columns that arrive as text keep their original value in
+    ``_amount_raw``/``_txn_ts_raw`` (for the quarantine and as the last
+    survivor tie-breaker); typed input needs no copy. The IS NOT NULL
+    conjuncts are applied to the raw columns first, so they reach the
+    Parquet scan as PushedFilters."""
     ok = [F.col(c).isNotNull() for c in REQUIRED]
     ok += [~is_missing(raw, c) for c in REQUIRED if isinstance(
         raw.schema[c].dataType, (T.DoubleType, T.FloatType))]
     if CORRUPT in raw.columns:
         ok.append(F.col(CORRUPT).isNull())
-    df = (raw.filter(reduce(lambda a, b: a & b, ok))
-          .withColumns({"_amount_raw": F.col("amount"), "_txn_ts_raw": F.col("txn_ts")})
-          .withColumns({"amount": as_double(raw, "amount"),
-                        "txn_ts": as_timestamp(raw, "txn_ts")}))
+    df = raw.filter(reduce(lambda a, b: a & b, ok))
+    text = _text_typed(raw)
+    if text:
+        df = df.withColumns({f"_{c}_raw": F.col(c) for c in text})
+    df = df.withColumns({"amount": as_double(raw, "amount"),
+                         "txn_ts": as_timestamp(raw, "txn_ts")})
     return df.filter(F.col("amount").isNotNull() & ~F.isnan(F.col("amount"))
                      & F.col("txn_ts").isNotNull())
 
 
 def _as_read(df: DataFrame, raw: DataFrame) -> DataFrame:
     """Back to the raw layout, typed columns restored to their original
-    values."""
-    return df.withColumns({"amount": F.col("_amount_raw"),
-                           "txn_ts": F.col("_txn_ts_raw")}).select(*raw.columns)
+    values (text columns from their copies; typed input is unchanged)."""
+    text = _text_typed(raw)
+    return df.withColumns({c: F.col(f"_{c}_raw") for c in text}).select(*raw.columns)
+
+
+def _survivors(raw: DataFrame) -> DataFrame:
+    """One valid row per txn_id, raw layout (typed amount/txn_ts). Both the
+    kept path and the orphan quarantine derive from this same plan, so a
+    query holding both can reuse its shuffle."""
+    return keep_first(_valid_typed(raw), "txn_id", survivor_order(raw))
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Drop null/bad rows, keep one row per txn_id (deterministic), type
     amount and txn_ts, derive txn_date. Orphans are not removed here."""
-    first = keep_first(_valid_typed(raw), "txn_id", survivor_order(raw))
+    first = _survivors(raw)
     out = first.withColumn("txn_date", as_date(first, "txn_ts"))
     return out.select(*TXN_COLUMNS, "txn_date")
 
@@ -155,8 +166,7 @@ def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None, *
     out = rejected.unionByName(dups)
 
     if accounts is not None:
-        survivors = keep_first(valid, "txn_id", order)
-        orphan = _as_read(orphans_of(survivors, accounts), raw)
+        orphan = _as_read(orphans_of(_survivors(raw), accounts), raw)
         out = out.unionByName(orphan.withColumn("reason", F.lit("orphan")))
     return out
 
