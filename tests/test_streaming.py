@@ -179,3 +179,18 @@ def test_ledger_compaction(spark, tmp_dir):
     assert got == {"rent": (6.0, 3, 2), "dining": (-2.5, 1, 1)}
     summary = sorted((r.records, r.categories) for r in ledger.batch_summary(spark).collect())
     assert summary == [(1, 1), (3, 2)]
+
+
+def test_processing_time_trigger(spark, tmp_dir):
+    """Live mode: a processing-time trigger, drained with
+    processAllAvailable, then stopped; same ledger as availableNow."""
+    src = f"{tmp_dir}/in"
+    fixture_stream(spark, src)
+    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger")
+    stream = parse.decode_events(parse.read_envelopes(spark, src, max_files_per_trigger=1))
+    q = ledger.start(stream, f"{tmp_dir}/ck", trigger="1 second", name="ledger_live_test")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert view(ledger, spark) == {"rent": (6.0, 3, 2), "dining": (-2.5, 1, 1)}
