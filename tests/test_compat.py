@@ -46,3 +46,28 @@ def test_aggregate_batch(spark):
                                "category string, amount double")
     got = {r.category: (r.total, r.n, r["count"]) for r in compat.aggregate_batch(ev).collect()}
     assert got == {"rent": (2.0, 2, 1), "dining": (-2.5, 1, 1)}
+
+
+def test_compat_writers_and_tuple_load(spark, tmp_dir):
+    import json
+    import os
+    root = f"{tmp_dir}/raw"
+    for entity, rows in {
+        "customers": [{"customer_id": "c1", "full_name": "A", "segment": "retail",
+                       "onboarded_date": "2020-01-01", "country": "US"}],
+        "accounts": [{"account_id": "a1", "customer_id": "c1", "account_type": "checking",
+                      "balance": 1.0}],
+        "transactions": [{"txn_id": "t1", "account_id": "a1", "amount": 2.0,
+                          "category": "rent", "txn_ts": "2026-01-01T00:00:00"}],
+        "deposits": [], "loans": []}.items():
+        os.makedirs(f"{root}/{entity}")
+        with open(f"{root}/{entity}/{entity}.jsonl", "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+    customers, accounts, transactions, deposits, loans = compat.load_raw(spark, root)
+    fact = compat.build_fact_transaction(compat.clean_transactions(transactions))
+    path = compat.write_iceberg(fact, "fact_transaction", f"{tmp_dir}/out", partition_col="txn_date")
+    assert spark.read.parquet(path).count() == 1
+    name = compat.write_iceberg_table(compat.build_dim_account(accounts), "dim_account",
+                                      database="compat_test")
+    assert spark.table(name).count() == 1
+    assert deposits.count() == 0 and loans.count() == 0 and customers.count() == 1
