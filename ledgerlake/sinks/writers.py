@@ -112,6 +112,7 @@ def register_location(spark: SparkSession, table: str, location: str, *,
                       fmt: str = "parquet", partitioned: bool = False) -> None:
     """Register files that already exist as a catalog table (schema read
     from the files) and discover their partitions."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{location}'")
+    loc = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{loc}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {table}")
