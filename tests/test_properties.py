@@ -60,3 +60,34 @@ def test_split_conserves_rows_and_matches_brute_force(spark, data):
     assert len(fact) + len(q) == len(data)
     assert len({r.txn_id for r in fact}) == len(fact)
     assert {(r.txn_id, r.account_id, r.amount, r.txn_seq_in_account) for r in fact} == brute(data)
+
+
+keys = st.sampled_from(["k1", "k2", "k3", None])
+values = st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 0.5, 1.0, 2.0, float("nan")]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(keys, values, keys), min_size=0, max_size=20),
+       st.lists(keys, min_size=0, max_size=5))
+def test_rules_match_brute_force(spark, rows, parent_keys):
+    from ledgerlake.operators import quality
+    from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
+    child = spark.createDataFrame(rows, "k string, v double, fk string")
+    parent = spark.createDataFrame([(p,) for p in parent_keys], "pk string")
+    rules = TableRules("t", not_null=("k", "v"), unique=("k",),
+                       foreign_keys=(ForeignKey("fk", "p", "pk"),),
+                       ranges=(ValueRange("v", 0, 1),))
+    got = {(r.rule, r.column_name): r.violations
+           for r in quality.run_rules({"t": child, "p": parent}, [rules]).collect()}
+    nan = lambda x: x is not None and x != x
+    distinct_k = len({r[0] for r in rows})          # NULL counts as one value
+    present = {p for p in parent_keys if p is not None}
+    want = {
+        ("not_null", "k"): sum(r[0] is None for r in rows),
+        ("not_null", "v"): sum(r[1] is None for r in rows),   # NaN is a value
+        ("unique", "k"): len(rows) - distinct_k,
+        ("referential", "fk"): sum(r[2] is None or r[2] not in present for r in rows),
+        ("range", "v"): sum(r[1] is not None and (nan(r[1]) or r[1] < 0 or r[1] > 1)
+                            for r in rows),
+    }
+    assert got == want
