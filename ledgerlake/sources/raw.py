@@ -9,17 +9,17 @@ from ledgerlake.schemas import CORRUPT, RAW, with_corrupt_column
 ENTITIES = tuple(RAW)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema, *, keep_corrupt: bool = True,
-                    max_partition_bytes: str | None = None) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema, *,
+                    keep_corrupt: bool = True) -> DataFrame:
     """Typed read. A field absent from the file is NULL; an empty file is an
     empty typed DataFrame; a line that does not parse keeps its text in
-    ``_corrupt_record`` (all other fields NULL)."""
+    ``_corrupt_record`` (all other fields NULL). JSON lines are splittable
+    (uncompressed or splittable codecs), so input splits follow
+    ``spark.sql.files.maxPartitionBytes``."""
     reader = spark.read.option("mode", "PERMISSIVE")
     if keep_corrupt:
         schema = with_corrupt_column(schema)
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    if max_partition_bytes:
-        reader = reader.option("maxPartitionBytes", max_partition_bytes)
     return reader.schema(schema).json(path)
 
 
