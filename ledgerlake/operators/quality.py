@@ -34,8 +34,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.columns import out_of_range
-
 REPORT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("rule", T.StringType(), False),
@@ -114,13 +112,6 @@ def _row(table, rule, column, detail, violations, total) -> F.Column:
                     v.alias("violations"), t.alias("total"), (v == 0).alias("passed"))
 
 
-def _distinct_with_null(c: str) -> F.Column:
-    """count(DISTINCT c) ignores NULL; the original check counted a NULL
-    as one more distinct value."""
-    return F.count_distinct(F.col(c)) + F.coalesce(
-        F.max(F.col(c).isNull().cast("int")), F.lit(0))
-
-
 def _flag_parents(df: DataFrame, fks, parents: dict[str, DataFrame]) -> DataFrame:
     """Left-join ``df`` to the distinct keys of each parent, adding a match
     flag ``_hit{i}`` per foreign key. Parent keys are distinct, so the row
