@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import chat, quality_rules, sharding
+from ledgerlake.llm import chat, packing, quality_rules, sharding, wavelet
 
 QUERIES = {
+    "op6_token_shards": wavelet.op6_token_shards,
     "op7_format_chats": chat.op7_format_chats,
     "op8_shard_documents": sharding.op8_shard_documents,
+    "op9_pack_documents": packing.op9_pack_documents,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
