@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import chat, packing, quality_rules, sharding, substring, wavelet
+from ledgerlake.llm import chat, jaccard, packing, quality_rules, sharding, substring, wavelet
 
 QUERIES = {
     "op3_substring_dedup": substring.op3_substring_dedup,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_token_shards": wavelet.op6_token_shards,
     "op7_format_chats": chat.op7_format_chats,
     "op8_shard_documents": sharding.op8_shard_documents,

@@ -9,6 +9,7 @@ whole chain. The ids equal those of the whole text (tests compare them).
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import sys
@@ -19,7 +20,7 @@ import numpy as np
 import regex
 
 # A worker forgets its pieces and starts again beyond this many.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_000_000
 
 # The tokenizers' own word patterns (fixed values).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -28,40 +29,28 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 # Latin letters and printable signs, without the one letter that becomes
 # two in lower case.
 _LATIN = "!-~¡-įı-ſ"
-_AFTER_BLANK = re.compile(r"\s ")
+_PLAIN = re.compile(f"[{_LATIN}]+")
+_PLAIN_SPACED = re.compile(f"[ \n{_LATIN}]+")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
-def _byte_letters() -> list[str]:
+def _byte_letters() -> str:
     """Byte-level BPE writes a byte as a letter: printable Latin-1 bytes as
     themselves, the rest as the letters from U+0100 on, in order."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
+    return "".join(chr(b) if b in printable else chr(next(rest)) for b in range(256))
 
 
-_LETTERS = str.maketrans({chr(b): c for b, c in enumerate(_byte_letters())})
+_LETTERS = _byte_letters()
 
 
 def _as_letters(word: str) -> str:
-    if word.isascii() and word.isalnum():
-        return word
-    return word.encode().decode("latin-1").translate(_LETTERS)
+    return codecs.charmap_decode(word.encode(), "strict", _LETTERS)[0]
 
 
-def blank_pieces(text: str) -> list[bytes]:
-    """For tokenizers that drop white space: the words between ASCII blanks
-    (``bytes.split`` cuts at these alone)."""
-    return text.encode().split()
-
-
-def space_pieces(text: str) -> list[str]:
-    """For byte-level tokenizers whose words start with their space: cut
-    before a space that follows a character other than white space."""
-    if _AFTER_BLANK.search(text) or text[:1] == " ":
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]]
+class _Blank(Exception):
+    """A text has white space before a space: its cut takes more care."""
 
 
 class _Ids(dict):
@@ -79,7 +68,8 @@ class _Ids(dict):
 
 
 class PieceEncoder:
-    """Ids (16 or 32 bits each, little-endian bytes) of whole texts."""
+    """Ids (16 or 32 bits each, little-endian bytes) of whole texts. This
+    class knows no cut and encodes whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -88,20 +78,13 @@ class PieceEncoder:
         self._model = self._tokenizer.model
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
-        kind = os.path.basename(path)
-        # A tokenizer without a known cut encodes whole texts.
-        self._cut = {"word_bpe_49k.json": blank_pieces,
-                     "byte_bpe_50k.json": space_pieces}.get(kind, lambda text: [text])
-        if kind == "word_bpe_49k.json":
-            self._plain, self._lower = re.compile(f"[{_LATIN}]+"), True
-            self._words = regex.compile(WORD_PATTERN)
-        elif kind == "byte_bpe_50k.json":
-            self._plain, self._lower = re.compile(f"[ \n{_LATIN}]+"), False
-            self._words = regex.compile(BYTE_PATTERN)
-        else:
-            self._plain = None
-        self._word_ids = _Ids(self._model_ids)
-        self._piece_ids = _Ids(self._ids)
+
+    def encode(self, text: str | None) -> bytes:
+        """A null text has no ids."""
+        return self._whole(text or "")
+
+    def _whole(self, piece: str) -> bytes:
+        return self._bytes(self._tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def _model_ids(self, word: str) -> bytes:
         return self._bytes([t.id for t in self._model.tokenize(_as_letters(word))])
@@ -112,20 +95,81 @@ class PieceEncoder:
             out.byteswap()
         return out.tobytes()
 
-    def _ids(self, piece: str | bytes) -> bytes:
-        if not piece:
-            return b""
-        if isinstance(piece, bytes):
-            piece = piece.decode()
+
+class BlankEncoder(PieceEncoder):
+    """For a tokenizer that drops white space and lowers letters: pieces
+    are the words between ASCII blanks (``bytes.split`` cuts at these)."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self._words = regex.compile(WORD_PATTERN)
+        self._ids = _Ids(self._learn)
+
+    def _learn(self, piece: bytes) -> bytes:
+        if piece.isalpha() and piece.islower():  # ASCII letters
+            return self._bytes([t.id for t in self._model.tokenize(piece.decode())])
+        text = piece.decode()
         # "<|" may open a special token's name.
-        if self._plain is None or "<|" in piece or not self._plain.fullmatch(piece):
-            return self._bytes(self._tokenizer.encode(piece, add_special_tokens=False).ids)
-        words = self._words.findall(piece.lower() if self._lower else piece)
-        return b"".join(map(self._word_ids.__getitem__, words))
+        if "<|" in text or not _PLAIN.fullmatch(text):
+            return self._whole(text)
+        lower = text.lower()
+        words = [lower] if lower.isalpha() else self._words.findall(lower)
+        if words == [text]:
+            return self._model_ids(text)
+        return b"".join([self._ids[w.encode()] if w != text else self._model_ids(w)
+                         for w in words])
 
     def encode(self, text: str | None) -> bytes:
-        """A null text has no ids."""
-        return b"".join(map(self._piece_ids.__getitem__, self._cut(text or "")))
+        return b"".join(map(self._ids.__getitem__, (text or "").encode().split()))
+
+
+class SpaceEncoder(PieceEncoder):
+    """For a byte-level tokenizer whose words start with their space: cut
+    before a space that follows a character other than white space. The
+    pieces after a cut are remembered without their space."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self._words = regex.compile(BYTE_PATTERN)
+        self._spaced = _Ids(lambda piece: self._learn(" " + piece, piece))
+        self._bare = _Ids(lambda piece: self._learn(piece, piece))
+
+    def _learn(self, piece: str, word: str) -> bytes:
+        if word.isalpha():
+            if word.isascii() or _PLAIN.fullmatch(word):
+                return self._model_ids(piece)
+        elif not word or word[-1].isspace():
+            raise _Blank
+        return self._piece(piece)
+
+    def _piece(self, piece: str) -> bytes:
+        if "<|" in piece or not _PLAIN_SPACED.fullmatch(piece):
+            return self._whole(piece)
+        words = self._words.findall(piece)
+        if len(words) == 1:
+            return self._model_ids(piece)
+        out = []
+        for w in words:
+            if w.isspace():
+                out.append(self._model_ids(w))
+            else:
+                out.append(self._spaced[w[1:]] if w[0] == " " else self._bare[w])
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        first, *rest = text.split(" ")
+        try:
+            return self._bare[first] + b"".join(map(self._spaced.__getitem__, rest))
+        except _Blank:
+            return b"".join([self._spaced[p[1:]] if p[0] == " " and not p[-1].isspace()
+                             and not p[1].isspace() else self._piece(p)
+                             for p in _CUT.split(text)])
+
+
+# Tokenizer files whose cuts are known.
+KINDS = {"word_bpe_49k.json": BlankEncoder, "byte_bpe_50k.json": SpaceEncoder}
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -134,7 +178,7 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a tokenizer file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
+        _ENCODERS[path] = KINDS.get(os.path.basename(path), PieceEncoder)(path)
     return _ENCODERS[path]
 
 
