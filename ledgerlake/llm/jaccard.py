@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import broadcast_bitmap, in_bitmap
-from ledgerlake.llm.common import batch, documents, mix, shingle_set, signed, staged
+from ledgerlake.llm.common import batch, documents, mix, shingle_sets, signed, staged
 from ledgerlake.llm.components import components
 
 SHINGLE = 5
@@ -52,10 +52,9 @@ STARS = 2
 
 def set_id(shingles: np.ndarray) -> int:
     """64-bit id of a set (signed): equal sets have equal ids."""
-    with np.errstate(over="ignore"):
-        total = np.add.reduce(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)))
-        both = np.array([np.bitwise_xor.reduce(mix(shingles)) + np.uint64(len(shingles))])
-        return int(signed(mix(both * np.uint64(0x9E3779B97F4A7C15) + total))[0])
+    size = np.array([len(shingles)], np.uint64)
+    total, other = np.add.reduce(shingles), np.bitwise_xor.reduce(shingles)
+    return int(signed(mix(mix(size + total) + other))[0])
 
 
 _PROFILE = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("c", pa.int64()),
@@ -70,15 +69,16 @@ def _profile(shingle: int):
         held, size = [], 0
 
         def frequent() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            every = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            values, counts = every[first], np.diff(np.append(first, len(every)))
             keep = counts >= max(LEAST_HOT, HOT * size)
             none = [None] * int(keep.sum())
             return batch(_PROFILE, none, none, none, signed(values[keep]), counts[keep])
 
         for b in batches:
             keys, sizes, classes = b.column(0).to_pylist(), [], []
-            for t in b.column(1):
-                s = shingle_set(t.as_py(), shingle)
+            for s in shingle_sets(b.column(1).to_pylist(), shingle):
                 sizes.append(len(s))
                 classes.append(set_id(s) if len(s) else None)
                 if len(s):
@@ -127,8 +127,7 @@ def _postings(order: Broadcast, shingle: int, percent: int, bitmap: Broadcast |
         seen: set[int] = set()  # classes this task has sent, bounded
         held, n = [], 0
         for b in batches:
-            for t in b.column(0):
-                s = shingle_set(t.as_py(), shingle)
+            for s in shingle_sets(b.column(0).to_pylist(), shingle):
                 if not len(s):
                     continue
                 c = set_id(s)
@@ -168,8 +167,7 @@ def _sets(wanted: Broadcast, shingle: int):
         seen: set[int] = set()
         for b in batches:
             cs, sets, size = [], [], 0
-            for t in b.column(0):
-                s = shingle_set(t.as_py(), shingle)
+            for s in shingle_sets(b.column(0).to_pylist(), shingle):
                 if not len(s):
                     continue
                 c = set_id(s)

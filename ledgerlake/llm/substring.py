@@ -30,71 +30,41 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import (batch, documents, mix, signed, staged, text_words,
-                                   word_hashes)
+from ledgerlake.llm.common import (BASES, Ranges, batch, distinct, documents, grouped_words, mix, signed,
+                                   staged, text_words, word_hashes)
 
 WINDOW = 50
 # A null id sorts behind all others.
 LAST = (1 << 63) - 1
 
-_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-
-
-class Ranges:
-    """Hashes of word ranges of one text in constant time each: prefix sums
-    of word hash times a power of an odd base, modulo 2^64."""
-
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def __init__(self, words: np.ndarray, base: int):
-        self._up, self._down = self._table(base, len(words) + 1)
-        with np.errstate(over="ignore"):
-            self._sums = np.zeros(len(words) + 1, np.uint64)
-            np.cumsum(mix(words ^ np.uint64(base)) * self._up[:len(words)], out=self._sums[1:])
-
-    @classmethod
-    def _table(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        have = cls._powers.get(base)
-        if have is None or len(have[0]) < n:
-            size = max(4096, 1 << (n - 1).bit_length())
-            have = tuple(
-                np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(
-                    np.full(size - 1, b, np.uint64))])
-                for b in (base, pow(base, -1, 1 << 64)))
-            cls._powers[base] = have
-        return have
-
-    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            raw = (self._sums[end] - self._sums[start]) * self._down[start]
-            return mix(raw + (end - start).astype(np.uint64))
-
-
-def runs_of(text: str | None, length: int):
-    """start, count, anchor, left, right, run of every run of full windows."""
-    words = text_words(text)
-    if len(words) < length:
-        return None
-    return _runs(word_hashes(words), length)
-
-
-def _runs(words: np.ndarray, length: int):
+def runs_of(words: np.ndarray, bounds: np.ndarray, length: int):
+    """text, start, count, anchor, left, right, run of every run of full
+    windows in a group of texts (see ``grouped_words``)."""
     short = -(-length // 4)
     n = len(words)
-    h = Ranges(words, _BASES[0])
-    at = np.arange(n - short + 1)
-    grams = h(at, at + short)
-    windows = n - length + 1
-    anchors = sliding_window_view(grams, length - short + 1).argmin(axis=1) + np.arange(windows)
-    start = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-    count = np.diff(np.append(start, windows))
-    p = anchors[start]
+    if n < length:
+        return None
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at = np.flatnonzero(text[:n - length + 1] == text[length - 1:])
+    if not len(at):
+        return None
+    h = Ranges(words, BASES[0])
+    grams = np.arange(n - short + 1)
+    grams = h(grams, grams + short)
+    smallest = sliding_window_view(grams, length - short + 1).argmin(axis=1)
+    anchors = (smallest + np.arange(n - length + 1))[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (anchors[1:] != anchors[:-1]) | (text[at[1:]] != text[at[:-1]])
+    first = np.flatnonzero(new)
+    start, p = at[first], anchors[first]
+    count = np.diff(np.append(first, len(at)))
+    lo, hi = bounds[text[start]], bounds[text[start] + 1]
     # The run's own hash also stands in for an extension beyond the text.
-    run = mix(Ranges(words, _BASES[1])(start, start + count + (length - 1))
+    run = mix(Ranges(words, BASES[1])(start, start + count + (length - 1))
               + (p - start).astype(np.uint64))
-    left = np.where(p >= short, h(np.maximum(p - short, 0), p + short), run)
-    right = np.where(p + 2 * short <= n, h(p, np.minimum(p + 2 * short, n)), run)
-    return start, count, grams[p], left, right, run
+    left = np.where(p - short >= lo, h(np.maximum(p - short, 0), p + short), run)
+    right = np.where(p + 2 * short <= hi, h(p, np.minimum(p + 2 * short, n)), run)
+    return text[start], start - lo, count, grams[p], left, right, run
 
 
 _RUNS = pa.schema([("k", pa.int64()), ("row", pa.int64()), ("start", pa.int32()),
@@ -130,13 +100,16 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                got = runs_of(t.as_py(), length)
+            keys, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+            done = 0
+            for words, bounds in grouped_words(b.column(2).to_pylist()):
+                got = runs_of(words, bounds, length)
                 if got is not None:
-                    start, count, *hashes = got
-                    yield batch(_RUNS, np.full(len(start), k), np.full(len(start), row),
+                    text, start, count, *hashes = got
+                    yield batch(_RUNS, keys[done + text], rows[done + text],
                                 start.astype(np.int32), count.astype(np.int32),
                                 *map(signed, hashes))
+                done += len(bounds) - 1
 
     # Level 1. The tables of repeated values are staged so that the joins
     # read two plain exchanges, which Spark can split at a hot value.
@@ -170,12 +143,12 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k, row, t, asked_runs in zip(*(c.to_pylist() for c in b.columns)):
-                words = word_hashes(text_words(t))
-                at = np.unique(np.concatenate(
+                words = word_hashes(t)
+                at = distinct(np.concatenate(
                     [np.arange(r["start"], r["start"] + r["count"]) for r in asked_runs]))
                 yield batch(_WINDOWS, np.full(len(at), k), np.full(len(at), row),
                             at.astype(np.int32),
-                            *(signed(Ranges(words, base)(at, at + length)) for base in _BASES))
+                            *(signed(Ranges(words, base)(at, at + length)) for base in BASES))
 
     full = staged(texts.select("row", "text").join(asked, "row")
                   .select("k", "row", "text", "runs")
