@@ -109,20 +109,22 @@ STRETCH = 1 << 18
 def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
     """64-bit hash of every word, in order; ``lower`` folds A-Z first."""
     raw = (text or "").encode()
-    return _long_text(raw.lower() if lower else raw)
+    return hashed_words(raw.lower() if lower else raw)[0]
 
 
-def _long_text(raw: bytes) -> np.ndarray:
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of an encoded text."""
     if len(raw) <= STRETCH:
-        return _stretch(raw)[0]
+        return _stretch(raw)
     raw, parts, at = raw.translate(_TO_SPACE), [], 0
     while at < len(raw):
         end = len(raw) if len(raw) - at <= STRETCH else raw.rfind(b" ", at, at + STRETCH) + 1
         if end <= 0:  # one word fills the stretch
             end = raw.find(b" ", at) + 1 or len(raw)
-        parts.append(_stretch(raw[at:end])[0])
+        words, starts = _stretch(raw[at:end])
+        parts.append((words, starts + at))
         at = end
-    return np.concatenate(parts)
+    return tuple(map(np.concatenate, zip(*parts)))
 
 
 def grouped_words(texts: list[str | None], lower: bool = False
@@ -145,7 +147,7 @@ def grouped_words(texts: list[str | None], lower: bool = False
 
 def _group(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(raws) == 1:
-        words = _long_text(raws[0])
+        words = hashed_words(raws[0])[0]
         return words, np.array([0, len(words)])
     words, starts = _stretch(b" ".join(raws))
     first = np.zeros(len(raws) + 1, np.int64)
@@ -255,12 +257,12 @@ STRETCH = 1 << 18
 def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
     """64-bit hash of every word, in order; ``lower`` folds A-Z first."""
     raw = (text or "").encode()
-    return _long_text(raw.lower() if lower else raw)
+    return hashed_words(raw.lower() if lower else raw)[0]
 
 
 def _long_text(raw: bytes) -> np.ndarray:
     if len(raw) <= STRETCH:
-        return _stretch(raw)[0]
+        return hashed_words(raw)[0]
     raw, parts, at = raw.translate(_TO_SPACE), [], 0
     while at < len(raw):
         end = len(raw) if len(raw) - at <= STRETCH else raw.rfind(b" ", at, at + STRETCH) + 1
@@ -291,7 +293,7 @@ def grouped_words(texts: list[str | None], lower: bool = False
 
 def _group(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(raws) == 1:
-        words = _long_text(raws[0])
+        words = hashed_words(raws[0])[0]
         return words, np.array([0, len(words)])
     words, starts = _stretch(b" ".join(raws))
     first = np.zeros(len(raws) + 1, np.int64)

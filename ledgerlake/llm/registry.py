@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import chat, jaccard, packing, quality_rules, sharding, substring, wavelet
+from ledgerlake.llm import (chat, decontaminate, jaccard, packing, quality_model,
+                            quality_rules, sharding, substring, wavelet)
 
 QUERIES = {
+    "op1_quality_scores": quality_model.op1_quality_scores,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_substring_dedup": substring.op3_substring_dedup,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_token_shards": wavelet.op6_token_shards,
