@@ -48,6 +48,11 @@ LEAST_HOT = 3
 COUNTED = 1 << 21
 # Stars a class is verified against in round 1.
 STARS = 2
+# Stars share at least this part of the set in the prefix; weaker pairs wait
+# for round 2.
+STAR_PERCENT = 10
+# A null key sorts behind all others.
+LAST = (1 << 63) - 1
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -57,9 +62,9 @@ def set_id(shingles: np.ndarray) -> int:
     return int(signed(mix(mix(size + total) + other))[0])
 
 
-_PROFILE = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("c", pa.int64()),
-                      ("hot", pa.int64()), ("hits", pa.int64())])
-_PROFILE_SQL = "key bigint, n bigint, c bigint, hot bigint, hits bigint"
+_PROFILE = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("n", pa.int64()),
+                      ("c", pa.int64()), ("hot", pa.int64()), ("hits", pa.int64())])
+_PROFILE_SQL = "key bigint, h bigint, n bigint, c bigint, hot bigint, hits bigint"
 
 
 def _profile(shingle: int):
@@ -74,11 +79,11 @@ def _profile(shingle: int):
             values, counts = every[first], np.diff(np.append(first, len(every)))
             keep = counts >= max(LEAST_HOT, HOT * size)
             none = [None] * int(keep.sum())
-            return batch(_PROFILE, none, none, none, signed(values[keep]), counts[keep])
+            return batch(_PROFILE, *[none] * 4, signed(values[keep]), counts[keep])
 
         for b in batches:
-            keys, sizes, classes = b.column(0).to_pylist(), [], []
-            for s in shingle_sets(b.column(1).to_pylist(), shingle):
+            sizes, classes = [], []
+            for s in shingle_sets(b.column(2).to_pylist(), shingle):
                 sizes.append(len(s))
                 classes.append(set_id(s) if len(s) else None)
                 if len(s):
@@ -87,7 +92,8 @@ def _profile(shingle: int):
                 if size >= COUNTED:
                     yield frequent()
                     held, size = [], 0
-            yield batch(_PROFILE, keys, sizes, classes, *[[None] * len(keys)] * 2)
+            yield batch(_PROFILE, b.column(0), b.column(1), sizes, classes,
+                        *[[None] * len(sizes)] * 2)
         if held:
             yield frequent()
     return run
@@ -221,23 +227,27 @@ def _sizes_fit(x: str, y: str, percent: int):
     return ((F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
-                       key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, n (set size), c (class), component (the
-    smallest key that links reach, itself included).
-
-    Texts are lower-cased in A-Z. Null or blank texts have an empty set, no
-    class and no links. A null key never names a component that has another
-    key; rows that repeat a key stand for texts of their own. Other columns
-    are not read; no rows give no rows.
-    """
-    spark = docs.sparkSession
-    sc = spark.sparkContext
-    rows = docs.select(F.col(key).cast("bigint").alias("key"),
-                       F.col(text).cast("string").alias("text"))
+def _can_reach(percent: int):
+    """Whether a pair can overlap enough. Beyond what the prefixes share
+    only the rest of one set is left: of the set whose prefix ends first."""
+    def rest(n: str, m: str):
+        return F.ceil(F.col(n) * percent / 100) - F.col(m)
+    most = F.col("shared") + F.greatest(rest("n", "m"), rest("n2", "m2"))
+    return most * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
+
+
+def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str
+            ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents: key, h (text hash), n, c), (classes: c, group) and
+    (groups: group, component, k, h): the smallest key of a group, and the
+    first of its documents by key and text hash, null keys last."""
+    sc = docs.sparkSession.sparkContext
+    body = F.col(text).cast("string")
+    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(body).alias("h"),
+                       body.alias("text"))
     texts = rows.select("text")
     profile = staged(rows.mapInArrow(_profile(shingle), _PROFILE_SQL), "jaccard-profile")
-    every = profile.where("n is not null").select("key", "n", "c")
+    every = profile.where("n is not null").select("key", "h", "n", "c")
     total = every.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = (profile.where("hot is not null").groupBy("hot").agg(F.sum("hits").alias("hits"))
            .where(F.col("hits") >= max(LEAST_HOT, HOT * total)).toArrow())
@@ -273,8 +283,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
 
     # Round 1.
     stars = (postings.where("c <> first").groupBy("c", "first")
-             .agg(F.count(F.lit(1)).alias("shared"), F.max("m").alias("m"))
-             .where("shared >= m"))
+             .agg(F.count(F.lit(1)).alias("shared"), F.max("m").alias("m"), F.max("n").alias("n"))
+             .where((F.col("shared") >= F.col("m"))
+                    & (F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)))
     best = Window.partitionBy("c").orderBy(F.desc("shared"), "first")
     stars = staged(stars.withColumn("place", F.row_number().over(best)).where(f"place <= {STARS}")
                    .select(F.col("c").alias("a"), F.col("first").alias("b")), "jaccard-stars")
@@ -292,26 +303,59 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     pairs = (left.join(right, (F.col("token") == F.col("token2")) & (F.col("c") < F.col("c2"))
                        & (F.col("comp") != F.col("comp2")) & _sizes_fit("n", "n2", percent))
              .groupBy("c", "c2").agg(F.count(F.lit(1)).alias("shared"),
-                                     F.min(F.least("m", "m2")).alias("least"))
-             .where("shared >= least").select(F.col("c").alias("a"), F.col("c2").alias("b")))
+                                     F.first("n").alias("n"), F.first("n2").alias("n2"),
+                                     F.first("m").alias("m"), F.first("m2").alias("m2"))
+             .where((F.col("shared") >= F.least("m", "m2")) & _can_reach(percent)).select(F.col("c").alias("a"), F.col("c2").alias("b")))
     more = _verified(staged(pairs, "jaccard-pairs"), texts, shingle, percent)
     final = components(links.unionByName(more)
                        .select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    # From classes back to documents.
-    classes = staged(every.where("n > 0").groupBy("c").agg(F.min("key").alias("key")),
+    # From classes to their groups.
+    first = F.min(F.struct(F.coalesce("key", F.lit(LAST)).alias("k"), "h")).alias("first")
+    classes = staged(every.where("n > 0").groupBy("c").agg(F.min("key").alias("key"), first),
                      "jaccard-classes")
-    classes = classes.join(final.withColumnRenamed("node", "c"), "c", "left").select(
-        "c", "key", F.coalesce("component", "c").alias("group"))
-    classes = staged(classes, "jaccard-classes")
-    groups = staged(classes.groupBy("group").agg(F.min("key").alias("component")),
-                    "jaccard-groups")
+    classes = staged(classes.join(final.withColumnRenamed("node", "c"), "c", "left").select(
+        "c", "key", "first", F.coalesce("component", "c").alias("group")), "jaccard-classes")
+    groups = staged(classes.groupBy("group").agg(F.min("key").alias("component"),
+                                                 F.min("first").alias("first"))
+                    .select("group", "component", "first.k", "first.h"), "jaccard-groups")
+    return every, classes.select("c", "group"), groups
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
+                       key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: key, n (set size), c (class), component (the
+    smallest key that links reach, itself included).
+
+    Texts are lower-cased in A-Z. Null or blank texts have an empty set, no
+    class and no links. A null key never names a component that has another
+    key; rows that repeat a key stand for texts of their own. Other columns
+    are not read; no rows give no rows.
+    """
+    every, classes, groups = _groups(docs, percent, shingle, key, text)
     named = staged(classes.join(groups, "group").select("c", "component"), "jaccard-named")
     return (every.where("n > 0").join(named, "c").select("key", "n", "c", "component")
             .unionByName(every.where("n = 0").select("key", "n", "c",
                                                      F.col("key").alias("component"))))
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
+                key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` less near duplicates, all columns kept: of each
+    component the document with the smallest key stays (null keys last,
+    equal keys by text hash, equal rows one). Texts without words have no
+    duplicates and stay."""
+    _, _, groups = _groups(docs, percent, shingle, key, text)
+    body = F.col(text).cast("string")
+    has_words = F.coalesce(body.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = docs.withColumns({
+        "__k": F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)), "__h": F.xxhash64(body)})
+    stays = groups.select(F.col("k").alias("__k"), F.col("h").alias("__h"))
+    kept = (marked.where(has_words).join(stays, ["__k", "__h"], "left_semi")
+            .dropDuplicates(["__k", "__h"]).select(*docs.columns))
+    return kept.unionByName(docs.where(~has_words))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_components(documents(spark, sf_dir))
     return out.select(F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"),

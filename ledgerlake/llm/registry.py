@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import (chat, decontaminate, jaccard, packing, quality_model,
+from ledgerlake.llm import (chat, decontaminate, jaccard, licenses, packing, quality_model,
                             quality_rules, sharding, substring, wavelet)
 
 QUERIES = {
     "op1_quality_scores": quality_model.op1_quality_scores,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_substring_dedup": substring.op3_substring_dedup,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_token_shards": wavelet.op6_token_shards,
     "op7_format_chats": chat.op7_format_chats,
@@ -18,5 +19,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_license_scan": licenses.OP4_SQL,
     "op7_format_chats": chat.OP7_SQL,
 }

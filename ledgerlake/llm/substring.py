@@ -191,29 +191,59 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
     rows of one key lose nothing to each other. Other columns are not read;
     no rows give no rows.
     """
-    ranges = (repeated_ranges(docs, length, key, text).groupBy("row")
-              .agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns: list[list] = [[] for _ in _OUT]
             for k, t, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 words = text_words(t.as_py())
-                kept, found = words, found.as_py()
-                if found:
-                    edges = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edges, [r["start"] for r in found], 1)
-                    np.add.at(edges, [r["end"] for r in found], -1)
-                    kept = list(compress(words, np.cumsum(edges[:-1]) == 0))
+                kept = _kept(words, found.as_py())
                 for c, v in zip(columns, (k, len(words), len(words) - len(kept),
                                           b" ".join(kept).decode())):
                     c.append(v)
             yield batch(_OUT, *columns)
 
-    return (_texts(docs, key, text).join(ranges, "row", "left")
+    return (_texts(docs, key, text).join(_by_row(docs, length, key, text), "row", "left")
             .select("key", "text", "ranges").mapInArrow(cut, _OUT_SQL))
 
 
+def _by_row(docs: DataFrame, length: int, key: str, text: str) -> DataFrame:
+    return (repeated_ranges(docs, length, key, text).groupBy("row")
+            .agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
+
+
+def _kept(words: list[bytes], ranges: list[dict] | None) -> list[bytes]:
+    if not ranges:
+        return words
+    edges = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edges, [r["start"] for r in ranges], 1)
+    np.add.at(edges, [r["end"] for r in ranges], -1)
+    return list(compress(words, np.cumsum(edges[:-1]) == 0))
+
+
+def without_repeats(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """``docs`` with the repeated passages cut out of ``text``, all columns
+    kept. A text that loses nothing stays as it is; others become their
+    kept words joined by one space."""
+    at = docs.columns.index(text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = b.column(b.num_columns - 1)
+            texts = [t.as_py() if not r.is_valid else
+                     b" ".join(_kept(text_words(t.as_py()), r.as_py())).decode()
+                     for t, r in zip(b.column(at), found)]
+            columns = b.columns[:-1]
+            columns[at] = pa.array(texts, b.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(b.schema)[:-1]))
+
+    ranges = _by_row(docs, length, key, text).select(
+        F.col("row").alias("__row"), F.col("ranges").alias("__ranges"))
+    k = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST))
+    return (docs.withColumn("__row", F.xxhash64(k, F.col(text).cast("string")))
+            .join(ranges, "__row", "left").drop("__row").mapInArrow(cut, docs.schema))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).select(
         F.col("key").alias("doc_id"), "n_words", "n_removed",
