@@ -42,6 +42,8 @@ MIN_GROUP = 100
 # The sketch counts values in bins of this width up to this many bins; the
 # quartile's error is below the width.
 BIN, BINS = 5, 400
+# Parts a group's documents are dealt to in the final join.
+SALTS = 32
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -159,13 +161,17 @@ def apply_rules(docs: DataFrame, key: str = "doc_id", lang: str = "lang",
     sketch = sketches(rows.where(~F.col("base_failed")))
     own = _wide(fences(sketch, ["lang", "source"]), ["lang", "source"], "own")
     langs = _wide(fences(sketch, ["lang"]), ["lang"], "lang")
-    whole = _wide(fences(sketch, []), [], "all")
-    limits = (own.join(langs, "lang").crossJoin(F.broadcast(whole)))  # one row
+    whole = _wide(fences(sketch.withColumn("corpus", F.lit(0)), ["corpus"]), ["corpus"], "all")
+    limits = own.join(langs, "lang").withColumn("corpus", F.lit(0)).join(whole, "corpus")
     limits = limits.select("lang", "source", *[
         F.when(F.col("size_own") >= MIN_GROUP, F.col(f"{m}_own"))
          .when(F.col("size_lang") >= MIN_GROUP, F.col(f"{m}_lang"))
          .otherwise(F.col(f"{m}_all")).alias(f"{m}_fence") for m in METRICS])
-    joined = rows.join(limits, ["lang", "source"], "left")
+    # One group may hold a large part of all rows: its documents are dealt
+    # over SALTS parts, each with a copy of the group's limits.
+    salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = rows.withColumn("salt", F.pmod(F.xxhash64("key", *METRICS), F.lit(SALTS)).cast("int"))
+    joined = joined.join(salted, ["lang", "source", "salt"], "left").drop("salt")
     above = reduce(lambda a, b: a | b, [
         F.coalesce(F.col(m) > F.col(f"{m}_fence"), F.lit(False)) for m in METRICS])
     return joined.withColumn("kept", ~F.col("base_failed") & ~above)
