@@ -1,62 +1,18 @@
-"""Call-compatible entry points for code written against the original
-job scripts: same function names and arguments, this library underneath.
+"""Fail-fast forms of the library's reports, for callers that expect them.
 
-* ``load_raw`` returns the five raw DataFrames as a tuple, in the order
-  customers, accounts, transactions, deposits, loans.
-* ``run_all_checks`` is fail-fast: it raises ``DataQualityError`` for
-  the first failing rule in suite order (the library's ``run_rules`` /
-  ``enforce`` report every rule instead).
-* ``write_iceberg`` writes Parquet to ``<output_path>/<table_name>``;
-  ``write_iceberg_table`` creates or replaces a catalog table.
+* ``run_all_checks`` raises ``DataQualityError`` for the first failing rule
+  in suite order (``run_rules`` / ``enforce`` report every rule instead).
 * ``aggregate_batch`` is the per-invocation stream aggregate (category →
-  sum, and the per-category count the original consumer added: 1).
+  sum, records, and a count of 1).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import cleaning, dims, quality, sequence
-from ledgerlake.operators.quality import (  # noqa: F401  (re-exported)
-    DataQualityError, assert_no_nulls, assert_referential_integrity, assert_unique,
-    assert_value_range,
-)
-from ledgerlake.sinks.writers import CatalogWriter, ParquetWriter
-from ledgerlake.sources import raw as raw_source
-
-RULE_ORDER = {"not_null": 0, "unique": 1, "referential": 2, "range": 3}
-
-
-def load_raw(spark: SparkSession, input_path: str):
-    r = raw_source.load_raw(spark, input_path)
-    return r["customers"], r["accounts"], r["transactions"], r["deposits"], r["loans"]
-
-
-def clean_transactions(transactions: DataFrame) -> DataFrame:
-    return cleaning.clean_transactions(transactions)
-
-
-def build_dim_customer(customers: DataFrame) -> DataFrame:
-    return dims.build_dim_customer(customers)
-
-
-def build_dim_account(accounts: DataFrame) -> DataFrame:
-    return dims.build_dim_account(accounts)
-
-
-def build_fact_transaction(transactions_clean: DataFrame) -> DataFrame:
-    return sequence.build_fact_transaction(transactions_clean)
-
-
-def write_iceberg(df: DataFrame, table_name: str, output_path: str,
-                  partition_col: str | None = None) -> str:
-    return ParquetWriter(output_path).write(df, table_name, partition_col)
-
-
-def write_iceberg_table(df: DataFrame, table_name: str, partition_col: str | None = None,
-                        database: str = "curated", fmt: str = "parquet") -> str:
-    return CatalogWriter(database, fmt).write(df, table_name, partition_col)
+from ledgerlake.operators import quality
+from ledgerlake.operators.quality import DataQualityError
 
 
 def _suite_position(suite):

@@ -52,18 +52,6 @@ def as_date(df: DataFrame, name: str) -> Column:
     return F.to_date(F.try_to_timestamp(F.col(name).cast("string")))
 
 
-def out_of_range(c: Column, lo, hi) -> Column:
-    """Inclusive range test: fails below ``lo`` or above ``hi``. NULL passes
-    (the comparison is NULL, not true); NaN fails because it sorts above
-    every number."""
-    cond = F.lit(False)
-    if lo is not None:
-        cond = cond | (c < F.lit(lo))
-    if hi is not None:
-        cond = cond | (c > F.lit(hi))
-    return F.coalesce(cond, F.lit(False))
-
-
 def decode_envelope(data: Column, schema: T.StructType) -> Column:
     """base64 text → JSON text → struct. Broken base64 or JSON gives NULL
     fields rather than an error."""

@@ -14,12 +14,11 @@ row always survives. The survivor of a duplicate group is the first under
 a total order (txn_ts, amount, category, account_id, then every other
 column), so reruns pick the same row.
 
-Kept path cost: one shuffle by txn_id whose map side already keeps only
-the first row per key (partial ``WindowGroupLimit``), so a hot txn_id does
-not pile onto one task. The quarantine is computed separately and cheaply:
-row-level rejects are a filter, duplicates are found through an aggregate
-of the txn_id column alone (map-side combined), and only rows of repeated
-ids are numbered.
+Cost: the kept path is one shuffle by txn_id whose map side already keeps
+only the first row per key (partial ``WindowGroupLimit``), so a hot txn_id
+does not pile onto one task. ``clean_summary`` is one scan: per txn_id a
+count and the first row's account, combined map-side. The quarantine tags
+every row once, stages the tagged rows and splits from there.
 """
 
 from __future__ import annotations
@@ -31,10 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.columns import as_date, as_double, as_timestamp, is_missing
-from ledgerlake.operators.ranking import (
-    DEFAULT_POLICY, HotKeyPolicy, hot_keys, keep_first, number_within,
-)
+from ledgerlake.operators.ranking import keep_first, number_within
 from ledgerlake.schemas import CORRUPT
+from ledgerlake.session import staged
 
 REQUIRED = ("txn_id", "account_id", "amount", "txn_ts")
 TXN_COLUMNS = ("txn_id", "account_id", "amount", "category", "txn_ts")
@@ -95,17 +93,8 @@ def _valid_typed(raw: DataFrame) -> DataFrame:
                      & F.col("txn_ts").isNotNull())
 
 
-def _as_read(df: DataFrame, raw: DataFrame) -> DataFrame:
-    """Back to the raw layout, typed columns restored to their original
-    values (text columns from their copies; typed input is unchanged)."""
-    text = _text_typed(raw)
-    return df.withColumns({c: F.col(f"_{c}_raw") for c in text}).select(*raw.columns)
-
-
 def _survivors(raw: DataFrame) -> DataFrame:
-    """One valid row per txn_id, raw layout (typed amount/txn_ts). Both the
-    kept path and the orphan quarantine derive from this same plan, so a
-    query holding both can reuse its shuffle."""
+    """One valid row per txn_id, raw layout (typed amount/txn_ts)."""
     return keep_first(_valid_typed(raw), "txn_id", survivor_order(raw))
 
 
@@ -143,52 +132,68 @@ def orphans_of(df: DataFrame, parent: DataFrame, key: str = "account_id",
             .filter(F.col("_hit").isNull()).select(*df.columns))
 
 
-def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None, *,
-                            policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
+def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Every rejected row once, exactly as read, with its ``reason``."""
-    rejected = (tag_rows(raw).filter(F.col("_reason").isNotNull())
-                .select(*raw.columns, F.col("_reason").alias("reason")))
-
-    valid = _valid_typed(raw)
-    order = survivor_order(raw)
+    rows = staged(tag_rows(raw), "tagged")
+    rejected = rows.filter(F.col("_reason").isNotNull())
+    valid = rows.filter(F.col("_reason").isNull())
+    order = _tagged_order(raw)
     # Ids seen more than once: an aggregate of the id column alone, combined
-    # map-side. Only rows of those ids are numbered; AQE turns the semi-join
-    # into a broadcast when the repeated ids are few.
+    # map-side. Only rows of those ids are numbered.
     repeated = (valid.groupBy("txn_id").agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > 1).select(F.col("txn_id").alias("_dup_id")))
-    candidates = valid.join(repeated, valid["txn_id"] == repeated["_dup_id"], "left_semi")
-    # Hot ids are found on the raw id column (a cheap columnar scan); the
-    # raw counts bound the candidate counts from above.
-    numbered = number_within(candidates, "txn_id", order, "_rn", policy=policy,
-                             hot=hot_keys(raw, "txn_id", policy))
-    dups = _as_read(numbered.filter(F.col("_rn") > 1), raw).withColumn(
-        "reason", F.lit("duplicate"))
-    out = rejected.unionByName(dups)
-
+    candidates = valid.join(repeated, F.col("txn_id") == F.col("_dup_id"), "left_semi")
+    dups = number_within(candidates, "txn_id", order, "_rn").filter(F.col("_rn") > 1)
+    out = (rejected.select(*raw.columns, F.col("_reason").alias("reason"))
+           .unionByName(dups.select(*raw.columns, F.lit("duplicate").alias("reason"))))
     if accounts is not None:
-        orphan = _as_read(orphans_of(_survivors(raw), accounts), raw)
-        out = out.unionByName(orphan.withColumn("reason", F.lit("orphan")))
+        orphan = orphans_of(keep_first(valid, "txn_id", order), accounts)
+        out = out.unionByName(orphan.select(*raw.columns, F.lit("orphan").alias("reason")))
     return out
 
 
-def split_transactions(raw: DataFrame, accounts: DataFrame | None = None, *,
-                       policy: HotKeyPolicy = DEFAULT_POLICY) -> tuple[DataFrame, DataFrame]:
+def _tagged_order(raw: DataFrame) -> list[str]:
+    """``survivor_order`` in terms of ``tag_rows``: typed values first, the
+    original text of typed columns last."""
+    typed = {"amount": "_amount", "txn_ts": "_txn_ts"}
+    text = _text_typed(raw)
+    return ([typed.get(c, c) for c in survivor_order(raw) if not c.startswith("_")]
+            + [c for c in ("amount", "txn_ts") if c in text])
+
+
+def split_transactions(raw: DataFrame, accounts: DataFrame | None = None
+                       ) -> tuple[DataFrame, DataFrame]:
     """(kept, quarantine). Kept rows are cleaned and, when ``accounts`` is
     given, restricted to known accounts."""
     kept = clean_transactions(raw)
     if accounts is not None:
         kept = drop_orphans(kept, accounts)
-    return kept, quarantine_transactions(raw, accounts, policy=policy)
+    return kept, quarantine_transactions(raw, accounts)
 
 
-def clean_summary(raw: DataFrame, accounts: DataFrame | None = None, *,
-                  policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame:
+def clean_summary(raw: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Rows per outcome: ``kept`` plus one line per rejection reason seen
     (before/after/removed report). ``raw`` total = sum of the lines."""
-    kept, quarantine = split_transactions(raw, accounts, policy=policy)
-    lines = (kept.select(F.lit("kept").alias("outcome"))
-             .unionByName(quarantine.select(F.col("reason").alias("outcome"))))
-    return lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"))
+    rows = tag_rows(raw)
+    # Valid rows by id, rejected rows by reason: a count, and for an id the
+    # account of the row that survives.
+    by_id = rows.groupBy(
+        F.when(F.col("_reason").isNull(), F.col("txn_id")).alias("_id"), "_reason").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.struct(*_tagged_order(raw)))["account_id"].alias("account_id"))
+    if accounts is None:
+        by_id = by_id.withColumn("_hit", F.lit(True))
+    else:
+        keys = _parent_keys(accounts, "account_id").withColumn("_hit", F.lit(True))
+        by_id = by_id.join(keys, F.col("account_id") == F.col("_pk"), "left")
+    line = lambda outcome, n: F.struct(outcome.alias("outcome"),
+                                       n.cast("long").alias("row_count"))
+    lines = F.when(F.col("_reason").isNotNull(), F.array(line(F.col("_reason"), F.col("_n")))) \
+        .otherwise(F.array(
+            line(F.when(F.col("_hit"), F.lit("kept")).otherwise(F.lit("orphan")), F.lit(1)),
+            line(F.lit("duplicate"), F.col("_n") - 1)))
+    return (by_id.select(F.inline(lines)).filter("row_count > 0")
+            .groupBy("outcome").agg(F.sum("row_count").alias("row_count")))
 
 
 def removal_report(summary: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.columns import as_date
+from ledgerlake.functions.columns import as_date, as_double
 from ledgerlake.operators.ranking import keep_first
 
 DIM_CUSTOMER = ("customer_id", "full_name", "segment", "onboarded_date", "country")
@@ -32,6 +32,12 @@ def _dates(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: as_date(df, n) for n in names if n in df.columns})
 
 
+def _doubles(df: DataFrame, *names: str) -> DataFrame:
+    """Text becomes a number, or NULL where it is none; absent columns are
+    NULL numbers."""
+    return df.withColumns({n: as_double(df, n) for n in names})
+
+
 def dedupe_dimension(df: DataFrame, key: str, cols, order=None) -> DataFrame:
     """One row per ``key`` over the columns ``cols``. ``order`` picks the
     survivor (default: the published columns left to right)."""
@@ -46,7 +52,8 @@ def build_dim_customer(customers: DataFrame, order=None) -> DataFrame:
 
 
 def build_dim_account(accounts: DataFrame, order=None) -> DataFrame:
-    return _dates(dedupe_dimension(accounts, "account_id", DIM_ACCOUNT, order), "opened_date")
+    typed = _doubles(_with_columns(accounts, DIM_ACCOUNT), "balance")
+    return _dates(dedupe_dimension(typed, "account_id", DIM_ACCOUNT, order), "opened_date")
 
 
 def passthrough(df: DataFrame, cols, date_cols=()) -> DataFrame:
@@ -55,8 +62,9 @@ def passthrough(df: DataFrame, cols, date_cols=()) -> DataFrame:
 
 
 def build_fact_deposit(deposits: DataFrame) -> DataFrame:
-    return passthrough(deposits, FACT_DEPOSIT, ("value_date",))
+    return _doubles(passthrough(deposits, FACT_DEPOSIT, ("value_date",)), "amount")
 
 
 def build_dim_loan(loans: DataFrame) -> DataFrame:
-    return passthrough(loans, DIM_LOAN, ("origination_date",))
+    return _doubles(passthrough(loans, DIM_LOAN, ("origination_date",)),
+                    "principal", "interest_rate")

@@ -103,15 +103,6 @@ STAR_SCHEMA_ADDITIONS: tuple[TableRules, ...] = (
 )
 
 
-def _row(table, rule, column, detail, violations, total) -> F.Column:
-    v = violations.cast("long")
-    t = total.cast("long")
-    return F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-                    F.lit(column).alias("column_name"),
-                    F.lit(detail).cast("string").alias("detail"),
-                    v.alias("violations"), t.alias("total"), (v == 0).alias("passed"))
-
-
 def _flag_parents(df: DataFrame, fks, parents: dict[str, DataFrame]) -> DataFrame:
     """Left-join ``df`` to the distinct keys of each parent, adding a match
     flag ``_hit{i}`` per foreign key. Parent keys are distinct, so the row
@@ -137,52 +128,55 @@ def _s(text: str | None) -> str:
 
 
 def table_checks(df: DataFrame, rules: TableRules,
-                 parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
-    """All rules of one table → report rows from a single aggregate. With
-    ``parents``, the table's foreign keys are checked in the same pass
-    (the child is evaluated once, which matters when it is a derived
-    table such as the fact).
-
-    The aggregate and the unpivot into report rows are written as SQL
-    expressions, so building the plan costs a few calls into the JVM per
-    table rather than several per rule."""
-    fks = [fk for fk in rules.foreign_keys if parents and fk.parent in parents]
+                 parents: dict[str, DataFrame] | None = None) -> list[DataFrame]:
+    """All rules of one table as report rows: one aggregate for null, range
+    and referential rules (the child is evaluated once), and one per unique
+    column (several distinct counts in one aggregate would multiply the
+    rows by an Expand)."""
+    out = [_distinct_check(df, rules.table, c) for c in rules.unique]
+    fks = rules.foreign_keys
     if fks:
-        df = _flag_parents(df, fks, parents)
+        df = _flag_parents(df, fks, parents or {})
     aggs = ["count(1) AS _total"]
     specs: list[tuple[str, str, str | None, str]] = []
     for i, c in enumerate(rules.not_null):
         aggs.append(f"count_if({_q(c)} IS NULL) AS _nn{i}")
         specs.append(("not_null", c, None, f"_nn{i}"))
-    for i, c in enumerate(rules.unique):
-        # count(DISTINCT) ignores NULL; one NULL counts as one more value
-        aggs.append(f"count(DISTINCT {_q(c)}) + coalesce(max(CAST({_q(c)} IS NULL AS INT)), 0)"
-                    f" AS _uq{i}")
-        specs.append(("unique", c, None, f"_uq{i}"))
     for i, fk in enumerate(fks):
         aggs.append(f"count_if(_hit{i} IS NULL) AS _fk{i}")
         specs.append(("referential", fk.column, f"{fk.parent}.{fk.parent_column}", f"_fk{i}"))
     for i, r in enumerate(rules.ranges):
         aggs.append(f"count_if({_range_sql(_q(r.column), r.lo, r.hi)}) AS _rg{i}")
         specs.append(("range", r.column, r.detail, f"_rg{i}"))
-    if not specs:
-        return None
-    agg = df.agg(*[F.expr(e) for e in aggs])
-    cells = []
-    for rule, col, detail, name in specs:
-        v = f"_total - {name}" if rule == "unique" else name
-        cells.append(f"{_s(rules.table)}, {_s(rule)}, {_s(col)}, {_s(detail)}, "
-                     f"CAST({v} AS BIGINT), CAST(_total AS BIGINT)")
+    if specs:
+        agg = df.agg(*[F.expr(e) for e in aggs])
+        out.append(_report(agg, [(rules.table, rule, col, detail, name)
+                                 for rule, col, detail, name in specs]))
+    return out
+
+
+def _distinct_check(df: DataFrame, table: str, column: str) -> DataFrame:
+    # count(DISTINCT) ignores NULL; one NULL counts as one more value.
+    c = _q(column)
+    agg = df.agg(F.expr("count(1) AS _total"), F.expr(
+        f"count(DISTINCT {c}) + coalesce(max(CAST({c} IS NULL AS INT)), 0) AS _distinct"))
+    return _report(agg, [(table, "unique", column, None, "_total - _distinct")])
+
+
+def _report(agg: DataFrame, specs) -> DataFrame:
+    """Report rows (table, rule, column, detail, violations) of one row of
+    counts with ``_total``."""
+    cells = [f"{_s(t)}, {_s(rule)}, {_s(col)}, {_s(detail)}, CAST({v} AS BIGINT), "
+             "CAST(_total AS BIGINT)" for t, rule, col, detail, v in specs]
     rows = agg.selectExpr(
         f"stack({len(specs)}, {', '.join(cells)}) "
         "AS (table_name, rule, column_name, detail, violations, total)")
-    return rows.selectExpr("table_name", "rule", "column_name", "detail", "violations",
-                           "total", "violations = 0 AS passed")
+    return rows.selectExpr("*", "violations = 0 AS passed")
 
 
 def _range_sql(c: str, lo, hi) -> str:
-    """Same test as ``functions.columns.out_of_range``: inclusive bounds,
-    NULL passes, NaN fails (NaN sorts above every number)."""
+    """Inclusive bounds; NULL passes (the comparison is NULL, not true),
+    NaN fails (it sorts above every number)."""
     parts = []
     if lo is not None:
         parts.append(f"{c} < {float(lo)!r}")
@@ -191,37 +185,15 @@ def _range_sql(c: str, lo, hi) -> str:
     return f"coalesce({' OR '.join(parts) or 'false'}, false)"
 
 
-def referential_check(child: DataFrame, child_table: str, fk: ForeignKey,
-                      parent: DataFrame) -> DataFrame:
-    """Orphan count of one foreign key. Parent and child may be the same
-    DataFrame: the parent key is renamed before the join."""
-    keys = (parent.select(F.col(fk.parent_column).alias("_pk"))
-            .filter(F.col("_pk").isNotNull()).distinct()
-            .withColumn("_hit", F.lit(True)))
-    ck = child.select(F.col(fk.column).alias("_ck"))
-    joined = ck.join(keys, ck["_ck"] == keys["_pk"], "left")
-    agg = joined.agg(F.count(F.lit(1)).alias("_total"),
-                     F.count_if(F.col("_hit").isNull()).alias("_orphans"))
-    row = _row(child_table, "referential", fk.column, f"{fk.parent}.{fk.parent_column}",
-               F.col("_orphans"), F.col("_total"))
-    return agg.select(F.inline(F.array(row)))
-
-
-def run_rules(tables: dict[str, DataFrame], suite, *, skip_missing: bool = True) -> DataFrame:
+def run_rules(tables: dict[str, DataFrame], suite) -> DataFrame:
     """Report for every rule of ``suite`` over ``tables`` (name → DataFrame).
-    Tables absent from ``tables`` are skipped (or raise)."""
+    A rule whose table or parent is absent cannot be checked: ``KeyError``."""
     parts: list[DataFrame] = []
     for rules in suite:
-        if rules.table not in tables:
-            if skip_missing:
-                continue
-            raise KeyError(rules.table)
-        missing = [fk.parent for fk in rules.foreign_keys if fk.parent not in tables]
-        if missing and not skip_missing:
-            raise KeyError(missing[0])
-        t = table_checks(tables[rules.table], rules, tables)
-        if t is not None:
-            parts.append(t)
+        for name in (rules.table, *(fk.parent for fk in rules.foreign_keys)):
+            if name not in tables:
+                raise KeyError(f"no table {name!r} for the rules of {rules.table!r}")
+        parts += table_checks(tables[rules.table], rules, tables)
     if not parts:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([], REPORT_SCHEMA)
@@ -235,8 +207,8 @@ def failures(report: DataFrame) -> list:
 def message(row) -> str:
     """Error text of a failed rule.
 
-    Fixed values: these texts are worded as the original checks raise them,
-    so callers that match on the message keep working."""
+    The texts name table, column and count; ``referential`` also names the
+    parent's key."""
     if row["rule"] == "not_null":
         return f"[{row['table_name']}] column '{row['column_name']}' has {row['violations']} null values"
     if row["rule"] == "unique":
@@ -259,20 +231,23 @@ def enforce(report: DataFrame) -> None:
 
 # Single-rule forms (raise on failure).
 
+def _enforce_rules(df: DataFrame, rules: TableRules, parents=None) -> None:
+    enforce(reduce(DataFrame.unionByName, table_checks(df, rules, parents)))
+
+
 def assert_no_nulls(df: DataFrame, columns, table_name: str) -> None:
-    enforce(table_checks(df, TableRules(table_name, not_null=tuple(columns))))
+    _enforce_rules(df, TableRules(table_name, not_null=tuple(columns)))
 
 
 def assert_unique(df: DataFrame, column: str, table_name: str) -> None:
-    enforce(table_checks(df, TableRules(table_name, unique=(column,))))
+    _enforce_rules(df, TableRules(table_name, unique=(column,)))
 
 
 def assert_referential_integrity(child_df: DataFrame, child_key: str, parent_df: DataFrame,
                                  parent_key: str, table_name: str) -> None:
-    enforce(referential_check(child_df, table_name,
-                              ForeignKey(child_key, "parent", parent_key), parent_df))
+    _enforce_rules(child_df, TableRules(table_name, foreign_keys=(
+        ForeignKey(child_key, "parent", parent_key),)), {"parent": parent_df})
 
 
 def assert_value_range(df: DataFrame, column: str, min_value, max_value, table_name: str) -> None:
-    enforce(table_checks(df, TableRules(table_name,
-                                        ranges=(ValueRange(column, min_value, max_value),))))
+    _enforce_rules(df, TableRules(table_name, ranges=(ValueRange(column, min_value, max_value),)))

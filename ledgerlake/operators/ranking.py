@@ -1,85 +1,40 @@
 """Row numbering inside a group under a total order, safe for hot groups.
 
-Two shapes:
-
 * ``keep_first`` – one survivor per key (``row_number() = 1``). Spark plans
   this with a *partial* ``WindowGroupLimit`` before the shuffle, so each map
   task forwards at most one row per key: a key that holds a third of all
-  rows costs no more than any other. No extra work is needed.
-
-* ``number_within`` – the full ``row_number()`` per key (sequence numbers,
-  or tagging every loser of a dedupe). A plain window sends all rows of a
-  key to one task. Hot keys are therefore found first from a sample
-  (bounded: at most ``2 * rows / min_rows`` keys can pass the cut) and
-  numbered on a separate path:
-
-  1. range-partition the hot rows on ``(key, order)``; Spark's range
-     partitioner splits one key across many tasks in sort order;
-  2. inside each partition the position of a row comes from
-     ``monotonically_increasing_id`` after a local sort; this placement is
-     checkpointed once (range bounds are sampled, so a second evaluation
-     could differ);
-  3. a tiny table of ``(key, partition) → first position, row count``
-     (at most ``partitions + hot keys`` rows) yields each block's offset
-     with a window over that small table;
-  4. a broadcast join of the blocks turns positions into row numbers.
-
-  Ordinary keys take the plain window. Both paths give the same numbers.
+  rows costs no more than any other.
+
+* ``number_within`` – the full ``row_number()`` per key, one path for all
+  keys:
+
+  1. range-partition the rows on ``(key, order)`` and stage them; Spark's
+     range partitioner splits a large key over many partitions in order;
+  2. number the rows inside each (key, partition);
+  3. only keys that cross a partition border need an offset. A border key
+     is the last of one partition and the first of the next, so there are
+     fewer of them than partitions; their row counts per partition, summed
+     up in partition order, are the offsets.
+
+  The staged copy fixes the placement: the range bounds come from a sample,
+  so a second evaluation could place rows differently.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerlake.session import checkpoint_root
-
-
-@dataclass(frozen=True)
-class HotKeyPolicy:
-    """When is a key hot, and how are hot keys split.
-
-    ``min_rows``: a key with at least this many rows takes the split path.
-    ``fraction``: share of rows sampled to find such keys.
-    ``rows_per_task``: target rows per task when a hot key is split.
-    ``max_keys``: the hottest keys kept (bounds driver memory; keys beyond
-    it still get correct numbers on the plain path).
-    ``max_parts``: cap on the hot path's range partitions; Spark's range
-    partitioner collects about 100 sampled keys per partition on the
-    driver, so this bounds that sample.
-    """
-
-    min_rows: int = 2_000_000
-    fraction: float = 0.01
-    rows_per_task: int = 500_000
-    max_keys: int = 100_000
-    max_parts: int = 16_384
-    seed: int = 17
-
-    @property
-    def sample_cut(self) -> int:
-        # Half the expected sample count of a key right at the threshold:
-        # such keys are missed with negligible probability.
-        return max(1, int(self.min_rows * min(self.fraction, 1.0) / 2))
-
-
-DEFAULT_POLICY = HotKeyPolicy()
+from ledgerlake.session import staged
 
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def order_columns(order) -> list[Column]:
     """Order spec → ascending columns, nulls first (Spark's default and
     what ``ORDER BY x`` means in the SQL oracles). A ``Column`` is kept as
@@ -87,28 +42,6 @@ def order_columns(order) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
-def hot_keys(df: DataFrame, keys, policy: HotKeyPolicy = DEFAULT_POLICY) -> DataFrame | None:
-    """Keys with at least ``policy.min_rows`` rows (estimated from a sample),
-    as a small local DataFrame of ``keys + [_hot_rows]``; None if there are
-    none. Runs one light job over the key columns only."""
-    keys = _cols(keys)
-    sample = df.select(*keys)
-    if policy.fraction < 1.0:
-        sample = sample.sample(fraction=policy.fraction, seed=policy.seed)
-    found = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_rows"))
-             .filter(F.col("_hot_rows") >= policy.sample_cut)
-             .orderBy(F.col("_hot_rows").desc())
-             .limit(policy.max_keys)
-             .collect())
-    if not found:
-        return None
-    scale = 1.0 / min(policy.fraction, 1.0)
-    schema = T.StructType([df.select(*keys).schema[k] for k in keys]
-                          + [T.StructField("_hot_rows", T.LongType(), False)])
-    rows = [tuple(r[k] for k in keys) + (int(r["_hot_rows"] * scale),) for r in found]
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
 def keep_first(df: DataFrame, keys, order) -> DataFrame:
     """One row per key: the first under ``order`` (make it total for a
     deterministic survivor). NULL keys form one group, as in
@@ -118,56 +51,28 @@ def keep_first(df: DataFrame, keys, order) -> DataFrame:
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def number_within(df: DataFrame, keys, order, out: str, *,
-                  policy: HotKeyPolicy = DEFAULT_POLICY,
-                  hot: DataFrame | None | bool = True) -> DataFrame:
-    """Add ``out`` = ``row_number()`` within ``keys`` under ``order``.
-
-    ``hot``: True → detect hot keys on ``df``; a DataFrame → use it (for
-    instance keys found on cheaper upstream data: counts only fall through
-    filters and dedupe, so an upstream hot list is a superset); None or
-    False → plain window only.
-    """
+def number_within(df: DataFrame, keys, order, out: str) -> DataFrame:
+    """Add ``out`` = ``row_number()`` within ``keys`` under ``order``."""
     keys = _cols(keys)
     ordering = order_columns(order)
-    if hot is True:
-        hot = hot_keys(df, keys, policy)
-    plain = Window.partitionBy(*keys).orderBy(*ordering)
-    if hot is None or hot is False:
-        return df.withColumn(out, F.row_number().over(plain))
-
-    hot_list = F.broadcast(hot)
-    cold_rows = df.join(hot_list, _null_safe_on(df, hot_list, keys), "left_anti")
-    hot_rows = df.join(hot_list, _null_safe_on(df, hot_list, keys), "left_semi")
-    cold_ranked = cold_rows.withColumn(out, F.row_number().over(plain))
-
-    est_rows = hot.agg(F.sum("_hot_rows")).first()[0] or 0
-    parts = max(1, min(policy.max_parts, math.ceil(est_rows / policy.rows_per_task)))
-    key_order = [F.col(k).asc_nulls_first() for k in keys] + ordering
-    # Placement is materialised once (reliable checkpoint in the shared
-    # checkpoint folder): the range bounds come from a sample whose row
-    # order after a shuffle is not fixed, so two evaluations could place
-    # rows differently; positions and blocks must come from the same one.
-    checkpoint_root(df.sparkSession)
-    placed = (hot_rows.repartitionByRange(parts, *key_order)
-              .sortWithinPartitions(*key_order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    # One row per (key, partition) a hot key touches: <= parts + hot keys.
-    blocks = (placed.groupBy(*keys, "_pid")
-              .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    by_key = [F.col(k).asc_nulls_first() for k in keys]
+    placed = staged(df.repartitionByRange(*by_key, *ordering)
+                    .withColumn("_pid", F.spark_partition_id()), "numbered")
+    within = Window.partitionBy(*keys, "_pid").orderBy(*ordering)
+    ranked = placed.withColumn("_rn", F.row_number().over(within))
+
+    key = F.struct(*keys)
+    ends = placed.groupBy("_pid").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    border = (ends.select("_pid", F.explode(F.array("_lo", "_hi")).alias("_k")).distinct()
+              .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+              .select(*[F.col(f"_k.{k}").alias(f"_b_{k}") for k in keys]))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+    blocks = (placed.select(*keys, "_pid").join(border, same, "left_semi")
+              .groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n")))
     before = (Window.partitionBy(*keys).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    renamed = {k: f"_b_{k}" for k in keys + ["_pid"]}
-    b = F.broadcast(blocks.withColumnsRenamed(renamed))
-    on = reduce(lambda x, y: x & y,
-                [placed[k].eqNullSafe(b[f"_b_{k}"]) for k in keys]
-                + [placed["_pid"] == b["_b__pid"]])
-    hot_ranked = (placed.join(b, on, "inner")
-                  .withColumn(out, (F.col("_pos") - F.col("_first") + F.col("_offset") + 1)
-                              .cast("int"))
-                  .select(*df.columns, out))
-    return cold_ranked.unionByName(hot_ranked)
+    offsets = blocks.select(*[F.col(k).alias(f"_b_{k}") for k in keys],
+                            F.col("_pid").alias("_b_pid"), F.sum("_n").over(before).alias("_before"))
+    return (ranked.join(offsets, same & (F.col("_pid") == F.col("_b_pid")), "left")
+            .select(*df.columns, (F.col("_rn") + F.coalesce("_before", F.lit(0)))
+                    .cast("int").alias(out)))

@@ -7,6 +7,7 @@ whole tables. Column names are aliased identically on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +15,11 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.columns import encode_envelope
 from ledgerlake.operators import cleaning, dims, quality, sequence, star
 from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
-from ledgerlake.operators.ranking import hot_keys
 from ledgerlake.plans.etl import AUDIT_RULES, audit_transactions, run_etl
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.writers import ParquetWriter
 from ledgerlake.sources import curated, tables
+from ledgerlake.sources.raw import load_raw
 from ledgerlake.streaming import parse, totals, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +32,7 @@ def q_clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fact_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = tables.transactions(spark, sf_dir)
-    clean = cleaning.clean_transactions(raw)
-    # Hot accounts are looked up on the raw account column (cheap scan);
-    # raw counts bound the cleaned counts from above.
-    return sequence.build_fact_transaction(clean, hot=hot_keys(raw, "account_id"))
+    return sequence.build_fact_transaction(q_clean_transactions(spark, sf_dir))
 
 
 def q_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +43,14 @@ def q_dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.build_dim_account(tables.accounts(spark, sf_dir))
 
 
+def q_fact_deposit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.build_fact_deposit(tables.deposits(spark, sf_dir))
+
+
+def q_dim_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.build_dim_loan(tables.loans(spark, sf_dir))
+
+
 # ---------------------------------------------------------- quality gate
 
 # Rule sets over the driver tables. The raw transactions repeat txn_id;
@@ -88,6 +93,14 @@ RANGE_RULES = (
 )
 
 
+# On the raw dirty rows.
+DIRTY_RULES = (
+    TableRules("transactions", not_null=("txn_id", "account_id", "amount", "txn_ts"),
+               unique=("txn_id",),
+               foreign_keys=(ForeignKey("account_id", "orders", "o_orderkey"),)),
+)
+
+
 def _driver_tables(spark: SparkSession, sf_dir: str, suite) -> dict[str, DataFrame]:
     names = {r.table for r in suite} | {fk.parent for r in suite for fk in r.foreign_keys}
     out = {}
@@ -103,16 +116,20 @@ def _rules_query(suite) -> Query:
     return q
 
 
+FULL_SUITE = quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS
+
+
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The star-schema suite (plus the labelled additions) over the star
-    built from the driver tables; dim_loan / fact_deposit have no source
-    here and are skipped."""
+    """The whole star-schema suite with the additions, every table of it
+    built from the driver tables."""
     # The rules read no sequence column, so the fact's rows (cleaned,
     # deduplicated) are checked without building the sequence.
     star = {"dim_customer": q_dim_customer(spark, sf_dir),
             "dim_account": q_dim_account(spark, sf_dir),
-            "fact_transaction": q_clean_transactions(spark, sf_dir)}
-    return quality.run_rules(star, quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS)
+            "fact_transaction": q_clean_transactions(spark, sf_dir),
+            "fact_deposit": q_fact_deposit(spark, sf_dir),
+            "dim_loan": q_dim_loan(spark, sf_dir)}
+    return quality.run_rules(star, FULL_SUITE)
 
 
 # ------------------------------------------------------ quarantine / report
@@ -130,18 +147,85 @@ def q_clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty-data audit's rule report (cleaned, not orphan-filtered
     transactions against the account dimension)."""
-    return audit_transactions(tables.transactions(spark, sf_dir), tables.accounts(spark, sf_dir))[1]
+    return audit_transactions(tables.transactions(spark, sf_dir), tables.accounts(spark, sf_dir))
+
+
+def q_dirty_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_time(cleaning.clean_transactions(tables.dirty_transactions(spark, sf_dir)))
+
+
+def q_dirty_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequenced fact of the dirty rows (unknown accounts stay)."""
+    return _plain_time(sequence.build_fact_transaction(
+        cleaning.clean_transactions(tables.dirty_transactions(spark, sf_dir))))
+
+
+def q_dirty_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.quarantine_transactions(tables.dirty_transactions(spark, sf_dir),
+                                            tables.accounts(spark, sf_dir))
+
+
+def q_dirty_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_summary(tables.dirty_transactions(spark, sf_dir),
+                                  tables.accounts(spark, sf_dir))
+
+
+def q_dirty_removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.removal_report(q_dirty_summary(spark, sf_dir))
+
+
+def q_dirty_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of the dirty rows: the referential rule fails."""
+    return audit_transactions(tables.dirty_transactions(spark, sf_dir),
+                              tables.accounts(spark, sf_dir))
+
+
+def q_dirty_raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null, unique and referential rules on the raw dirty rows: all fail."""
+    return quality.run_rules({"transactions": tables.dirty_transactions(spark, sf_dir),
+                              "orders": tables.table(spark, sf_dir, "orders")}, DIRTY_RULES)
+
+
+def q_dirty_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gated ETL job over JSON lines of the dirty rows: read as text,
+    built, gated. The gate fails, so nothing but the report is published;
+    returns the report."""
+    raw = scratch_path(spark, "raw")
+    entities = {"customers": tables.customers(spark, sf_dir),
+                "accounts": tables.accounts(spark, sf_dir),
+                "transactions": tables.dirty_transactions(spark, sf_dir),
+                "deposits": tables.deposits(spark, sf_dir),
+                "loans": tables.loans(spark, sf_dir)}
+    for name, df in entities.items():
+        df.write.json(f"{raw}/{name}/{name}.jsonl")
+    result = run_etl(spark, load_raw(spark, raw), ParquetWriter(scratch_path(spark, "etl")),
+                     rules=FULL_SUITE)
+    if result.passed or "fact_transaction" in result.published:
+        raise RuntimeError("the gate let dirty rows pass")
+    return result.report
+
+
+def _plain_time(df: DataFrame) -> DataFrame:
+    # Text is read as an instant in UTC; the comparison is on naive times.
+    return df.withColumns({"txn_ts": F.to_timestamp_ntz(F.date_format(
+        "txn_ts", "yyyy-MM-dd HH:mm:ss"))})
 
 
 def q_etl_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole gated ETL job over the driver tables: build the star,
-    checkpoint it, gate it, publish every table (Parquet, fact partitioned
-    by txn_date) below the shared scratch root; returns the gate's report."""
+    """The whole gated ETL job over the driver tables: build and stage the
+    star, gate it, publish every table below the shared scratch root (the
+    fact partitioned by txn_date); returns the gate's report with the row
+    count of each published table, read back."""
     raw = {"customers": tables.customers(spark, sf_dir),
            "accounts": tables.accounts(spark, sf_dir),
-           "transactions": tables.transactions(spark, sf_dir)}
-    result = run_etl(spark, raw, ParquetWriter(scratch_path(spark, "etl")))
-    return result.report
+           "transactions": tables.transactions(spark, sf_dir),
+           "deposits": tables.deposits(spark, sf_dir),
+           "loans": tables.loans(spark, sf_dir)}
+    writer = ParquetWriter(scratch_path(spark, "etl"))
+    result = run_etl(spark, raw, writer, enforce=False)
+    counts = [writer.read(spark, name).agg(F.count(F.lit(1)).alias("published_rows"))
+              .select(F.lit(name).alias("table_name"), "published_rows") for name in result.tables]
+    return result.report.join(reduce(DataFrame.unionByName, counts), "table_name")
 
 
 def q_removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,13 +259,27 @@ def q_star_spend_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  q_dim_account(spark, sf_dir), q_dim_customer(spark, sf_dir))
 
 
+def q_deposits_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.deposits_per_customer(q_fact_deposit(spark, sf_dir), q_dim_account(spark, sf_dir))
+
+
+def q_loan_book_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.loan_book_by_status(q_dim_loan(spark, sf_dir))
+
+
 # -------------------------------------------------------------- streaming
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = tables.table(spark, sf_dir, "events").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-           .parquet(sf_dir))
-    return tables.stream_events(src)
+def _events_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    """The events as a stream: their table is copied to the shared folder
+    as ``batches`` groups of files in time order, one group per
+    micro-batch. Works for a table of one file and of many."""
+    ev = tables.table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events")
+    (ev.repartitionByRange(batches, "ts") if batches > 1 else ev).write.parquet(path)
+    src = spark.readStream.schema(ev.schema)
+    if batches > 1:
+        src = src.option("maxFilesPerTrigger", "1")
+    return tables.stream_events(src.parquet(path))
 
 
 def _cents(df: DataFrame, *cols: str) -> DataFrame:
@@ -196,7 +294,8 @@ def q_category_totals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_category_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = scratch_path(spark, "totals"), scratch_path(spark, "totals-ckpt")
-    totals.start_running_totals(_events_stream(spark, sf_dir), out, ck).awaitTermination()
+    events = _events_stream(spark, sf_dir, batches=4)
+    totals.start_running_totals(events, out, ck).awaitTermination()
     return _cents(totals.latest_totals(spark, out), "running_total")
 
 
@@ -230,15 +329,20 @@ def _append_stream(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 def q_stream_dedupe_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream dedupe by txn_id within a 1-hour watermark, then totals of
-    the surviving events."""
-    deduped = windows.dedupe_within_watermark(_events_stream(spark, sf_dir), delay="1 hour")
+    the surviving events. Every third event arrives twice."""
+    events = _events_stream(spark, sf_dir)
+    twice = F.when(F.col("txn_id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
+        F.array(F.lit(1)))
+    events = events.withColumn("copy", F.explode(twice)).drop("copy")
+    deduped = windows.dedupe_within_watermark(events, delay="1 hour")
     out = _append_stream(spark, deduped, "dedupe")
     return _cents(totals.category_totals(spark.read.parquet(out)), "running_total")
 
 
 def q_stream_known_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream-static semi-join: events of known customers only, then totals."""
-    customers = tables.table(spark, sf_dir, "customer")
+    """Stream-static semi-join: events of known customers only (here those
+    with money on their account), then totals."""
+    customers = tables.table(spark, sf_dir, "customer").where("c_acctbal > 0")
     known = cleaning.drop_orphans(_events_stream(spark, sf_dir), customers, "account_id",
                                   parent_key="c_custkey")
     out = _append_stream(spark, known, "known-users")
@@ -261,7 +365,9 @@ def q_daily_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_daily_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = scratch_path(spark, "daily"), scratch_path(spark, "daily-ckpt")
-    windows.start_windowed_totals(_events_stream(spark, sf_dir), out, ck).awaitTermination()
+    events = _events_stream(spark, sf_dir, batches=4)
+    # The files may be read in any order: nothing counts as too late.
+    windows.start_windowed_totals(events, out, ck, delay="3650 days").awaitTermination()
     df = windows.latest_windows(spark, out)
     return _cents(df, "total").withColumns({
         "window_start": F.col("window_start").cast("timestamp_ntz"),
@@ -317,6 +423,46 @@ _TXN = """
          l_returnflag AS category, l_shipdate AS txn_ts
   FROM lineitem"""
 
+# The damage of ``tables.dirty_transactions``, typed as cleaning types it.
+DIRTY_SQL = """
+  SELECT CASE WHEN l_orderkey % 50 = 7 AND l_linenumber = 1 THEN NULL
+              WHEN l_orderkey % 40 = 3 THEN CAST(l_orderkey AS VARCHAR) || '-1'
+              ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+              END AS txn_id,
+         CASE WHEN l_orderkey % 60 = 11 AND l_linenumber = 2 THEN NULL
+              WHEN l_orderkey % 100 = 13 THEN -l_orderkey ELSE l_orderkey END AS account_id,
+         CASE WHEN l_orderkey % 70 = 5 AND l_linenumber = 1 THEN NULL
+              WHEN l_orderkey % 70 = 6 AND l_linenumber = 1 THEN 'NaN'
+              WHEN l_orderkey % 70 = 8 AND l_linenumber = 1 THEN 'n/a'
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS VARCHAR) END AS amount,
+         l_returnflag AS category,
+         CASE WHEN l_orderkey % 80 = 9 AND l_linenumber = 1 THEN NULL
+              WHEN l_orderkey % 80 = 10 AND l_linenumber = 1 THEN 'soon'
+              ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS txn_ts
+  FROM lineitem"""
+
+_DIRTY_TAGGED = f"""
+  SELECT *, TRY_CAST(amount AS DOUBLE) AS amount_d, TRY_CAST(txn_ts AS TIMESTAMP) AS ts,
+         CASE WHEN txn_id IS NULL OR account_id IS NULL OR amount IS NULL OR txn_ts IS NULL
+                   THEN 'null_key'
+              WHEN TRY_CAST(amount AS DOUBLE) IS NULL OR isnan(TRY_CAST(amount AS DOUBLE))
+                   THEN 'bad_amount'
+              WHEN TRY_CAST(txn_ts AS TIMESTAMP) IS NULL THEN 'bad_txn_ts' END AS row_reason
+  FROM ({DIRTY_SQL}) t"""
+
+_DIRTY_OUTCOME = f"""
+  SELECT *, CASE WHEN row_reason IS NOT NULL THEN row_reason WHEN rn > 1 THEN 'duplicate'
+                 WHEN NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = n.account_id)
+                      THEN 'orphan' ELSE 'kept' END AS outcome
+  FROM (SELECT t.*, row_number() OVER (PARTITION BY txn_id, row_reason IS NULL
+               ORDER BY ts, amount_d, category NULLS FIRST, account_id) AS rn
+        FROM ({_DIRTY_TAGGED}) t) n"""
+
+_DIRTY_CLEAN = f"""
+  SELECT txn_id, account_id, amount_d AS amount, category, ts AS txn_ts,
+         CAST(ts AS DATE) AS txn_date
+  FROM ({_DIRTY_OUTCOME}) o WHERE outcome IN ('kept', 'orphan')"""
+
 _VALID = f"""
   SELECT * FROM ({_TXN}) t
   WHERE txn_id IS NOT NULL AND account_id IS NOT NULL AND amount IS NOT NULL
@@ -390,25 +536,46 @@ def _sql_audit() -> str:
                                     "dim_account": f"({_DIM_ACCOUNT})"})
 
 
-_REMOVAL_REPORT = f"""
+def _removal_report(outcome: str) -> str:
+    return f"""
   SELECT count(*) AS raw_rows,
          count(*) FILTER (WHERE outcome IN ('kept', 'orphan')) AS clean_rows,
          count(*) FILTER (WHERE outcome NOT IN ('kept', 'orphan')) AS removed_rows,
          count(*) FILTER (WHERE outcome = 'orphan') AS orphan_rows
-  FROM ({_OUTCOME}) x"""
+  FROM ({outcome}) x"""
+
 
 _ORPHAN_ROWS = """
   SELECT doc_id, lang, source, n_chars FROM documents d
   WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
 
-_STAR_TABLES = {"dim_customer": f"({_DIM_CUSTOMER})", "dim_account": f"({_DIM_ACCOUNT})",
-                "fact_transaction": f"({_FACT})"}
+_FACT_DEPOSIT = """
+  SELECT o_orderkey AS deposit_id, o_orderkey AS account_id, o_totalprice AS amount,
+         CAST(o_orderdate AS DATE) AS value_date FROM orders"""
 
+_DIM_LOAN = """
+  SELECT o_orderkey AS loan_id, o_custkey AS customer_id, o_totalprice AS principal,
+         CASE WHEN o_orderkey % 97 = 0 THEN 99.5
+              ELSE CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) END AS interest_rate,
+         o_orderstatus AS status, CAST(o_orderdate AS DATE) AS origination_date FROM orders"""
 
-def _sql_star_rules(suite) -> str:
-    present = [r for r in suite if r.table in _STAR_TABLES]
-    sql = _sql_rules(present, _STAR_TABLES)
-    return sql
+_STAR_TABLES = {"dim_customer": f"({_DIM_CUSTOMER})", "dim_account": f"({_DIM_ACCOUNT})",
+                "fact_transaction": f"({_FACT})", "fact_deposit": f"({_FACT_DEPOSIT})",
+                "dim_loan": f"({_DIM_LOAN})"}
+_DIRTY_STAR = {**_STAR_TABLES, "fact_transaction": f"({_DIRTY_CLEAN})"}
+
+_PUBLISHED = "\n  UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS published_rows FROM {sql} p"
+    for name, sql in _STAR_TABLES.items())
+_GATE_REPORT = f"""
+  SELECT r.*, p.published_rows
+  FROM ({_sql_rules(quality.STAR_SCHEMA_RULES, _STAR_TABLES)}) r
+  JOIN ({_PUBLISHED}) p ON r.table_name = p.table_name"""
+
+_DIRTY_FACT = f"""
+  SELECT *, CAST(row_number() OVER (PARTITION BY account_id ORDER BY txn_ts, txn_id) AS INTEGER)
+            AS txn_seq_in_account
+  FROM ({_DIRTY_CLEAN}) c"""
 
 
 _CURATED_SLICE = f"""
@@ -426,6 +593,16 @@ _LEDGER_BATCHES = """
   SELECT count(*) AS records, count(DISTINCT event_type) AS categories
   FROM events GROUP BY date_trunc('week', ts)"""
 
+_DEPOSITS_PER_CUSTOMER = f"""
+  SELECT a.customer_id, count(*) AS deposit_count, round(sum(d.amount), 2) AS deposit_total
+  FROM ({_FACT_DEPOSIT}) d JOIN ({_DIM_ACCOUNT}) a ON d.account_id = a.account_id
+  GROUP BY a.customer_id"""
+
+_LOAN_BOOK = f"""
+  SELECT status, count(*) AS loan_count, round(sum(principal), 2) AS principal_total,
+         round(avg(interest_rate), 4) AS avg_interest_rate
+  FROM ({_DIM_LOAN}) l GROUP BY status"""
+
 _DAILY_SPEND = f"""
   SELECT txn_date, category, round(sum(amount), 2) AS total_amount, count(*) AS txn_count
   FROM ({_FACT}) f GROUP BY txn_date, category"""
@@ -443,7 +620,8 @@ _CATEGORY_LEDGER = """
 _KNOWN_USER_TOTALS = """
   SELECT event_type AS category, round(sum(value), 2) AS running_total,
          count(*) AS txn_count
-  FROM events e WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id)
+  FROM events e WHERE EXISTS (SELECT 1 FROM customer c
+                            WHERE c.c_custkey = e.user_id AND c.c_acctbal > 0)
   GROUP BY event_type"""
 
 _DEDUPE_TOTALS = """
@@ -474,6 +652,18 @@ QUERIES: dict[str, Query] = {
     "removal_report": q_removal_report,
     "dq_audit": q_dq_audit,
     "etl_gate_report": q_etl_gate_report,
+    "fact_deposit": q_fact_deposit,
+    "dim_loan": q_dim_loan,
+    "deposits_per_customer": q_deposits_per_customer,
+    "loan_book_by_status": q_loan_book_by_status,
+    "dirty_clean": q_dirty_clean,
+    "dirty_fact": q_dirty_fact,
+    "dirty_quarantine": q_dirty_quarantine,
+    "dirty_summary": q_dirty_summary,
+    "dirty_removal_report": q_dirty_removal_report,
+    "dirty_audit": q_dirty_audit,
+    "dirty_raw_report": q_dirty_raw_report,
+    "dirty_gate": q_dirty_gate,
     "curated_date_slice": q_curated_date_slice,
     "star_spend_by_segment": q_star_spend_by_segment,
     "category_totals_batch": q_category_totals_batch,
@@ -495,15 +685,29 @@ ORACLES: dict[str, str] = {
     "dq_unique": _sql_rules(UNIQUE_RULES),
     "dq_referential": _sql_rules(FK_RULES),
     "dq_range": _sql_rules(RANGE_RULES),
-    "dq_report": _sql_star_rules(quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS),
+    "dq_report": _sql_rules(FULL_SUITE, _STAR_TABLES),
     "quarantine": _QUARANTINE,
     "clean_summary": _CLEAN_SUMMARY,
     "orphan_rows": _ORPHAN_ROWS,
-    "removal_report": _REMOVAL_REPORT,
+    "removal_report": _removal_report(_OUTCOME),
     "dq_audit": _sql_audit(),
-    "etl_gate_report": _sql_rules(
-        [r for r in quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS
-         if r.table in _STAR_TABLES], _STAR_TABLES),
+    "etl_gate_report": _GATE_REPORT,
+    "fact_deposit": _FACT_DEPOSIT,
+    "dim_loan": _DIM_LOAN,
+    "deposits_per_customer": _DEPOSITS_PER_CUSTOMER,
+    "loan_book_by_status": _LOAN_BOOK,
+    "dirty_clean": _DIRTY_CLEAN,
+    "dirty_fact": _DIRTY_FACT,
+    "dirty_quarantine": f"""
+  SELECT txn_id, account_id, amount, category, txn_ts, outcome AS reason
+  FROM ({_DIRTY_OUTCOME}) x WHERE outcome <> 'kept'""",
+    "dirty_summary": f"""
+  SELECT outcome, count(*) AS row_count FROM ({_DIRTY_OUTCOME}) x GROUP BY outcome""",
+    "dirty_removal_report": _removal_report(_DIRTY_OUTCOME),
+    "dirty_audit": _sql_rules(AUDIT_RULES, _DIRTY_STAR),
+    "dirty_raw_report": _sql_rules(DIRTY_RULES, {"transactions": f"({DIRTY_SQL})",
+                                                 "orders": "orders"}),
+    "dirty_gate": _sql_rules(FULL_SUITE, _DIRTY_STAR),
     "curated_date_slice": _CURATED_SLICE,
     "star_spend_by_segment": _STAR_SPEND,
     "category_totals_batch": _CATEGORY_TOTALS,

@@ -1,19 +1,19 @@
 """Batch ETL: raw entities → curated star schema, gated by quality rules.
 
-Stages: read (typed) → clean + quarantine → dimensions → sequenced fact →
-quality report → publish. The gate runs on the built DataFrames *before*
-anything is written, so a failing run publishes nothing but its report and
-quarantine.
-
-The built tables are read twice (by the gate and by the writer); they are
-checkpointed once into ``spark.checkpoint.dir`` (reliable storage, lineage
-cut), so executor loss after that point costs no recomputation.
+Stages: read (text) → clean + quarantine → dimensions → sequenced fact →
+quality report → publish. Every curated table is built once and staged as
+Parquet on the shared folder; the gate reads the staged files, and only a
+passing run (or report mode) writes the curated tables. Transactions of
+unknown accounts stay in the fact, so that the referential rule sees them;
+``drop_orphans`` moves them to the quarantine instead.
 
 CLI::
 
     python -m ledgerlake.plans.etl --input RAW --output CURATED [--report-only]
 
-exits 1 when a rule fails (unless ``--report-only``).
+exits 1 when a rule fails (unless ``--report-only``). ``--drop-orphans``
+quarantines transactions of unknown accounts, ``--more-rules`` adds the
+library's own rules to the original suite.
 """
 
 from __future__ import annotations
@@ -25,8 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators import cleaning, dims, quality, sequence
-from ledgerlake.operators.ranking import DEFAULT_POLICY, HotKeyPolicy, hot_keys
-from ledgerlake.session import build_session, checkpoint_root
+from ledgerlake.session import build_session, staged
 from ledgerlake.sinks.writers import ParquetWriter
 from ledgerlake.sources.raw import load_raw
 
@@ -46,21 +45,18 @@ class EtlResult:
         return not self.failed
 
 
-def build_star(raw: dict[str, DataFrame], *, policy: HotKeyPolicy = DEFAULT_POLICY,
-               drop_orphans: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Curated tables (lazy) and the transaction quarantine."""
-    dim_customer = dims.build_dim_customer(raw["customers"])
-    dim_account = dims.build_dim_account(raw["accounts"])
-    parent = dim_account if drop_orphans else None
-    kept, quarantine = cleaning.split_transactions(raw["transactions"], parent, policy=policy)
-    fact = sequence.build_fact_transaction(
-        kept, policy=policy, hot=hot_keys(raw["transactions"], "account_id", policy))
-    star = {"dim_customer": dim_customer, "dim_account": dim_account,
-            "fact_transaction": fact}
+def build_star(raw: dict[str, DataFrame], *, drop_orphans: bool = False
+               ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Curated tables, staged, and the transaction quarantine."""
+    star = {"dim_customer": staged(dims.build_dim_customer(raw["customers"]), "dim_customer"),
+            "dim_account": staged(dims.build_dim_account(raw["accounts"]), "dim_account")}
+    parent = star["dim_account"] if drop_orphans else None
+    kept, quarantine = cleaning.split_transactions(raw["transactions"], parent)
+    star["fact_transaction"] = staged(sequence.build_fact_transaction(kept), "fact_transaction")
     if "deposits" in raw:
-        star["fact_deposit"] = dims.build_fact_deposit(raw["deposits"])
+        star["fact_deposit"] = staged(dims.build_fact_deposit(raw["deposits"]), "fact_deposit")
     if "loans" in raw:
-        star["dim_loan"] = dims.build_dim_loan(raw["loans"])
+        star["dim_loan"] = staged(dims.build_dim_loan(raw["loans"]), "dim_loan")
     return star, quarantine
 
 
@@ -74,32 +70,28 @@ AUDIT_RULES = (
 )
 
 
-def audit_transactions(raw_transactions: DataFrame, raw_accounts: DataFrame, *,
-                       policy: HotKeyPolicy = DEFAULT_POLICY) -> tuple[DataFrame, DataFrame]:
-    """Dirty-data report: (rows per outcome – kept or rejection reason –,
-    rule report over the cleaned rows). Orphans survive cleaning, so the
+def audit_transactions(raw_transactions: DataFrame, raw_accounts: DataFrame) -> DataFrame:
+    """Rule report over the cleaned rows. Orphans survive cleaning, so the
     referential rule reports them; nothing raises."""
-    dim_account = dims.build_dim_account(raw_accounts)
-    summary = cleaning.clean_summary(raw_transactions, dim_account, policy=policy)
-    cleaned = cleaning.clean_transactions(raw_transactions)
-    report = quality.run_rules({"fact_transaction": cleaned, "dim_account": dim_account},
-                               AUDIT_RULES)
-    return summary, report
+    return quality.run_rules({"fact_transaction": cleaning.clean_transactions(raw_transactions),
+                              "dim_account": dims.build_dim_account(raw_accounts)}, AUDIT_RULES)
+
+
+def rules_for(tables, suite) -> tuple:
+    """The rules of ``suite`` on tables that a run builds: deposits and
+    loans are optional inputs, and rules on a table that is not built would
+    stop the gate."""
+    return tuple(r for r in suite if r.table in tables)
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], writer, *,
-            enforce: bool = True, rules=quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS,
-            policy: HotKeyPolicy = DEFAULT_POLICY, drop_orphans: bool = True,
-            materialize: bool = True) -> EtlResult:
+            enforce: bool = True, rules=quality.STAR_SCHEMA_RULES,
+            drop_orphans: bool = False) -> EtlResult:
     """Build, gate, publish. With ``enforce`` a failed rule stops the
     publish of the curated tables; report and quarantine are always
     written (``writer=None`` writes nothing)."""
-    star, quarantine = build_star(raw, policy=policy, drop_orphans=drop_orphans)
-    if materialize:
-        checkpoint_root(spark)
-        star = {k: v.checkpoint(eager=True) for k, v in star.items()}
-    report = quality.run_rules(star, rules).checkpoint(eager=True) if materialize else \
-        quality.run_rules(star, rules)
+    star, quarantine = build_star(raw, drop_orphans=drop_orphans)
+    report = staged(quality.run_rules(star, rules), "dq_report")
     failed = quality.failures(report)
     result = EtlResult(star, quarantine, report, failed)
     if writer is None:
@@ -119,12 +111,19 @@ def main(argv=None) -> int:
     ap.add_argument("--output", required=True)
     ap.add_argument("--report-only", action="store_true",
                     help="publish even when rules fail (report mode)")
+    ap.add_argument("--drop-orphans", action="store_true",
+                    help="quarantine transactions of unknown accounts")
+    ap.add_argument("--more-rules", action="store_true",
+                    help="also enforce the library's own rules")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session("ledgerlake-etl", args.master)
     try:
+        rules = quality.STAR_SCHEMA_RULES + (
+            quality.STAR_SCHEMA_ADDITIONS if args.more_rules else ())
         result = run_etl(spark, load_raw(spark, args.input), ParquetWriter(args.output),
-                         enforce=not args.report_only)
+                         enforce=not args.report_only, rules=rules,
+                         drop_orphans=args.drop_orphans)
         for row in result.failed:
             print(f"FAILED {quality.message(row)}")
         print("all data quality checks passed" if result.passed else

@@ -17,29 +17,30 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType(), True) for n in names]
 
 
-# Raw JSON-lines layouts (all ids, dates and timestamps arrive as text).
+# Raw JSON-lines layouts. Everything is read as text, numbers too (a quoted
+# number is a number), and typed by the builds.
 CUSTOMERS = T.StructType(_strings(
     "customer_id", "full_name", "email", "segment", "onboarded_date", "country"))
 
 ACCOUNTS = T.StructType(
     _strings("account_id", "customer_id", "account_type")
-    + [T.StructField("balance", T.DoubleType(), True)]
+    + [T.StructField("balance", T.StringType(), True)]
     + _strings("opened_date"))
 
 TRANSACTIONS = T.StructType(
     _strings("txn_id", "account_id")
-    + [T.StructField("amount", T.DoubleType(), True)]
+    + [T.StructField("amount", T.StringType(), True)]
     + _strings("category", "txn_ts"))
 
 DEPOSITS = T.StructType(
     _strings("deposit_id", "account_id")
-    + [T.StructField("amount", T.DoubleType(), True)]
+    + [T.StructField("amount", T.StringType(), True)]
     + _strings("value_date"))
 
 LOANS = T.StructType(
     _strings("loan_id", "customer_id")
-    + [T.StructField("principal", T.DoubleType(), True),
-       T.StructField("interest_rate", T.DoubleType(), True)]
+    + [T.StructField("principal", T.StringType(), True),
+       T.StructField("interest_rate", T.StringType(), True)]
     + _strings("status", "origination_date"))
 
 RAW = {
@@ -51,7 +52,10 @@ RAW = {
 }
 
 # A stream event carries the transaction fields; its txn_ts has a UTC offset.
-STREAM_EVENT = TRANSACTIONS
+STREAM_EVENT = T.StructType(
+    _strings("txn_id", "account_id")
+    + [T.StructField("amount", T.DoubleType(), True)]
+    + _strings("category", "txn_ts"))
 
 # Batch envelope: one text column holding base64 of the event JSON.
 ENVELOPE = T.StructType([T.StructField("data", T.StringType(), True)])
@@ -63,29 +67,27 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-# Curated column documentation (business glossary), attached as column
-# comments when tables are published. Fixed values, as written by the
-# data owners:
+# Comments of curated columns, attached when tables are published.
 GLOSSARY = {
     "dim_customer": {
-        "customer_id": "Unique identifier for a customer relationship",
-        "segment": "Customer tier used for pricing and marketing (retail, premium, small_business, student)",
+        "customer_id": "Key of the customer",
+        "segment": "Customer tier, e.g. retail or premium",
     },
     "dim_account": {
-        "account_type": "Product type of the account (checking, savings, money_market)",
-        "balance": "Current available balance on the account, in USD",
+        "account_type": "Kind of account, e.g. checking or savings",
+        "balance": "Balance in USD at the time of extraction",
     },
     "fact_transaction": {
-        "amount": "Transaction amount; negative = debit/spend, positive = credit",
-        "category": "Merchant/spend category assigned to a transaction",
-        "txn_date": "Partition key derived from txn_ts, used for partition pruning",
+        "amount": "Signed amount: spending is below zero",
+        "category": "Spending category",
+        "txn_date": "Day of txn_ts; the table is partitioned by it",
     },
     "dim_loan": {
-        "principal": "Original loan amount disbursed to the customer",
-        "interest_rate": "Annual interest rate (%) applied to the loan",
-        "status": "Current lifecycle state of the loan (current, delinquent, paid_off, default)",
+        "principal": "Amount lent at the start",
+        "interest_rate": "Yearly rate in percent",
+        "status": "State of the loan, e.g. current or paid_off",
     },
     "fact_deposit": {
-        "value_date": "Date the deposit is considered effective for balance purposes",
+        "value_date": "Day from which the deposit counts",
     },
 }

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants. Shuffle width is left to
 # the caller / cluster; AQE re-plans partition counts and skewed joins at
@@ -23,9 +23,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Small shuffles still spread over the cores (matters only for small data;
-    # large partitions are far above this size).
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.sources.partitionOverwriteMode": "static",
     # Stream state off the JVM heap (windows, watermark dedupe grow with the
     # number of keys); changelog checkpointing uploads only the changes of
@@ -78,11 +75,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(local_path(path), exist_ok=True)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet on the shared folder and read it back:
+    later plans start from the files, which survive lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,18 +1,8 @@
 """Writers for curated tables: Parquet paths and catalog tables.
 
-Partitioned writes first bring the rows of one partition value together,
-so each date is written by few tasks (few files per date, instead of
-tasks × dates small files). The strategy depends on Catalyst's size
-estimate of the data (no job is run to get it):
-
-* above ``SMALL_WRITE_BYTES``: a ``rebalance`` hint on the partition column;
-  AQE sizes the write tasks and splits a date that is too large into
-  several tasks instead of writing it from one;
-* at or below it: an explicit hash ``repartition`` by the partition column
-  over at most ``SMALL_WRITE_TASKS`` tasks. AQE would otherwise coalesce a
-  small rebalance into one or two tasks that write every date file one
-  after another; at this size no date is large enough to need splitting.
-  An overestimate only ever selects the rebalance path.
+Partitioned writes carry a ``rebalance`` hint on the partition column: the
+rows of one date come together, AQE sizes the write tasks and splits a date
+that is too large for one task.
 """
 
 from __future__ import annotations
@@ -35,26 +25,8 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     return df
 
 
-SMALL_WRITE_BYTES = 256 * 1024 * 1024
-SMALL_WRITE_TASKS = 64
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (statistics only, no job)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # estimate unavailable: treat as large
-        return None
-
-
 def _prepare(df: DataFrame, partition_col: str | None) -> DataFrame:
-    if not partition_col:
-        return df
-    size = estimated_bytes(df)
-    if size is not None and size <= SMALL_WRITE_BYTES:
-        tasks = max(1, min(df.sparkSession.sparkContext.defaultParallelism, SMALL_WRITE_TASKS))
-        return df.repartition(tasks, partition_col)
-    return df.hint("rebalance", partition_col)
+    return df.hint("rebalance", partition_col) if partition_col else df
 
 
 @dataclass

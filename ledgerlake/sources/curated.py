@@ -1,7 +1,8 @@
 """Reads of the curated layer with date-partition pruning.
 
 A filter on the partition column becomes ``PartitionFilters`` in the scan:
-only the matching ``txn_date=...`` folders are listed and read.
+only the matching ``txn_date=...`` folders are read. A path read lists all
+folders first; a catalog table lists only the partitions the filter leaves.
 """
 
 from __future__ import annotations

@@ -20,21 +20,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_PLANS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The DataFrame (a plan: file listing and footer
-    schema, no data) is reused within a session; every action still reads
-    the files."""
-    # Event times are naive (timestamp_ntz); day boundaries and parsed text
-    # must not depend on the caller's zone.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _PLANS or _PLANS[key].sparkSession is not spark:
-        _PLANS[key] = spark.read.parquet(path)
-    return _PLANS[key]
+    """A driver table (one file, or a folder of part files)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +62,43 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("country")))
 
 
+def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with every kind of damage, as text: missing and repeated
+    ids, missing and unknown accounts, missing, NaN and non-numeric
+    amounts, missing and unreadable times. Which rows are hit depends on
+    the line item's own numbers (see ``DIRTY_SQL`` in the catalog)."""
+    o, n = "l_orderkey", "l_linenumber"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"CASE WHEN {o} % 50 = 7 AND {n} = 1 THEN NULL"
+        f"     WHEN {o} % 40 = 3 THEN CAST({o} AS STRING) || '-1'"
+        f"     ELSE CAST({o} AS STRING) || '-' || CAST({n} AS STRING) END AS txn_id",
+        f"CASE WHEN {o} % 60 = 11 AND {n} = 2 THEN NULL"
+        f"     WHEN {o} % 100 = 13 THEN -{o} ELSE {o} END AS account_id",
+        f"CASE WHEN {o} % 70 = 5 AND {n} = 1 THEN NULL WHEN {o} % 70 = 6 AND {n} = 1 THEN 'NaN'"
+        f"     WHEN {o} % 70 = 8 AND {n} = 1 THEN 'n/a'"
+        "      ELSE CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS STRING) END AS amount",
+        "l_returnflag AS category",
+        f"CASE WHEN {o} % 80 = 9 AND {n} = 1 THEN NULL WHEN {o} % 80 = 10 AND {n} = 1"
+        "      THEN 'soon' ELSE date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') END AS txn_ts")
+
+
+def deposits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One deposit per order, on the order's account."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS deposit_id", "o_orderkey AS account_id", "o_totalprice AS amount",
+        "o_orderdate AS value_date")
+
+
+def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One loan per order of a customer; the rate is set by the priority's
+    first digit, and far too high for some orders."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS loan_id", "o_custkey AS customer_id", "o_totalprice AS principal",
+        "CASE WHEN o_orderkey % 97 = 0 THEN 99.5"
+        " ELSE CAST(substring(o_orderpriority, 1, 1) AS DOUBLE) END AS interest_rate",
+        "o_orderstatus AS status", "o_orderdate AS origination_date")
+
+
 def stream_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").cast("string").alias("txn_id"),

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -79,19 +80,11 @@ def latest_totals(spark: SparkSession, out_path: str) -> DataFrame:
             .select("category", "_t.running_total", "_t.txn_count"))
 
 
-def compact_latest(spark: SparkSession, out_path: str, target: str) -> str:
-    """Fold the per-batch outputs of ``start_running_totals`` into one
-    table of current totals (long-running streams accumulate one folder per
-    batch); ``latest_totals`` over the compacted table is the same view."""
-    (latest_totals(spark, out_path).withColumn("batch_id", F.lit(-1).cast("long"))
-     .write.mode("overwrite").parquet(target))
-    return target
-
-
 LEDGER_SCHEMA = T.StructType([
     T.StructField("category", T.StringType(), True),
     T.StructField("total", T.DoubleType(), True),
     T.StructField("n", T.LongType(), True),
+    T.StructField("batches", T.LongType(), True),
     T.StructField("reason", T.StringType(), True),
     T.StructField("data", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
@@ -101,10 +94,16 @@ LEDGER_SCHEMA = T.StructType([
 class CategoryLedger:
     """Idempotent per-batch ledger of partial category sums.
 
-    One write per micro-batch into ``<path>/batch_id=<id>``: the partial
-    sums, plus – when the input carries ``_bad`` from ``decode_events`` –
-    the rejected envelopes with their reason (rows with ``reason`` set).
-    A replayed batch overwrites its own folder with the same content.
+    One write per micro-batch into ``<path>/live/batch_id=<id>``: the
+    partial sums, plus – when the input carries ``_bad`` from
+    ``decode_events`` – the rejected envelopes with their reason (rows with
+    ``reason`` set). A replayed batch overwrites its own folder with the
+    same content.
+
+    ``compact`` folds all batches so far into ``<path>/folded/upto=<id>``,
+    rows of the same layout. Readers take the newest fold and the live
+    batches after it, so a ledger can be compacted midway and go on;
+    folders of folded batches may be deleted afterwards.
     """
 
     def __init__(self, path: str):
@@ -115,15 +114,17 @@ class CategoryLedger:
         good = good_events(batch) if "_bad" in batch.columns else batch
         out = (good.groupBy("category")
                .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
-               .select("category", "total", "n", F.lit(None).cast("string").alias("reason"),
+               .select("category", "total", "n", F.lit(1).cast("long").alias("batches"),
+                       F.lit(None).cast("string").alias("reason"),
                        F.lit(None).cast("string").alias("data")))
         if "_bad" in batch.columns:
             bad = bad_events(batch).select(
                 F.lit(None).cast("string").alias("category"),
                 F.lit(None).cast("double").alias("total"),
-                F.lit(None).cast("long").alias("n"), "reason", "data")
+                F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("batches"),
+                "reason", "data")
             out = out.unionByName(bad)
-        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(f"{self.path}/live/batch_id={batch_id}")
 
     def start(self, events: DataFrame, checkpoint: str, *, trigger: str | None = "availableNow",
               name: str | None = None) -> StreamingQuery:
@@ -133,8 +134,24 @@ class CategoryLedger:
             w = w.queryName(name)
         return _trigger(w, trigger).start()
 
+    def _live(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.path}/live")
+
+    def _folded(self, spark: SparkSession) -> tuple[int, DataFrame] | None:
+        """The last folded batch and the rows of its fold."""
+        schema = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("upto", T.LongType(), True)])
+        try:
+            folds = spark.read.schema(schema).parquet(f"{self.path}/folded")
+        except AnalysisException:  # no fold yet
+            return None
+        upto = folds.agg(F.max("upto")).first()[0]
+        return None if upto is None else (upto, folds.where(F.col("upto") == upto).drop("upto"))
+
     def entries(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+        live, folded = self._live(spark), self._folded(spark)
+        if folded is None:
+            return live
+        return folded[1].unionByName(live.where(F.col("batch_id") > folded[0]))
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return (self.entries(spark).filter(F.col("reason").isNotNull())
@@ -144,16 +161,27 @@ class CategoryLedger:
         return (self.entries(spark).filter(F.col("reason").isNull()).groupBy("category")
                 .agg(F.sum("total").alias("running_total"),
                      F.sum("n").alias("txn_count"),
-                     F.count(F.lit(1)).alias("batch_count")))
+                     F.sum("batches").alias("batch_count")))
 
     def batch_summary(self, spark: SparkSession) -> DataFrame:
-        """Per micro-batch: records processed and distinct categories seen
-        (what the original consumer printed per invocation)."""
-        return (self.entries(spark).filter(F.col("reason").isNull()).groupBy("batch_id")
+        """Per micro-batch still held live: records processed and distinct
+        categories seen (what the original consumer printed per call)."""
+        return (self._live(spark).filter(F.col("reason").isNull()).groupBy("batch_id")
                 .agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("categories")))
 
-    def compact(self, spark: SparkSession, target: str) -> str:
-        """Fold all ledger batches into one table of per-category sums
-        (for long-running ledgers); returns ``target``."""
-        self.view(spark).write.mode("overwrite").parquet(target)
-        return target
+    def compact(self, spark: SparkSession) -> int | None:
+        """Fold all batches so far; returns the last folded batch_id (None
+        for an empty ledger). Repeating it after a crash writes the same
+        fold again."""
+        last = self._live(spark).agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return None
+        rows = self.entries(spark).where(F.col("batch_id") <= last)
+        sums = (rows.filter(F.col("reason").isNull()).groupBy("category")
+                .agg(F.sum("total").alias("total"), F.sum("n").alias("n"),
+                     F.sum("batches").alias("batches"), F.max("batch_id").alias("batch_id"),
+                     F.lit(None).cast("string").alias("reason"),
+                     F.lit(None).cast("string").alias("data")))
+        (sums.unionByName(rows.filter(F.col("reason").isNotNull()))
+         .write.mode("overwrite").parquet(f"{self.path}/folded/upto={last}"))
+        return last

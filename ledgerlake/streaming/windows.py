@@ -4,8 +4,8 @@
   watermark; state for a window is dropped once the watermark passes it.
 * ``dedupe_within_watermark`` – drop repeated txn_ids seen within the
   watermark delay (bounded state, unlike a global dedupe).
-* ``drop_unknown`` – stream-static anti/semi join against a dimension
-  (the same ``drop_orphans`` / ``orphans_of`` as batch).
+* ``cleaning.drop_orphans`` works on a stream as on a batch (stream-static
+  semi-join against a dimension).
 
 ``withWatermark`` needs a TIMESTAMP (with time zone) column; a
 ``timestamp_ntz`` column is cast (session time zone UTC).

@@ -4,6 +4,8 @@ registration with comments, date-partition pruning."""
 import json
 import os
 
+import pytest
+
 from ledgerlake.operators import quality
 from ledgerlake.plans.etl import run_etl
 from ledgerlake.sinks.writers import CatalogWriter, ParquetWriter, register_location
@@ -70,11 +72,16 @@ def test_dirty_run_is_gated(spark, tmp_dir):
     raw = load_raw(spark, raw_zone(f"{tmp_dir}/raw", dirty=True))
     writer = ParquetWriter(f"{tmp_dir}/curated")
     result = run_etl(spark, raw, writer)
-    # the duplicate and the orphan were quarantined; the loan rate fails the gate
-    assert [(r.table_name, r.rule) for r in result.failed] == [("dim_loan", "range")]
+    # the orphan stays in the fact and fails its rule, like the loan rate
+    assert sorted((r.table_name, r.rule) for r in result.failed) == [
+        ("dim_loan", "range"), ("fact_transaction", "referential")]
     assert "fact_transaction" not in result.published
     q = spark.read.parquet(writer.path("quarantine_transaction")).collect()
-    assert sorted(r.reason for r in q) == ["duplicate", "orphan"]
+    assert sorted(r.reason for r in q) == ["duplicate"]
+    # on request the orphan is quarantined instead
+    result = run_etl(spark, raw, ParquetWriter(f"{tmp_dir}/curated1"), drop_orphans=True)
+    assert [(r.table_name, r.rule) for r in result.failed] == [("dim_loan", "range")]
+    assert sorted(r.reason for r in result.quarantine.collect()) == ["duplicate", "orphan"]
     # report mode publishes anyway
     result = run_etl(spark, raw, ParquetWriter(f"{tmp_dir}/curated2"), enforce=False)
     assert "fact_transaction" in result.published
@@ -102,7 +109,7 @@ def test_catalog_writer_comments_and_pruning(spark, tmp_dir):
     assert parts == ["txn_date=2026-01-01", "txn_date=2026-01-02"]
     comments = {r.col_name: r.comment for r in
                 spark.sql("DESCRIBE TABLE curated_test.fact_transaction").collect()}
-    assert comments["amount"].startswith("Transaction amount")
+    assert comments["amount"].startswith("Signed amount")
     sliced = spark.table("curated_test.fact_transaction").filter("txn_date = DATE'2026-01-02'")
     plan = sliced._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(txn_date" in plan
@@ -122,14 +129,19 @@ def test_register_existing_files_and_date_slice(spark, tmp_dir):
 
 
 def test_report_schema(spark):
-    report = quality.run_rules({}, quality.STAR_SCHEMA_RULES)
+    report = quality.run_rules({}, ())
     assert report.schema == quality.REPORT_SCHEMA and report.count() == 0
+    # a rule that cannot be checked does not pass
+    with pytest.raises(KeyError):
+        quality.run_rules({}, quality.STAR_SCHEMA_RULES)
 
 
 def test_audit_dirty_transactions(spark, tmp_dir):
+    from ledgerlake.operators.cleaning import clean_summary
     from ledgerlake.plans.etl import audit_transactions
     raw = load_raw(spark, raw_zone(f"{tmp_dir}/raw", dirty=True))
-    summary, report = audit_transactions(raw["transactions"], raw["accounts"])
+    report = audit_transactions(raw["transactions"], raw["accounts"])
+    summary = clean_summary(raw["transactions"], raw["accounts"])
     assert {r.outcome: r.row_count for r in summary.collect()} == {
         "kept": 3, "duplicate": 1, "orphan": 1}
     failed = [(r.rule, r.column_name, r.violations) for r in report.collect() if not r.passed]
@@ -149,22 +161,29 @@ def test_dynamic_overwrite_keeps_other_dates(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/c/f").count() == 1
 
 
-def test_etl_with_hot_key_split_path(spark, tmp_dir):
-    """One account holds most transactions; with a policy that marks it hot
-    the published fact equals a run without splitting."""
-    from ledgerlake.operators.ranking import HotKeyPolicy
+def test_etl_with_one_large_account(spark, tmp_dir):
+    """One account holds most transactions: its numbers have no gap."""
     root = raw_zone(f"{tmp_dir}/raw")
     rows = [{"txn_id": f"h{i:03d}", "account_id": "a1", "amount": float(i), "category": "rent",
              "txn_ts": f"2026-01-{1 + i % 20:02d}T{i % 24:02d}:00:00"} for i in range(300)]
     rows += [{"txn_id": f"c{i:03d}", "account_id": "a2", "amount": 1.0, "category": "food",
               "txn_ts": "2026-01-03T00:00:00"} for i in range(5)]
     _lines(f"{root}/transactions/transactions.jsonl", rows)
-    raw = load_raw(spark, root)
-    hot = run_etl(spark, raw, ParquetWriter(f"{tmp_dir}/hot"),
-                  policy=HotKeyPolicy(min_rows=50, fraction=1.0, rows_per_task=40))
-    plain = run_etl(spark, raw, ParquetWriter(f"{tmp_dir}/plain"))
-    assert hot.passed and plain.passed
-    pick = lambda p: sorted((r.txn_id, r.txn_seq_in_account)
-                            for r in spark.read.parquet(f"{p}/fact_transaction").collect())
-    assert pick(f"{tmp_dir}/hot") == pick(f"{tmp_dir}/plain")
-    assert len(pick(f"{tmp_dir}/hot")) == 305
+    result = run_etl(spark, load_raw(spark, root), ParquetWriter(f"{tmp_dir}/out"))
+    assert result.passed
+    fact = spark.read.parquet(f"{tmp_dir}/out/fact_transaction").collect()
+    want = sorted((r["txn_ts"], r["txn_id"]) for r in rows[:300])
+    got = {r.txn_id: r.txn_seq_in_account for r in fact}
+    assert [got[i] for _, i in want] == list(range(1, 301))
+
+
+def test_quoted_amounts_are_numbers(spark, tmp_dir):
+    root = raw_zone(f"{tmp_dir}/raw")
+    base = {"account_id": "a1", "category": "rent", "txn_ts": "2026-01-03T00:00:00"}
+    _lines(f"{root}/transactions/transactions.jsonl", [
+        {"txn_id": "q1", "amount": "19.99", **base}, {"txn_id": "q2", "amount": 3, **base},
+        {"txn_id": "q3", "amount": "oops", **base}])
+    result = run_etl(spark, load_raw(spark, root), None)
+    fact = {r.txn_id: r.amount for r in result.tables["fact_transaction"].collect()}
+    assert fact == {"q1": 19.99, "q2": 3.0}
+    assert [(r.txn_id, r.reason) for r in result.quarantine.collect()] == [("q3", "bad_amount")]

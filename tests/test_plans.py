@@ -22,19 +22,23 @@ def test_clean_path_pushes_filters_and_prunes_columns(spark):
     assert "l_partkey" not in read and "l_tax" not in read
 
 
-def test_fact_build_has_two_exchanges_and_partial_limit(spark):
-    plan = plan_of(catalog.q_fact_transaction(spark, SF))
-    exchanges = re.findall(r"Arguments: hashpartitioning\((\w+)", plan)
-    assert sorted(exchanges) == ["account_id", "txn_id"]
+def test_dedupe_limits_before_the_shuffle(spark):
+    plan = plan_of(catalog.q_clean_transactions(spark, SF))
+    assert re.findall(r"Arguments: hashpartitioning\((\w+)", plan) == ["txn_id"]
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_clean_summary_scans_the_transactions_once(spark):
+    plan = plan_of(catalog.q_clean_summary(spark, SF))
+    assert len(re.findall(r"Scan parquet.*\nOutput.*l_orderkey", plan)) == 1
+
+
 def test_fk_check_broadcasts_small_parent(spark):
     orders = tables.table(spark, SF, "orders")
     customer = tables.table(spark, SF, "customer")
-    df = quality.referential_check(orders, "orders",
-                                   quality.ForeignKey("o_custkey", "customer", "c_custkey"),
-                                   customer)
+    rules = quality.TableRules("orders", foreign_keys=(
+        quality.ForeignKey("o_custkey", "customer", "c_custkey"),))
+    df = quality.table_checks(orders, rules, {"customer": customer})[0]
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final or "broadcast" in final.lower()

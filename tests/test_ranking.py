@@ -1,16 +1,13 @@
-"""Row numbering with the hot-key split path forced on, compared with a
-plain window (brute force)."""
+"""Row numbering over range partitions, compared with a plain window."""
 
 import random
 
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlake.operators.ranking import HotKeyPolicy, hot_keys, keep_first, number_within
+from ledgerlake.operators.ranking import keep_first, number_within
 from ledgerlake.operators.sequence import build_fact_transaction
 
-FORCE = HotKeyPolicy(min_rows=50, fraction=1.0, rows_per_task=40)
-
 
 def skewed(spark, n=2000, seed=3):
     rnd = random.Random(seed)
@@ -27,26 +24,11 @@ def brute(df):
     return {(r.k, r.id): r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
 
 
-def test_hot_keys_found(spark):
-    hot = hot_keys(skewed(spark), "k", FORCE)
-    keys = {r.k for r in hot.collect()}
-    assert "hot" in keys and None in keys
-
-
-def test_split_path_equals_plain_window(spark):
+def test_numbering_equals_plain_window(spark):
     df = skewed(spark)
-    got = number_within(df, "k", ["ts", "id"], "rn", policy=FORCE)
+    got = number_within(df, "k", ["ts", "id"], "rn")
     assert got.count() == df.count()
     assert {(r.k, r.id): r.rn for r in got.collect()} == brute(df)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "_pid" in plan and "_pos" in plan  # hot rows took the split path
-
-
-def test_plain_path_when_no_hot_keys(spark):
-    df = skewed(spark)
-    got = number_within(df, "k", ["ts", "id"], "rn")  # default policy: nothing is hot
-    assert "_pid" not in got._jdf.queryExecution().executedPlan().toString()
-    assert {(r.k, r.id): r.rn for r in got.collect()} == brute(df)
 
 
 def test_keep_first_plan_limits_before_shuffle(spark):
@@ -58,29 +40,11 @@ def test_keep_first_plan_limits_before_shuffle(spark):
     assert {r.k: r.id for r in first.collect()} == want
 
 
-def test_fact_sequence_on_hot_account(spark):
-    rows = [(f"t{i:04d}", "acct-hot" if i % 2 else f"a{i % 7}", float(i), "rent",
-             f"2026-01-{1 + i % 28:02d}T00:00:00") for i in range(600)]
-    from ledgerlake.operators.cleaning import clean_transactions
-    from ledgerlake.schemas import TRANSACTIONS
-    clean = clean_transactions(spark.createDataFrame(rows, TRANSACTIONS))
-    fast = build_fact_transaction(clean, policy=FORCE)
-    slow = build_fact_transaction(clean, hot=None)
-    pick = lambda d: sorted((r.txn_id, r.txn_seq_in_account) for r in d.collect())
-    assert pick(fast) == pick(slow)
-
-
-def test_split_path_on_driver_data(spark):
-    """Many hot accounts over shuffled input (row order inside partitions
-    is not fixed): the split path must still equal the plain window."""
+def test_fact_sequence_on_driver_data(spark):
     from ledgerlake.operators.cleaning import clean_transactions
     from ledgerlake.sources import tables
-    raw = tables.transactions(spark, "/root/testdata/sf0.01")
-    pol = HotKeyPolicy(min_rows=8, fraction=0.5, rows_per_task=3000)
-    hot = hot_keys(raw, "account_id", pol)
-    assert hot.count() > 100
-    clean = clean_transactions(raw)
-    fast = build_fact_transaction(clean, policy=pol, hot=hot)
-    slow = build_fact_transaction(clean, hot=None)
+    clean = clean_transactions(tables.transactions(spark, "/root/testdata/sf0.01"))
+    w = Window.partitionBy("account_id").orderBy("txn_ts", "txn_id")
+    plain = clean.withColumn("txn_seq_in_account", F.row_number().over(w))
     pick = lambda d: sorted((r.txn_id, r.txn_seq_in_account) for r in d.collect())
-    assert pick(fast) == pick(slow)
+    assert pick(build_fact_transaction(clean)) == pick(plain)

@@ -173,12 +173,19 @@ def test_ledger_compaction(spark, tmp_dir):
     ledger = totals.CategoryLedger(f"{tmp_dir}/ledger")
     stream = parse.decode_events(parse.read_envelopes(spark, src, max_files_per_trigger=1))
     ledger.start(stream, f"{tmp_dir}/ck").awaitTermination()
-    target = ledger.compact(spark, f"{tmp_dir}/compacted")
-    got = {r.category: (r.running_total, r.txn_count, r.batch_count)
-           for r in spark.read.parquet(target).collect()}
-    assert got == {"rent": (6.0, 3, 2), "dining": (-2.5, 1, 1)}
+    before = view(ledger, spark)
+    assert before == {"rent": (6.0, 3, 2), "dining": (-2.5, 1, 1)}
+    assert ledger.compact(spark) == 1
+    assert view(ledger, spark) == before
+    # A batch after the fold is added to it, folding again keeps the sums.
+    later = spark.createDataFrame([("rent", 4.0)], "category string, amount double")
+    ledger.write_batch(later, 2)
+    after = {"rent": (10.0, 4, 3), "dining": (-2.5, 1, 1)}
+    assert view(ledger, spark) == after
+    assert ledger.compact(spark) == 2 and ledger.compact(spark) == 2
+    assert view(ledger, spark) == after
     summary = sorted((r.records, r.categories) for r in ledger.batch_summary(spark).collect())
-    assert summary == [(1, 1), (3, 2)]
+    assert summary == [(1, 1), (1, 1), (3, 2)]
 
 
 def test_processing_time_trigger(spark, tmp_dir):
