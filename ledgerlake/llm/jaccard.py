@@ -6,14 +6,17 @@ overlap enough, then for every m the first ``n - ceil(t n) + m`` shingles
 of both have at least m in common. A class chooses its own m: where its
 prefix would meet many others it is lengthened, and a partner has to share
 as many more prefix shingles before the pair is verified (a pair has to
-meet the smaller m of its two classes).
+meet the smaller m of its two classes). A class with m may leave the
+``(m - 1) // 2`` most frequent shingles out of its prefix: of m common
+shingles at least one is then still held by both.
 
-Links are found in two rounds, because a component needs no more links than
+Links are found in two steps, because a component needs no more links than
 hold it together:
 
-1. every class is verified against the smallest classes that share most of
-   its prefix shingles (stars); the links form first components;
-2. all candidate pairs from different components are verified.
+1. a few times, one class of every posting list is its star, and every
+   class is verified against the stars that share most of its prefix; the
+   links form components, and the next stars are tried across components;
+2. all candidate pairs from different components that are left are verified.
 
 No pair within a component is lost by that, and a large group of copies is
 never expanded into all its pairs.
@@ -36,8 +39,8 @@ from ledgerlake.llm.components import components
 SHINGLE = 5
 # Similarity in hundredths.
 PERCENT = 75
-# Longest lengthening of a prefix.
-MATCHES = (1, 2, 4)
+# How many common shingles a class may ask for.
+MATCHES = (1, 2, 4, 8)
 # A pair costs as much to verify as so many postings cost to merge.
 VERIFY_COST = 50
 # Shingles in at least this share of all postings are counted and put last;
@@ -46,10 +49,11 @@ HOT = 5e-7
 LEAST_HOT = 3
 # Shingles a task counts at a time when it looks for frequent ones.
 COUNTED = 1 << 21
-# Stars a class is verified against in round 1.
-STARS = 2
+# Rounds of stars, and stars a class is verified against in each.
+ROUNDS = 2
+STARS = 3
 # Stars share at least this part of the set in the prefix; weaker pairs wait
-# for round 2.
+# for step 2.
 STAR_PERCENT = 10
 # A null key sorts behind all others.
 LAST = (1 << 63) - 1
@@ -164,7 +168,7 @@ def _joined(held) -> pa.RecordBatch:
     return batch(_POSTING, signed(tokens), c, n, extra)
 
 
-_SETS = pa.schema([("c", pa.int64()), ("shingles", pa.binary())])
+_SETS = pa.schema([("c", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
 
 def _sets(wanted: Broadcast, shingle: int):
@@ -182,9 +186,9 @@ def _sets(wanted: Broadcast, shingle: int):
                 if len(seen) < 1_000_000:
                     seen.add(c)
                 cs.append(c)
-                sets.append(s.tobytes())
-                size += len(sets[-1])
-                if size > 8 << 20:
+                sets.append(signed(s))
+                size += len(s)
+                if size > 1 << 20:
                     yield batch(_SETS, cs, sets)
                     cs, sets, size = [], [], 0
             if cs:
@@ -192,47 +196,99 @@ def _sets(wanted: Broadcast, shingle: int):
     return run
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()),
-                        ("whole", pa.int64())])
-    for rows in batches:
-        shared, whole = [], []
-        for x, y in zip(rows.column(2), rows.column(3)):
-            x = np.frombuffer(x.as_buffer(), np.uint64)
-            y = np.frombuffer(y.as_buffer(), np.uint64)
-            k = len(np.intersect1d(x, y, assume_unique=True))
-            shared.append(k)
-            whole.append(len(x) + len(y) - k)
-        yield batch(schema, rows.column(0), rows.column(1), shared, whole)
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are links, by exact intersection."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+def _sets_of(classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(c, shingles) for the classes (c), staged."""
+    wanted = staged(classes.distinct(), "jaccard-wanted")
     bitmap = broadcast_bitmap(wanted, F.col("c"))
-    sets = staged(texts.mapInArrow(_sets(bitmap, shingle), "c bigint, shingles binary"),
+    sets = staged(texts.mapInArrow(_sets(bitmap, shingle), "c bigint, shingles array<bigint>"),
                   "jaccard-sets")
-    sets = staged(sets.join(staged(wanted, "jaccard-wanted"), "c", "left_semi")
-                  .dropDuplicates(["c"]), "jaccard-sets")
+    return staged(sets.join(wanted, "c", "left_semi").dropDuplicates(["c"]), "jaccard-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are links, by exact intersection.
+    Pairs without both sets drop out."""
     both = (pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b"))
-    counted = both.select("a", "b", "x", "y").mapInArrow(
-        _overlap, "a bigint, b bigint, shared bigint, whole bigint")
-    return staged(counted.where(F.col("shared") * 100 >= F.col("whole") * percent)
+    shared = F.size(F.array_intersect("x", "y"))
+    return staged(both.where(shared * (100 + percent) >= (F.size("x") + F.size("y")) * percent)
                   .select("a", "b"), "jaccard-links")
 
 
+def _across(postings: DataFrame, linked: DataFrame) -> DataFrame:
+    """Postings with their component, of the lists that hold several."""
+    marked = staged(postings.join(linked.withColumnRenamed("node", "c"), "c", "left")
+                    .withColumn("comp", F.coalesce("component", "c")).drop("component"),
+                    "jaccard-marked")
+    mixed = staged(marked.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("z"))
+                   .where("a < z").select("token"), "jaccard-mixed")
+    return staged(marked.join(mixed, "token"), "jaccard-mixed-postings")
+
+
+def _stars(across: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): b is the star of lists that a is in, from another
+    component. The first star of a list is its most popular class (the
+    least changed of a group of copies), later ones change by hash."""
+    rank = F.struct("popular", "c") if turn == 0 else F.struct(F.xxhash64("c", F.lit(turn)), "c")
+    tops = staged(across.groupBy("token").agg(
+        F.max(F.struct(rank.alias("rank"), "c", "comp")).alias("star"))
+        .select("token", F.col("star.c").alias("b"), F.col("star.comp").alias("b_comp")),
+        "jaccard-tops")
+    best = Window.partitionBy("c").orderBy(F.desc("shared"), "b")
+    found = (across.join(tops, "token").where("comp <> b_comp").groupBy("c", "b")
+             .agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+             .where(F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)
+             .withColumn("place", F.row_number().over(best)).where(f"place <= {STARS}"))
+    return staged(found.select(F.col("c").alias("a"), "b"), "jaccard-stars")
+
+
 def _sizes_fit(x: str, y: str, percent: int):
     """Sets whose sizes differ too much cannot be similar enough."""
     return ((F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent))
 
 
+def _left_out(m: int) -> int:
+    """Shingles a class leaves out of a prefix lengthened for m."""
+    return (m - 1) // 2
+
+
+def _chosen(postings: DataFrame, percent: int) -> DataFrame:
+    """The postings (token, c, n, m, popular) of each class's own prefix: the
+    m that costs least to merge and verify, the most frequent left out. A
+    prefix is as long as the document allows, so it fits in a row."""
+    by_class = postings.groupBy("c").agg(
+        F.first("n").alias("n"),
+        F.reverse(F.array_sort(F.collect_list(F.struct("k", "token", "extra"))))
+        .alias("prefix"))
+    # A prefix cannot be lengthened beyond the least overlap of its set.
+    room = F.ceil(F.col("n") * percent / 100)
+    options = []
+    for m in MATCHES:
+        kept = F.filter("prefix", lambda p, m=m: p["extra"] < m)
+        kept = F.slice(kept, _left_out(m) + 1, F.greatest(F.size(kept), F.lit(1)))
+        merged = F.aggregate(kept, F.lit(0).cast("bigint"), lambda acc, p: acc + p["k"] - 1)
+        cost = F.when(F.lit(m) <= F.greatest(room, F.lit(1)), merged + VERIFY_COST * merged / m)
+        options.append(F.struct(F.coalesce(cost, F.lit(float("inf"))).alias("cost"),
+                                F.lit(m).alias("m"), kept.alias("kept")))
+    popular = F.aggregate("prefix", F.lit(0).cast("bigint"), lambda acc, p: acc + p["k"])
+    best = by_class.select("c", "n", (popular / F.col("n")).alias("popular"),
+                           F.array_min(F.array(*options)).alias("best"))
+    return best.select("c", "n", "popular", F.col("best.m").alias("m"),
+                       F.explode("best.kept").alias("p")) \
+        .select("p.token", "c", "n", "m", "popular")
+
+
 def _can_reach(percent: int):
     """Whether a pair can overlap enough. Beyond what the prefixes share
-    only the rest of one set is left: of the set whose prefix ends first."""
+    only the rest of one set is left (of the set whose prefix ends first),
+    and what either left out of its prefix."""
     def rest(n: str, m: str):
         return F.ceil(F.col(n) * percent / 100) - F.col(m)
-    most = F.col("shared") + F.greatest(rest("n", "m"), rest("n2", "m2"))
+
+    def left_out(m: str):
+        return F.floor((F.col(m) - 1) / 2)
+    most = (F.col("shared") + left_out("m") + left_out("m2")
+            + F.greatest(rest("n", "m"), rest("n2", "m2")))
     return most * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
 
 
@@ -262,53 +318,44 @@ def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str
     postings = staged(texts.mapInArrow(_postings(order, shingle, percent, bitmap), _POSTING_SQL),
                       "jaccard-postings")
     lists = staged(postings.groupBy("token").agg(
-        F.min("c").alias("first"), F.max("c").alias("z"), F.count(F.lit(1)).alias("k"))
-        .where("first < z").drop("z"), "jaccard-lists")
-    postings = staged(postings.join(lists, "token")
-                      .groupBy("token", "c", "n", "extra", "first")
+        F.min("c").alias("a"), F.max("c").alias("z"), F.count(F.lit(1)).alias("k"))
+        .where("a < z").drop("a", "z"), "jaccard-lists")
+    postings = staged(postings.join(lists, "token").groupBy("token", "c", "n", "extra")
                       .agg(F.max("k").alias("k")), "jaccard-postings")
 
-    # Each class weighs its prefixes: merging every list, and verifying the
-    # partners that may remain when m shingles have to be shared.
-    met_by = [F.sum(F.when(F.col("extra") < m, F.col("k") - 1).otherwise(0)) for m in MATCHES]
-    cost = F.array_min(F.array(*[
-        F.struct((s + VERIFY_COST * s / m).alias("cost"), F.lit(m).alias("m"))
-        for s, m in zip(met_by, MATCHES)]))
-    # A prefix cannot be lengthened beyond the least overlap of its set.
-    room = F.greatest(F.ceil(F.first("n") * percent / 100), F.lit(1)).cast("int")
-    chosen = staged(postings.groupBy("c").agg(F.least(cost["m"], room).alias("m")),
-                    "jaccard-matches")
-    postings = staged(postings.join(chosen, "c").where("extra < m")
-                      .select("token", "c", "n", "m", "first"), "jaccard-postings")
-
-    # Round 1.
-    stars = (postings.where("c <> first").groupBy("c", "first")
-             .agg(F.count(F.lit(1)).alias("shared"), F.max("m").alias("m"), F.max("n").alias("n"))
-             .where((F.col("shared") >= F.col("m"))
-                    & (F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)))
-    best = Window.partitionBy("c").orderBy(F.desc("shared"), "first")
-    stars = staged(stars.withColumn("place", F.row_number().over(best)).where(f"place <= {STARS}")
-                   .select(F.col("c").alias("a"), F.col("first").alias("b")), "jaccard-stars")
-    links = _verified(stars, texts, shingle, percent)
-    linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    # Round 2: lists that still hold several components.
-    marked = staged(postings.drop("first").join(
-        linked.withColumnRenamed("node", "c"), "c", "left")
-        .withColumn("comp", F.coalesce("component", "c")).drop("component"), "jaccard-marked")
-    mixed = staged(marked.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("z"))
-                   .where("a < z").select("token"), "jaccard-mixed")
-    left = staged(marked.join(mixed, "token"), "jaccard-mixed-postings")
+    # Each class weighs its prefixes and keeps the postings of the cheapest.
+    postings = staged(_chosen(postings, percent), "jaccard-postings")
+
+    # Step 1: stars. Their sets are fetched once: the classes that share
+    # much with a star of the first turn.
+    empty = postings.select(F.col("c").alias("a"), F.col("c").alias("b")).where(F.lit(False))
+    links, sets = empty, None
+    linked = empty.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    for turn in range(ROUNDS):
+        across = _across(postings, linked)
+        stars = _stars(across, turn)
+        if sets is None:
+            sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("c")), texts, shingle)
+        new = _verified(stars, sets, percent)
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+    # Step 2: every pair left.
+    left = _across(postings, linked)
     right = left.select(*[F.col(x).alias(f"{x}2") for x in ("token", "c", "n", "m", "comp")])
-    pairs = (left.join(right, (F.col("token") == F.col("token2")) & (F.col("c") < F.col("c2"))
-                       & (F.col("comp") != F.col("comp2")) & _sizes_fit("n", "n2", percent))
-             .groupBy("c", "c2").agg(F.count(F.lit(1)).alias("shared"),
-                                     F.first("n").alias("n"), F.first("n2").alias("n2"),
-                                     F.first("m").alias("m"), F.first("m2").alias("m2"))
-             .where((F.col("shared") >= F.least("m", "m2")) & _can_reach(percent)).select(F.col("c").alias("a"), F.col("c2").alias("b")))
-    more = _verified(staged(pairs, "jaccard-pairs"), texts, shingle, percent)
-    final = components(links.unionByName(more)
-                       .select(F.col("a").alias("u"), F.col("b").alias("v")))
+    pairs = staged(left.join(right, (F.col("token") == F.col("token2"))
+                             & (F.col("c") < F.col("c2")) & (F.col("comp") != F.col("comp2"))
+                             & _sizes_fit("n", "n2", percent))
+                   .groupBy("c", "c2").agg(F.count(F.lit(1)).alias("shared"),
+                                           F.first("n").alias("n"), F.first("n2").alias("n2"),
+                                           F.first("m").alias("m"), F.first("m2").alias("m2"))
+                   .where(_can_reach(percent))
+                   .select(F.col("c").alias("a"), F.col("c2").alias("b")), "jaccard-pairs")
+    rest = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("c")), texts, shingle)
+    links = links.unionByName(_verified(pairs, rest, percent))
+    final = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     # From classes to their groups.
     first = F.min(F.struct(F.coalesce("key", F.lit(LAST)).alias("k"), "h")).alias("first")
