@@ -340,3 +340,18 @@ def signed(x: np.ndarray) -> np.ndarray:
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def merged(rows, schema: pa.Schema, least: int = 20_000):
+    """Join the small batches of ``rows`` (one a document) into larger ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in rows(batches):
+            held.append(b)
+            n += b.num_rows
+            if n >= least:
+                yield pa.Table.from_batches(held, schema).combine_chunks().to_batches()[0]
+                held, n = [], 0
+        if n:
+            yield pa.Table.from_batches(held, schema).combine_chunks().to_batches()[0]
+    return run

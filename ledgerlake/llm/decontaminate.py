@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import broadcast_bitmap, in_bitmap
-from ledgerlake.llm.common import (BASES, Ranges, batch, documents, grouped_words, signed,
+from ledgerlake.llm.common import (BASES, Ranges, batch, documents, grouped_words, merged, signed,
                                    staged, text_words)
 
 SHINGLE = 5
@@ -43,16 +43,18 @@ def byte_lengths(text: str | None) -> np.ndarray:
     return np.array([len(w) for w in text_words(text)], np.int64)
 
 
-def fingerprints(words: np.ndarray, weights: np.ndarray, starts: np.ndarray,
-                 size: int) -> np.ndarray:
-    """SimHash of the windows of ``size`` words at ``starts``: each bit is
-    the sign of the summed weights of the words with and without it."""
-    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    signs = (bits.astype(np.int64) * 2 - 1) * weights[:, None]
-    sums = np.zeros((len(words) + 1, 64), np.int64)
-    np.cumsum(signs, axis=0, out=sums[1:])
-    ones = sums[starts + size] - sums[starts] > 0
-    return np.packbits(ones, axis=1, bitorder="little").view(np.uint64).ravel()
+class Fingerprints:
+    """SimHashes of windows of one stretch of words: each bit is the sign of
+    the summed weights of the words with and without it."""
+
+    def __init__(self, words: np.ndarray, weights: np.ndarray):
+        bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        self._sums = np.zeros((len(words) + 1, 64), np.int64)
+        np.cumsum((bits.astype(np.int64) * 2 - 1) * weights[:, None], axis=0, out=self._sums[1:])
+
+    def __call__(self, starts: np.ndarray, size: int) -> np.ndarray:
+        ones = self._sums[starts + size] - self._sums[starts] > 0
+        return np.packbits(ones, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def _shingles(words: np.ndarray, weights: np.ndarray, length: int):
@@ -86,7 +88,7 @@ def index_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(own):
                     values, weights = _distinct_shingles(
                         *_shingles(own, w, min(SHINGLE, len(own))))
-                    mark = fingerprints(own, w, np.array([0]), len(own))
+                    mark = Fingerprints(own, w)(np.array([0]), len(own))
                     for c, v in zip(columns, (ids[done], len(own), int(signed(mark)[0]),
                                               values, weights)):
                         c.append(v)
@@ -130,29 +132,42 @@ def _marked(words: np.ndarray, sizes: list[int], bitmap: np.ndarray) -> np.ndarr
     return np.concatenate([[0], np.cumsum(hit)])
 
 
-def _document(doc: int, words: np.ndarray, weights: np.ndarray, sizes: list[int],
+def _document(doc: int | None, words: np.ndarray, weights: np.ndarray, sizes: list[int],
               bitmap: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    by_length = {}
+    for length in _lengths(sizes):
+        hashes, heavy = _shingles(words, weights, length)
+        known = np.where(in_bitmap(bitmap, hashes), heavy, 0)
+        by_length[length] = hashes, heavy, *(
+            np.concatenate([[0], np.cumsum(x)]) for x in (heavy, known))
+    least = None
     for size in sizes:
         if size > len(words):
-            continue
+            break
         length = min(SHINGLE, size)
-        hashes, heavy = _shingles(words, weights, length)
-        known = np.where(in_bitmap(bitmap, hashes), heavy, 0)
+        hashes, heavy, total, shared = by_length[length]
         per = size - length + 1
-        total = np.concatenate([[0], np.cumsum(heavy)])
-        shared = np.concatenate([[0], np.cumsum(known)])
         at = np.arange(len(words) - size + 1)
-        at = at[(shared[at + per] - shared[at]) * 100 >= (total[at + per] - total[at]) * percent]
+        whole = total[at + per] - total[at]
+        if length == SHINGLE and least is None:
+            # Longer windows weigh more: with too little known weight in the
+            # whole text, none can pass.
+            least = whole.min() * percent
+            if shared[-1] * 100 < least:
+                break
+        at = at[(shared[at + per] - shared[at]) * 100 >= whole * percent]
         # Stretches of the text keep the sums of fingerprints small.
         for some in np.split(at, np.flatnonzero(np.diff(at // 4096)) + 1):
-            if not len(some):
-                continue
-            a, z = int(some[0]), int(some[-1]) + size
-            marks = fingerprints(words[a:z], weights[a:z], some - a, size)
-            own = [_distinct_shingles(hashes[s:s + per], heavy[s:s + per]) for s in some]
-            yield batch(_WINDOW, np.full(len(some), doc), some.astype(np.int32),
-                        np.full(len(some), size, np.int32), signed(marks),
-                        [x for x, _ in own], [y for _, y in own])
+            if len(some):
+                a, z = int(some[0]), int(some[-1]) + size
+                marks = Fingerprints(words[a:z], weights[a:z])(some - a, size)
+                own = some[:, None] + np.arange(per)
+                ends = np.arange(0, own.size + 1, per, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([doc] * len(some), pa.int64()), pa.array(some.astype(np.int32)),
+                    pa.array(np.full(len(some), size, np.int32)), pa.array(signed(marks)),
+                    pa.ListArray.from_arrays(ends, signed(hashes[own.ravel()])),
+                    pa.ListArray.from_arrays(ends, heavy[own.ravel()])], schema=_WINDOW)
 
 
 def _blocks(mark: str, flips: bool):
@@ -187,8 +202,8 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
                            F.inline(_blocks("fingerprint", True)))
     found = None
     for lo in range(0, len(sizes), SIZES):
-        windows = staged(texts.mapInArrow(_windows(sizes[lo:lo + SIZES], bitmap, percent),
-                                          _WINDOW_SQL), "decontaminate-windows")
+        windows = staged(texts.mapInArrow(merged(_windows(sizes[lo:lo + SIZES], bitmap, percent),
+                                                 _WINDOW), _WINDOW_SQL), "decontaminate-windows")
         near = (windows.select("doc", "start", "size", "fingerprint",
                                F.inline(_blocks("fingerprint", False)))
                 .join(listed, ["block", "value", "size"])
@@ -208,12 +223,14 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
     def total(weights):
         return F.aggregate(weights, F.lit(0).cast("bigint"), lambda acc, w: acc + w)
 
-    pairs = F.arrays_zip("shingles", "weights")
+    # A window may repeat a shingle; equal shingles have equal weights.
+    pairs = F.array_distinct(F.arrays_zip("shingles", "weights"))
     common = total(F.transform(F.filter(pairs, lambda p: F.array_contains(
         F.col("theirs"), p["shingles"])), lambda p: p["weights"]))
     scored = found.withColumns({
         "common": common,
-        "whole": total(F.col("weights")) + total(F.col("their_weights")) - common})
+        "whole": total(F.transform(pairs, lambda p: p["weights"]))
+        + total(F.col("their_weights")) - common})
     best = F.max_by(F.struct("start", "size"), F.struct(
         F.col("common") / F.col("whole"), -F.col("start"))).alias("best")
     return (scored.where(F.col("common") * 100 >= F.col("whole") * percent)

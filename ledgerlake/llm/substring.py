@@ -30,7 +30,8 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import (BASES, Ranges, batch, distinct, documents, grouped_words, mix, signed,
+from ledgerlake.llm.common import (BASES, Ranges, batch, distinct, documents, grouped_words,
+                                   merged, mix, signed,
                                    staged, text_words, word_hashes)
 
 WINDOW = 50
@@ -113,7 +114,7 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
 
     # Level 1. The tables of repeated values are staged so that the joins
     # read two plain exchanges, which Spark can split at a hot value.
-    level1 = staged(texts.select("k", "row", "text").mapInArrow(_merged(runs, _RUNS), _RUNS_SQL),
+    level1 = staged(texts.select("k", "row", "text").mapInArrow(merged(runs, _RUNS), _RUNS_SQL),
                     "substring-runs")
     level2 = level1.join(staged(_repeated(level1, "anchor"), "substring-short"), "anchor")
     level2 = staged(level2, "substring-anchors")
@@ -152,7 +153,7 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
 
     full = staged(texts.select("row", "text").join(asked, "row")
                   .select("k", "row", "text", "runs")
-                  .mapInArrow(_merged(windows, _WINDOWS), _WINDOWS_SQL), "substring-windows")
+                  .mapInArrow(merged(windows, _WINDOWS), _WINDOWS_SQL), "substring-windows")
     earlier = staged(full.groupBy("w1", "w2").agg(F.min("k").alias("first"), F.max("k").alias("z"))
                      .where("first < z").drop("z"), "substring-earlier")
     single = (full.join(earlier, ["w1", "w2"]).where("first < k")
@@ -160,21 +161,6 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
     return whole.unionByName(single)
 
 
-def _merged(rows, schema: pa.Schema, least: int = 20_000):
-    """Join the small batches of ``rows`` (one a document) into larger ones."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in rows(batches):
-            held.append(b)
-            n += b.num_rows
-            if n >= least:
-                yield pa.Table.from_batches(held, schema).combine_chunks().to_batches()[0]
-                held, n = [], 0
-        if n:
-            yield pa.Table.from_batches(held, schema).combine_chunks().to_batches()[0]
-    return run
-
-
 _OUT = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                   ("kept", pa.string())])
 _OUT_SQL = "key bigint, n_words bigint, n_removed bigint, kept string"
