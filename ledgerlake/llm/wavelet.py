@@ -40,7 +40,7 @@ def build_image(ids: np.ndarray) -> bytes:
         packed = np.zeros(blocks * (BLOCK // 8), np.uint8)
         raw = np.packbits(one, bitorder="little")
         packed[:len(raw)] = raw
-        per_block = np.bitwise_count(packed.view("<u8")).reshape(blocks, -1).sum(1)
+        per_block = np.bitwise_count(packed.view("<u8")).reshape(blocks, BLOCK // 64).sum(1)
         before = np.zeros(blocks, "<u4")
         if blocks:
             np.cumsum(per_block[:-1], out=before[1:])
