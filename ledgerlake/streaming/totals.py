@@ -100,10 +100,11 @@ class CategoryLedger:
     ``reason`` set). A replayed batch overwrites its own folder with the
     same content.
 
-    ``compact`` folds all batches so far into ``<path>/folded/upto=<id>``,
-    rows of the same layout. Readers take the newest fold and the live
-    batches after it, so a ledger can be compacted midway and go on;
-    folders of folded batches may be deleted afterwards.
+    ``compact`` folds the sums of all batches so far into
+    ``<path>/folded/upto=<id>``, rows of the same layout. Readers take the
+    newest fold and the live batches after it, so a ledger can be compacted
+    midway and go on. The sums no longer need the folders of folded
+    batches; the quarantine still reads the rejected envelopes there.
     """
 
     def __init__(self, path: str):
@@ -154,7 +155,7 @@ class CategoryLedger:
         return folded[1].unionByName(live.where(F.col("batch_id") > folded[0]))
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
-        return (self.entries(spark).filter(F.col("reason").isNotNull())
+        return (self._live(spark).filter(F.col("reason").isNotNull())
                 .select("data", "reason", "batch_id"))
 
     def view(self, spark: SparkSession) -> DataFrame:
@@ -171,17 +172,17 @@ class CategoryLedger:
 
     def compact(self, spark: SparkSession) -> int | None:
         """Fold all batches so far; returns the last folded batch_id (None
-        for an empty ledger). Repeating it after a crash writes the same
-        fold again."""
+        for an empty ledger)."""
         last = self._live(spark).agg(F.max("batch_id")).first()[0]
-        if last is None:
-            return None
-        rows = self.entries(spark).where(F.col("batch_id") <= last)
-        sums = (rows.filter(F.col("reason").isNull()).groupBy("category")
+        folded = self._folded(spark)
+        if last is None or (folded and folded[0] >= last):
+            return last
+        sums = (self.entries(spark).where(F.col("batch_id") <= last)
+                .filter(F.col("reason").isNull()).groupBy("category")
                 .agg(F.sum("total").alias("total"), F.sum("n").alias("n"),
                      F.sum("batches").alias("batches"), F.max("batch_id").alias("batch_id"),
                      F.lit(None).cast("string").alias("reason"),
                      F.lit(None).cast("string").alias("data")))
-        (sums.unionByName(rows.filter(F.col("reason").isNotNull()))
-         .write.mode("overwrite").parquet(f"{self.path}/folded/upto={last}"))
+        # One row per category, one file: a fold is there whole or not at all.
+        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/upto={last}")
         return last

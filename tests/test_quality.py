@@ -77,7 +77,11 @@ def test_star_suite_report_and_enforce(spark):
                                   "customer_id string, interest_rate double")
     tables = {"dim_customer": cust, "dim_account": acct, "fact_transaction": fact,
               "dim_loan": loans}
-    report = quality.run_rules(tables, quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS)
+    suite = quality.STAR_SCHEMA_RULES + quality.STAR_SCHEMA_ADDITIONS
+    with pytest.raises(KeyError):  # the suite also has a rule on deposits
+        quality.run_rules(tables, suite)
+    tables["fact_deposit"] = spark.createDataFrame([("a1",)], "account_id string")
+    report = quality.run_rules(tables, suite)
     r = rows(report)
     assert r[("dim_customer", "not_null", "full_name")] == (1, 2, False)
     assert r[("dim_account", "unique", "account_id")] == (1, 3, False)
@@ -86,7 +90,7 @@ def test_star_suite_report_and_enforce(spark):
     assert r[("dim_loan", "range", "interest_rate")] == (1, 2, False)
     assert r[("fact_transaction", "referential", "account_id")] == (0, 1, True)
     assert r[("dim_loan", "referential", "customer_id")] == (0, 2, True)
-    # fact_deposit is absent and skipped.
+    assert r[("fact_deposit", "referential", "account_id")] == (0, 1, True)
     with pytest.raises(DataQualityError) as e:
         quality.enforce(report)
     assert len(e.value.rows) == 5
