@@ -7,7 +7,8 @@ A *word* is a maximal run of bytes other than the ASCII blanks 0x20 and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -127,12 +128,24 @@ def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return tuple(map(np.concatenate, zip(*parts)))
 
 
-def grouped_words(texts: list[str | None], lower: bool = False
+def spare_memory() -> None:
+    """A Python worker serves many operators; one that hashes words needs
+    none of the pieces that tokenising has remembered."""
+    tokens = sys.modules.get("ledgerlake.llm.tokens")
+    if tokens is not None:
+        tokens.forget()
+
+
+def grouped_words(texts: Iterable, lower: bool = False
                   ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The word hashes of all texts, some texts at a time: (words, bounds)
-    with text i of the group in words[bounds[i]:bounds[i + 1]]."""
+    """The word hashes of all texts (strings or an Arrow column), some texts
+    at a time: (words, bounds) with text i of the group in
+    words[bounds[i]:bounds[i + 1]]."""
+    spare_memory()
     held, size = [], 0
     for t in texts:
+        if isinstance(t, pa.Scalar):
+            t = t.as_py()
         raw = (t or "").encode()
         if lower:
             raw = raw.lower()
@@ -177,7 +190,7 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[keep]
 
 
-def shingle_sets(texts: list[str | None], length: int = 5) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable, length: int = 5) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its lower-cased word
     shingles. A text with fewer words is one shingle; without words, none."""
     for words, bounds in grouped_words(texts, lower=True):
@@ -273,12 +286,24 @@ def _long_text(raw: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def grouped_words(texts: list[str | None], lower: bool = False
+def spare_memory() -> None:
+    """A Python worker serves many operators; one that hashes words needs
+    none of the pieces that tokenising has remembered."""
+    tokens = sys.modules.get("ledgerlake.llm.tokens")
+    if tokens is not None:
+        tokens.forget()
+
+
+def grouped_words(texts: Iterable, lower: bool = False
                   ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The word hashes of all texts, some texts at a time: (words, bounds)
-    with text i of the group in words[bounds[i]:bounds[i + 1]]."""
+    """The word hashes of all texts (strings or an Arrow column), some texts
+    at a time: (words, bounds) with text i of the group in
+    words[bounds[i]:bounds[i + 1]]."""
+    spare_memory()
     held, size = [], 0
     for t in texts:
+        if isinstance(t, pa.Scalar):
+            t = t.as_py()
         raw = (t or "").encode()
         if lower:
             raw = raw.lower()

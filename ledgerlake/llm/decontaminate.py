@@ -107,12 +107,12 @@ def _windows(sizes: list[int], bitmap, percent: int):
     """Item-sized windows that have enough of their weight in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            docs, texts, done = b.column(0).to_pylist(), b.column(1).to_pylist(), 0
+            docs, texts, done = b.column(0).to_pylist(), b.column(1), 0
             for words, bounds in grouped_words(texts, lower=True):
                 marked = _marked(words, sizes, bitmap.value)
                 for a, z in pairwise(bounds.tolist()):
                     if marked[z] > marked[a]:
-                        yield from _document(docs[done], words[a:z], byte_lengths(texts[done]),
+                        yield from _document(docs[done], words[a:z], byte_lengths(texts[done].as_py()),
                                              sizes, bitmap.value, percent)
                     done += 1
     return run

@@ -87,7 +87,7 @@ def _profile(shingle: int):
 
         for b in batches:
             sizes, classes = [], []
-            for s in shingle_sets(b.column(2).to_pylist(), shingle):
+            for s in shingle_sets(b.column(2), shingle):
                 sizes.append(len(s))
                 classes.append(set_id(s) if len(s) else None)
                 if len(s):
@@ -137,7 +137,7 @@ def _postings(order: Broadcast, shingle: int, percent: int, bitmap: Broadcast |
         seen: set[int] = set()  # classes this task has sent, bounded
         held, n = [], 0
         for b in batches:
-            for s in shingle_sets(b.column(0).to_pylist(), shingle):
+            for s in shingle_sets(b.column(0), shingle):
                 if not len(s):
                     continue
                 c = set_id(s)
@@ -177,7 +177,7 @@ def _sets(wanted: Broadcast, shingle: int):
         seen: set[int] = set()
         for b in batches:
             cs, sets, size = [], [], 0
-            for s in shingle_sets(b.column(0).to_pylist(), shingle):
+            for s in shingle_sets(b.column(0), shingle):
                 if not len(s):
                     continue
                 c = set_id(s)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batch, documents, hashed_words
+from ledgerlake.llm.common import batch, documents, hashed_words, spare_memory
 
 PASSAGE = 64  # words
 # Training sample: documents per label, and passages per document (spread
@@ -211,6 +211,7 @@ def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     schema = pa.schema([("key", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spare_memory()
         for b in batches:
             yield batch(schema, b.column(0), [model.score(passages(t.as_py()))
                                               for t in b.column(1)])
@@ -234,6 +235,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spare_memory()
         for b in batches:
             keep = [model.score(passages(t.as_py())) >= threshold for t in b.column(at)]
             yield b.filter(pa.array(keep, pa.bool_()))

@@ -103,7 +103,7 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
         for b in batches:
             keys, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
             done = 0
-            for words, bounds in grouped_words(b.column(2).to_pylist()):
+            for words, bounds in grouped_words(b.column(2)):
                 got = runs_of(words, bounds, length)
                 if got is not None:
                     text, start, count, *hashes = got

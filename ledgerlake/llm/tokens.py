@@ -182,6 +182,11 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders and their pieces."""
+    _ENCODERS.clear()
+
+
 def public_tokenizer(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
