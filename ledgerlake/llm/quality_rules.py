@@ -127,7 +127,7 @@ def fences(sketch: DataFrame, group: list[str]) -> DataFrame:
     room = reduce(lambda c, m: c.when(F.col("metric") == m, METRICS[m][1]), METRICS,
                   F.when(F.lit(False), 0))
     return q.select(*by, "size", (F.col("q3") * BIN + F.greatest(
-        (F.col("q3") - F.col("q1")) * BIN * FENCE, room)).alias("fence"))
+        (F.col("q3") - F.col("q1")) * BIN * FENCE, room)).cast("long").alias("fence"))
 
 
 def _wide(f: DataFrame, group: list[str], suffix: str) -> DataFrame:
@@ -182,3 +182,74 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols",
                       "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       *METRICS, *[f"{m}_fence" for m in METRICS])
+
+
+def _sql_fences(group: tuple[str, ...]) -> str:
+    """``fences`` and ``_wide`` of one level."""
+    by = "".join(f"{c}, " for c in group)
+    on = f"GROUP BY {', '.join(group)}" if group else ""
+    room = "CASE metric " + " ".join(f"WHEN '{m}' THEN {METRICS[m][1]}" for m in METRICS) + " END"
+    wide = ", ".join(f"max(fence) FILTER (WHERE metric = '{m}') AS {m}" for m in METRICS)
+    return f"""
+  SELECT {by}max(size) AS size, {wide} FROM (
+    SELECT {by}metric, size, q3 * {BIN} + greatest((q3 - q1) * {BIN * FENCE}, {room}) AS fence
+    FROM (
+      SELECT {by}metric, size, min(bin) FILTER (WHERE upto * 4 >= size) AS q1,
+             min(bin) FILTER (WHERE upto * 4 >= size * 3) AS q3
+      FROM (
+        SELECT {by}metric, bin, sum(n) OVER (PARTITION BY {by}metric ORDER BY bin) AS upto,
+               sum(n) OVER (PARTITION BY {by}metric) AS size
+        FROM (SELECT {by}metric, bin, count(*) AS n FROM sketch GROUP BY {by}metric, bin) a) b
+      GROUP BY {by}metric, size) c) d {on}"""
+
+
+_VALUES = ", ".join(f"CASE WHEN {b} > 0 THEN ({a}) // {b} ELSE 0 END AS {m}"
+                    for m, ((a, b), _) in METRICS.items())
+_PAIRS = ", ".join(f"{{'metric': '{m}', 'value': {m}}}" for m in METRICS)
+_LIMITS = ", ".join(f"CASE WHEN o.size >= {MIN_GROUP} THEN o.{m} WHEN l.size >= {MIN_GROUP} "
+                    f"THEN l.{m} ELSE w.{m} END AS {m}_fence" for m in METRICS)
+_ABOVE = " OR ".join(f"coalesce({m} > {m}_fence, false)" for m in METRICS)
+_CAST = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS,
+    *(f"{m}_fence" for m in METRICS)))
+OP10_SQL = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, chr(0)) AS lang,
+         coalesce(source, chr(0)) AS source, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')
+              AS words,
+         list_filter(string_split(text, chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM rows),
+windows AS (
+  SELECT r, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS gram
+  FROM (SELECT r, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM split) s),
+repeated AS (
+  SELECT r, sum(least({WINDOW}, coalesce(after - i, {WINDOW}))) AS n_repeat_words
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS after
+        FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS k FROM windows) x
+        WHERE k > 1) y GROUP BY r),
+base AS (
+  SELECT s.r, doc_id, lang, source, len(words) AS n_words,
+         length(array_to_string(words, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         length(text) - length(translate(text, '{CAPITALS}', '')) AS n_capitals,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM split s LEFT JOIN repeated p ON s.r = p.r),
+metrics AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words
+              AS base_failed, {_VALUES}
+  FROM base),
+sketch AS (
+  SELECT lang, source, p.metric AS metric, least(p.value // {BIN}, {BINS - 1}) AS bin
+  FROM (SELECT lang, source, unnest([{_PAIRS}]) AS p FROM metrics WHERE NOT base_failed) u),
+own AS ({_sql_fences(("lang", "source"))}),
+langs AS ({_sql_fences(("lang",))}),
+corpus AS ({_sql_fences(())}),
+limits AS (
+  SELECT o.lang, o.source, {_LIMITS}
+  FROM own o JOIN langs l ON o.lang = l.lang JOIN corpus w ON true)
+SELECT doc_id, base_failed, NOT base_failed AND NOT ({_ABOVE}) AS kept, {_CAST}
+FROM metrics m LEFT JOIN limits t ON m.lang = t.lang AND m.source = t.source"""

@@ -21,4 +21,5 @@ QUERIES = {
 ORACLES = {
     "op4_license_scan": licenses.OP4_SQL,
     "op7_format_chats": chat.OP7_SQL,
+    "op10_quality_rules": quality_rules.OP10_SQL,
 }
