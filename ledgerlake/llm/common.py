@@ -24,6 +24,12 @@ BLANKS = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Rows handed to Python at a time while a staged table is written: texts can
+# be long, and both the executor and its worker hold a whole batch.
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
@@ -33,7 +39,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(min(int(before), BATCH_ROWS)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
