@@ -1,7 +1,7 @@
 """Quality rules with adaptive thresholds.
 
 Each document gets a few integer metrics. A quantile sketch per metric,
-language and source holds counts over a fixed set of bins; sketches merge
+language and source holds counts over bins of a fixed width; sketches merge
 by adding counts, so a group's sketch also serves its language's and the
 whole corpus's. A threshold is an upper fence above the third quartile; a
 document is kept if it passes the base rules and no metric lies above its
@@ -39,9 +39,12 @@ FENCE = 3
 # A group's own sketch counts from this many documents on; smaller groups
 # use their language's sketch, small languages the corpus's.
 MIN_GROUP = 100
-# The sketch counts values in bins of this width up to this many bins; the
-# quartile's error is below the width.
-BIN, BINS = 5, 400
+# The sketch counts values in bins of this width, as many as the values need;
+# the quartile's error is below the width.
+BIN = 5
+# The SQL's last bin holds everything from BIN * (BINS - 1) on: its fences are
+# those of this module for groups with quartiles below.
+BINS = 400
 # Parts a group's documents are dealt to in the final join.
 SALTS = 32
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -107,8 +110,7 @@ def sketches(rows: DataFrame) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                       for m in METRICS])
     return (rows.select("lang", "source", F.inline(pairs))
-            .groupBy("metric", "lang", "source",
-                     F.least(F.expr(f"value DIV {BIN}"), F.lit(BINS - 1)).alias("bin"))
+            .groupBy("metric", "lang", "source", F.expr(f"value DIV {BIN}").alias("bin"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -86,6 +86,18 @@ def test_quality_thresholds_adapt_to_the_group(spark):
     assert [k for k, kept in sorted(out.items()) if not kept] == [500, 501]
 
 
+def test_quality_of_a_group_with_long_words(spark):
+    # texts without blanks inside their sentences: 30 to 44 characters a word
+    rows = [(i, " ".join(f"{i:04}{k:02}" + "x" * (24 + i % 15) for k in range(12)), "zh", "web")
+            for i in range(150)]
+    rows.append((900, " ".join(f"{k:02}" + "y" * 300 for k in range(12)), "zh", "web"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = quality_rules.apply_rules(df).collect()
+    assert [r.key for r in out if not r.kept] == [900]
+    # quartiles 3300 and 4100 of hundredths of a character
+    assert {r.word_length_fence for r in out} == {4100 + 3 * 800}
+
+
 def test_sketches_merge(docs):
     whole = quality_rules.sketches(_metrics(docs))
     parts = [quality_rules.sketches(_metrics(docs.where(f"coalesce(doc_id, 0) % 2 = {k}")))
