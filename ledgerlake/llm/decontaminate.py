@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash windows.
 
 Every benchmark item has a 64-bit SimHash over its words. A document is
-compared through windows as long as an item. Fingerprints within ``RADIUS``
+compared through windows as long as an item; a text shorter than an item is
+one window as a whole. Fingerprints within ``RADIUS``
 bits are found by multi-index Hamming blocks: 64 bits in 10 blocks, so two
 fingerprints that differ in at most 19 bits have a block that differs in at
 most one bit, and all such blocks of the items are listed. (Windows at the
@@ -96,11 +97,13 @@ def index_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(_ITEM, *columns)
 
 
+# ``size`` is the items' size, ``words`` the window's own.
 _WINDOW = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("size", pa.int32()),
-                     ("fingerprint", pa.int64()), ("shingles", pa.list_(pa.int64())),
+                     ("words", pa.int32()), ("fingerprint", pa.int64()),
+                     ("shingles", pa.list_(pa.int64())),
                      ("weights", pa.list_(pa.int64()))])
-_WINDOW_SQL = "doc bigint, start int, size int, fingerprint bigint, shingles array<bigint>, " \
-              "weights array<bigint>"
+_WINDOW_SQL = "doc bigint, start int, size int, words int, fingerprint bigint, " \
+              "shingles array<bigint>, weights array<bigint>"
 
 
 def _windows(sizes: list[int], bitmap, percent: int):
@@ -142,12 +145,13 @@ def _document(doc: int | None, words: np.ndarray, weights: np.ndarray, sizes: li
             np.concatenate([[0], np.cumsum(x)]) for x in (heavy, known))
     least = None
     for size in sizes:
-        if size > len(words):
-            break
         length = min(SHINGLE, size)
+        if length > len(words):
+            break
         hashes, heavy, total, shared = by_length[length]
-        per = size - length + 1
-        at = np.arange(len(words) - size + 1)
+        own_size = min(size, len(words))
+        per = own_size - length + 1
+        at = np.arange(len(words) - own_size + 1)
         whole = total[at + per] - total[at]
         if length == SHINGLE and least is None:
             # Longer windows weigh more: with too little known weight in the
@@ -159,13 +163,14 @@ def _document(doc: int | None, words: np.ndarray, weights: np.ndarray, sizes: li
         # Stretches of the text keep the sums of fingerprints small.
         for some in np.split(at, np.flatnonzero(np.diff(at // 4096)) + 1):
             if len(some):
-                a, z = int(some[0]), int(some[-1]) + size
-                marks = Fingerprints(words[a:z], weights[a:z])(some - a, size)
+                a, z = int(some[0]), int(some[-1]) + own_size
+                marks = Fingerprints(words[a:z], weights[a:z])(some - a, own_size)
                 own = some[:, None] + np.arange(per)
                 ends = np.arange(0, own.size + 1, per, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([doc] * len(some), pa.int64()), pa.array(some.astype(np.int32)),
-                    pa.array(np.full(len(some), size, np.int32)), pa.array(signed(marks)),
+                    pa.array(np.full(len(some), size, np.int32)),
+                    pa.array(np.full(len(some), own_size, np.int32)), pa.array(signed(marks)),
                     pa.ListArray.from_arrays(ends, signed(hashes[own.ravel()])),
                     pa.ListArray.from_arrays(ends, heavy[own.ravel()])], schema=_WINDOW)
 
@@ -186,6 +191,7 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
                   key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """One row per contaminated place: doc (row key), item_id, start, size
     (words), similarity; the most similar window of each document and item.
+    A document with fewer words than the item is compared as a whole.
 
     Words are compared with A-Z lowered. Items without a word match
     nothing, items below five words are one shingle; null text has no
@@ -231,7 +237,7 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
         "common": common,
         "whole": total(F.transform(pairs, lambda p: p["weights"]))
         + total(F.col("their_weights")) - common})
-    best = F.max_by(F.struct("start", "size"), F.struct(
+    best = F.max_by(F.struct("start", F.col("words").alias("size")), F.struct(
         F.col("common") / F.col("whole"), -F.col("start"))).alias("best")
     return (scored.where(F.col("common") * 100 >= F.col("whole") * percent)
             .groupBy("doc", "item_id")

@@ -108,6 +108,24 @@ def test_decontamination_equals_brute_force(spark, docs):
     assert decontaminate.contamination(df.where("doc_id = -1"), bench).collect() == []
 
 
+def test_documents_shorter_than_the_item(spark):
+    rnd = random.Random(4)
+    item = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(36)]
+    other = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    texts = [item[:-1], item[3:], item[:20], item[:4], item[:-2] + ["zzz"], [], item]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(other))],
+                                  "item_id long, text string")
+    got = {r.doc: (r.item_id, r.start, r.size, round(r.similarity, 4))
+           for r in decontaminate.contamination(docs, bench).collect()}
+    # words of five bytes: similarities are shares of the 32 shingles
+    assert got == {0: (0, 0, 35, round(31 / 32, 4)), 1: (0, 0, 33, round(29 / 32, 4)),
+                   4: (0, 0, 35, round(30 * 25 / (32 * 25 + 23), 4)), 6: (0, 0, 36, 1.0)}
+    kept = {r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()}
+    assert kept == {2, 3, 5}
+
+
 def test_multi_index_finds_all_within_the_radius():
     rnd = random.Random(9)
     for _ in range(300):
