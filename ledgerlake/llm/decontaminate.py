@@ -2,12 +2,15 @@
 
 Every benchmark item has a 64-bit SimHash over its words. A document is
 compared through windows as long as an item; a text shorter than an item is
-one window as a whole. Fingerprints within ``RADIUS``
-bits are found by multi-index Hamming blocks: 64 bits in 10 blocks, so two
-fingerprints that differ in at most 19 bits have a block that differs in at
-most one bit, and all such blocks of the items are listed. (Windows at the
-least similarity differ in about 11 bits.) Candidates are verified by the exact similarity of their word shingles, weighted by their
-length in bytes.
+one window as a whole. Multi-index Hamming blocks find near fingerprints: 64
+bits in 10 blocks, so two fingerprints that differ in at most ``RADIUS`` = 19
+bits have a block that differs in at most one bit, and all such blocks of the
+items are listed. The similarity does not bound the bits, so pairs that share
+a shingle of both prefixes are candidates as well: the shingles of a set, in
+the order of their hashes, up to where the rest alone is below the
+similarity. Two sets that reach it have their first common shingle in both
+prefixes, so no pair is lost. Every candidate is verified by the exact
+similarity of its word shingles, weighted by their length in bytes.
 
 Windows are fingerprinted where they can be similar at all: a window that
 reaches the similarity has that share of its shingle weight in common with
@@ -67,9 +70,10 @@ def _shingles(words: np.ndarray, weights: np.ndarray, length: int):
 
 
 _ITEM = pa.schema([("item_id", pa.int64()), ("size", pa.int32()), ("fingerprint", pa.int64()),
-                   ("shingles", pa.list_(pa.int64())), ("weights", pa.list_(pa.int64()))])
+                   ("shingles", pa.list_(pa.int64())), ("weights", pa.list_(pa.int64())),
+                   ("prefix", pa.list_(pa.int64()))])
 _ITEM_SQL = ("item_id bigint, size int, fingerprint bigint, shingles array<bigint>, "
-             "weights array<bigint>")
+             "weights array<bigint>, prefix array<bigint>")
 
 
 def _distinct_shingles(hashes: np.ndarray, weights: np.ndarray):
@@ -77,33 +81,42 @@ def _distinct_shingles(hashes: np.ndarray, weights: np.ndarray):
     return signed(values), weights[first]
 
 
-def index_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprint and distinct shingles of every item with a word."""
-    for b in batches:
-        columns: list[list] = [[] for _ in _ITEM]
-        texts = b.column(1).to_pylist()
-        ids, done = b.column(0).to_pylist(), 0
-        for words, bounds in grouped_words(texts, lower=True):
-            for a, z in pairwise(bounds.tolist()):
-                w, own = byte_lengths(texts[done]), words[a:z]
-                if len(own):
-                    values, weights = _distinct_shingles(
-                        *_shingles(own, w, min(SHINGLE, len(own))))
-                    mark = Fingerprints(own, w)(np.array([0]), len(own))
-                    for c, v in zip(columns, (ids[done], len(own), int(signed(mark)[0]),
-                                              values, weights)):
-                        c.append(v)
-                done += 1
-        yield batch(_ITEM, *columns)
+def _prefix(values: np.ndarray, weights: np.ndarray, percent: int) -> np.ndarray:
+    """The least first part of distinct shingles without which too little
+    weight is left to be similar."""
+    rest = weights.sum() - np.cumsum(weights)
+    return values[:int(np.argmax(rest * 100 < weights.sum() * percent)) + 1]
+
+
+def _items(percent: int):
+    """Fingerprint, distinct shingles and prefix of every item with a word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns: list[list] = [[] for _ in _ITEM]
+            texts = b.column(1).to_pylist()
+            ids, done = b.column(0).to_pylist(), 0
+            for words, bounds in grouped_words(texts, lower=True):
+                for a, z in pairwise(bounds.tolist()):
+                    w, own = byte_lengths(texts[done]), words[a:z]
+                    if len(own):
+                        values, weights = _distinct_shingles(
+                            *_shingles(own, w, min(SHINGLE, len(own))))
+                        mark = Fingerprints(own, w)(np.array([0]), len(own))
+                        for c, v in zip(columns, (ids[done], len(own), int(signed(mark)[0]), values,
+                                                  weights, _prefix(values, weights, percent))):
+                            c.append(v)
+                    done += 1
+            yield batch(_ITEM, *columns)
+    return run
 
 
 # ``size`` is the items' size, ``words`` the window's own.
 _WINDOW = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("size", pa.int32()),
                      ("words", pa.int32()), ("fingerprint", pa.int64()),
                      ("shingles", pa.list_(pa.int64())),
-                     ("weights", pa.list_(pa.int64()))])
+                     ("weights", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
 _WINDOW_SQL = "doc bigint, start int, size int, words int, fingerprint bigint, " \
-              "shingles array<bigint>, weights array<bigint>"
+              "shingles array<bigint>, weights array<bigint>, prefix array<bigint>"
 
 
 def _windows(sizes: list[int], bitmap, percent: int):
@@ -167,12 +180,14 @@ def _document(doc: int | None, words: np.ndarray, weights: np.ndarray, sizes: li
                 marks = Fingerprints(words[a:z], weights[a:z])(some - a, own_size)
                 own = some[:, None] + np.arange(per)
                 ends = np.arange(0, own.size + 1, per, dtype=np.int32)
+                prefixes = [_prefix(*_distinct_shingles(hashes[x], heavy[x]), percent) for x in own]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([doc] * len(some), pa.int64()), pa.array(some.astype(np.int32)),
                     pa.array(np.full(len(some), size, np.int32)),
                     pa.array(np.full(len(some), own_size, np.int32)), pa.array(signed(marks)),
                     pa.ListArray.from_arrays(ends, signed(hashes[own.ravel()])),
-                    pa.ListArray.from_arrays(ends, heavy[own.ravel()])], schema=_WINDOW)
+                    pa.ListArray.from_arrays(ends, heavy[own.ravel()]),
+                    pa.array(prefixes, pa.list_(pa.int64()))], schema=_WINDOW)
 
 
 def _blocks(mark: str, flips: bool):
@@ -199,26 +214,27 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
     columns are not read; with no items or no documents there are no rows.
     """
     marked = staged(items.select(F.col(item).cast("bigint"), F.col("text").cast("string"))
-                    .mapInArrow(index_items, _ITEM_SQL), "decontaminate-items")
+                    .mapInArrow(_items(percent), _ITEM_SQL), "decontaminate-items")
     bitmap = broadcast_bitmap(marked.select(F.explode("shingles").alias("s")), F.col("s"))
     sizes = sorted(r[0] for r in marked.select("size").distinct().collect())
     texts = docs.select(F.col(key).cast("bigint").alias("doc"),
                         F.col(text).cast("string").alias("text"))
-    listed = marked.select("item_id", "size", F.col("fingerprint").alias("mark"),
-                           F.inline(_blocks("fingerprint", True)))
+    listed = marked.select("item_id", "size", F.inline(_blocks("fingerprint", True)))
+    heads = marked.select("item_id", "size", F.explode("prefix").alias("s"))
     found = None
     for lo in range(0, len(sizes), SIZES):
         windows = staged(texts.mapInArrow(merged(_windows(sizes[lo:lo + SIZES], bitmap, percent),
                                                  _WINDOW), _WINDOW_SQL), "decontaminate-windows")
-        near = (windows.select("doc", "start", "size", "fingerprint",
-                               F.inline(_blocks("fingerprint", False)))
-                .join(listed, ["block", "value", "size"])
-                .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("mark"))) <= RADIUS)
+        at = ["doc", "start", "size"]
+        near = (windows.select(*at, F.inline(_blocks("fingerprint", False)))
+                .join(listed, ["block", "value", "size"]).select(*at, "item_id")
+                .union(windows.select(*at, F.explode("prefix").alias("s"))
+                       .join(heads, ["s", "size"]).select(*at, "item_id"))
                 .select(F.col("doc").alias("d"), F.col("start").alias("at"),
                         F.col("size").alias("n"), "item_id").distinct())
         exact = (windows.join(near, F.col("doc").eqNullSafe(F.col("d"))
                               & (F.col("start") == F.col("at")) & (F.col("size") == F.col("n")))
-                 .drop("d", "at", "n", "fingerprint"))
+                 .drop("d", "at", "n", "fingerprint", "prefix"))
         exact = exact.join(marked.select("item_id", F.col("shingles").alias("theirs"),
                                          F.col("weights").alias("their_weights")), "item_id")
         found = exact if found is None else found.unionByName(exact)

@@ -126,6 +126,28 @@ def test_documents_shorter_than_the_item(spark):
     assert kept == {2, 3, 5}
 
 
+def test_long_words_do_not_hide_an_item(spark):
+    """Windows of the similarity whose fingerprints are far apart."""
+    rnd = random.Random(8)
+    bench, rows, far = [], [], 0
+    for k in range(60):
+        item = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(30)]
+        item[-1], other = "x" * 60 + str(k), item[:-1] + ["y" * 60 + str(k)]
+        bench.append((k, " ".join(item)))
+        rows.append((k, " ".join(other)))
+        marks = []
+        for t in (item, other):
+            text = " ".join(t)
+            (hashes, _), = decontaminate.grouped_words([text], lower=True)
+            own = decontaminate.Fingerprints(hashes, decontaminate.byte_lengths(text))
+            marks.append(int(own(np.array([0]), 30)[0]))
+        far += (marks[0] ^ marks[1]).bit_count() > decontaminate.RADIUS
+    got = {(r.doc, r.item_id) for r in decontaminate.contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {(k, k) for k in range(60)} and far
+
+
 def test_multi_index_finds_all_within_the_radius():
     rnd = random.Random(9)
     for _ in range(300):
