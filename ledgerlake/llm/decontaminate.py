@@ -14,8 +14,9 @@ similarity of its word shingles, weighted by their length in bytes.
 
 Windows are fingerprinted where they can be similar at all: a window that
 reaches the similarity has that share of its shingle weight in common with
-one item, hence with all items, which a bitmap of fixed size answers
-(unrelated shingles that share a bit only add windows).
+one item, hence with all items of that size, which a bitmap of fixed size
+answers (unrelated shingles that share a bit only add windows). Repeats of an
+unknown shingle in a window count once at most, those of a known one each time.
 """
 
 from __future__ import annotations
@@ -41,6 +42,9 @@ BLOCKS = (*((k, 7) for k in range(0, 28, 7)), *((k, 6) for k in range(28, 64, 6)
 RADIUS = 2 * len(BLOCKS) - 1
 # Distinct window sizes per pass over the documents.
 SIZES = 256
+# Shingles are in the bitmap as they are, and once more with their item's
+# size times this odd number in their bits.
+SIZED = 0x9E3779
 
 
 def byte_lengths(text: str | None) -> np.ndarray:
@@ -148,46 +152,54 @@ def _marked(words: np.ndarray, sizes: list[int], bitmap: np.ndarray) -> np.ndarr
     return np.concatenate([[0], np.cumsum(hit)])
 
 
+def _gaps(hashes: np.ndarray) -> np.ndarray:
+    """How far back each shingle was seen before (beyond the text: never)."""
+    gaps = np.full(len(hashes), len(hashes) + 1)
+    order = np.argsort(hashes, kind="stable")
+    again = hashes[order[1:]] == hashes[order[:-1]]
+    gaps[order[1:][again]] = np.diff(order)[again]
+    return gaps
+
+
 def _document(doc: int | None, words: np.ndarray, weights: np.ndarray, sizes: list[int],
               bitmap: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     by_length = {}
     for length in _lengths(sizes):
         hashes, heavy = _shingles(words, weights, length)
-        known = np.where(in_bitmap(bitmap, hashes), heavy, 0)
-        by_length[length] = hashes, heavy, *(
-            np.concatenate([[0], np.cumsum(x)]) for x in (heavy, known))
-    least = None
+        by_length[length] = hashes, heavy, np.flatnonzero(in_bitmap(bitmap, hashes)), _gaps(hashes)
     for size in sizes:
         length = min(SHINGLE, size)
         if length > len(words):
             break
-        hashes, heavy, total, shared = by_length[length]
+        hashes, heavy, known, gaps = by_length[length]
+        known = known[in_bitmap(bitmap, hashes[known] ^ np.uint64(SIZED * size))]
+        if not len(known):
+            continue
         own_size = min(size, len(words))
         per = own_size - length + 1
-        at = np.arange(len(words) - own_size + 1)
-        whole = total[at + per] - total[at]
-        if length == SHINGLE and least is None:
-            # Longer windows weigh more: with too little known weight in the
-            # whole text, none can pass.
-            least = whole.min() * percent
-            if shared[-1] * 100 < least:
-                break
-        at = at[(shared[at + per] - shared[at]) * 100 >= whole * percent]
+        # Only windows with a known shingle.
+        first, last = max(0, known[0] - per + 1), min(known[-1], len(words) - own_size)
+        at = np.arange(first, last + 1)
+        ours = np.zeros(last - first + per, np.int64)
+        ours[known - first] = heavy[known]
+        others = np.where(gaps[first:last + per] >= per, heavy[first:last + per], 0)
+        others[known - first] = 0
+        shared, alien = (np.concatenate([[0], np.cumsum(x)]) for x in (ours, others))
+        shared, alien = (x[per:] - x[:-per] for x in (shared, alien))
+        at = at[(shared > 0) & (shared * (100 - percent) >= alien * percent)]
         # Stretches of the text keep the sums of fingerprints small.
         for some in np.split(at, np.flatnonzero(np.diff(at // 4096)) + 1):
             if len(some):
                 a, z = int(some[0]), int(some[-1]) + own_size
                 marks = Fingerprints(words[a:z], weights[a:z])(some - a, own_size)
                 own = some[:, None] + np.arange(per)
-                ends = np.arange(0, own.size + 1, per, dtype=np.int32)
-                prefixes = [_prefix(*_distinct_shingles(hashes[x], heavy[x]), percent) for x in own]
+                sets = [_distinct_shingles(hashes[x], heavy[x]) for x in own]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([doc] * len(some), pa.int64()), pa.array(some.astype(np.int32)),
                     pa.array(np.full(len(some), size, np.int32)),
                     pa.array(np.full(len(some), own_size, np.int32)), pa.array(signed(marks)),
-                    pa.ListArray.from_arrays(ends, signed(hashes[own.ravel()])),
-                    pa.ListArray.from_arrays(ends, heavy[own.ravel()]),
-                    pa.array(prefixes, pa.list_(pa.int64()))], schema=_WINDOW)
+                    *(pa.array(x, pa.list_(pa.int64())) for x in zip(*sets)),
+                    pa.array([_prefix(*x, percent) for x in sets], pa.list_(pa.int64()))], schema=_WINDOW)
 
 
 def _blocks(mark: str, flips: bool):
@@ -215,7 +227,10 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
     """
     marked = staged(items.select(F.col(item).cast("bigint"), F.col("text").cast("string"))
                     .mapInArrow(_items(percent), _ITEM_SQL), "decontaminate-items")
-    bitmap = broadcast_bitmap(marked.select(F.explode("shingles").alias("s")), F.col("s"))
+    # The shingles, and the shingles of each size of item.
+    sized = F.transform("shingles", lambda s: s.bitwiseXOR(F.col("size").cast("bigint") * SIZED))
+    bitmap = broadcast_bitmap(marked.select(F.explode(F.concat("shingles", sized)).alias("s")),
+                              F.col("s"))
     sizes = sorted(r[0] for r in marked.select("size").distinct().collect())
     texts = docs.select(F.col(key).cast("bigint").alias("doc"),
                         F.col(text).cast("string").alias("text"))
@@ -245,8 +260,9 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
     def total(weights):
         return F.aggregate(weights, F.lit(0).cast("bigint"), lambda acc, w: acc + w)
 
-    # A window may repeat a shingle; equal shingles have equal weights.
-    pairs = F.array_distinct(F.arrays_zip("shingles", "weights"))
+    # Pairs of a block without a common shingle go before they are weighed.
+    found = found.where(F.arrays_overlap("shingles", "theirs"))
+    pairs = F.arrays_zip("shingles", "weights")
     common = total(F.transform(F.filter(pairs, lambda p: F.array_contains(
         F.col("theirs"), p["shingles"])), lambda p: p["weights"]))
     scored = found.withColumns({

@@ -148,6 +148,18 @@ def test_long_words_do_not_hide_an_item(spark):
     assert got == {(k, k) for k in range(60)} and far
 
 
+def test_fillers_that_repeat_do_not_hide_an_item(spark):
+    rnd = random.Random(6)
+    long = ["".join(rnd.choice("abcdefgh") for _ in range(12)) for _ in range(30)]
+    bench = [(0, " ".join(long + ["so"] * 60))]
+    rows = [(0, " ".join(long + ["um"] * 60)), (1, " ".join(["um"] * 90)),
+            (2, " ".join(["um"] * 40 + long + ["um"] * 70 + ["end"]))]
+    found = decontaminate.contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc, r.item_id) for r in found} == brute_contamination(rows, bench) >= {(0, 0)}
+
+
 def test_multi_index_finds_all_within_the_radius():
     rnd = random.Random(9)
     for _ in range(300):
