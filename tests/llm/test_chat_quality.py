@@ -138,6 +138,21 @@ def test_licence_lines_and_paragraphs(spark):
     assert licenses.scan(df, known=[]).collect() == []
 
 
+def test_licences_inside_lines_and_comment_blocks(spark):
+    grant = licenses.PASSAGES[0][1].split()
+    block = "\n".join(["# Copyright someone", "#", *(
+        "# " + " ".join(grant[i:i + 9]) for i in range(0, len(grant), 9)), "#", *(f"# other words of line {i}" for i in range(20))])
+    rows = [(1, "This file is part of Foo. Licensed under the MIT License. See the web."), (2, block),
+            (3, "a b Licensed under the ISC License and Licensed under the MIT License c d"),
+            (4, "under the sea a license to sail"), (5, "Licensed under the MIT License."),
+            (6, "x y " + licenses.TEXTS[1][1] + " z"), (None, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.key, r.kind, r.number, r.license, r.dice) for r in licenses.scan(df).collect())
+    assert got == [(1, "window", 6, "MIT", 1.0), (2, "window", 2, "MIT", 1.0),
+                   (3, "window", 2, "ISC", 1.0), (3, "window", 8, "MIT", 1.0),
+                   (5, "line", 0, "MIT", 1.0), (6, "line", 0, "BSD-3-Clause", got[-1][-1])]
+
+
 def test_dice_equals_brute_force(spark, docs):
     def grams(text):
         w = re.sub(r"[\W_]+", " ", text.lower()).split()
