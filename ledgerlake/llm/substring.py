@@ -37,6 +37,8 @@ from ledgerlake.llm.common import (BASES, Ranges, batch, distinct, documents, gr
 WINDOW = 50
 # A null id sorts behind all others.
 LAST = (1 << 63) - 1
+# Windows whose least hash is taken at once.
+BLOCK = 1 << 16
 
 def runs_of(words: np.ndarray, bounds: np.ndarray, length: int):
     """text, start, count, anchor, left, right, run of every run of full
@@ -52,7 +54,10 @@ def runs_of(words: np.ndarray, bounds: np.ndarray, length: int):
     h = Ranges(words, BASES[0])
     grams = np.arange(n - short + 1)
     grams = h(grams, grams + short)
-    smallest = sliding_window_view(grams, length - short + 1).argmin(axis=1)
+    # argmin copies its windows: some of them at a time.
+    views = sliding_window_view(grams, length - short + 1)
+    smallest = np.concatenate([views[i:i + BLOCK].argmin(axis=1)
+                               for i in range(0, len(views), BLOCK)])
     anchors = (smallest + np.arange(n - length + 1))[at]
     new = np.ones(len(at), bool)
     new[1:] = (anchors[1:] != anchors[:-1]) | (text[at[1:]] != text[at[:-1]])

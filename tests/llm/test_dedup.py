@@ -1,7 +1,9 @@
 """Substring dedup and Jaccard join against brute force."""
 
 import hashlib
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,22 @@ def test_substring_keeps_columns_and_untouched_texts(docs):
         d: sorted(map(repr, v)) for d, v in want.items()}
 
 
+def test_runs_of_a_long_text_in_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 1 << 63, 600_000).astype(np.uint64)
+    bounds = np.array([0, len(words)])
+    substring.runs_of(words[:200], np.array([0, 200]), 50)
+    substring.Ranges(words, substring.BASES[0]), substring.Ranges(words, substring.BASES[1])
+    tracemalloc.start()
+    whole = substring.runs_of(words, bounds, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * len(words)  # the windows alone were 304 bytes a word
+    monkeypatch.setattr(substring, "BLOCK", 1000)
+    for a, b in zip(whole, substring.runs_of(words, bounds, 50)):
+        assert (a == b).all()
+
+
 def test_substring_empty_table(none):
     assert substring.remove_repeats(none).collect() == []
     assert substring.without_repeats(none).collect() == []
