@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import (chat, decontaminate, jaccard, licenses, packing, quality_model,
-                            quality_rules, sharding, substring, wavelet)
+from ledgerlake.llm import (chat, decontaminate, jaccard, licenses, packing, phrases,
+                            quality_model, quality_rules, sharding, substring, wavelet)
 
 QUERIES = {
     "op1_quality_scores": quality_model.op1_quality_scores,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_shard_documents": sharding.op8_shard_documents,
     "op9_pack_documents": packing.op9_pack_documents,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_phrase_collocations": phrases.op11_phrase_collocations,
 }
 
 ORACLES = {
     "op4_license_scan": licenses.OP4_SQL,
     "op7_format_chats": chat.OP7_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
+    "op11_phrase_collocations": phrases.OP11_SQL,
 }
