@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import pairwise
 
 import numpy as np
@@ -46,9 +47,41 @@ def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_BATCH_ROWS, before)
+    if _made:
+        _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Folders staged within each open ``tidy``.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[list[str]]:
+    """Notes the folders staged inside, for ``sweep``; what fails leaves
+    them."""
+    _made.append([])
+    try:
+        yield _made[-1]
+    finally:
+        left = _made.pop()
+        if _made:  # a surrounding operator may sweep them
+            _made[-1].extend(left)
+
+
+def sweep(made: list[str], result: DataFrame, name: str) -> DataFrame:
+    """Stage ``result`` and delete the operator's other staged folders."""
+    spark = result.sparkSession
+    before = list(made)
+    kept = staged(result, name)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in before:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+        made.remove(folder)
+    return kept
+
+
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, _UPPER, _LOWER)
 

@@ -1,14 +1,23 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A document is the set of its word shingles; equal sets form one class. All
-classes order their shingles alike, rare ones first. If two sets of sizes n
-overlap enough, then for every m the first ``n - ceil(t n) + m`` shingles
-of both have at least m in common. A class chooses its own m: where its
-prefix would meet many others it is lengthened, and a partner has to share
-as many more prefix shingles before the pair is verified (a pair has to
-meet the smaller m of its two classes). A class with m may leave the
-``(m - 1) // 2`` most frequent shingles out of its prefix: of m common
-shingles at least one is then still held by both.
+classes order their shingles alike: the *light* ones by hash, then the
+*heavy* ones (those counted often, a bounded list) by frequency. Two sets of
+n <= n' shingles that are similar enough (at least t) share
+
+* at least a' = ceil(t n') shingles, and at least b = ceil(2 t n / (1 + t)).
+
+So for every m the first n - b + m shingles of the smaller and the first
+n' - a' + m of the larger set have m in common. A class chooses its own m:
+where its prefix would meet many others it is lengthened, and a partner has
+to share as many more shingles of the prefix before the pair is verified (a
+pair has to meet the smaller m of its two classes). A prefix is lengthened
+within its light part only. A set with fewer than a heavy shingles has a
+light prefix throughout. Only where nearly the whole set is heavy does the
+prefix reach into that part, with m = 1; a pair that meets there alone has
+no light shingle in common, so the smaller number of heavy shingles bounds
+its overlap. Heavy shingles are thus join keys for few classes, and for
+pairs that can still be similar.
 
 Links are found in two steps, because a component needs no more links than
 hold it together:
@@ -29,11 +38,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import broadcast_bitmap, in_bitmap
-from ledgerlake.llm.common import batch, documents, mix, shingle_sets, signed, staged
+from ledgerlake.llm.common import (batch, documents, mix, shingle_sets, signed, staged, sweep,
+                                   tidy)
 from ledgerlake.llm.components import components
 
 SHINGLE = 5
@@ -43,13 +53,14 @@ PERCENT = 75
 MATCHES = (1, 2, 4, 8)
 # A pair costs as much to verify as so many postings cost to merge.
 VERIFY_COST = 50
-# Shingles in at least this share of all postings are counted and put last;
-# there can be at most 1 / HOT of them (2 million, 32 MB).
+# Shingles in at least this share of all postings are heavy; there can be at
+# most 1 / HOT of them (2 million, 32 MB).
 HOT = 5e-7
 LEAST_HOT = 3
 # Shingles a task counts at a time when it looks for frequent ones.
 COUNTED = 1 << 21
-# Rounds of stars, and stars a class is verified against in each.
+# Rounds of stars, and stars a class is verified against in each. Whatever
+# they leave is found in step 2.
 ROUNDS = 2
 STARS = 3
 # Stars share at least this part of the set in the prefix; weaker pairs wait
@@ -66,78 +77,111 @@ def set_id(shingles: np.ndarray) -> int:
     return int(signed(mix(mix(size + total) + other))[0])
 
 
+def _sets_in(b: pa.RecordBatch, column: int, shingle: int) -> Iterator[np.ndarray]:
+    """The shingle sets of a column of texts, or of a column of sets."""
+    c = b.column(column)
+    if not pa.types.is_list(c.type):
+        yield from shingle_sets(c, shingle)
+        return
+    values = c.values.to_numpy().view(np.uint64)
+    ends = c.offsets.to_numpy()
+    for i in range(len(c)):
+        yield values[ends[i]:ends[i + 1]]
+
+
 _PROFILE = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("n", pa.int64()),
                       ("c", pa.int64()), ("hot", pa.int64()), ("hits", pa.int64())])
 _PROFILE_SQL = "key bigint, h bigint, n bigint, c bigint, hot bigint, hits bigint"
 
 
+class Frequent:
+    """Counts shingles and names those that are frequent within a stretch of
+    documents."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, s: np.ndarray) -> None:
+        if len(s):
+            self.held.append(s)
+            self.size += len(s)
+
+    def full(self) -> bool:
+        return self.size >= COUNTED
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.held:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        every = np.sort(np.concatenate(self.held))
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        values, counts = every[first], np.diff(np.append(first, len(every)))
+        keep = counts >= max(LEAST_HOT, HOT * self.size)
+        self.held, self.size = [], 0
+        return values[keep], counts[keep]
+
+
 def _profile(shingle: int):
-    """Per document its set size and class; besides, the shingles that are
-    frequent within a stretch of documents."""
+    """(key, h, text or set): per document its set size and class; besides,
+    the frequent shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        frequent = Frequent()
 
-        def frequent() -> pa.RecordBatch:
-            every = np.sort(np.concatenate(held))
-            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-            values, counts = every[first], np.diff(np.append(first, len(every)))
-            keep = counts >= max(LEAST_HOT, HOT * size)
-            none = [None] * int(keep.sum())
-            return batch(_PROFILE, *[none] * 4, signed(values[keep]), counts[keep])
+        def hot() -> pa.RecordBatch:
+            values, counts = frequent.take()
+            return batch(_PROFILE, *[[None] * len(values)] * 4, signed(values), counts)
 
         for b in batches:
             sizes, classes = [], []
-            for s in shingle_sets(b.column(2), shingle):
+            for s in _sets_in(b, 2, shingle):
                 sizes.append(len(s))
                 classes.append(set_id(s) if len(s) else None)
-                if len(s):
-                    held.append(s)
-                    size += len(s)
-                if size >= COUNTED:
-                    yield frequent()
-                    held, size = [], 0
+                frequent.add(s)
+                if frequent.full():
+                    yield hot()
             yield batch(_PROFILE, b.column(0), b.column(1), sizes, classes,
                         *[[None] * len(sizes)] * 2)
-        if held:
-            yield frequent()
+        yield hot()
     return run
 
 
 class Ordered:
-    """The shared order: by estimated frequency, then by hash."""
+    """The shared order: light shingles by hash, heavy ones by frequency."""
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray):
         self.tokens, self.counts = tokens, counts
 
     def frequency(self, s: np.ndarray) -> np.ndarray:
+        """0 for light shingles."""
         if not len(self.tokens):
-            return np.ones(len(s), np.int64)
+            return np.zeros(len(s), np.int64)
         at = np.minimum(np.searchsorted(self.tokens, s), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == s, self.counts[at], 1)
+        return np.where(self.tokens[at] == s, self.counts[at], 0)
 
     def prefix(self, s: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-        """The shingles of the longest prefix in order, and the length of
-        the shortest one (m = 1)."""
+        """The shingles of the longest prefix the class may use, in order,
+        and the number of light shingles in the set."""
+        frequency = self.frequency(s)
+        light = int((frequency == 0).sum())
         least = -(-percent * len(s) // 100)
-        order = np.lexsort((s, self.frequency(s)))
-        base = len(s) - least + 1
-        return s[order[:min(len(s), base + MATCHES[-1] - 1)]], base
+        longest = len(s) - least + max(1, min(MATCHES[-1], light - (len(s) - least)))
+        # Sets come sorted by hash, so a stable sort keeps that among equals.
+        return s[np.argsort(frequency, kind="stable")[:longest]], light
 
 
 _POSTING = pa.schema([("token", pa.int64()), ("c", pa.int64()), ("n", pa.int32()),
-                      ("extra", pa.int32())])
-_POSTING_SQL = "token bigint, c bigint, n int, extra int"
+                      ("light", pa.int32()), ("place", pa.int32())])
+_POSTING_SQL = "token bigint, c bigint, n int, light int, place int"
 
 
 def _postings(order: Broadcast, shingle: int, percent: int, bitmap: Broadcast | None):
-    """Prefix postings of every class; ``extra`` counts how far beyond the
-    shortest prefix a shingle lies. With a bitmap, only shingles in it."""
+    """Prefix postings of every class; ``place`` counts from 0. With a
+    bitmap, only shingles in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ordered = Ordered(*order.value)
         seen: set[int] = set()  # classes this task has sent, bounded
         held, n = [], 0
         for b in batches:
-            for s in shingle_sets(b.column(0), shingle):
+            for s in _sets_in(b, 0, shingle):
                 if not len(s):
                     continue
                 c = set_id(s)
@@ -145,16 +189,17 @@ def _postings(order: Broadcast, shingle: int, percent: int, bitmap: Broadcast |
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(c)
-                tokens, base = ordered.prefix(s, percent)
-                extra = np.maximum(np.arange(len(tokens)) - (base - 1), 0).astype(np.int32)
+                tokens, light = ordered.prefix(s, percent)
+                place = np.arange(len(tokens), dtype=np.int32)
                 if bitmap is not None:
                     keep = in_bitmap(bitmap.value, tokens)
-                    tokens, extra = tokens[keep], extra[keep]
+                    tokens, place = tokens[keep], place[keep]
                 if not len(tokens):
                     continue
-                held.append((tokens, np.full(len(tokens), c),
-                             np.full(len(tokens), len(s), np.int32), extra))
-                n += len(tokens)
+                k = len(tokens)
+                held.append((tokens, np.full(k, c), np.full(k, len(s), np.int32),
+                             np.full(k, light, np.int32), place))
+                n += k
                 if n >= 50_000:
                     yield _joined(held)
                     held, n = [], 0
@@ -164,8 +209,8 @@ def _postings(order: Broadcast, shingle: int, percent: int, bitmap: Broadcast |
 
 
 def _joined(held) -> pa.RecordBatch:
-    tokens, c, n, extra = map(np.concatenate, zip(*held))
-    return batch(_POSTING, signed(tokens), c, n, extra)
+    tokens, *rest = map(np.concatenate, zip(*held))
+    return batch(_POSTING, signed(tokens), *rest)
 
 
 _SETS = pa.schema([("c", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -196,7 +241,7 @@ def _sets(wanted: Broadcast, shingle: int):
     return run
 
 
-def _sets_of(classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+def sets_of(classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(c, shingles) for the classes (c), staged."""
     wanted = staged(classes.distinct(), "jaccard-wanted")
     bitmap = broadcast_bitmap(wanted, F.col("c"))
@@ -205,7 +250,7 @@ def _sets_of(classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return staged(sets.join(wanted, "c", "left_semi").dropDuplicates(["c"]), "jaccard-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are links, by exact intersection.
     Pairs without both sets drop out."""
     both = (pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
@@ -215,8 +260,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                   .select("a", "b"), "jaccard-links")
 
 
-def _across(postings: DataFrame, linked: DataFrame) -> DataFrame:
-    """Postings with their component, of the lists that hold several."""
+def linked_by(links: DataFrame) -> DataFrame:
+    """(node, component) of the links (a, b)."""
+    return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def across(postings: DataFrame, linked: DataFrame) -> DataFrame:
+    """Postings (token, c, ...) with their component, of the lists that hold
+    several."""
     marked = staged(postings.join(linked.withColumnRenamed("node", "c"), "c", "left")
                     .withColumn("comp", F.coalesce("component", "c")).drop("component"),
                     "jaccard-marked")
@@ -225,139 +276,157 @@ def _across(postings: DataFrame, linked: DataFrame) -> DataFrame:
     return staged(marked.join(mixed, "token"), "jaccard-mixed-postings")
 
 
-def _stars(across: DataFrame, turn: int) -> DataFrame:
+def stars(mixed: DataFrame, turn: int, enough: Column) -> DataFrame:
     """Pairs (a, b): b is the star of lists that a is in, from another
     component. The first star of a list is its most popular class (the
-    least changed of a group of copies), later ones change by hash."""
+    least changed of a group of copies), later ones change by hash.
+    ``enough`` judges the number of lists shared (shared) by a class of n."""
     rank = F.struct("popular", "c") if turn == 0 else F.struct(F.xxhash64("c", F.lit(turn)), "c")
-    tops = staged(across.groupBy("token").agg(
+    tops = staged(mixed.groupBy("token").agg(
         F.max(F.struct(rank.alias("rank"), "c", "comp")).alias("star"))
         .select("token", F.col("star.c").alias("b"), F.col("star.comp").alias("b_comp")),
         "jaccard-tops")
     best = Window.partitionBy("c").orderBy(F.desc("shared"), "b")
-    found = (across.join(tops, "token").where("comp <> b_comp").groupBy("c", "b")
-             .agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
-             .where(F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)
-             .withColumn("place", F.row_number().over(best)).where(f"place <= {STARS}"))
+    found = (mixed.join(tops, "token").where("comp <> b_comp").groupBy("c", "b")
+             .agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).where(enough)
+             .withColumn("turn", F.row_number().over(best)).where(f"turn <= {STARS}"))
     return staged(found.select(F.col("c").alias("a"), "b"), "jaccard-stars")
 
 
-def _sizes_fit(x: str, y: str, percent: int):
-    """Sets whose sizes differ too much cannot be similar enough."""
-    return ((F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent))
+def _least(n: str, percent: int) -> Column:
+    """Shingles that a set of n shares with any partner."""
+    return F.ceil(F.col(n) * percent / 100)
 
 
-def _left_out(m: int) -> int:
-    """Shingles a class leaves out of a prefix lengthened for m."""
-    return (m - 1) // 2
+def _least_larger(n: str, percent: int) -> Column:
+    """Shingles that a set of n shares with any partner of n or more."""
+    return F.ceil(F.col(n) * (2 * percent) / (100 + percent))
 
 
 def _chosen(postings: DataFrame, percent: int) -> DataFrame:
-    """The postings (token, c, n, m, popular) of each class's own prefix: the
-    m that costs least to merge and verify, the most frequent left out. A
-    prefix is as long as the document allows, so it fits in a row."""
+    """The postings (token, c, n, light, place, m, popular) of each class's
+    own prefix: the m that costs least to merge and verify. A prefix is as
+    long as the document allows, so it fits in a row."""
     by_class = postings.groupBy("c").agg(
-        F.first("n").alias("n"),
-        F.reverse(F.array_sort(F.collect_list(F.struct("k", "token", "extra"))))
-        .alias("prefix"))
-    # A prefix cannot be lengthened beyond the least overlap of its set.
-    room = F.ceil(F.col("n") * percent / 100)
+        F.first("n").alias("n"), F.first("light").alias("light"),
+        F.collect_list(F.struct("k", "token", "place")).alias("prefix"))
+    shortest = F.col("n") - _least("n", percent)
     options = []
     for m in MATCHES:
-        kept = F.filter("prefix", lambda p, m=m: p["extra"] < m)
-        kept = F.slice(kept, _left_out(m) + 1, F.greatest(F.size(kept), F.lit(1)))
+        kept = F.filter("prefix", lambda p, m=m: p["place"] < shortest + m)
         merged = F.aggregate(kept, F.lit(0).cast("bigint"), lambda acc, p: acc + p["k"] - 1)
-        cost = F.when(F.lit(m) <= F.greatest(room, F.lit(1)), merged + VERIFY_COST * merged / m)
+        cost = merged + VERIFY_COST * merged / m
+        if m > 1:  # within the light part
+            cost = F.when(shortest + m <= F.col("light"), cost)
         options.append(F.struct(F.coalesce(cost, F.lit(float("inf"))).alias("cost"),
                                 F.lit(m).alias("m"), kept.alias("kept")))
     popular = F.aggregate("prefix", F.lit(0).cast("bigint"), lambda acc, p: acc + p["k"])
-    best = by_class.select("c", "n", (popular / F.col("n")).alias("popular"),
+    best = by_class.select("c", "n", "light", (popular / F.col("n")).alias("popular"),
                            F.array_min(F.array(*options)).alias("best"))
-    return best.select("c", "n", "popular", F.col("best.m").alias("m"),
+    return best.select("c", "n", "light", "popular", F.col("best.m").alias("m"),
                        F.explode("best.kept").alias("p")) \
-        .select("p.token", "c", "n", "m", "popular")
-
-
-def _can_reach(percent: int):
-    """Whether a pair can overlap enough. Beyond what the prefixes share
-    only the rest of one set is left (of the set whose prefix ends first),
-    and what either left out of its prefix."""
-    def rest(n: str, m: str):
-        return F.ceil(F.col(n) * percent / 100) - F.col(m)
-
-    def left_out(m: str):
-        return F.floor((F.col(m) - 1) / 2)
-    most = (F.col("shared") + left_out("m") + left_out("m2")
-            + F.greatest(rest("n", "m"), rest("n2", "m2")))
-    return most * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
-
-
-def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str
-            ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents: key, h (text hash), n, c), (classes: c, group) and
-    (groups: group, component, k, h): the smallest key of a group, and the
-    first of its documents by key and text hash, null keys last."""
-    sc = docs.sparkSession.sparkContext
-    body = F.col(text).cast("string")
-    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(body).alias("h"),
-                       body.alias("text"))
-    texts = rows.select("text")
-    profile = staged(rows.mapInArrow(_profile(shingle), _PROFILE_SQL), "jaccard-profile")
-    every = profile.where("n is not null").select("key", "h", "n", "c")
-    total = every.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        .select("p.token", "c", "n", "light", "p.place", "m", "popular")
+
+
+def _candidates(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of classes from different components whose prefixes
+    allow a link."""
+    columns = ("token", "c", "n", "light", "place", "m", "comp")
+    small = postings.select(*columns)
+    large = postings.select(*[F.col(x).alias(f"{x}2") for x in columns])
+
+    def enough(overlap: Column) -> Column:
+        return overlap * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
+
+    meet = ((F.col("token") == F.col("token2")) & (F.col("comp") != F.col("comp2"))
+            & ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("c") < F.col("c2"))))
+            & (F.col("n") * 100 >= F.col("n2") * percent)
+            # Within the shorter prefix that the smaller set may use, and
+            # enough left on both sides of the shared shingle.
+            & enough(F.least("place", "place2") + 1
+                     + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) - 1))
+    short = F.col("n") - _least_larger("n", percent) + F.col("m")
+    small = small.where(F.col("place") < short)
+    light = (small.where("place < light").join(large.where("place2 < light2"), meet)
+             .groupBy("c", "c2").agg(F.count(F.lit(1)).alias("shared"),
+                                     *[F.first(x).alias(x) for x in
+                                       ("n", "n2", "m", "m2", "light", "light2")])
+             .where(F.col("shared") >= F.least("m", "m2"))
+             # Whatever else they share lies behind one of the prefixes.
+             .where(enough(F.col("shared") + F.greatest(
+                 F.col("n") - F.least(short, F.col("light")),
+                 F.col("n2") - F.least(F.col("n2") - _least("n2", percent) + F.col("m2"),
+                                       F.col("light2"))))))
+    heavy = (small.where("place >= light").join(
+        large.where("place2 >= light2"),
+        meet & enough(F.least(F.col("n") - F.col("light"), F.col("n2") - F.col("light2"))))
+        .select("c", "c2").distinct())
+    return (light.select("c", "c2").unionByName(heavy).distinct()
+            .select(F.col("c").alias("a"), F.col("c2").alias("b")))
+
+
+def heavy_shingles(profile: DataFrame) -> Broadcast:
+    """(sorted shingles, counts) of a staged profile; at most 1 / HOT."""
+    total = profile.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = (profile.where("hot is not null").groupBy("hot").agg(F.sum("hits").alias("hits"))
            .where(F.col("hits") >= max(LEAST_HOT, HOT * total)).toArrow())
     tokens = hot.column("hot").to_numpy().view(np.uint64)
     by_token = np.argsort(tokens)
-    order = sc.broadcast((tokens[by_token], hot.column("hits").to_numpy()[by_token]))
+    return profile.sparkSession.sparkContext.broadcast(
+        (tokens[by_token], hot.column("hits").to_numpy()[by_token]))
 
+
+def links_among(source: DataFrame, order: Broadcast, percent: int, shingle: int,
+                sets: DataFrame | None = None, linked: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) of classes that together with ``linked`` (node,
+    component) connect every pair of similar sets. ``source`` has one column,
+    texts or sets; given whole ``sets`` (c, shingles) serve to verify."""
     # Shingles that stand in two prefixes at least.
-    met = (texts.mapInArrow(_postings(order, shingle, percent, None), _POSTING_SQL)
+    met = (source.mapInArrow(_postings(order, shingle, percent, None), _POSTING_SQL)
            .groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     bitmap = broadcast_bitmap(met, F.col("token"))
-    postings = staged(texts.mapInArrow(_postings(order, shingle, percent, bitmap), _POSTING_SQL),
+    postings = staged(source.mapInArrow(_postings(order, shingle, percent, bitmap), _POSTING_SQL),
                       "jaccard-postings")
     lists = staged(postings.groupBy("token").agg(
         F.min("c").alias("a"), F.max("c").alias("z"), F.count(F.lit(1)).alias("k"))
         .where("a < z").drop("a", "z"), "jaccard-lists")
-    postings = staged(postings.join(lists, "token").groupBy("token", "c", "n", "extra")
+    postings = staged(postings.join(lists, "token").groupBy("token", "c", "n", "light", "place")
                       .agg(F.max("k").alias("k")), "jaccard-postings")
-
     # Each class weighs its prefixes and keeps the postings of the cheapest.
     postings = staged(_chosen(postings, percent), "jaccard-postings")
 
     # Step 1: stars. Their sets are fetched once: the classes that share
     # much with a star of the first turn.
-    empty = postings.select(F.col("c").alias("a"), F.col("c").alias("b")).where(F.lit(False))
-    links, sets = empty, None
-    linked = empty.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    links = postings.select(F.col("c").alias("a"), F.col("c").alias("b")).where(F.lit(False))
+    known = links if linked is None else linked.select(F.col("node").alias("a"),
+                                                       F.col("component").alias("b"))
+    linked = linked_by(known) if linked is None else linked
+    of_stars = sets
     for turn in range(ROUNDS):
-        across = _across(postings, linked)
-        stars = _stars(across, turn)
-        if sets is None:
-            sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("c")), texts, shingle)
-        new = _verified(stars, sets, percent)
+        found = stars(across(postings, linked), turn,
+                      F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)
+        if of_stars is None:
+            of_stars = sets_of(found.select(F.explode(F.array("a", "b")).alias("c")), source,
+                               shingle)
+        new = verified(found, of_stars, percent)
         if new.isEmpty():
             break
         links = links.unionByName(new)
-        linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        linked = linked_by(known.unionByName(links))
 
     # Step 2: every pair left.
-    left = _across(postings, linked)
-    right = left.select(*[F.col(x).alias(f"{x}2") for x in ("token", "c", "n", "m", "comp")])
-    pairs = staged(left.join(right, (F.col("token") == F.col("token2"))
-                             & (F.col("c") < F.col("c2")) & (F.col("comp") != F.col("comp2"))
-                             & _sizes_fit("n", "n2", percent))
-                   .groupBy("c", "c2").agg(F.count(F.lit(1)).alias("shared"),
-                                           F.first("n").alias("n"), F.first("n2").alias("n2"),
-                                           F.first("m").alias("m"), F.first("m2").alias("m2"))
-                   .where(_can_reach(percent))
-                   .select(F.col("c").alias("a"), F.col("c2").alias("b")), "jaccard-pairs")
-    rest = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("c")), texts, shingle)
-    links = links.unionByName(_verified(pairs, rest, percent))
-    final = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    # From classes to their groups.
+    pairs = staged(_candidates(across(postings, linked), percent), "jaccard-pairs")
+    rest = sets if sets is not None else sets_of(
+        pairs.select(F.explode(F.array("a", "b")).alias("c")), source, shingle)
+    return links.unionByName(verified(pairs, rest, percent))
+
+
+def grouped(every: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From documents (key, h, n, c) and links of classes: (c, class, group),
+    class being the smallest key of equal sets, and (group, component, k, h):
+    the smallest key of a group, and the first of its documents by key and
+    text hash, null keys last."""
+    final = linked_by(links)
     first = F.min(F.struct(F.coalesce("key", F.lit(LAST)).alias("k"), "h")).alias("first")
     classes = staged(every.where("n > 0").groupBy("c").agg(F.min("key").alias("key"), first),
                      "jaccard-classes")
@@ -366,33 +435,53 @@ def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str
     groups = staged(classes.groupBy("group").agg(F.min("key").alias("component"),
                                                  F.min("first").alias("first"))
                     .select("group", "component", "first.k", "first.h"), "jaccard-groups")
-    return every, classes.select("c", "group"), groups
+    return classes.select("c", F.col("key").alias("class"), "group"), groups
+
+
+def keyed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    body = F.col(text).cast("string")
+    return docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(body).alias("h"),
+                       body.alias("text"))
+
+
+def named(every: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row per document: key, n, class, component."""
+    of_class = classes.join(groups, "group").select("c", "class", "component")
+    return (every.where("n > 0").join(of_class, "c").select("key", "n", "class", "component")
+            .unionByName(every.where("n = 0").select(
+                "key", "n", F.lit(None).cast("bigint").alias("class"),
+                F.col("key").alias("component"))))
+
+
+def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str
+            ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents: key, h (text hash), n, c), (classes: c, class, group) and
+    (groups: group, component, k, h)."""
+    rows = keyed_texts(docs, key, text)
+    profile = staged(rows.mapInArrow(_profile(shingle), _PROFILE_SQL), "jaccard-profile")
+    every = profile.where("n is not null").select("key", "h", "n", "c")
+    links = links_among(rows.select("text"), heavy_shingles(profile), percent, shingle)
+    return (every, *grouped(every, links))
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
                        key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, n (set size), c (class), component (the
-    smallest key that links reach, itself included).
+    """One row per document: key, n (set size), class (the smallest key with
+    an equal set), component (the smallest key that links reach, itself
+    included).
 
     Texts are lower-cased in A-Z. Null or blank texts have an empty set, no
     class and no links. A null key never names a component that has another
     key; rows that repeat a key stand for texts of their own. Other columns
     are not read; no rows give no rows.
     """
-    every, classes, groups = _groups(docs, percent, shingle, key, text)
-    named = staged(classes.join(groups, "group").select("c", "component"), "jaccard-named")
-    return (every.where("n > 0").join(named, "c").select("key", "n", "c", "component")
-            .unionByName(every.where("n = 0").select("key", "n", "c",
-                                                     F.col("key").alias("component"))))
+    with tidy(docs.sparkSession) as made:
+        return sweep(made, named(*_groups(docs, percent, shingle, key, text)), "jaccard-components")
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
-                key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` less near duplicates, all columns kept: of each
-    component the document with the smallest key stays (null keys last,
-    equal keys by text hash, equal rows one). Texts without words have no
-    duplicates and stay."""
-    _, _, groups = _groups(docs, percent, shingle, key, text)
+def keep_first_of_each(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that are the first of their group (k, h), and
+    those without words."""
     body = F.col(text).cast("string")
     has_words = F.coalesce(body.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     marked = docs.withColumns({
@@ -403,7 +492,56 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
     return kept.unionByName(docs.where(~has_words))
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE,
+                key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` less near duplicates, all columns kept: of each
+    component the document with the smallest key stays (null keys last,
+    equal keys by text hash, equal rows one). Texts without words have no
+    duplicates and stay."""
+    with tidy(docs.sparkSession) as made:
+        _, _, groups = _groups(docs, percent, shingle, key, text)
+        groups = sweep(made, groups, "jaccard-groups")
+    return keep_first_of_each(docs, groups, key, text)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_components(documents(spark, sf_dir))
     return out.select(F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.col("component").alias("component_id"), F.col("c").alias("class_id"))
+                      F.col("component").alias("component_id"), F.col("class").alias("class_id"))
+
+
+def components_sql(shingle: int, percent: int) -> str:
+    """CTEs of DuckDB SQL (to follow WITH RECURSIVE): ``named`` (doc_id,
+    n_shingles, component_id, class_id) of ``documents``, ids taken as unique."""
+    return rf"""
+words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < {shingle} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, (len(w) - {shingle - 2})::BIGINT),
+         lambda i: array_to_string(list_slice(w, i, i + {shingle - 1}), ' '))) END AS s
+  FROM words),
+classes AS (SELECT min(doc_id) AS c, len(s) AS n, list_sort(s) AS s FROM sets GROUP BY ALL),
+member AS (SELECT doc_id, c FROM sets JOIN classes ON list_sort(sets.s) = classes.s WHERE n > 0),
+tokens AS (SELECT c, n, unnest(s) AS token FROM classes),
+links AS (
+  SELECT a.c AS u, b.c AS v FROM tokens a JOIN tokens b ON a.token = b.token AND a.c < b.c
+  GROUP BY a.c, b.c, a.n, b.n
+  HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(u, v) AS (
+  SELECT c, c FROM classes WHERE n > 0
+  UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON r.v = b.u),
+least AS (SELECT u, min(v) AS component FROM reach GROUP BY u),
+named AS (
+  SELECT s.doc_id, len(s)::BIGINT AS n_shingles, coalesce(component, s.doc_id) AS component_id,
+         m.c AS class_id
+  FROM sets s LEFT JOIN member m ON m.doc_id = s.doc_id LEFT JOIN least ON least.u = m.c)"""
+
+
+OP5_SQL = f"""WITH RECURSIVE {components_sql(SHINGLE, PERCENT)}
+SELECT doc_id, n_shingles, component_id, class_id FROM named"""

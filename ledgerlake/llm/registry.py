@@ -21,6 +21,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_jaccard_join": jaccard.OP5_SQL,
     "op4_license_scan": licenses.OP4_SQL,
     "op7_format_chats": chat.OP7_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,

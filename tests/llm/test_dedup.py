@@ -1,6 +1,7 @@
 """Substring dedup and Jaccard join against brute force."""
 
 import hashlib
+import random
 import tracemalloc
 
 import numpy as np
@@ -116,6 +117,34 @@ def test_jaccard_equals_brute_force(docs):
     assert len({c for _, _, c in got}) < len(got) - 14  # the near copies are one
 
 
+def overlapping_cuts(n=700, seed=3):
+    """Texts cut from a few passages with up to 40 % extra words, so that
+    many pairs lie around the threshold."""
+    rnd = random.Random(seed)
+    bases = [[f"b{b}w{i}" for i in range(120)] for b in range(6)]
+    rows = []
+    for i in range(n):
+        base = rnd.choice(bases)
+        size = rnd.randint(60, 120)
+        at = rnd.randint(0, 120 - size)
+        extra = [f"x{rnd.randrange(40)}" for _ in range(int(size * rnd.random() * 0.4))]
+        cut = base[at:at + size]
+        place = rnd.randint(0, len(cut))
+        rows.append((i, " ".join(cut[:place] + extra + cut[place:])))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [None, 5])
+def test_jaccard_of_overlapping_cuts(spark, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(jaccard, "LEAST_HOT", hot)
+    rows = overlapping_cuts()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sorted((r.key, r.n, r.component) for r in jaccard.jaccard_components(df).collect())
+    assert got == sorted(x[:3] for x in brute_components(rows))
+    assert 20 < len({c for _, _, c in got}) < 690
+
+
 def test_one_of_each_keeps_one(docs):
     out = jaccard.one_of_each(docs)
     assert out.columns == docs.columns
