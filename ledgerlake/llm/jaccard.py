@@ -376,6 +376,12 @@ def heavy_shingles(profile: DataFrame) -> Broadcast:
         (tokens[by_token], hot.column("hits").to_numpy()[by_token]))
 
 
+def heavy_in(sets: DataFrame) -> Broadcast:
+    """``heavy_shingles`` of a table of sets (c, shingles)."""
+    rows = sets.select("c", F.lit(None).cast("bigint"), "shingles")
+    return heavy_shingles(staged(rows.mapInArrow(_profile(0), _PROFILE_SQL), "jaccard-profile"))
+
+
 def links_among(source: DataFrame, order: Broadcast, percent: int, shingle: int,
                 sets: DataFrame | None = None, linked: DataFrame | None = None) -> DataFrame:
     """Links (a, b) of classes that together with ``linked`` (node,

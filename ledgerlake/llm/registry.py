@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import (chat, decontaminate, jaccard, licenses, negatives, packing,
-                            phrases, quality_model, quality_rules, sharding, substring, wavelet)
+from ledgerlake.llm import (chat, decontaminate, jaccard, licenses, minhash, negatives,
+                            packing, phrases, quality_model, quality_rules, sharding, substring, wavelet)
 
 QUERIES = {
     "op1_quality_scores": quality_model.op1_quality_scores,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_pack_documents": packing.op9_pack_documents,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_phrase_collocations": phrases.op11_phrase_collocations,
+    "op12_minhash_near_dedup": minhash.op12_minhash_near_dedup,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
@@ -26,5 +27,6 @@ ORACLES = {
     "op7_format_chats": chat.OP7_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
     "op11_phrase_collocations": phrases.OP11_SQL,
+    "op12_minhash_near_dedup": minhash.OP12_SQL,
     "op13_hard_negatives": negatives.OP13_SQL,
 }
