@@ -20,7 +20,9 @@ counted too, which costs time and changes nothing.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -30,8 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import broadcast_bitmap, in_bitmap
-from ledgerlake.llm.common import (BASES, STRETCH, Ranges, batch, documents, mix, signed,
-                                   spare_memory, staged, stretch_words)
+from ledgerlake.llm.common import (STRETCH, batch, documents, mix, signed, spare_memory, staged,
+                                   stretch_words, sweep, tidy)
 from ledgerlake.operators.ranking import number_within
 
 LEAST = 100
@@ -51,7 +53,9 @@ _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _BLANKS = b"\x20\x09"
 _IS_BREAK = bytes(b in _BREAKS for b in range(256))
 _IN_WORD = bytes(b not in _BREAKS + _BLANKS for b in range(256))
+_IN_WORDS = re.compile(rb"[^.,;:!?\x09-\x0d\x20]+")
 _AS_SPACE = bytes(0x20 if b in _BREAKS + _BLANKS else b for b in range(256))
+_FIRST = np.uint64(0x9E3779B97F4A7C15)
 # Words whose phrases are hashed at a time.
 BLOCK = 1 << 17
 # Phrase occurrences a task counts at a time before it hands them on.
@@ -119,194 +123,202 @@ def _groups(b: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
         yield texts, langs
 
 
-def _levels(w: Words, part: slice, first: int, lengths, known: np.ndarray | None,
-            done: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(k, starts within the part, hashes) of the phrases of k words whose
-    two parts of k - 1 words are both in ``known``, and not both in one of
-    ``done`` (those were counted before). Words (k = 1) all count. Starts
-    from ``first`` on belong to the next block."""
-    ranges = Ranges(w.hash[part], BASES[0])
-    piece, lang = w.piece[part], w.lang[part]
+def _named(first: np.ndarray, rest: np.ndarray, k: int) -> np.ndarray:
+    """Hash of a phrase of k words from those of its first and last k - 1
+    words (a word: from its own and 0); the low bits hold k."""
+    h = mix(first * _FIRST ^ rest)
+    return (h & ~np.uint64(7)) | np.uint64(k)
+
+
+def _has(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    return in_bitmap(bitmap, grams >> np.uint64(3))
+
 
-    def grams(at: np.ndarray, k: int) -> np.ndarray:
-        return mix(ranges(at, at + k) ^ lang[at])
+def _bitmap(rows: DataFrame) -> Broadcast:
+    return broadcast_bitmap(rows, F.shiftrightunsigned("gram", 3))
 
+
+def _levels(w: Words, part: slice, first: int, lengths, known: np.ndarray | None,
+            done: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, firsts, rests): the parts of the phrases of k words whose two
+    parts of k - 1 words are both in ``known``, and not both in one of
+    ``done`` (those were counted before). Words (k = 1) all count, as
+    themselves and 0. Starts from ``first`` on belong to the next block."""
+    piece = w.piece[part]
     at = np.arange(len(piece))
-    inside = None  # the starts of the level below that are in known
+    left, right = w.hash[part] ^ w.lang[part], np.zeros(len(piece), np.uint64)
     for k in range(1, max(lengths) + 1):
         if k > 1:
             pair = inside[:-1] & inside[1:]
             pair &= piece[:len(pair)] == piece[k - 1:k - 1 + len(pair)]
             at = np.flatnonzero(pair)
-        h = grams(at, k)
+            left, right = below[at], below[at + 1]
+        h = _named(left, right, k)
         if k in lengths:
             counted = at < first
-            if k > 1 and done:
+            if k > 1:
                 for was in old:
                     counted &= ~(was[at] & was[at + 1])
-            yield k, at[counted], h[counted]
-        if k == max(lengths):
-            return
+                yield k, left[counted], right[counted]
+            else:
+                yield k, h[counted], right[counted]
         size = len(piece) - k + 1
-        if size <= 1:
+        if k == max(lengths) or size <= 1:
             return
-        inside = np.zeros(size, bool)
-        inside[at] = in_bitmap(known, h)
-        old = []
+        below, inside, old = np.zeros(size, np.uint64), np.zeros(size, bool), []
+        below[at], inside[at] = h, _has(known, h)
         for bitmap in done:
             was = np.zeros(size, bool)
-            was[at] = in_bitmap(bitmap, h)
+            was[at] = _has(bitmap, h)
             old.append(was)
 
 
-_COUNTS = pa.schema([("gram", pa.int64()), ("k", pa.int32()), ("hits", pa.int64()),
-                     ("lang", pa.string())])
-_COUNTS_SQL = "gram bigint, k int, hits bigint, lang string"
+_COUNTS = pa.schema([("first", pa.int64()), ("rest", pa.int64()), ("hits", pa.int64())])
+_COUNTS_SQL = "first bigint, rest bigint, hits bigint"
 
 
 def _counted(lengths, known: Broadcast | None, done: list[Broadcast]):
-    """Counts of the phrases of ``_levels`` by stretch of documents; with
-    words, one row per language for the number of its words (no gram)."""
+    """Counts of the phrases of ``_levels`` by stretch of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spare_memory()
-        held: dict[int, list[np.ndarray]] = {k: [] for k in lengths}
-        size, totals = 0, {}
+        held, size = [], 0
 
         def found() -> Iterator[pa.RecordBatch]:
-            for k in lengths:
-                if held[k]:
-                    every = np.sort(np.concatenate(held[k]))
-                    held[k] = []
-                    first = np.flatnonzero(np.concatenate(
-                        [every[:1] == every[:1], every[1:] != every[:-1]]))
-                    n = len(first)
-                    hits = np.diff(np.append(first, len(every)))
-                    for i in range(0, n, 100_000):
-                        part = slice(i, i + 100_000)
-                        m = len(first[part])
-                        yield batch(_COUNTS, signed(every[first[part]]), np.full(m, k, np.int32),
-                                    hits[part], pa.nulls(m, pa.string()))
+            first, rest = map(np.concatenate, zip(*held))
+            order = np.argsort(first * _FIRST ^ rest)
+            first, rest = first[order], rest[order]
+            new = np.ones(len(first), bool)
+            new[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
+            at = np.flatnonzero(new)
+            hits = np.diff(np.append(at, len(first)))
+            for i in range(0, len(at), 100_000):
+                part = slice(i, i + 100_000)
+                yield batch(_COUNTS, signed(first[at[part]]), signed(rest[at[part]]), hits[part])
 
         for b in batches:
             for texts, langs in _groups(b):
                 w = Words(texts, langs)
-                if 1 in lengths:
-                    for i, n in enumerate(np.bincount(w.text, minlength=len(texts)).tolist()):
-                        totals[langs[i]] = totals.get(langs[i], 0) + n
                 for part, first in w.blocks(max(lengths)):
-                    for k, _, h in _levels(w, part, first, lengths,
-                                           None if known is None else known.value,
-                                           [d.value for d in done]):
-                        held[k].append(h)
-                        size += len(h)
+                    for _, left, right in _levels(w, part, first, lengths,
+                                                  None if known is None else known.value,
+                                                  [d.value for d in done]):
+                        held.append((left, right))
+                        size += len(left)
                 if size >= COUNTED:
                     yield from found()
-                    size = 0
-        yield from found()
-        if totals:
-            yield batch(_COUNTS, [None] * len(totals), [0] * len(totals),
-                        list(totals.values()), list(totals))
+                    held, size = [], 0
+        if size:
+            yield from found()
     return run
 
 
+_GRAMS = pa.schema([("gram", pa.int64()), ("k", pa.int32()), *_COUNTS])
+_GRAMS_SQL = "gram bigint, k int, " + _COUNTS_SQL
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the hash and length of phrases (first, rest, hits)."""
+    for b in batches:
+        first, rest = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+        k = np.where(rest == 0, 0, first & np.uint64(7)).astype(np.int32) + 1
+        gram = first.copy()
+        for n in range(2, int(k.max(initial=1)) + 1):
+            gram[k == n] = _named(first[k == n], rest[k == n], n)
+        yield batch(_GRAMS, signed(gram), k, *b.columns)
+
+
 def _frequent(rows: DataFrame, least: float, lengths, known, done, name: str) -> DataFrame:
-    """(gram, k, hits) of the phrases counted that reach ``least``, and
-    (lang, hits) of the languages, staged."""
+    """(gram, k, first, rest, hits) of the phrases counted that reach
+    ``least``, staged."""
     counts = rows.mapInArrow(_counted(tuple(lengths), known, done), _COUNTS_SQL)
-    return staged(counts.groupBy("gram", "k", "lang").agg(F.sum("hits").alias("hits"))
-                  .where((F.col("hits") >= least) | F.col("gram").isNull()), name)
+    return staged(counts.groupBy("first", "rest").agg(F.sum("hits").alias("hits"))
+                  .where(F.col("hits") >= least).mapInArrow(_grams, _GRAMS_SQL), name)
 
 
-_PHRASES = pa.schema([("gram", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()),
-                      ("words", pa.int32()), ("first", pa.list_(pa.int64())),
-                      ("rest", pa.list_(pa.int64()))])
-_PHRASES_SQL = ("gram bigint, lang string, phrase string, words int, first array<bigint>, "
-                "rest array<bigint>")
+_WORDS = pa.schema([("gram", pa.int64()), ("lang", pa.string()), ("word", pa.string()),
+                    ("n", pa.int64())])
+_WORDS_SQL = "gram bigint, lang string, word string, n bigint"
 
 
-def _spelled(wanted: Broadcast, longest: int):
-    """Texts of the phrases in the bitmap, each once a task, and the hashes
-    of both parts of every cut."""
+def _spelled(wanted: Broadcast):
+    """The words in the bitmap, each about once a task; besides, the number
+    of words of each language (no gram)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spare_memory()
-        seen: set[int] = set()  # bounded; a phrase may be sent again
+        seen: set[int] = set()  # bounded; a word may be sent again
+        totals: dict[str, int] = {}
         for b in batches:
             out = []
             for texts, langs in _groups(b):
                 w = Words(texts, langs)
+                for i, n in enumerate(np.bincount(w.text, minlength=len(texts)).tolist()):
+                    totals[langs[i]] = totals.get(langs[i], 0) + n
                 raw = b"\n".join(texts)
-                for part, first in w.blocks(longest):
-                    ranges = Ranges(w.hash[part], BASES[0])
-                    piece, lang, start = w.piece[part], w.lang[part], w.start[part]
-                    doc = w.text[part]
-                    for k in range(2, longest + 1):
-                        n = min(first, len(piece) - k + 1)
-                        if n <= 0:
-                            break
-                        at = np.flatnonzero(piece[:n] == piece[k - 1:k - 1 + n])
-                        h = mix(ranges(at, at + k) ^ lang[at])
-                        hit = np.flatnonzero(in_bitmap(wanted.value, h))
-                        h, place = np.unique(h[hit], return_index=True)
-                        for gram, i in zip(signed(h).tolist(), at[hit[place]].tolist()):
-                            if gram in seen:
-                                continue
-                            if len(seen) < 1_000_000:
-                                seen.add(gram)
-                            cut = np.arange(1, k)
-                            i_, end = np.full(k - 1, i), np.full(k - 1, i + k)
-                            left = mix(ranges(i_, i + cut) ^ lang[i])
-                            right = mix(ranges(i + cut, end) ^ lang[i])
-                            end_byte = _word_end(raw, int(start[i + k - 1]))
-                            words = raw[int(start[i]):end_byte].translate(
-                                _AS_SPACE).split()
-                            out.append((gram, langs[int(doc[i])], b" ".join(words).decode(), k,
-                                        signed(left).tolist(), signed(right).tolist()))
-                        if len(out) >= 10_000:
-                            yield batch(_PHRASES, *zip(*out))
-                            out = []
+                h, at = np.unique(w.hash ^ w.lang, return_index=True)
+                h = _named(h, np.zeros(len(h), np.uint64), 1)
+                hit = np.flatnonzero(_has(wanted.value, h))
+                for gram, i in zip(signed(h[hit]).tolist(), at[hit].tolist()):
+                    if gram in seen:
+                        continue
+                    if len(seen) < 1_000_000:
+                        seen.add(gram)
+                    word = _IN_WORDS.match(raw, int(w.start[i])).group()
+                    out.append((gram, langs[int(w.text[i])], word.decode(), None))
             if out:
-                yield batch(_PHRASES, *zip(*out))
+                yield batch(_WORDS, *zip(*out))
+        if totals:
+            none = [None] * len(totals)
+            yield batch(_WORDS, none, list(totals), none, list(totals.values()))
     return run
 
 
-def _word_end(raw: bytes, start: int) -> int:
-    end = start
-    while end < len(raw) and _IN_WORD[raw[end]]:
-        end += 1
-    return end
-
-
-def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
-                     sample: float = SAMPLE, text: str = "text", lang: str = "lang"
-                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(counts: gram, k, hits of every word and phrase of up to ``longest``
-    words that occurs ``least`` times in its language; totals: lang, n;
-    rows: the texts read)."""
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                       F.col(text).cast("string").alias("text"))
+def frequent_phrases(rows: DataFrame, least: int = LEAST, longest: int = LONGEST,
+                     sample: float = SAMPLE) -> DataFrame:
+    """(gram, k, first, rest, hits) of every word and phrase of up to
+    ``longest`` words of the rows (lang, text) that occurs ``least`` times
+    in its language; first and rest are the grams of its parts of k - 1
+    words."""
     # The sample's own phrases, level by level.
     picked = staged(rows.sample(False, min(1.0, sample), SEED), "phrases-sample")
     lowered = max(2, int(least * min(1.0, sample) * LOWERED))
     proposed, known = None, None
     for k in range(1, longest):
-        level = _frequent(picked, lowered, [k], known, [], "phrases-level") \
-            .where("gram is not null").select("gram")
+        level = _frequent(picked, lowered, [k], known, [], "phrases-level").select("gram")
         proposed = level if proposed is None else proposed.unionByName(level)
-        known = broadcast_bitmap(proposed, F.col("gram"))
+        known = _bitmap(proposed)
 
     # The full pass over them and their border, then over what failed.
-    found = _frequent(rows, least, range(1, longest + 1), known, [], "phrases-counts")
-    totals = found.where("gram is null").select("lang", F.col("hits").alias("n"))
-    counts = found.where("gram is not null").select("gram", "k", "hits")
+    counts = _frequent(rows, least, range(1, longest + 1), known, [], "phrases-counts")
     new = counts.join(proposed, "gram", "left_anti").where(F.col("k") < longest)
     done = [known]
     while not new.isEmpty():
-        known = broadcast_bitmap(counts, F.col("gram"))
-        more = _frequent(rows, least, range(2, longest + 1), known, done, "phrases-counts") \
-            .where("gram is not null").select("gram", "k", "hits")
+        known = _bitmap(counts)
+        more = _frequent(rows, least, range(2, longest + 1), known, done, "phrases-counts")
         done.append(known)
         counts, new = counts.unionByName(more), more.where(F.col("k") < longest)
-    return counts, totals, rows
+    return counts
+
+
+def _described(counts: DataFrame, words: DataFrame, longest: int) -> DataFrame:
+    """(gram, k, lang, phrase, a, heads, tails) of the phrases of two words
+    and more: the counts of their first and last 1, 2, ... k words."""
+    level = staged(counts.where("k = 1").join(words, "gram").select(
+        "gram", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
+        F.array("hits").alias("heads"), F.array("hits").alias("tails")), "phrases-spelled")
+    out = []
+    for k in range(2, longest + 1):
+        level = staged(
+            counts.where(F.col("k") == k)
+            .join(level.select(F.col("gram").alias("first"), "lang",
+                               F.col("phrase").alias("head"), "heads"), "first")
+            .join(level.select(F.col("gram").alias("rest"), "last", "tails"), "rest")
+            .select("gram", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last",
+                    F.array_append("heads", F.col("hits")).alias("heads"),
+                    F.array_append("tails", F.col("hits")).alias("tails"),
+                    F.col("hits").alias("a")), "phrases-spelled")
+        out.append(level.select("gram", F.lit(k).alias("k"), "lang", "phrase", "a", "heads",
+                                "tails"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,
@@ -323,43 +335,41 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
 
     Null and blank texts have no words; repeated rows count as often as they
     stand; texts of any length are read whole; no rows give no rows; other
-    columns are not read. Phrases are told apart by 64-bit hashes.
+    columns are not read. Words are told apart by 61-bit hashes, phrases by
+    pairs of them.
     """
-    counts, totals, rows = frequent_phrases(docs, least, longest, sample, text, lang)
-    phrases = counts.where("k > 1")
-    wanted = broadcast_bitmap(phrases, F.col("gram"))
-    spelled = staged(
-        rows.mapInArrow(_spelled(wanted, longest), _PHRASES_SQL).dropDuplicates(["gram"])
-        .join(phrases.select("gram", F.col("hits").alias("a")), "gram"), "phrases-spelled")
-
-    # A longer phrase covers its parts one word shorter; theirs cover theirs.
-    covered = spelled.where("words > 2").select("a", F.explode(F.array(
-        F.element_at("first", -1), F.element_at("rest", 1))).alias("gram"))
-    dropped = (covered.groupBy("gram").agg(F.max("a").alias("most"))
-               .join(phrases, "gram").where(F.col("most") * 100 >= F.col("hits") * percent)
-               .select("gram"))
-    left = spelled.join(dropped, "gram", "left_anti")
-
-    hits = counts.select("gram", "hits")
-    cuts = (left.join(totals, "lang")
-            .select("gram", "lang", "phrase", "a", "n",
-                    F.posexplode(F.arrays_zip("first", "rest")).alias("place", "cut"))
-            .join(hits.select(F.col("gram").alias("g1"), F.col("hits").alias("l")),
-                  F.col("cut.first") == F.col("g1"))
-            .join(hits.select(F.col("gram").alias("g2"), F.col("hits").alias("r")),
-                  F.col("cut.rest") == F.col("g2")))
-    # Products of up to 36 digits, exact.
-    wide = [F.col(x).cast("decimal(15,0)") for x in ("a", "n", "l", "r")]
-    scored = cuts.withColumns({
-        "over": F.lit(1000).cast("decimal(4,0)") * wide[0] * wide[1],
-        "under": wide[2] * wide[3]}).withColumn("score", F.expr("over div under"))
-    best = (scored.groupBy("gram").agg(
-        F.min(F.struct("score", "place", "lang", "phrase", "a", "l", "r", "n")).alias("b"))
-        .select("b.*"))
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    return (number_within(best.drop("place"), "lang", order, "rank").where(F.col("rank") <= top)
-            .select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r",
-                    "n", "score"))
+    with tidy(docs.sparkSession) as made:
+        rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
+                           F.col(text).cast("string").alias("text"))
+        counts = frequent_phrases(rows, least, longest, sample)
+        phrases = counts.where("k > 1")
+        found = staged(rows.mapInArrow(_spelled(_bitmap(counts.where("k = 1"))), _WORDS_SQL),
+                       "phrases-words")
+        words = found.where("gram is not null").groupBy("gram").agg(
+            F.min("lang").alias("lang"), F.min("word").alias("word"))
+        totals = found.where("gram is null").groupBy("lang").agg(F.sum("n").alias("n"))
+
+        # A longer phrase covers its parts one word shorter; theirs cover theirs.
+        dropped = (phrases.where("k > 2")
+                   .select("hits", F.explode(F.array("first", "rest")).alias("gram"))
+                   .groupBy("gram").agg(F.max("hits").alias("most")).join(phrases, "gram")
+                   .where(F.col("most") * 100 >= F.col("hits") * percent).select("gram"))
+        left = (_described(counts, words, longest).join(dropped, "gram", "left_anti")
+                .join(totals, "lang"))
+        # Products of up to 36 digits, exact.
+        wide = "decimal(15, 0)"
+        cuts = F.expr(f"""transform(sequence(1, k - 1), place -> struct(
+            1000BD * cast(a as {wide}) * cast(n as {wide})
+                div (cast(heads[place - 1] as {wide}) * cast(tails[k - place - 1] as {wide}))
+                as score,
+            place as place, heads[place - 1] as l, tails[k - place - 1] as r))""")
+        best = left.withColumn("cut", F.array_min(cuts)).select(
+            "lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+        order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+        ranked = number_within(best, "lang", order, "rank").where(F.col("rank") <= top)
+        return sweep(made, ranked.select(
+            "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n",
+            "score"), "phrases-ranked")
 
 
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
