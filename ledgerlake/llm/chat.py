@@ -29,7 +29,9 @@ ESCAPES = (
     ("[INST]", "\\i"),
     ("[/INST]", "\\c"),
 )
-LEVELS = ("raw", "conflicting turns", "all turns")
+CONTROLS = tuple(plain for plain, _ in ESCAPES if plain != "\\")
+# What is escaped at each level.
+LEVELS = ("control strings", "backslashes too", "everything")
 
 
 def escape(text: Column) -> Column:
@@ -44,19 +46,18 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def _conflicts(text: Column) -> Column:
+def _holds(text: Column, strings) -> Column:
     hit = F.lit(False)
-    for plain, _ in ESCAPES:
+    for plain in strings:
         hit = hit | F.contains(text, F.lit(plain))
     return hit
 
 
 def _encode(text: Column, level: int) -> Column:
-    if level == 0:
-        return text
-    if level == 1:
-        return F.when(_conflicts(text), escape(text)).otherwise(text)
-    return escape(text)
+    if level == 2:
+        return escape(text)
+    strings = CONTROLS if level == 0 else [plain for plain, _ in ESCAPES]
+    return F.when(_holds(text, strings), escape(text)).otherwise(text)
 
 
 def render(turns: Column, level: int) -> Column:
@@ -96,6 +97,21 @@ def mask_runs(turns: Column, level: Column) -> Column:
         F.struct(F.lit(len(END)).alias("chars"), F.lit(False).alias("loss")))))
 
 
+def masked(formatted: Column, mask: Column) -> Column:
+    """The texts under the loss mask, cut out of the rendered text and
+    unescaped, in order."""
+    placed = F.aggregate(
+        mask, F.struct(F.lit(1).alias("at"), F.expr("array()").cast("array<struct<at:int,chars:int>>")
+                       .alias("runs")),
+        lambda acc, r: F.struct(
+            (acc["at"] + r["chars"]).alias("at"),
+            F.when(r["loss"], F.array_append(acc["runs"], F.struct(
+                acc["at"].alias("at"), r["chars"].alias("chars"))))
+            .otherwise(acc["runs"]).alias("runs")),
+        lambda acc: acc["runs"])
+    return F.transform(placed, lambda r: unescape(F.substring(formatted, r["at"], r["chars"])))
+
+
 def format_conversations(turns: DataFrame) -> DataFrame:
     """One row per conv_id: formatted, level, turns (read back), mask.
 
@@ -110,7 +126,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text")))).alias("rows"))
         .select("conv_id", F.transform("rows", lambda r: F.struct(
             r["role"].alias("role"), r["text"].alias("text"))).alias("source")))
-    # Raw first; each later level only where the round trip still differs.
+    # Each later level only where the round trip still differs.
     out = source.withColumns({"formatted": render(F.col("source"), 0), "level": F.lit(0)})
     for level in range(1, len(LEVELS)):
         out = out.withColumn("same", parse(F.col("formatted")) == F.col("source"))
@@ -141,8 +157,7 @@ def op7_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = format_conversations(rows.unionByName(probe))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"),
-                                    lambda t: t["text"]), "")
+    loss = F.array_join(masked(F.col("formatted"), F.col("mask")), "")
     return out.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(spoken, 256).alias("turns_sha256"),
@@ -158,7 +173,8 @@ _CHAT_ROWS = f"""
   FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{PROBE}'
   UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'"""
-_SPECIAL = " OR ".join(f"contains(c, '{plain}')" for plain, _ in ESCAPES)
+def _sql_control(c: str) -> str:
+    return "(" + " OR ".join(f"contains({c}, '{plain}')" for plain in CONTROLS) + ")"
 
 
 def _sql_escape(c: str) -> str:
@@ -171,12 +187,12 @@ _ORDER = "ORDER BY turn NULLS FIRST, role, text"
 OP7_SQL = f"""
 WITH rows AS ({_CHAT_ROWS}),
 enc AS (
-  SELECT *, {_sql_escape('role')} AS role1, {_sql_escape('text')} AS text1 FROM rows),
--- raw text reads back unless a code or an end marker stands in it
+  SELECT *, {_sql_escape('role')} AS role1, {_sql_escape('text')} AS text1,
+         {_sql_control('role')} AS role_held, {_sql_control('text')} AS text_held FROM rows),
+-- a string left raw does not read back if a code stands in it
 raw AS (
-  SELECT *, regexp_matches(role, '\\\\[beoic]') OR regexp_matches(text, '\\\\[beoic]')
-            OR contains(text, '</s>' || chr(10)) OR contains(role, '</s>' || chr(10))
-            OR contains(role, ' [/INST]' || chr(10)) AS bad
+  SELECT *, (NOT role_held AND regexp_matches(role, '\\\\[beoic]'))
+            OR (NOT text_held AND regexp_matches(text, '\\\\[beoic]')) AS bad
   FROM enc),
 conv AS (SELECT conv_id, bool_or(bad) AS bad FROM raw GROUP BY conv_id)
 SELECT r.conv_id, count(*) AS n_turns,
@@ -184,8 +200,8 @@ SELECT r.conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' {_ORDER}) FILTER (WHERE role = 'assistant'), ''))
          AS loss_sha256,
-       CAST(sum(CASE WHEN c.bad THEN length(role1) + length(text1)
-                     ELSE length(role) + length(text) END + {len(OPEN + HEAD_END + END)})
-            AS BIGINT) AS formatted_chars
+       CAST(sum(CASE WHEN role_held OR c.bad THEN length(role1) ELSE length(role) END
+                + CASE WHEN text_held OR c.bad THEN length(text1) ELSE length(text) END
+                + {len(OPEN + HEAD_END + END)}) AS BIGINT) AS formatted_chars
 FROM raw r JOIN conv c ON r.conv_id IS NOT DISTINCT FROM c.conv_id
 GROUP BY r.conv_id"""
