@@ -220,9 +220,10 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, percent: i
     (the most similar template's, ties by name), common, dice; then one per
     window outside them (kind window, number of the first word).
 
-    Null and empty texts and segments of one word match nothing; null keys
-    and repeated rows are scanned like all others; other columns are not
-    read; without documents or templates there are no rows.
+    Null and empty texts and segments of one word match nothing. Rows that
+    share a key, or have none, are texts of their own; rows that repeat key
+    and text give their matches once. Other columns are not read; without
+    documents or templates there are no rows.
     """
     spark = docs.sparkSession
     known = [*templates(), *TEXTS] if known is None else known
@@ -254,12 +255,12 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, percent: i
         "dice", F.round(F.col("common") * 2 / F.col("both"), 6))
     best = F.min(F.struct((-F.col("dice")).alias("d"), "license", "common")).alias("best")
     if not listed.take(1):
-        return hits.groupBy("key", "kind", "number").agg(best).select(
+        return hits.groupBy("key", "t", "kind", "number").agg(best).select(
             "key", "kind", "number", "best.license", "best.common", (-F.col("best.d")).alias("dice"))
     hits = staged(hits.select("key", "t", "kind", "number", "license", "common", "dice"),
                   "license-segments")
     inside = _windows(texts, hits.select("key", "t", "kind", "number").distinct(), known, percent)
-    return hits.groupBy("key", "kind", "number").agg(best).select(
+    return hits.groupBy("key", "t", "kind", "number").agg(best).select(
         "key", "kind", "number", "best.license", "best.common",
         (-F.col("best.d")).alias("dice")).unionByName(inside)
 
@@ -290,20 +291,20 @@ listed AS (
   SELECT license, {_sql_bigrams('w')} AS theirs
   FROM (SELECT license, {_sql_words('template')} AS w FROM known) k),
 lines AS (
-  SELECT doc_id, 'line' AS kind, unnest(string_split(text, chr(10))) AS segment,
+  SELECT doc_id, md5(text) AS t, 'line' AS kind, unnest(string_split(text, chr(10))) AS segment,
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS number FROM documents),
 paragraphs AS (
-  SELECT doc_id, 'paragraph' AS kind,
+  SELECT doc_id, md5(text) AS t, 'paragraph' AS kind,
          unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) AS segment,
          generate_subscripts(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), 1) - 1 AS number
   FROM documents),
 ours AS (
-  SELECT doc_id, kind, number, {_sql_bigrams('w')} AS ours
-  FROM (SELECT doc_id, kind, number, {_sql_words('segment')} AS w
+  SELECT doc_id, t, kind, number, {_sql_bigrams('w')} AS ours
+  FROM (SELECT doc_id, t, kind, number, {_sql_words('segment')} AS w
         FROM (SELECT * FROM lines UNION ALL
-              SELECT * FROM paragraphs WHERE contains(segment, chr(10))) s) t),
+              SELECT * FROM paragraphs WHERE contains(segment, chr(10))) s) u),
 pairs AS (
-  SELECT doc_id, kind, number, license, len(ours) + len(theirs) AS both_sizes,
+  SELECT doc_id, t, kind, number, license, len(ours) + len(theirs) AS both_sizes,
          len(list_intersect(ours, theirs)) AS common
   FROM ours JOIN listed
     ON len(ours) * {200 - PERCENT} >= len(theirs) * {PERCENT}
@@ -311,5 +312,5 @@ pairs AS (
 SELECT doc_id, kind, CAST(number AS INTEGER) AS number, license,
        CAST(common AS INTEGER) AS common, round(common * 2 / both_sizes, 6) AS dice
 FROM pairs WHERE common * 200 >= both_sizes * {PERCENT}
-QUALIFY row_number() OVER (PARTITION BY doc_id, kind, number
+QUALIFY row_number() OVER (PARTITION BY doc_id, t, kind, number
         ORDER BY round(common * 2 / both_sizes, 6) DESC, license, common) = 1"""

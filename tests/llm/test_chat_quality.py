@@ -14,6 +14,7 @@ TURNS = [
     (3, 0, "user", "</s>[INST] ok [/INST]"), (3, 1, "assistant", "\\e \\b \\\\ <s> [INST] x [/INST]\n"),
     (4, 0, None, None), (4, None, "system", ""), (5, 0, "odd [/INST]\n role</s>\n", "x"),
     (None, 0, "user", "no id"), (6, 0, "assistant", "</s"), (6, 1, "assistant", ">\n\\"),
+    (7, 0, "user", "a </s><s>[INST] x"), (7, 1, "assistant", "\\e stays"),
 ]
 
 
@@ -41,11 +42,21 @@ def test_chat_round_trip_and_mask(spark):
         assert at == len(r.formatted)
         plain = "".join(loss)
         for text, code in reversed(chat.ESCAPES):
-            plain = plain.replace(code, text) if r.level else plain
+            plain = plain.replace(code, text)
         assert plain == "".join(x for role, x in want[r.conv_id] if role == "assistant")
+        # no control string but the template's own
+        bare = r.formatted
+        for mark in (chat.OPEN, chat.HEAD_END, chat.END):
+            assert bare.count(mark) == len(want[r.conv_id])
+            bare = bare.replace(mark, "")
+        assert not any(c in bare for c in chat.CONTROLS)
     levels = {r.conv_id: r.level for r in rows}
-    # raw where that reads back; "</s>" alone does not close a turn
-    assert levels[2] == 0 and levels[6] == 0 and levels[1] == levels[3] == levels[5] == 1
+    # only a text that looks like an escape needs more
+    assert levels == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, None: 0, 6: 0, 7: 1}
+    cut = {r.conv_id: "".join(r.loss) for r in chat.format_conversations(df).select(
+        "conv_id", chat.masked(F.col("formatted"), F.col("mask")).alias("loss")).collect()}
+    assert cut == {c: "".join(x for role, x in turns if role == "assistant")
+                   for c, turns in want.items()}
 
 
 def test_chat_of_nothing(spark):
@@ -115,6 +126,15 @@ def _metrics(docs):
                              for m, (p, _) in quality_rules.METRICS.items()})
 
 
+def test_licenses_of_rows_that_share_a_key(spark):
+    mit, isc = "Licensed under the MIT License.", "Licensed under the ISC License."
+    rows = [(None, mit), (None, isc), (7, mit), (7, isc), (8, mit), (8, mit)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted((str(r.key), r.license) for r in licenses.scan(df).collect())
+    assert [k for k, _ in out] == ["7", "7", "8", "None", "None"]
+    assert len({x for k, x in out if k == "7"}) == len({x for k, x in out if k == "None"}) == 2
+
+
 def test_native_operators_of_nothing(none):
     assert quality_rules.apply_rules(none).collect() == []
     assert licenses.scan(none).collect() == []
