@@ -1,8 +1,9 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A document is the set of its word shingles; equal sets form one class. All
-classes order their shingles alike: the *light* ones by hash, then the
-*heavy* ones (those counted often, a bounded list) by frequency. Two sets of
+classes order their shingles alike, by frequency and hash, rare ones first;
+the frequent ones (a bounded list) that were counted most often are *heavy*,
+the others *light*. Two sets of
 n <= n' shingles that are similar enough (at least t) share
 
 * at least a' = ceil(t n') shingles, and at least b = ceil(2 t n / (1 + t)).
@@ -34,6 +35,7 @@ never expanded into all its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,15 +55,17 @@ PERCENT = 75
 MATCHES = (1, 2, 4, 8)
 # A pair costs as much to verify as so many postings cost to merge.
 VERIFY_COST = 50
-# Shingles in at least this share of all postings are heavy; there can be at
-# most 1 / HOT of them (2 million, 32 MB).
+# Shingles in at least this share of all postings (and counted at least so
+# often) are ordered by frequency; there can be at most 1 / HOT of them (2
+# million, 32 MB). Those counted HEAVY times are the heavy ones.
 HOT = 5e-7
 LEAST_HOT = 3
+HEAVY = 32
 # Shingles a task counts at a time when it looks for frequent ones.
 COUNTED = 1 << 21
 # Rounds of stars, and stars a class is verified against in each. Whatever
 # they leave is found in step 2.
-ROUNDS = 2
+ROUNDS = 1
 STARS = 3
 # Stars share at least this part of the set in the prefix; weaker pairs wait
 # for step 2.
@@ -89,9 +93,30 @@ def _sets_in(b: pa.RecordBatch, column: int, shingle: int) -> Iterator[np.ndarra
         yield values[ends[i]:ends[i + 1]]
 
 
+# Longs of the odd sketch of a set: a bit is the parity of the shingles that
+# fall on it, so two sets differ in no fewer shingles than their sketches in
+# bits.
+ODD = 4
+
+
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    bits = np.bincount((shingles & np.uint64(64 * ODD - 1)).astype(np.int64),
+                       minlength=64 * ODD) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def may_link(percent: int) -> Column:
+    """Whether the odd sketches of two sets (n, odd and n2, odd2) allow a
+    similarity of ``percent``."""
+    apart = reduce(Column.__add__, [
+        F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("odd2")[i])) for i in range(ODD)])
+    return apart * (100 + percent) <= (F.col("n") + F.col("n2")) * (100 - percent)
+
+
 _PROFILE = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("n", pa.int64()),
-                      ("c", pa.int64()), ("hot", pa.int64()), ("hits", pa.int64())])
-_PROFILE_SQL = "key bigint, h bigint, n bigint, c bigint, hot bigint, hits bigint"
+                      ("c", pa.int64()), ("odd", pa.list_(pa.int64())), ("hot", pa.int64()),
+                      ("hits", pa.int64())])
+_PROFILE_SQL = "key bigint, h bigint, n bigint, c bigint, odd array<bigint>, hot bigint, hits bigint"
 
 
 class Frequent:
@@ -121,37 +146,38 @@ class Frequent:
 
 
 def _profile(shingle: int):
-    """(key, h, text or set): per document its set size and class; besides,
-    the frequent shingles."""
+    """(key, h, text or set): per document its set size, class and odd
+    sketch; besides, the frequent shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = Frequent()
 
         def hot() -> pa.RecordBatch:
             values, counts = frequent.take()
-            return batch(_PROFILE, *[[None] * len(values)] * 4, signed(values), counts)
+            return batch(_PROFILE, *[[None] * len(values)] * 5, signed(values), counts)
 
         for b in batches:
-            sizes, classes = [], []
+            sizes, classes, odd = [], [], []
             for s in _sets_in(b, 2, shingle):
                 sizes.append(len(s))
                 classes.append(set_id(s) if len(s) else None)
+                odd.append(odd_sketch(s) if len(s) else None)
                 frequent.add(s)
                 if frequent.full():
                     yield hot()
-            yield batch(_PROFILE, b.column(0), b.column(1), sizes, classes,
+            yield batch(_PROFILE, b.column(0), b.column(1), sizes, classes, odd,
                         *[[None] * len(sizes)] * 2)
         yield hot()
     return run
 
 
 class Ordered:
-    """The shared order: light shingles by hash, heavy ones by frequency."""
+    """The shared order: by frequency, then by hash."""
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray):
         self.tokens, self.counts = tokens, counts
 
     def frequency(self, s: np.ndarray) -> np.ndarray:
-        """0 for light shingles."""
+        """0 where it is not known to be large."""
         if not len(self.tokens):
             return np.zeros(len(s), np.int64)
         at = np.minimum(np.searchsorted(self.tokens, s), len(self.tokens) - 1)
@@ -161,7 +187,7 @@ class Ordered:
         """The shingles of the longest prefix the class may use, in order,
         and the number of light shingles in the set."""
         frequency = self.frequency(s)
-        light = int((frequency == 0).sum())
+        light = int((frequency < HEAVY).sum())
         least = -(-percent * len(s) // 100)
         longest = len(s) - least + max(1, min(MATCHES[-1], light - (len(s) - least)))
         # Sets come sorted by hash, so a stable sort keeps that among equals.
@@ -328,10 +354,15 @@ def _chosen(postings: DataFrame, percent: int) -> DataFrame:
         .select("p.token", "c", "n", "light", "p.place", "m", "popular")
 
 
+def odd_sketches(profile: DataFrame) -> DataFrame:
+    """(c, odd) of the classes of a profile."""
+    return profile.where("c is not null").groupBy("c").agg(F.first("odd").alias("odd"))
+
+
 def _candidates(postings: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of classes from different components whose prefixes
-    allow a link."""
-    columns = ("token", "c", "n", "light", "place", "m", "comp")
+    and odd sketches (odd) allow a link."""
+    columns = ("token", "c", "n", "light", "place", "m", "comp", "odd")
     small = postings.select(*columns)
     large = postings.select(*[F.col(x).alias(f"{x}2") for x in columns])
 
@@ -344,7 +375,8 @@ def _candidates(postings: DataFrame, percent: int) -> DataFrame:
             # Within the shorter prefix that the smaller set may use, and
             # enough left on both sides of the shared shingle.
             & enough(F.least("place", "place2") + 1
-                     + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) - 1))
+                     + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) - 1)
+            & may_link(percent))
     short = F.col("n") - _least_larger("n", percent) + F.col("m")
     small = small.where(F.col("place") < short)
     light = (small.where("place < light").join(large.where("place2 < light2"), meet)
@@ -376,17 +408,18 @@ def heavy_shingles(profile: DataFrame) -> Broadcast:
         (tokens[by_token], hot.column("hits").to_numpy()[by_token]))
 
 
-def heavy_in(sets: DataFrame) -> Broadcast:
-    """``heavy_shingles`` of a table of sets (c, shingles)."""
-    rows = sets.select("c", F.lit(None).cast("bigint"), "shingles")
-    return heavy_shingles(staged(rows.mapInArrow(_profile(0), _PROFILE_SQL), "jaccard-profile"))
+def profile_of(rows: DataFrame, shingle: int) -> DataFrame:
+    """Profile of rows (key, h, text or set), staged."""
+    return staged(rows.mapInArrow(_profile(shingle), _PROFILE_SQL), "jaccard-profile")
 
 
-def links_among(source: DataFrame, order: Broadcast, percent: int, shingle: int,
-                sets: DataFrame | None = None, linked: DataFrame | None = None) -> DataFrame:
+def links_among(source: DataFrame, profile: DataFrame, percent: int, shingle: int,
+                sets: DataFrame | None = None, linked: DataFrame | None = None,
+                rounds: int = ROUNDS) -> DataFrame:
     """Links (a, b) of classes that together with ``linked`` (node,
     component) connect every pair of similar sets. ``source`` has one column,
     texts or sets; given whole ``sets`` (c, shingles) serve to verify."""
+    order = heavy_shingles(profile)
     # Shingles that stand in two prefixes at least.
     met = (source.mapInArrow(_postings(order, shingle, percent, None), _POSTING_SQL)
            .groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
@@ -404,11 +437,11 @@ def links_among(source: DataFrame, order: Broadcast, percent: int, shingle: int,
     # Step 1: stars. Their sets are fetched once: the classes that share
     # much with a star of the first turn.
     links = postings.select(F.col("c").alias("a"), F.col("c").alias("b")).where(F.lit(False))
-    known = links if linked is None else linked.select(F.col("node").alias("a"),
-                                                       F.col("component").alias("b"))
-    linked = linked_by(known) if linked is None else linked
+    nothing = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    linked = nothing if linked is None else linked
+    known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
     of_stars = sets
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         found = stars(across(postings, linked), turn,
                       F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)
         if of_stars is None:
@@ -421,7 +454,8 @@ def links_among(source: DataFrame, order: Broadcast, percent: int, shingle: int,
         linked = linked_by(known.unionByName(links))
 
     # Step 2: every pair left.
-    pairs = staged(_candidates(across(postings, linked), percent), "jaccard-pairs")
+    left = staged(across(postings, linked).join(odd_sketches(profile), "c"), "jaccard-left")
+    pairs = staged(_candidates(left, percent), "jaccard-pairs")
     rest = sets if sets is not None else sets_of(
         pairs.select(F.explode(F.array("a", "b")).alias("c")), source, shingle)
     return links.unionByName(verified(pairs, rest, percent))
@@ -464,9 +498,9 @@ def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str
     """(documents: key, h (text hash), n, c), (classes: c, class, group) and
     (groups: group, component, k, h)."""
     rows = keyed_texts(docs, key, text)
-    profile = staged(rows.mapInArrow(_profile(shingle), _PROFILE_SQL), "jaccard-profile")
+    profile = profile_of(rows, shingle)
     every = profile.where("n is not null").select("key", "h", "n", "c")
-    links = links_among(rows.select("text"), heavy_shingles(profile), percent, shingle)
+    links = links_among(rows.select("text"), profile, percent, shingle)
     return (every, *grouped(every, links))
 
 

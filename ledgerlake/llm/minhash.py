@@ -41,7 +41,7 @@ BANDS, ROWS = 30, 5
 # Classes of a bucket that are compared pair by pair.
 LISTED = 32
 # Rounds of stars; what they leave is found in steps 2 and 3.
-ROUNDS = 2
+ROUNDS = 1
 # Shingles sketched at a time.
 SKETCHED = 1 << 16
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -80,17 +80,18 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 _PROFILE = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("n", pa.int64()),
-                      ("c", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_PROFILE_SQL = "key bigint, h bigint, n bigint, c bigint, bands array<bigint>"
+                      ("c", pa.int64()), ("odd", pa.list_(pa.int64())),
+                      ("bands", pa.list_(pa.int64()))])
+_PROFILE_SQL = "key bigint, h bigint, n bigint, c bigint, odd array<bigint>, bands array<bigint>"
 
 
 def _profile(shingle: int, bands: int, rows: int):
-    """Per document (key, h, text) its set size and class, and the band keys
-    where the task meets the class for the first time."""
+    """Per document (key, h, text) its set size, class and odd sketch, and
+    the band keys where the task meets the class for the first time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # bounded; bands may be sent again
         for b in batches:
-            sizes, classes, keys = [], [], [None] * b.num_rows
+            sizes, classes, odd, keys = [], [], [], [None] * b.num_rows
             held, places, size = [], [], 0
 
             def sketched() -> None:
@@ -101,6 +102,7 @@ def _profile(shingle: int, bands: int, rows: int):
                 sizes.append(len(s))
                 c = jaccard.set_id(s) if len(s) else None
                 classes.append(c)
+                odd.append(None if c is None else jaccard.odd_sketch(s))
                 if c is None or c in seen:
                     continue
                 if len(seen) < 1_000_000:
@@ -113,7 +115,7 @@ def _profile(shingle: int, bands: int, rows: int):
                     held, places, size = [], [], 0
             if held:
                 sketched()
-            yield batch(_PROFILE, b.column(0), b.column(1), sizes, classes, keys)
+            yield batch(_PROFILE, b.column(0), b.column(1), sizes, classes, odd, keys)
     return run
 
 
@@ -135,7 +137,8 @@ def _links(texts: DataFrame, profile: DataFrame, percent: int, shingle: int) ->
     meet in a bucket."""
     postings = _buckets(profile)
     links = postings.select(F.col("c").alias("a"), F.col("c").alias("b")).where(F.lit(False))
-    linked, sets = jaccard.linked_by(links), None
+    linked = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    sets = None
     for turn in range(ROUNDS):
         found = jaccard.stars(jaccard.across(postings, linked), turn, F.lit(True))
         if sets is None:
@@ -149,12 +152,14 @@ def _links(texts: DataFrame, profile: DataFrame, percent: int, shingle: int) ->
 
     left = jaccard.across(postings, linked)
     size = staged(left.groupBy("token").agg(F.count(F.lit(1)).alias("k")), "minhash-sizes")
-    small = staged(left.join(size.where(F.col("k") <= LISTED), "token"), "minhash-small")
-    other = small.select(*[F.col(x).alias(f"{x}2") for x in ("token", "c", "n", "comp")])
+    small = staged(left.join(size.where(F.col("k") <= LISTED), "token")
+                   .join(jaccard.odd_sketches(profile), "c"), "minhash-small")
+    other = small.select(*[F.col(x).alias(f"{x}2") for x in ("token", "c", "n", "comp", "odd")])
     pairs = staged(small.join(other, (F.col("token") == F.col("token2"))
                               & (F.col("c") < F.col("c2")) & (F.col("comp") != F.col("comp2"))
                               & (F.col("n") * 100 >= F.col("n2") * percent)
-                              & (F.col("n2") * 100 >= F.col("n") * percent))
+                              & (F.col("n2") * 100 >= F.col("n") * percent)
+                              & jaccard.may_link(percent))
                    .select(F.col("c").alias("a"), F.col("c2").alias("b")).distinct(),
                    "minhash-pairs")
     large = staged(left.join(size.where(F.col("k") > LISTED), "token").select("c").distinct(),
@@ -166,8 +171,9 @@ def _links(texts: DataFrame, profile: DataFrame, percent: int, shingle: int) ->
         return links
     crowded = staged(rest.join(large, "c", "left_semi"), "minhash-crowded")
     return links.unionByName(jaccard.links_among(
-        crowded.select("shingles"), jaccard.heavy_in(crowded), percent, shingle, crowded,
-        jaccard.linked_by(links)))
+        crowded.select("shingles"),
+        jaccard.profile_of(crowded.select("c", F.lit(None).cast("bigint"), "shingles"), shingle),
+        percent, shingle, crowded, linked, rounds=0))
 
 
 def _groups(docs: DataFrame, percent: int, shingle: int, key: str, text: str

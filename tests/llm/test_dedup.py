@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import jaccard, substring
+from ledgerlake.llm import jaccard, minhash, substring
 from ledgerlake.llm.common import shingle_sets, text_words, word_hashes
 from ledgerlake.llm.components import components
 
@@ -80,17 +80,17 @@ def test_substring_empty_table(none):
     assert substring.without_repeats(none).collect() == []
 
 
-def sets_of(rows):
+def sets_of(rows, k=5):
     out = []
     for _, t in rows:
         w = [x.lower() for x in text_words(t)]
-        out.append(frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w
+        out.append(frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w
                    else frozenset())
     return out
 
 
-def brute_components(rows):
-    sets = sets_of(rows)
+def brute_components(rows, k=5, percent=75):
+    sets = sets_of(rows, k)
     label = list(range(len(rows)))
 
     def find(i):
@@ -99,7 +99,8 @@ def brute_components(rows):
         return i
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(
+                    sets[i] | sets[j]):
                 label[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -134,10 +135,9 @@ def overlapping_cuts(n=700, seed=3):
     return rows
 
 
-@pytest.mark.parametrize("hot", [None, 5])
-def test_jaccard_of_overlapping_cuts(spark, monkeypatch, hot):
-    if hot:
-        monkeypatch.setattr(jaccard, "LEAST_HOT", hot)
+@pytest.mark.parametrize("heavy", [3, 32])
+def test_jaccard_of_overlapping_cuts(spark, monkeypatch, heavy):
+    monkeypatch.setattr(jaccard, "HEAVY", heavy)
     rows = overlapping_cuts()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     got = sorted((r.key, r.n, r.component) for r in jaccard.jaccard_components(df).collect())
@@ -145,6 +145,57 @@ def test_jaccard_of_overlapping_cuts(spark, monkeypatch, hot):
     assert 20 < len({c for _, _, c in got}) < 690
 
 
+@pytest.mark.parametrize("listed", [3, 32])
+def test_near_duplicates_equal_brute_force(spark, docs, monkeypatch, listed):
+    # with few listed classes the larger buckets are joined exactly
+    monkeypatch.setattr(minhash, "LISTED", listed)
+    cuts = overlapping_cuts(500, seed=4)
+    df = docs.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(1000 + i, t) for i, t in cuts], "doc_id bigint, text string"))
+    rows = rows_of(df)
+    out = minhash.near_duplicates(df).collect()
+    got = sorted(((r.key, r.n, r.component) for r in out), key=repr)
+    assert got == sorted((x[:3] for x in brute_components(rows, 4, 80)), key=repr)
+    assert all(r.kept == (r.key == r.component) for r in out)
+    groups = {g: c for _, n, c, g in brute_components(rows, 4, 80) if n}
+    kept = minhash.without_near_duplicates(df)
+    assert sorted((d for d, t in rows_of(kept) if text_words(t)), key=repr) == sorted(
+        groups.values(), key=repr)
+
+
+def test_sketches_are_full_and_agree_by_similarity():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    sets = [pool[:1], pool[:2], pool[:400], pool[100:500], pool[400:], pool[:400][::-1]]
+    sketch = minhash.sketches(sets, 150)
+    assert not (sketch == minhash._EMPTY).any()
+    # each alone gives the same
+    for s, row in zip(sets, sketch):
+        assert (minhash.sketches([s], 150)[0] == row).all()
+    assert (sketch[2] == sketch[5]).all() and not (sketch[2] == sketch[4]).any()
+    # similarity 300 / 500: five standard deviations of 150 coordinates
+    assert abs((sketch[2] == sketch[3]).mean() - 0.6) < 0.2
+    wide = minhash.sketches([pool[:400], pool[100:500]], 4000)
+    assert abs((wide[0] == wide[1]).mean() - 0.6) < 0.04
+    keys = minhash.band_keys(sketch, 30, 5)
+    assert (keys[2] == keys[5]).all() and len(set(keys[2].tolist())) == 30
+
+
+def test_odd_sketch_never_exceeds_the_difference():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+        a, b = pool[rng.random(60) < 0.8], pool[rng.random(60) < 0.8]
+        apart = sum(int(x ^ y).bit_count() for x, y in zip(
+            jaccard.odd_sketch(a).view(np.uint64), jaccard.odd_sketch(b).view(np.uint64)))
+        assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_near_duplicates_of_nothing(none):
+    assert minhash.near_duplicates(none).collect() == []
+    assert minhash.without_near_duplicates(none).collect() == []
+
+
 def test_one_of_each_keeps_one(docs):
     out = jaccard.one_of_each(docs)
     assert out.columns == docs.columns
