@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.columns import encode_envelope
 from ledgerlake.operators import cleaning, dims, quality, sequence, star
 from ledgerlake.operators.quality import ForeignKey, TableRules, ValueRange
+from ledgerlake.plans import lakehouse
 from ledgerlake.plans.etl import AUDIT_RULES, audit_transactions, run_etl
+from ledgerlake.schemas import GLOSSARY
 from ledgerlake.session import scratch_path
+from ledgerlake.sinks.versions import Snapshot, VersionedWriter
 from ledgerlake.sinks.writers import ParquetWriter
 from ledgerlake.sources import curated, tables
 from ledgerlake.sources.raw import load_raw
@@ -212,18 +215,19 @@ def _plain_time(df: DataFrame) -> DataFrame:
 
 
 def q_etl_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole gated ETL job over the driver tables: build and stage the
-    star, gate it, publish every table below the shared scratch root (the
-    fact partitioned by txn_date); returns the gate's report with the row
-    count of each published table, read back."""
+    """The whole gated ETL job over the driver tables: write the star (the
+    fact partitioned by txn_date), gate what was written, switch the set;
+    returns the gate's report with the row count of each published table,
+    read back."""
     raw = {"customers": tables.customers(spark, sf_dir),
            "accounts": tables.accounts(spark, sf_dir),
            "transactions": tables.transactions(spark, sf_dir),
            "deposits": tables.deposits(spark, sf_dir),
            "loans": tables.loans(spark, sf_dir)}
-    writer = ParquetWriter(scratch_path(spark, "etl"))
+    writer = VersionedWriter(scratch_path(spark, "etl"))
     result = run_etl(spark, raw, writer, enforce=False)
-    counts = [writer.read(spark, name).agg(F.count(F.lit(1)).alias("published_rows"))
+    published = Snapshot.latest(spark, writer.root)
+    counts = [published.read(name).agg(F.count(F.lit(1)).alias("published_rows"))
               .select(F.lit(name).alias("table_name"), "published_rows") for name in result.tables]
     return result.report.join(reduce(DataFrame.unionByName, counts), "table_name")
 
@@ -269,7 +273,7 @@ def q_loan_book_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -------------------------------------------------------------- streaming
 
-def _events_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
     """The events as a stream: their table is copied to the shared folder
     as ``batches`` groups of files in time order, one group per
     micro-batch. Works for a table of one file and of many."""
@@ -294,7 +298,7 @@ def q_category_totals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_category_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = scratch_path(spark, "totals"), scratch_path(spark, "totals-ckpt")
-    events = _events_stream(spark, sf_dir, batches=4)
+    events = events_stream(spark, sf_dir, batches=4)
     totals.start_running_totals(events, out, ck).awaitTermination()
     return _cents(totals.latest_totals(spark, out), "running_total")
 
@@ -330,7 +334,7 @@ def _append_stream(spark: SparkSession, df: DataFrame, name: str) -> str:
 def q_stream_dedupe_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream dedupe by txn_id within a 1-hour watermark, then totals of
     the surviving events. Every third event arrives twice."""
-    events = _events_stream(spark, sf_dir)
+    events = events_stream(spark, sf_dir)
     twice = F.when(F.col("txn_id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1)))
     events = events.withColumn("copy", F.explode(twice)).drop("copy")
@@ -343,7 +347,7 @@ def q_stream_known_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream-static semi-join: events of known customers only (here those
     with money on their account), then totals."""
     customers = tables.table(spark, sf_dir, "customer").where("c_acctbal > 0")
-    known = cleaning.drop_orphans(_events_stream(spark, sf_dir), customers, "account_id",
+    known = cleaning.drop_orphans(events_stream(spark, sf_dir), customers, "account_id",
                                   parent_key="c_custkey")
     out = _append_stream(spark, known, "known-users")
     return _cents(totals.category_totals(spark.read.parquet(out)), "running_total")
@@ -365,7 +369,7 @@ def q_daily_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_daily_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = scratch_path(spark, "daily"), scratch_path(spark, "daily-ckpt")
-    events = _events_stream(spark, sf_dir, batches=4)
+    events = events_stream(spark, sf_dir, batches=4)
     # The files may be read in any order: nothing counts as too late.
     windows.start_windowed_totals(events, out, ck, delay="3650 days").awaitTermination()
     df = windows.latest_windows(spark, out)
@@ -636,6 +640,80 @@ _DAILY_TOTALS = """
          event_type AS category, round(sum(value), 2) AS total, count(*) AS txn_count
   FROM events GROUP BY 1, 2, 3"""
 
+# Tables of the star, of all rows and of those before the first load's end.
+def _star_before(day: str | None) -> dict[str, str]:
+    if day is None:
+        return _STAR_TABLES
+    out = {}
+    for name, sql in _STAR_TABLES.items():
+        for source, column in (("lineitem", "l_shipdate"), ("orders", "o_orderdate")):
+            sql = sql.replace(f"FROM {source}", f"FROM (SELECT * FROM {source} "
+                                                f"WHERE {column} < DATE '{day}') o")
+        out[name] = sql
+    # Customers without an earlier order are not there yet.
+    out["dim_customer"] = out["dim_customer"].replace("LEFT JOIN (SELECT o_custkey",
+                                                      "JOIN (SELECT o_custkey")
+    return out
+
+
+_KEYS = {"dim_customer": "customer_id", "dim_account": "account_id",
+         "fact_transaction": "account_id", "fact_deposit": "deposit_id", "dim_loan": "loan_id"}
+_ATOMIC_PUBLISH = "\n  UNION ALL ".join(
+    f"SELECT '{step}' AS step, '{name}' AS table_name, count(*) AS row_count, "
+    f"min({_KEYS[name]}) AS least_key, max({_KEYS[name]}) AS largest_key FROM {sql} t"
+    for step, day in (("first", lakehouse.FIRST_LOAD), ("interrupted", lakehouse.FIRST_LOAD),
+                      ("second", None), ("rolled back", lakehouse.FIRST_LOAD))
+    for name, sql in _star_before(day).items())
+
+_REGISTERED_MONTHS = f"""
+  SELECT strftime(txn_date, '%Y-%m') AS txn_month, count(*) AS txn_count,
+         round(sum(amount), 2) AS total_amount,
+         CASE WHEN strftime(txn_date, '%Y-%m') < '{lakehouse.FIRST_LOAD[:7]}' THEN 1 ELSE 2 END
+           AS registration
+  FROM ({_CLEAN}) c GROUP BY 1, 4"""
+
+
+def _catalog_glossary() -> str:
+    columns = {"dim_customer": dims.DIM_CUSTOMER, "dim_account": dims.DIM_ACCOUNT,
+               "fact_transaction": (*cleaning.TXN_COLUMNS, "txn_date", sequence.SEQ),
+               "fact_deposit": dims.FACT_DEPOSIT, "dim_loan": dims.DIM_LOAN}
+    values = ",\n  ".join(
+        "('{}', '{}', {}, {})".format(
+            t, c, f"'{GLOSSARY[t][c]}'" if c in GLOSSARY[t] else "NULL::VARCHAR",
+            str(lakehouse.CATALOG_PARTITIONS.get(t) == c).lower())
+        for t, names in columns.items() for c in names)
+    counts = "\n  UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {sql} x"
+                                   for t, sql in _STAR_TABLES.items())
+    return f"""
+  SELECT d.*, row_count
+  FROM (VALUES {values}) d(table_name, column_name, comment, is_partition)
+  JOIN ({counts}) n ON n.table_name = d.table_name"""
+
+
+_FOLDED_LEDGER = f"SELECT *, true AS few_folders FROM ({_CATEGORY_LEDGER}) l"
+
+_FOLDED_TOTALS = """
+  SELECT event_type AS category, round(sum(value), 2) AS running_total, count(*) AS txn_count,
+         round(sum(value), 2) AS window_total, count(*) AS window_count,
+         count(DISTINCT date_trunc('day', ts)) AS days
+  FROM events GROUP BY event_type"""
+
+_FAIL_FAST = f"""
+  SELECT 'clean' AS data_set, CAST(NULL AS VARCHAR) AS error
+  UNION ALL
+  SELECT 'dirty', '[fact_transaction] ' || count(*)
+         || ' rows in ''account_id'' have no matching ''dim_account.account_id'''
+  FROM ({_DIRTY_CLEAN}) f WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = f.account_id)
+  UNION ALL
+  SELECT 'accounts missing', '[fact_transaction] ' || count(*)
+         || ' rows in ''account_id'' have no matching ''dim_account.account_id'''
+  FROM ({_CLEAN}) f WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = f.account_id
+                                      AND o.o_orderdate >= DATE '{lakehouse.FIRST_LOAD}')
+  UNION ALL
+  SELECT 'customers repeated', '[dim_customer] column ''customer_id'' is not unique: ' || count(*)
+         || ' rows vs ' || count(DISTINCT customer_id) || ' distinct values'
+  FROM ({_CUSTOMER_SNAPSHOTS}) s"""
+
 QUERIES: dict[str, Query] = {
     "fact_transaction": q_fact_transaction,
     "clean_transactions": q_clean_transactions,
@@ -674,6 +752,13 @@ QUERIES: dict[str, Query] = {
     "daily_spend": q_daily_spend,
     "stream_dedupe_totals": q_stream_dedupe_totals,
     "stream_known_user_totals": q_stream_known_user_totals,
+    "atomic_publish": lakehouse.q_atomic_publish,
+    "catalog_date_slice": lakehouse.q_catalog_date_slice,
+    "registered_months": lakehouse.q_registered_months,
+    "catalog_glossary": lakehouse.q_catalog_glossary,
+    "folded_ledger": lakehouse.q_folded_ledger,
+    "folded_totals": lakehouse.q_folded_totals,
+    "dq_fail_fast": lakehouse.q_dq_fail_fast,
 }
 
 ORACLES: dict[str, str] = {
@@ -718,4 +803,11 @@ ORACLES: dict[str, str] = {
     "daily_spend": _DAILY_SPEND,
     "stream_dedupe_totals": _DEDUPE_TOTALS,
     "stream_known_user_totals": _KNOWN_USER_TOTALS,
+    "atomic_publish": _ATOMIC_PUBLISH,
+    "catalog_date_slice": _CURATED_SLICE,
+    "registered_months": _REGISTERED_MONTHS,
+    "catalog_glossary": _catalog_glossary(),
+    "folded_ledger": _FOLDED_LEDGER,
+    "folded_totals": _FOLDED_TOTALS,
+    "dq_fail_fast": _FAIL_FAST,
 }

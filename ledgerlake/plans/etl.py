@@ -1,11 +1,15 @@
 """Batch ETL: raw entities → curated star schema, gated by quality rules.
 
 Stages: read (text) → clean + quarantine → dimensions → sequenced fact →
-quality report → publish. Every curated table is built once and staged as
-Parquet on the shared folder; the gate reads the staged files, and only a
-passing run (or report mode) writes the curated tables. Transactions of
-unknown accounts stay in the fact, so that the referential rule sees them;
-``drop_orphans`` moves them to the quarantine instead.
+quality report → publish. Only a passing run (or report mode) publishes the
+curated tables. Transactions of unknown accounts stay in the fact, so that
+the referential rule sees them; ``drop_orphans`` moves them to the
+quarantine instead.
+
+With a ``VersionedWriter`` every table is written once, to its place in the
+new set; the gate reads those files, and one manifest switches the whole
+set. With the other writers the tables are staged on the shared folder and
+copied to their places one after another when the gate has passed.
 
 CLI::
 
@@ -13,7 +17,8 @@ CLI::
 
 exits 1 when a rule fails (unless ``--report-only``). ``--drop-orphans``
 quarantines transactions of unknown accounts, ``--more-rules`` adds the
-library's own rules to the original suite.
+library's own rules to the original suite, ``--versioned`` publishes all
+tables as one set.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators import cleaning, dims, quality, sequence
 from ledgerlake.session import build_session, staged
+from ledgerlake.sinks.versions import VersionedWriter
 from ledgerlake.sinks.writers import ParquetWriter
 from ledgerlake.sources.raw import load_raw
 
@@ -45,18 +51,19 @@ class EtlResult:
         return not self.failed
 
 
-def build_star(raw: dict[str, DataFrame], *, drop_orphans: bool = False
+def build_star(raw: dict[str, DataFrame], *, drop_orphans: bool = False, write=staged
                ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Curated tables, staged, and the transaction quarantine."""
-    star = {"dim_customer": staged(dims.build_dim_customer(raw["customers"]), "dim_customer"),
-            "dim_account": staged(dims.build_dim_account(raw["accounts"]), "dim_account")}
+    """Curated tables, written with ``write(df, name)``, and the transaction
+    quarantine."""
+    star = {"dim_customer": write(dims.build_dim_customer(raw["customers"]), "dim_customer"),
+            "dim_account": write(dims.build_dim_account(raw["accounts"]), "dim_account")}
     parent = star["dim_account"] if drop_orphans else None
     kept, quarantine = cleaning.split_transactions(raw["transactions"], parent)
-    star["fact_transaction"] = staged(sequence.build_fact_transaction(kept), "fact_transaction")
+    star["fact_transaction"] = write(sequence.build_fact_transaction(kept), "fact_transaction")
     if "deposits" in raw:
-        star["fact_deposit"] = staged(dims.build_fact_deposit(raw["deposits"]), "fact_deposit")
+        star["fact_deposit"] = write(dims.build_fact_deposit(raw["deposits"]), "fact_deposit")
     if "loans" in raw:
-        star["dim_loan"] = staged(dims.build_dim_loan(raw["loans"]), "dim_loan")
+        star["dim_loan"] = write(dims.build_dim_loan(raw["loans"]), "dim_loan")
     return star, quarantine
 
 
@@ -90,6 +97,8 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], writer, *,
     """Build, gate, publish. With ``enforce`` a failed rule stops the
     publish of the curated tables; report and quarantine are always
     written (``writer=None`` writes nothing)."""
+    if isinstance(writer, VersionedWriter):
+        return _run_versioned(spark, raw, writer, enforce, rules, drop_orphans)
     star, quarantine = build_star(raw, drop_orphans=drop_orphans)
     report = staged(quality.run_rules(star, rules), "dq_report")
     failed = quality.failures(report)
@@ -105,6 +114,22 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], writer, *,
     return result
 
 
+def _run_versioned(spark: SparkSession, raw: dict[str, DataFrame], writer: VersionedWriter,
+                   enforce: bool, rules, drop_orphans: bool) -> EtlResult:
+    """Write, audit, publish: the set switches at the end or not at all."""
+    with writer.publish(spark) as pub:
+        star, quarantine = build_star(
+            raw, drop_orphans=drop_orphans,
+            write=lambda df, name: pub.write(df, name, PARTITIONS.get(name)))
+        report = pub.write(quality.run_rules(star, rules), "dq_report")
+        result = EtlResult(star, pub.write(quarantine, "quarantine_transaction"), report,
+                           quality.failures(report))
+        if result.failed and enforce:
+            pub.withhold(*star)
+        result.published.update({name: entry["path"] for name, entry in pub.written.items()})
+    return result
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--input", required=True)
@@ -115,13 +140,16 @@ def main(argv=None) -> int:
                     help="quarantine transactions of unknown accounts")
     ap.add_argument("--more-rules", action="store_true",
                     help="also enforce the library's own rules")
+    ap.add_argument("--versioned", action="store_true",
+                    help="publish all tables as one set (see sinks/versions.py)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session("ledgerlake-etl", args.master)
     try:
         rules = quality.STAR_SCHEMA_RULES + (
             quality.STAR_SCHEMA_ADDITIONS if args.more_rules else ())
-        result = run_etl(spark, load_raw(spark, args.input), ParquetWriter(args.output),
+        writer = VersionedWriter if args.versioned else ParquetWriter
+        result = run_etl(spark, load_raw(spark, args.input), writer(args.output),
                          enforce=not args.report_only, rules=rules,
                          drop_orphans=args.drop_orphans)
         for row in result.failed:

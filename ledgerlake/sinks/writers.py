@@ -11,7 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerlake import storage
 from ledgerlake.schemas import GLOSSARY
 
 
@@ -107,11 +109,63 @@ class CatalogWriter:
         return spark.table(self.name(table_name))
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def register_location(spark: SparkSession, table: str, location: str, *,
                       fmt: str = "parquet", partitioned: bool = False) -> None:
     """Register files that already exist as a catalog table (schema read
     from the files) and discover their partitions."""
-    loc = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{loc}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{_quoted(location)}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def create_partitioned(spark: SparkSession, table: str, schema: T.StructType, location: str,
+                       partition_col: str, *, fmt: str = "parquet") -> None:
+    """An external table with a given schema (column comments included) and
+    its partitions kept in the catalog; none are looked for."""
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}"
+        + (f" COMMENT '{_quoted(f.metadata['comment'])}'" if "comment" in f.metadata else "")
+        for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt} "
+              f"PARTITIONED BY (`{partition_col}`) LOCATION '{_quoted(location)}'")
+
+
+def known_partitions(spark: SparkSession, table: str) -> set[str]:
+    """``column=value`` of every registered partition."""
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def register_new_partitions(spark: SparkSession, table: str, location: str, partition_col: str,
+                            at_once: int = 100) -> list[str]:
+    """Add the partition folders that the catalog does not know yet; returns
+    their names. One listing of the table's own folder and one call per
+    ``at_once`` new partitions; known partitions are not looked at."""
+    there = [n for n in storage.names(spark, location) if n.startswith(f"{partition_col}=")]
+    new = sorted(set(there) - known_partitions(spark, table))
+    for i in range(0, len(new), at_once):
+        parts = " ".join(
+            f"PARTITION (`{partition_col}`='{_quoted(n.partition('=')[2])}') "
+            f"LOCATION '{_quoted(f'{location}/{n}')}'" for n in new[i:i + at_once])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    return new
+
+
+def replace_partitions(df: DataFrame, table: str, partition_col: str, *sort: str) -> None:
+    """Load ``df`` into a table of ``create_partitioned``: the partitions
+    present in ``df`` are replaced or added, and registered by the same
+    command; the others are neither read nor listed. Files are sorted by
+    ``sort`` inside a partition, so filters on it skip row groups."""
+    spark = df.sparkSession
+    columns = [c for c in spark.table(table).columns]
+    ready = _prepare(df, partition_col).sortWithinPartitions(partition_col, *sort).select(*columns)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        ready.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)

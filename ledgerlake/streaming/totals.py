@@ -8,7 +8,7 @@ Two forms:
   ``<out>/batch_id=<id>``. The current totals are the row of the newest
   batch per category (``latest_totals``). A replayed batch rewrites its own
   folder with the same rows, so a retry never double counts. Offsets and
-  state live in the checkpoint.
+  state live in the checkpoint. ``totals_store`` folds the batches.
 
 * ``CategoryLedger`` – the per-invocation merge of the original consumer,
   made idempotent: each micro-batch writes its partial sums
@@ -24,11 +24,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.streaming.parse import bad_events, good_events
+from ledgerlake.streaming.tiers import FANOUT, TieredBatches, newest
 
 TOTALS_SCHEMA = T.StructType([
     T.StructField("category", T.StringType(), True),
@@ -59,14 +59,17 @@ def _trigger(writer, trigger):
     return writer
 
 
+def totals_store(out_path: str, fanout: int = FANOUT) -> TieredBatches:
+    """The batches of ``start_running_totals``; fold and vacuum them here."""
+    return TieredBatches(out_path, TOTALS_SCHEMA,
+                         newest(["category"], ["running_total", "txn_count"]), fanout)
+
+
 def start_running_totals(events: DataFrame, out_path: str, checkpoint: str, *,
                          trigger: str | None = "availableNow",
                          name: str | None = None) -> StreamingQuery:
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
     w = (category_totals(events).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint).foreachBatch(sink))
+         .option("checkpointLocation", checkpoint).foreachBatch(totals_store(out_path).write))
     if name:
         w = w.queryName(name)
     return _trigger(w, trigger).start()
@@ -74,13 +77,12 @@ def start_running_totals(events: DataFrame, out_path: str, checkpoint: str, *,
 
 def latest_totals(spark: SparkSession, out_path: str) -> DataFrame:
     """Current totals: per category, the row written by the newest batch."""
-    df = spark.read.schema(TOTALS_SCHEMA).parquet(out_path)
-    newest = F.max_by(F.struct("running_total", "txn_count"), F.col("batch_id"))
-    return (df.groupBy("category").agg(newest.alias("_t"))
-            .select("category", "_t.running_total", "_t.txn_count"))
+    store = totals_store(out_path)
+    return store.merge(store.rows(spark)).drop("batch_id")
 
 
 LEDGER_SCHEMA = T.StructType([
+    T.StructField("kind", T.StringType(), True),
     T.StructField("category", T.StringType(), True),
     T.StructField("total", T.DoubleType(), True),
     T.StructField("n", T.LongType(), True),
@@ -89,43 +91,69 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("data", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
 ])
+# Kinds of ledger rows: the sums of a category in one batch and in folded
+# ones, a rejected envelope, a folded batch (n records in ``batches``
+# categories).
+SUM, FOLDED, BAD, BATCH = "sum", "folded", "bad", "batch"
+
+
+def _ledger_rows(df: DataFrame, kind: str, **columns) -> DataFrame:
+    values = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER_SCHEMA.fields
+              if f.name != "batch_id"}
+    values |= {"kind": F.lit(kind), **columns}
+    if "batch_id" in df.columns:
+        values.setdefault("batch_id", F.col("batch_id"))
+    return df.select(*[c.alias(n) for n, c in values.items()])
+
+
+def _batches(rows: DataFrame) -> DataFrame:
+    """One row per batch: those kept by folds, and those of unfolded sums."""
+    fresh = rows.where(F.col("kind") == SUM).groupBy("batch_id").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("batches"))
+    return rows.where(F.col("kind") == BATCH).unionByName(
+        _ledger_rows(fresh, BATCH, n=F.col("n"), batches=F.col("batches"))
+        .select(*rows.columns))
+
+
+def _merge_ledger(rows: DataFrame) -> DataFrame:
+    """Sums by category; rejected envelopes and batch rows are carried on."""
+    sums = rows.where(F.col("kind").isin(SUM, FOLDED)).groupBy("category").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.sum("batches").alias("batches"),
+        F.max("batch_id").alias("batch_id"))
+    return (_ledger_rows(sums, FOLDED, category=F.col("category"), total=F.col("total"),
+                         n=F.col("n"), batches=F.col("batches")).select(*rows.columns)
+            .unionByName(rows.where(F.col("kind") == BAD))
+            .unionByName(_batches(rows)))
 
 
 class CategoryLedger:
     """Idempotent per-batch ledger of partial category sums.
 
     One write per micro-batch into ``<path>/live/batch_id=<id>``: the
-    partial sums, plus – when the input carries ``_bad`` from
-    ``decode_events`` – the rejected envelopes with their reason (rows with
-    ``reason`` set). A replayed batch overwrites its own folder with the
-    same content.
-
-    ``compact`` folds the sums of all batches so far into
-    ``<path>/folded/upto=<id>``, rows of the same layout. Readers take the
-    newest fold and the live batches after it, so a ledger can be compacted
-    midway and go on. The sums no longer need the folders of folded
-    batches; the quarantine still reads the rejected envelopes there.
+    partial sums, plus - when the input carries ``_bad`` from
+    ``decode_events`` - the rejected envelopes with their reason. A replayed
+    batch overwrites its own folder with the same content.
+
+    ``compact`` folds batches level by level (``tiers.TieredBatches``):
+    sums are added up, rejected envelopes and batch rows carried on, so
+    nothing is lost when ``vacuum`` deletes the folded folders.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, fanout: int = FANOUT):
         self.path = path.rstrip("/")
+        self.store = TieredBatches(f"{self.path}/live", LEDGER_SCHEMA, _merge_ledger, fanout)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body."""
         good = good_events(batch) if "_bad" in batch.columns else batch
-        out = (good.groupBy("category")
-               .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
-               .select("category", "total", "n", F.lit(1).cast("long").alias("batches"),
-                       F.lit(None).cast("string").alias("reason"),
-                       F.lit(None).cast("string").alias("data")))
+        sums = good.groupBy("category").agg(F.sum("amount").alias("total"),
+                                            F.count(F.lit(1)).alias("n"))
+        out = _ledger_rows(sums, SUM, category=F.col("category"), total=F.col("total"),
+                           n=F.col("n"), batches=F.lit(1).cast("long"))
         if "_bad" in batch.columns:
-            bad = bad_events(batch).select(
-                F.lit(None).cast("string").alias("category"),
-                F.lit(None).cast("double").alias("total"),
-                F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("batches"),
-                "reason", "data")
-            out = out.unionByName(bad)
-        out.write.mode("overwrite").parquet(f"{self.path}/live/batch_id={batch_id}")
+            out = out.unionByName(_ledger_rows(bad_events(batch), BAD, reason=F.col("reason"),
+                                               data=F.col("data")))
+        self.store.write(out, batch_id)
 
     def start(self, events: DataFrame, checkpoint: str, *, trigger: str | None = "availableNow",
               name: str | None = None) -> StreamingQuery:
@@ -135,54 +163,28 @@ class CategoryLedger:
             w = w.queryName(name)
         return _trigger(w, trigger).start()
 
-    def _live(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.path}/live")
-
-    def _folded(self, spark: SparkSession) -> tuple[int, DataFrame] | None:
-        """The last folded batch and the rows of its fold."""
-        schema = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("upto", T.LongType(), True)])
-        try:
-            folds = spark.read.schema(schema).parquet(f"{self.path}/folded")
-        except AnalysisException:  # no fold yet
-            return None
-        upto = folds.agg(F.max("upto")).first()[0]
-        return None if upto is None else (upto, folds.where(F.col("upto") == upto).drop("upto"))
-
     def entries(self, spark: SparkSession) -> DataFrame:
-        live, folded = self._live(spark), self._folded(spark)
-        if folded is None:
-            return live
-        return folded[1].unionByName(live.where(F.col("batch_id") > folded[0]))
+        return self.store.rows(spark)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
-        return (self._live(spark).filter(F.col("reason").isNotNull())
+        return (self.entries(spark).where(F.col("kind") == BAD)
                 .select("data", "reason", "batch_id"))
 
     def view(self, spark: SparkSession) -> DataFrame:
-        return (self.entries(spark).filter(F.col("reason").isNull()).groupBy("category")
+        return (self.entries(spark).where(F.col("kind").isin(SUM, FOLDED)).groupBy("category")
                 .agg(F.sum("total").alias("running_total"),
                      F.sum("n").alias("txn_count"),
                      F.sum("batches").alias("batch_count")))
 
     def batch_summary(self, spark: SparkSession) -> DataFrame:
-        """Per micro-batch still held live: records processed and distinct
-        categories seen (what the original consumer printed per call)."""
-        return (self._live(spark).filter(F.col("reason").isNull()).groupBy("batch_id")
-                .agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("categories")))
-
-    def compact(self, spark: SparkSession) -> int | None:
-        """Fold all batches so far; returns the last folded batch_id (None
-        for an empty ledger)."""
-        last = self._live(spark).agg(F.max("batch_id")).first()[0]
-        folded = self._folded(spark)
-        if last is None or (folded and folded[0] >= last):
-            return last
-        sums = (self.entries(spark).where(F.col("batch_id") <= last)
-                .filter(F.col("reason").isNull()).groupBy("category")
-                .agg(F.sum("total").alias("total"), F.sum("n").alias("n"),
-                     F.sum("batches").alias("batches"), F.max("batch_id").alias("batch_id"),
-                     F.lit(None).cast("string").alias("reason"),
-                     F.lit(None).cast("string").alias("data")))
-        # One row per category, one file: a fold is there whole or not at all.
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folded/upto={last}")
-        return last
+        """Per micro-batch: records processed and distinct categories seen
+        (what the original consumer printed per call)."""
+        return _batches(self.entries(spark)).select(
+            "batch_id", F.col("n").alias("records"), F.col("batches").alias("categories"))
+
+    def compact(self, spark: SparkSession) -> int:
+        """Fold what fills a level; returns the number of merges."""
+        return self.store.fold(spark)
+
+    def vacuum(self, spark: SparkSession) -> int:
+        return self.store.vacuum(spark)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.streaming.tiers import FANOUT, TieredBatches, newest
 from ledgerlake.streaming.totals import _trigger
 
 
@@ -46,24 +47,26 @@ WINDOW_SCHEMA = T.StructType([
 ])
 
 
+def windows_store(out_path: str, fanout: int = FANOUT) -> TieredBatches:
+    """The batches of ``start_windowed_totals``; fold and vacuum them here."""
+    return TieredBatches(out_path, WINDOW_SCHEMA, newest(
+        ["window_start", "category"], ["window_end", "total", "txn_count"]), fanout)
+
+
 def start_windowed_totals(events: DataFrame, out_path: str, checkpoint: str, *,
                           size: str = "1 day", delay: str = "1 day",
                           trigger: str | None = "availableNow") -> StreamingQuery:
     """Update mode: each batch writes the windows it changed to
     ``<out>/batch_id=<id>`` (overwrite → replay-safe)."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
     w = (windowed_totals(events, size=size, delay=delay).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint).foreachBatch(sink))
+         .option("checkpointLocation", checkpoint).foreachBatch(windows_store(out_path).write))
     return _trigger(w, trigger).start()
 
 
 def latest_windows(spark: SparkSession, out_path: str) -> DataFrame:
-    df = spark.read.schema(WINDOW_SCHEMA).parquet(out_path)
-    newest = F.max_by(F.struct("window_end", "total", "txn_count"), F.col("batch_id"))
-    return (df.groupBy("window_start", "category").agg(newest.alias("_t"))
-            .select("window_start", "_t.window_end", "category", "_t.total", "_t.txn_count"))
+    store = windows_store(out_path)
+    return store.merge(store.rows(spark)).select(
+        "window_start", "window_end", "category", "total", "txn_count")
 
 
 def dedupe_within_watermark(events: DataFrame, *, key: str = "txn_id", ts: str = "txn_ts",

@@ -9,6 +9,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.cleaning import drop_orphans
@@ -165,24 +166,53 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_dir):
 
 
 def test_ledger_compaction(spark, tmp_dir):
-    src = f"{tmp_dir}/in"
-    fixture_stream(spark, src)
-    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger")
-    stream = parse.decode_events(parse.read_envelopes(spark, src, max_files_per_trigger=1))
-    ledger.start(stream, f"{tmp_dir}/ck").awaitTermination()
-    before = view(ledger, spark)
-    assert before == {"rent": (6.0, 3, 2), "dining": (-2.5, 1, 1)}
-    assert ledger.compact(spark) == 1
-    assert view(ledger, spark) == before
-    # A batch after the fold is added to it, folding again keeps the sums.
-    later = spark.createDataFrame([("rent", 4.0)], "category string, amount double")
-    ledger.write_batch(later, 2)
-    after = {"rent": (10.0, 4, 3), "dining": (-2.5, 1, 1)}
-    assert view(ledger, spark) == after
-    assert ledger.compact(spark) == 2 and ledger.compact(spark) == 2
-    assert view(ledger, spark) == after
-    summary = sorted((r.records, r.categories) for r in ledger.batch_summary(spark).collect())
-    assert summary == [(1, 1), (1, 1), (3, 2)]
+    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger", fanout=2)
+    want = {}
+    for i in range(13):
+        batch = spark.createDataFrame(
+            [("rent", float(i), None), ("dining", 1.0, None), ("x", None, f"bad {i}")][i % 2:],
+            "category string, amount double, reason string")
+        sums = batch.where("reason is null")
+        ledger.store.write(totals._ledger_rows(
+            sums, totals.SUM, category=F.col("category"), total=F.col("amount"),
+            n=F.lit(1).cast("long"), batches=F.lit(1).cast("long")).unionByName(
+            totals._ledger_rows(batch.where("reason is not null"), totals.BAD,
+                                reason=F.col("reason"), data=F.lit("d"))), i)
+        for r in sums.collect():
+            t, n, b = want.get(r.category, (0.0, 0, 0))
+            want[r.category] = (t + r.amount, n + 1, b + 1)
+        if i % 5 == 4:
+            assert ledger.compact(spark) > 0
+            if i == 4:
+                ledger.vacuum(spark)
+        assert view(ledger, spark) == want
+    # batches 0 to 8 are folded: 8 + 1 - or 4 + 4 + ..., and the rest
+    assert ledger.store.folders(spark) <= 8
+    assert sorted(r.reason for r in ledger.quarantine(spark).collect()) == sorted(
+        f"bad {i}" for i in range(13))
+    assert sorted(tuple(r) for r in ledger.batch_summary(spark).collect()) == [
+        (i, 2 - i % 2, 2 - i % 2) for i in range(13)]
+    # a folded batch that is written again is not read again
+    ledger.store.write(ledger.entries(spark).where("false").drop("batch_id"), 2)
+    assert view(ledger, spark) == want
+
+
+def test_fold_that_dies_changes_nothing(spark, tmp_dir):
+    ledger = totals.CategoryLedger(f"{tmp_dir}/ledger", fanout=2)
+    for i in range(4):
+        ledger.store.write(totals._ledger_rows(
+            spark.range(1), totals.SUM, category=F.lit("rent"), total=F.lit(1.0),
+            n=F.lit(1).cast("long"), batches=F.lit(1).cast("long")), i)
+    merge, ledger.store.merge = ledger.store.merge, lambda rows: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        ledger.compact(spark)
+    # dies after writing its run, before the manifest
+    ledger.store.merge = merge
+    ledger.store._written(ledger.entries(spark), 1, 0, 1)
+    assert view(ledger, spark) == {"rent": (4.0, 4, 4)}
+    assert ledger.compact(spark) == 1 and view(ledger, spark) == {"rent": (4.0, 4, 4)}
+    assert ledger.vacuum(spark) == 3  # two batches and the dead run
+    assert view(ledger, spark) == {"rent": (4.0, 4, 4)}
 
 
 def test_processing_time_trigger(spark, tmp_dir):
