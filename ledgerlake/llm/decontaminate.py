@@ -5,12 +5,16 @@ compared through windows as long as an item; a text shorter than an item is
 one window as a whole. Multi-index Hamming blocks find near fingerprints: 64
 bits in 10 blocks, so two fingerprints that differ in at most ``RADIUS`` = 19
 bits have a block that differs in at most one bit, and all such blocks of the
-items are listed. The similarity does not bound the bits, so pairs that share
+items are listed. Every pair that meets in a block is a candidate, also
+beyond ``RADIUS``, and is verified by the exact similarity of its word
+shingles, weighted by their length in bytes.
+
+The similarity does not bound the bits, so a similar pair may miss all
+blocks (the README has the recall measured). With ``exact`` pairs that share
 a shingle of both prefixes are candidates as well: the shingles of a set, in
 the order of their hashes, up to where the rest alone is below the
 similarity. Two sets that reach it have their first common shingle in both
-prefixes, so no pair is lost. Every candidate is verified by the exact
-similarity of its word shingles, weighted by their length in bytes.
+prefixes, so no pair is lost.
 
 Windows are fingerprinted where they can be similar at all: a window that
 reaches the similarity has that share of its shingle weight in common with
@@ -215,10 +219,13 @@ def _blocks(mark: str, flips: bool):
 
 
 def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
-                  key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
+                  key: str = "doc_id", text: str = "text", item: str = "item_id",
+                  exact: bool = False) -> DataFrame:
     """One row per contaminated place: doc (row key), item_id, start, size
     (words), similarity; the most similar window of each document and item.
     A document with fewer words than the item is compared as a whole.
+    Candidates meet in fingerprint blocks; ``exact`` adds those that share a
+    prefix shingle, so that none is lost.
 
     Words are compared with A-Z lowered. Items without a word match
     nothing, items below five words are one shingle; null text has no
@@ -242,17 +249,18 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = PERCENT,
                                                  _WINDOW), _WINDOW_SQL), "decontaminate-windows")
         at = ["doc", "start", "size"]
         near = (windows.select(*at, F.inline(_blocks("fingerprint", False)))
-                .join(listed, ["block", "value", "size"]).select(*at, "item_id")
-                .union(windows.select(*at, F.explode("prefix").alias("s"))
-                       .join(heads, ["s", "size"]).select(*at, "item_id"))
-                .select(F.col("doc").alias("d"), F.col("start").alias("at"),
-                        F.col("size").alias("n"), "item_id").distinct())
-        exact = (windows.join(near, F.col("doc").eqNullSafe(F.col("d"))
+                .join(listed, ["block", "value", "size"]).select(*at, "item_id"))
+        if exact:
+            near = near.union(windows.select(*at, F.explode("prefix").alias("s"))
+                              .join(heads, ["s", "size"]).select(*at, "item_id"))
+        near = near.select(F.col("doc").alias("d"), F.col("start").alias("at"),
+                           F.col("size").alias("n"), "item_id").distinct()
+        pairs = (windows.join(near, F.col("doc").eqNullSafe(F.col("d"))
                               & (F.col("start") == F.col("at")) & (F.col("size") == F.col("n")))
                  .drop("d", "at", "n", "fingerprint", "prefix"))
-        exact = exact.join(marked.select("item_id", F.col("shingles").alias("theirs"),
+        pairs = pairs.join(marked.select("item_id", F.col("shingles").alias("theirs"),
                                          F.col("weights").alias("their_weights")), "item_id")
-        found = exact if found is None else found.unionByName(exact)
+        found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         return texts.sparkSession.createDataFrame(
             [], "doc bigint, item_id bigint, start int, size int, similarity double")
@@ -285,9 +293,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("similarity", 6).alias("similarity"))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id",
+                    exact: bool = False) -> DataFrame:
     """The documents without a contaminated place, all columns kept. A
     document without a key cannot be named and stays."""
-    hit = staged(contamination(docs, items, key=key).where("doc is not null")
+    hit = staged(contamination(docs, items, key=key, exact=exact).where("doc is not null")
                  .select(F.col("doc").alias(key)).distinct(), "decontaminate-hit")
     return docs.join(hit, key, "left_anti")

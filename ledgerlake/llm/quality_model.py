@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import batch, documents, hashed_words, spare_memory
 
 PASSAGE = 64  # words
-# Training sample: documents per label, and passages per document (spread
-# evenly over the whole text). Scoring has no such bounds.
+# Training sample: documents per label, each with all its passages. Scoring
+# has no such bound.
 SAMPLE_PER_LABEL = 2000
-SAMPLE_PASSAGES = 256
 ENCODED, ATTENTION = 24, 16
 EPOCHS, BAGS, RATE = 30, 64, 0.01
 THRESHOLD = 0.3
@@ -184,8 +183,6 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for b in batches:
             for k, y, t in zip(*(c.to_pylist() for c in b.columns)):
                 rows = passages(t)
-                if len(rows) > SAMPLE_PASSAGES:
-                    rows = rows[np.linspace(0, len(rows) - 1, SAMPLE_PASSAGES).astype(int)]
                 if len(rows):
                     yield batch(_BAG, [k], [y], [rows.tobytes()])
 

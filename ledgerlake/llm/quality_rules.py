@@ -1,11 +1,14 @@
 """Quality rules with adaptive thresholds.
 
 Each document gets a few integer metrics. A quantile sketch per metric,
-language and source holds counts over bins of a fixed width; sketches merge
-by adding counts, so a group's sketch also serves its language's and the
-whole corpus's. A threshold is an upper fence above the third quartile; a
-document is kept if it passes the base rules and no metric lies above its
-group's fence. Native column functions only.
+language and source holds counts over bins whose width grows with the value
+(a fixed relative error, so a bounded number of bins); sketches merge by
+adding counts, so a group's sketch also serves its language's and the whole
+corpus's. A threshold is an upper fence above the third quartile; that of a
+group is blended with its language's, and that with the corpus's, by a weight
+that falls smoothly as the group grows. A document is kept if it passes the
+base rules and no metric lies above its group's fence. Native column
+functions only.
 """
 
 from __future__ import annotations
@@ -36,15 +39,12 @@ METRICS = {
 }
 # Fence = third quartile + FENCE x interquartile range (at least the room).
 FENCE = 3
-# A group's own sketch counts from this many documents on; smaller groups
-# use their language's sketch, small languages the corpus's.
-MIN_GROUP = 100
-# The sketch counts values in bins of this width, as many as the values need;
-# the quartile's error is below the width.
-BIN = 5
-# The SQL's last bin holds everything from BIN * (BINS - 1) on: its fences are
-# those of this module for groups with quartiles below.
-BINS = 400
+# The wider group's fence counts as much as so many of a group's documents.
+PRIOR = 50
+# Values below 2 * STEPS have a bin each; from there on every doubling is cut
+# into STEPS bins, so a quartile is off by less than one part in STEPS and a
+# sketch has at most 59 * STEPS bins.
+STEPS, STEP_BITS = 32, 5
 # Parts a group's documents are dealt to in the final join.
 SALTS = 32
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -104,13 +104,29 @@ def _metric(parts: tuple[str, str]) -> Column:
     return F.expr(f"CASE WHEN {bottom} > 0 THEN ({top}) DIV ({bottom}) ELSE 0 END")
 
 
+def bin_of(value: str) -> str:
+    """SQL of the bin of a value that is not negative; ``bin`` gives the
+    binary digits, whose number is the value's order of size."""
+    size = f"length(bin({value})) - {STEP_BITS + 1}"
+    return (f"CASE WHEN {value} < {2 * STEPS} THEN {value} ELSE "
+            f"{STEPS} * ({size}) + ({value} >> CAST({size} AS INT)) END")
+
+
+def least_of(b: str, floor: str = "DIV") -> str:
+    """SQL of the least value of a bin."""
+    size = f"({b} {floor} {STEPS} - 1)"
+    return (f"CASE WHEN {b} < {2 * STEPS} THEN {b} ELSE "
+            f"({b} - {STEPS} * {size}) << CAST({size} AS INT) END")
+
+
 def sketches(rows: DataFrame) -> DataFrame:
     """(metric, lang, source, bin, n): counts per bin; rows of sketches of
     the same group merge by adding n."""
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                       for m in METRICS])
     return (rows.select("lang", "source", F.inline(pairs))
-            .groupBy("metric", "lang", "source", F.expr(f"value DIV {BIN}").alias("bin"))
+            .groupBy("metric", "lang", "source",
+                     F.expr(bin_of("value")).cast("bigint").alias("bin"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -122,14 +138,15 @@ def fences(sketch: DataFrame, group: list[str]) -> DataFrame:
     ranked = merged.select(
         *by, "bin", F.sum("n").over(run).alias("upto"),
         F.sum("n").over(Window.partitionBy(*by)).alias("size"))
-    # A quartile is the lower edge of the first bin that reaches it.
+    # A quartile is the least value of the first bin that reaches it.
     q = ranked.groupBy(*by, "size").agg(
         F.min(F.when(F.col("upto") * 4 >= F.col("size"), F.col("bin"))).alias("q1"),
         F.min(F.when(F.col("upto") * 4 >= F.col("size") * 3, F.col("bin"))).alias("q3"))
     room = reduce(lambda c, m: c.when(F.col("metric") == m, METRICS[m][1]), METRICS,
                   F.when(F.lit(False), 0))
-    return q.select(*by, "size", (F.col("q3") * BIN + F.greatest(
-        (F.col("q3") - F.col("q1")) * BIN * FENCE, room)).cast("long").alias("fence"))
+    q = q.withColumns({"q1": F.expr(least_of("q1")), "q3": F.expr(least_of("q3"))})
+    return q.select(*by, "size", (F.col("q3") + F.greatest(
+        (F.col("q3") - F.col("q1")) * FENCE, room)).cast("long").alias("fence"))
 
 
 def _wide(f: DataFrame, group: list[str], suffix: str) -> DataFrame:
@@ -140,6 +157,11 @@ def _wide(f: DataFrame, group: list[str], suffix: str) -> DataFrame:
           for m in METRICS])
 
 
+def _blend(size: str, own: str, wider: str, floor: str = "DIV") -> str:
+    """SQL of a group's fence: its own by its size, the wider one by PRIOR."""
+    return f"({size} * {own} + {PRIOR} * {wider}) {floor} ({size} + {PRIOR})"
+
+
 def apply_rules(docs: DataFrame, key: str = "doc_id", lang: str = "lang",
                 source: str = "source", text: str = "text") -> DataFrame:
     """One row per document: key, base metrics, base_failed, the metrics,
@@ -165,10 +187,10 @@ def apply_rules(docs: DataFrame, key: str = "doc_id", lang: str = "lang",
     langs = _wide(fences(sketch, ["lang"]), ["lang"], "lang")
     whole = _wide(fences(sketch.withColumn("corpus", F.lit(0)), ["corpus"]), ["corpus"], "all")
     limits = own.join(langs, "lang").withColumn("corpus", F.lit(0)).join(whole, "corpus")
+    limits = limits.withColumns({f"{m}_lang": F.expr(_blend("size_lang", f"{m}_lang", f"{m}_all"))
+                                 for m in METRICS})
     limits = limits.select("lang", "source", *[
-        F.when(F.col("size_own") >= MIN_GROUP, F.col(f"{m}_own"))
-         .when(F.col("size_lang") >= MIN_GROUP, F.col(f"{m}_lang"))
-         .otherwise(F.col(f"{m}_all")).alias(f"{m}_fence") for m in METRICS])
+        F.expr(_blend("size_own", f"{m}_own", f"{m}_lang")).alias(f"{m}_fence") for m in METRICS])
     # One group may hold a large part of all rows: its documents are dealt
     # over SALTS parts, each with a copy of the group's limits.
     salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -194,22 +216,24 @@ def _sql_fences(group: tuple[str, ...]) -> str:
     wide = ", ".join(f"max(fence) FILTER (WHERE metric = '{m}') AS {m}" for m in METRICS)
     return f"""
   SELECT {by}max(size) AS size, {wide} FROM (
-    SELECT {by}metric, size, q3 * {BIN} + greatest((q3 - q1) * {BIN * FENCE}, {room}) AS fence
+    SELECT {by}metric, size, q3 + greatest((q3 - q1) * {FENCE}, {room}) AS fence
     FROM (
-      SELECT {by}metric, size, min(bin) FILTER (WHERE upto * 4 >= size) AS q1,
-             min(bin) FILTER (WHERE upto * 4 >= size * 3) AS q3
+      SELECT {by}metric, size, {least_of('b1', '//')} AS q1, {least_of('b3', '//')} AS q3
+      FROM (SELECT {by}metric, size, min(bin) FILTER (WHERE upto * 4 >= size) AS b1,
+                   min(bin) FILTER (WHERE upto * 4 >= size * 3) AS b3
       FROM (
         SELECT {by}metric, bin, sum(n) OVER (PARTITION BY {by}metric ORDER BY bin) AS upto,
                sum(n) OVER (PARTITION BY {by}metric) AS size
         FROM (SELECT {by}metric, bin, count(*) AS n FROM sketch GROUP BY {by}metric, bin) a) b
-      GROUP BY {by}metric, size) c) d {on}"""
+      GROUP BY {by}metric, size) e) c) d {on}"""
 
 
 _VALUES = ", ".join(f"CASE WHEN {b} > 0 THEN ({a}) // {b} ELSE 0 END AS {m}"
                     for m, ((a, b), _) in METRICS.items())
 _PAIRS = ", ".join(f"{{'metric': '{m}', 'value': {m}}}" for m in METRICS)
-_LIMITS = ", ".join(f"CASE WHEN o.size >= {MIN_GROUP} THEN o.{m} WHEN l.size >= {MIN_GROUP} "
-                    f"THEN l.{m} ELSE w.{m} END AS {m}_fence" for m in METRICS)
+_LIMITS = ", ".join(
+    _blend("o.size", f"o.{m}", f"({_blend('l.size', f'l.{m}', f'w.{m}', '//')})", "//")
+    + f" AS {m}_fence" for m in METRICS)
 _ABOVE = " OR ".join(f"coalesce({m} > {m}_fence, false)" for m in METRICS)
 _CAST = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS,
@@ -245,7 +269,7 @@ metrics AS (
               AS base_failed, {_VALUES}
   FROM base),
 sketch AS (
-  SELECT lang, source, p.metric AS metric, least(p.value // {BIN}, {BINS - 1}) AS bin
+  SELECT lang, source, p.metric AS metric, {bin_of('p.value')} AS bin
   FROM (SELECT lang, source, unnest([{_PAIRS}]) AS p FROM metrics WHERE NOT base_failed) u),
 own AS ({_sql_fences(("lang", "source"))}),
 langs AS ({_sql_fences(("lang",))}),

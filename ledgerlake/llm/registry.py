@@ -22,6 +22,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_substring_dedup": substring.OP3_SQL,
     "op5_jaccard_join": jaccard.OP5_SQL,
     "op4_license_scan": licenses.OP4_SQL,
     "op7_format_chats": chat.OP7_SQL,

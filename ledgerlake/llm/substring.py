@@ -12,9 +12,12 @@ length, until the full length is reached or no candidate survives.
   full windows mostly share one anchor (a *run*).
 * Level 2, half of the length: the anchor extended to the left or to the
   right. Each full window contains one of the two.
-* Level 3: whole runs. A run that is the same, word for word, in an earlier
-  document goes at once. Where one anchor stands in several different runs,
-  the first document of each run compares its full windows one by one.
+* Level 3, the doubling carried on to whatever length repeats: runs that
+  follow each other in a document are joined into *stretches*, as long as
+  possible. A stretch that is the same in an earlier document goes at once.
+* Level 4: the runs of the stretches that are left, compared in the same
+  way. Where one anchor stands in several different runs, the first document
+  of each run compares its full windows one by one.
 
 Hashes are 64 bits wide and used in pairs from level 3 on.
 """
@@ -83,6 +86,41 @@ _WINDOWS = pa.schema([("k", pa.int64()), ("row", pa.int64()), ("start", pa.int32
 _WINDOWS_SQL = "k bigint, row bigint, start int, w1 bigint, w2 bigint"
 
 
+_RUN = pa.struct([("start", pa.int32()), ("count", pa.int32()), ("anchor", pa.int64()),
+                  ("run", pa.int64())])
+_STRETCH = pa.schema([("k", pa.int64()), ("row", pa.int64()), ("start", pa.int32()),
+                      ("count", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()),
+                      ("runs", pa.list_(_RUN))])
+_STRETCH_SQL = ("k bigint, row bigint, start int, count int, s1 bigint, s2 bigint, "
+                "runs array<struct<start:int,count:int,anchor:bigint,run:bigint>>")
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Joins the runs (k, row, sorted runs) that follow each other. Equal
+    stretches have the same runs in the same order: a run's hash covers its
+    words, and each run begins one word after the windows of the one before."""
+    for b in batches:
+        runs = b.column(2)
+        flat, ends = runs.flatten(), runs.offsets.to_numpy() - runs.offsets[0].as_py()
+        start, count, anchor, run = (flat.field(n).to_numpy() for n in range(4))
+        if not len(start):
+            continue
+        text = np.repeat(np.arange(len(runs)), np.diff(ends))
+        new = np.ones(len(start), bool)
+        new[1:] = (start[1:] != start[:-1] + count[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(new)
+        end = np.append(at[1:], len(start))
+        total = start[end - 1] + count[end - 1] - start[at]
+        hashes = [signed(Ranges(x.view(np.uint64), base)(at, end))
+                  for x, base in zip((anchor, run), BASES)]
+        offsets = pa.array(np.append(at, len(start)), pa.int32())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(b.column(0).to_numpy()[text[at]]), pa.array(b.column(1).to_numpy()[text[at]]),
+            pa.array(start[at]), pa.array(total.astype(np.int32)),
+            *map(pa.array, hashes),
+            pa.ListArray.from_arrays(offsets, flat.cast(_RUN))], schema=_STRETCH)
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """k orders the documents; row identifies a text under its key (rows
     that repeat both get the same result)."""
@@ -131,8 +169,20 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
            .join(sides.select(F.col("side").alias("right"), F.lit(True).alias("on_right")),
                  "right", "left")
            .where("on_left or on_right"))
-    level3 = staged(hit.select("k", "row", "start", "count", "anchor", "run"), "substring-runs3")
-    # Level 3: the first document of each run, and anchors with several runs.
+    # Level 3: a document's runs come together; stretches by their first
+    # document. Later ones with the same stretch have nothing else in it.
+    by_text = (hit.groupBy("k", "row").agg(F.sort_array(F.collect_set(
+        F.struct("start", "count", "anchor", "run"))).alias("runs")))
+    stretches = staged(by_text.mapInArrow(merged(_stretches, _STRETCH), _STRETCH_SQL),
+                       "substring-stretches")
+    leader = staged(stretches.groupBy("s1", "s2").agg(F.min("k").alias("first")),
+                    "substring-leaders")
+    ruled = staged(stretches.join(leader, ["s1", "s2"]), "substring-ruled")
+    long = ruled.where("first < k").select(
+        "row", "start", (F.col("start") + F.col("count") + (length - 1)).alias("end"))
+    level3 = staged(ruled.where("first = k").select("k", "row", F.inline("runs")),
+                    "substring-runs4")
+    # Level 4: the first document of each run, and anchors with several runs.
     first = staged(level3.groupBy("anchor", "run").agg(F.min("k").alias("first")),
                    "substring-first")
     several = staged(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -163,7 +213,7 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
                      .where("first < z").drop("z"), "substring-earlier")
     single = (full.join(earlier, ["w1", "w2"]).where("first < k")
               .select("row", "start", (F.col("start") + length).alias("end")))
-    return whole.unionByName(single)
+    return long.unionByName(whole).unionByName(single)
 
 
 _OUT = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -235,6 +285,29 @@ def without_repeats(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
             .join(ranges, "__row", "left").drop("__row").mapInArrow(cut, docs.schema))
 
 
+OP3_SQL = rf"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda w: w <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, (len(w) - {WINDOW - 2})::BIGINT)) AS i FROM words)),
+firsts AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS p
+  FROM windows JOIN firsts USING (h) WHERE least < doc_id),
+places AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words),
+kept AS (
+  SELECT s.doc_id, count(g.p) AS n_removed,
+         string_agg(word, ' ' ORDER BY s.p) FILTER (WHERE g.p IS NULL) AS words
+  FROM places s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.p = s.p GROUP BY s.doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).select(
         F.col("key").alias("doc_id"), "n_words", "n_removed",

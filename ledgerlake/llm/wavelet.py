@@ -44,9 +44,10 @@ def build_image(ids: np.ndarray) -> bytes:
         before = np.zeros(blocks, "<u4")
         if blocks:
             np.cumsum(per_block[:-1], out=before[1:])
-        zeros = ids[~one]
+        zeros = np.flatnonzero(~one)
         out += [np.array([len(zeros)], "<u8").tobytes(), packed.tobytes(), before.tobytes()]
-        ids = np.concatenate([zeros, ids[one]])
+        # Taking by place is several times faster than by mask.
+        ids = ids.take(np.concatenate([zeros, np.flatnonzero(one)]))
     return b"".join(out)
 
 
@@ -123,9 +124,9 @@ class WaveletMatrix:
         for k in range(self.bits - 1, -1, -1):
             zeros, packed, _ = self._planes[k]
             one = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
+            values[zeros:] |= kind(1 << (self.bits - 1 - k))
             out = np.empty(self.n, kind)
-            out[~one] = values[:zeros]
-            out[one] = values[zeros:] | kind(1 << (self.bits - 1 - k))
+            out[np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])] = values
             values = out
         return values
 

@@ -2,8 +2,11 @@
 
 import collections
 import hashlib
+import math
 import re
+import zlib
 
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import chat, licenses, quality_rules, sharding
@@ -105,8 +108,32 @@ def test_quality_of_a_group_with_long_words(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     out = quality_rules.apply_rules(df).collect()
     assert [r.key for r in out if not r.kept] == [900]
-    # quartiles 3300 and 4100 of hundredths of a character
-    assert {r.word_length_fence for r in out} == {4100 + 3 * 800}
+    # quartiles 3300 and 4100 of hundredths of a character, in bins of 64 and 128
+    assert {r.word_length_fence for r in out} == {4096 + 3 * (4096 - 3264)}
+
+
+def test_bins_are_fine_and_few(spark):
+    values = [*range(300), *(7 ** k + d for k in range(3, 20) for d in (-1, 0, 1))]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").selectExpr(
+        "v", f"{quality_rules.bin_of('v')} AS b").selectExpr(
+        "v", "b", f"{quality_rules.least_of('b')} AS least")
+    rows = sorted(tuple(r) for r in df.collect())
+    assert all(least <= v < least + max(1, v / quality_rules.STEPS) for v, _, least in rows)
+    assert [b for _, b, _ in rows] == sorted(b for _, b, _ in rows)
+    assert rows[-1][1] < 59 * quality_rules.STEPS
+
+
+def test_a_groups_own_threshold_grows_with_it(spark):
+    def text(i, marks):
+        return " ".join(f"w{i}x{k}" + ("##" if k < marks else "") for k in range(40))
+    rows = [(i, text(i, 0), "en", "plain") for i in range(900)]
+    for source, n in (("few", 5), ("some", 60), ("many", 600)):
+        rows += [(1000 * n + i, text(i, 30), "en", source) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = quality_rules.apply_rules(df).groupBy("source").agg(
+        F.max("symbols_fence").alias("fence")).collect()
+    fence = {r.source: r.fence for r in out}
+    assert fence["plain"] <= fence["few"] < fence["some"] < fence["many"]
 
 
 def test_sketches_merge(docs):
@@ -135,6 +162,31 @@ def test_licenses_of_rows_that_share_a_key(spark):
     assert len({x for k, x in out if k == "7"}) == len({x for k, x in out if k == "None"}) == 2
 
 
+def brute_shard(key, weights):
+    """Smallest -ln(u) / weight, u from the 64-bit hash of key and shard."""
+    draws = []
+    for s, w in enumerate(weights):
+        h = xxhash.xxh64(("" if key is None else str(key)).encode(), seed=42).intdigest()
+        h = xxhash.xxh64(s.to_bytes(4, "little"), seed=h).intdigest()
+        draws.append((-math.log(((h >> 11) + 0.5) / 2 ** 53) / w, s))
+    return min(draws)[1]
+
+
+def test_shards_equal_brute_force(docs):
+    weights, grown = [1.0, 2.0, 1.0, 0.5], [1.0, 2.0, 1.0, 0.5, 1.0]
+    got = sharding.assign_shards(docs, weights, grown).collect()
+    want, slots = [], collections.Counter()
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.select("doc_id", "text").collect()]
+    for key, raw in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, zlib.crc32(x[1]),
+                                                len(x[1]))):
+        shard = brute_shard(key, weights)
+        want.append((key, len(raw) + 1, zlib.crc32(raw), shard, brute_shard(key, grown),
+                     slots[shard]))
+        slots[shard] += 1
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert all(r.grown_shard in (r.shard, 4) for r in got) and len(slots) == 4
+
+
 def test_native_operators_of_nothing(none):
     assert quality_rules.apply_rules(none).collect() == []
     assert licenses.scan(none).collect() == []
