@@ -20,6 +20,10 @@ runtime size, shuffled otherwise; AQE splits a skewed child partition, so
 a hot or NULL key does not stall one task). The report is lazy: one action
 runs every rule.
 
+Null and range rules need no scan at all where the table is being written
+anyway: ``observe_rules`` counts their violations while the rows pass, and
+``run_rules(..., observed=...)`` takes those counts.
+
 Report columns: table_name, rule, column_name, detail, violations, total,
 passed. ``enforce`` raises ``DataQualityError`` on failed rows; the
 ``assert_*`` helpers are the single-rule, raise-on-failure forms.
@@ -27,10 +31,11 @@ passed. ``enforce`` raises ``DataQualityError`` on failed rows; the
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,27 +132,55 @@ def _s(text: str | None) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _row_rules(rules: TableRules) -> list[tuple[str, str, str | None, str]]:
+    """(rule, column, detail, violating condition) of the rules that look at
+    one row at a time."""
+    return ([("not_null", c, None, f"{_q(c)} IS NULL") for c in rules.not_null]
+            + [("range", r.column, r.detail, _range_sql(_q(r.column), r.lo, r.hi))
+               for r in rules.ranges])
+
+
+def observe_rules(df: DataFrame, table: str, suite=()) -> tuple[DataFrame, Observation]:
+    """``df`` with the violations of the table's null and range rules, and
+    its rows (``_total``), counted by the first action that runs it."""
+    seen = Observation(f"{table}-{uuid.uuid4().hex}")
+    specs = dict.fromkeys(s for r in suite if r.table == table for s in _row_rules(r))
+    return df.observe(seen, F.expr("count(1) AS _total"), *[
+        F.expr(f"count_if({bad})").alias(f"{rule} {c} {bad}")
+        for rule, c, _, bad in specs]), seen
+
+
+def _observed_checks(spark: SparkSession, rules: TableRules, counts: dict) -> list[DataFrame]:
+    """Report rows of the null and range rules from observed counts."""
+    rows = [(rules.table, rule, c, detail, v := counts[f"{rule} {c} {bad}"], counts["_total"], v == 0)
+            for rule, c, detail, bad in _row_rules(rules)]
+    return [spark.createDataFrame(rows, REPORT_SCHEMA)] if rows else []
+
+
 def table_checks(df: DataFrame, rules: TableRules,
-                 parents: dict[str, DataFrame] | None = None) -> list[DataFrame]:
+                 parents: dict[str, DataFrame] | None = None,
+                 observed: dict | None = None) -> list[DataFrame]:
     """All rules of one table as report rows: one aggregate for null, range
     and referential rules (the child is evaluated once), and one per unique
     column (several distinct counts in one aggregate would multiply the
-    rows by an Expand)."""
+    rows by an Expand). ``observed`` counts replace the null and range
+    rules' part of the aggregate."""
     out = [_distinct_check(df, rules.table, c) for c in rules.unique]
     fks = rules.foreign_keys
+    row_rules = _row_rules(rules)
+    if observed is not None:
+        out += _observed_checks(df.sparkSession, rules, observed)
+        row_rules = []
     if fks:
         df = _flag_parents(df, fks, parents or {})
     aggs = ["count(1) AS _total"]
     specs: list[tuple[str, str, str | None, str]] = []
-    for i, c in enumerate(rules.not_null):
-        aggs.append(f"count_if({_q(c)} IS NULL) AS _nn{i}")
-        specs.append(("not_null", c, None, f"_nn{i}"))
+    for i, (rule, c, detail, bad) in enumerate(row_rules):
+        aggs.append(f"count_if({bad}) AS _row{i}")
+        specs.append((rule, c, detail, f"_row{i}"))
     for i, fk in enumerate(fks):
         aggs.append(f"count_if(_hit{i} IS NULL) AS _fk{i}")
         specs.append(("referential", fk.column, f"{fk.parent}.{fk.parent_column}", f"_fk{i}"))
-    for i, r in enumerate(rules.ranges):
-        aggs.append(f"count_if({_range_sql(_q(r.column), r.lo, r.hi)}) AS _rg{i}")
-        specs.append(("range", r.column, r.detail, f"_rg{i}"))
     if specs:
         agg = df.agg(*[F.expr(e) for e in aggs])
         out.append(_report(agg, [(rules.table, rule, col, detail, name)
@@ -185,15 +218,18 @@ def _range_sql(c: str, lo, hi) -> str:
     return f"coalesce({' OR '.join(parts) or 'false'}, false)"
 
 
-def run_rules(tables: dict[str, DataFrame], suite) -> DataFrame:
+def run_rules(tables: dict[str, DataFrame], suite,
+              observed: dict[str, Observation] | None = None) -> DataFrame:
     """Report for every rule of ``suite`` over ``tables`` (name → DataFrame).
-    A rule whose table or parent is absent cannot be checked: ``KeyError``."""
+    A rule whose table or parent is absent cannot be checked: ``KeyError``.
+    ``observed``: what ``observe_rules`` counted for tables written already."""
+    counts = {t: o.get for t, o in (observed or {}).items()}
     parts: list[DataFrame] = []
     for rules in suite:
         for name in (rules.table, *(fk.parent for fk in rules.foreign_keys)):
             if name not in tables:
                 raise KeyError(f"no table {name!r} for the rules of {rules.table!r}")
-        parts += table_checks(tables[rules.table], rules, tables)
+        parts += table_checks(tables[rules.table], rules, tables, counts.get(rules.table))
     if not parts:
         spark = SparkSession.getActiveSession()
         return spark.createDataFrame([], REPORT_SCHEMA)

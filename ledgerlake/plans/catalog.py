@@ -201,7 +201,7 @@ def q_dirty_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "loans": tables.loans(spark, sf_dir)}
     for name, df in entities.items():
         df.write.json(f"{raw}/{name}/{name}.jsonl")
-    result = run_etl(spark, load_raw(spark, raw), ParquetWriter(scratch_path(spark, "etl")),
+    result = run_etl(spark, load_raw(spark, raw), VersionedWriter(scratch_path(spark, "etl")),
                      rules=FULL_SUITE)
     if result.passed or "fact_transaction" in result.published:
         raise RuntimeError("the gate let dirty rows pass")
@@ -698,6 +698,20 @@ _FOLDED_TOTALS = """
          count(DISTINCT date_trunc('day', ts)) AS days
   FROM events GROUP BY event_type"""
 
+# The rows of ``tables.more_transactions``.
+_MORE_TXN = f"""
+  SELECT * FROM ({_TXN}) t
+  UNION ALL SELECT txn_id, account_id, amount, category, txn_ts - INTERVAL 40 DAY
+  FROM ({_TXN}) t WHERE account_id % 10 = 3 AND txn_id LIKE '%-1'
+  UNION ALL SELECT txn_id, account_id, amount + 1, category, txn_ts
+  FROM ({_TXN}) t WHERE account_id % 10 = 4"""
+
+_PUBLISH_AUDIT = "\n  UNION ALL ".join(
+    f"SELECT CAST({number} AS BIGINT) AS version, '{name}' AS table_name, count(*) AS written_rows "
+    f"FROM {sql} t"
+    for number, day in ((1, lakehouse.FIRST_LOAD), (2, None))
+    for name, sql in _star_before(day).items())
+
 _FAIL_FAST = f"""
   SELECT 'clean' AS data_set, CAST(NULL AS VARCHAR) AS error
   UNION ALL
@@ -759,6 +773,8 @@ QUERIES: dict[str, Query] = {
     "folded_ledger": lakehouse.q_folded_ledger,
     "folded_totals": lakehouse.q_folded_totals,
     "dq_fail_fast": lakehouse.q_dq_fail_fast,
+    "incremental_fact": lakehouse.q_incremental_fact,
+    "publish_audit": lakehouse.q_publish_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -810,4 +826,6 @@ ORACLES: dict[str, str] = {
     "folded_ledger": _FOLDED_LEDGER,
     "folded_totals": _FOLDED_TOTALS,
     "dq_fail_fast": _FAIL_FAST,
+    "incremental_fact": _FACT.replace(_TXN, _MORE_TXN),
+    "publish_audit": _PUBLISH_AUDIT,
 }

@@ -8,7 +8,8 @@ quarantine instead.
 
 With a ``VersionedWriter`` every table is written once, to its place in the
 new set; the gate reads those files, and one manifest switches the whole
-set. With the other writers the tables are staged on the shared folder and
+set. Null and range rules are counted while the tables are written. With
+the other writers the tables are staged on the shared folder and
 copied to their places one after another when the gate has passed.
 
 CLI::
@@ -120,8 +121,8 @@ def _run_versioned(spark: SparkSession, raw: dict[str, DataFrame], writer: Versi
     with writer.publish(spark) as pub:
         star, quarantine = build_star(
             raw, drop_orphans=drop_orphans,
-            write=lambda df, name: pub.write(df, name, PARTITIONS.get(name)))
-        report = pub.write(quality.run_rules(star, rules), "dq_report")
+            write=lambda df, name: pub.write(df, name, PARTITIONS.get(name), rules))
+        report = pub.write(quality.run_rules(star, rules, pub.observed), "dq_report")
         result = EtlResult(star, pub.write(quarantine, "quarantine_transaction"), report,
                            quality.failures(report))
         if result.failed and enforce:

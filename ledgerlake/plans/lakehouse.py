@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlake import compat
 from ledgerlake.operators import cleaning, dims, sequence
 from ledgerlake.operators.quality import DataQualityError
+from ledgerlake.plans.incremental import IncrementalFact
 from ledgerlake.schemas import GLOSSARY
 from ledgerlake.session import scratch_path, staged
 from ledgerlake.sinks import writers
@@ -85,6 +86,31 @@ def q_atomic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, steps)
 
 
+def q_publish_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written per table of two publications, as counted on the way and
+    kept in their manifests; no table is read again."""
+    writer = VersionedWriter(scratch_path(spark, "audited"))
+    rows = []
+    for before in (FIRST_LOAD, None):
+        with writer.publish(spark) as pub:
+            for name, df in star_tables(spark, sf_dir, before).items():
+                pub.write(df, name)
+        snapshot = Snapshot.latest(spark, writer.root)
+        rows += [(snapshot.version, name, e["rows"]) for name, e in snapshot.tables.items()]
+    return spark.createDataFrame(rows, "version bigint, table_name string, written_rows bigint")
+
+
+def q_incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from three loads: late rows, copies that win and copies that
+    lose, in other months than the rows they repeat. Equals one load of all
+    rows."""
+    fact = IncrementalFact(scratch_path(spark, "incremental"))
+    for part in tables.more_transactions(spark, sf_dir):
+        fact.load(spark, part)
+        fact.tidy(spark)
+    return fact.read(spark)
+
+
 # ------------------------------------------------------------ catalog tables
 
 MONTH = "txn_month"

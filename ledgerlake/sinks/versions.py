@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake import storage
+from ledgerlake.operators import quality
 from ledgerlake.sinks.writers import _prepare
 
 
@@ -99,12 +100,17 @@ class Publication:
     before: dict
     written: dict = field(default_factory=dict)
     withheld: dict = field(default_factory=dict)
+    observed: dict = field(default_factory=dict)
     version: int | None = None
 
-    def write(self, df: DataFrame, table: str, partition_col: str | None = None) -> DataFrame:
-        """Write a table and read it back; readers see it after the switch."""
+    def write(self, df: DataFrame, table: str, partition_col: str | None = None,
+              rules=()) -> DataFrame:
+        """Write a table and read it back; readers see it after the switch.
+        Violations of the table's null and range rules are counted on the
+        way (``observed``, for ``quality.run_rules``)."""
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
-        w = _prepare(df, partition_col).write.format("parquet")
+        seen, self.observed[table] = quality.observe_rules(_prepare(df, partition_col), table, rules)
+        w = seen.write.format("parquet")
         if partition_col:
             w = w.partitionBy(partition_col)
         w.save(path)
@@ -113,7 +119,8 @@ class Publication:
         fields += [f for f in df.schema.fields if f.name == partition_col]
         schema = T.StructType(fields)
         self.written[table] = {"path": path, "partition": partition_col,
-                               "schema": json.loads(schema.json())}
+                               "schema": json.loads(schema.json()),
+                               "rows": self.observed[table].get["_total"]}
         return self.spark.read.schema(schema).parquet(path).select(*df.columns)
 
     def withhold(self, *tables: str) -> None:

@@ -82,6 +82,20 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "      THEN 'soon' ELSE date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') END AS txn_ts")
 
 
+def more_transactions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Transactions in three loads: those before 1996; the later ones but
+    for every second of an order, with earlier copies of some rows of any
+    load; the rest, with copies of other rows that differ in the amount."""
+    txn = transactions(spark, sf_dir)
+    first = F.col("txn_ts") < F.lit("1996-01-01").cast("date")
+    second = F.col("txn_id").endswith("-2")
+    earlier = txn.where("account_id % 10 = 3 AND txn_id LIKE '%-1'").withColumn(
+        "txn_ts", F.expr("txn_ts - INTERVAL 40 DAYS"))
+    dearer = txn.where("account_id % 10 = 4").withColumn("amount", F.col("amount") + 1)
+    return [txn.where(first), txn.where(~first & ~second).unionByName(earlier),
+            txn.where(~first & second).unionByName(dearer)]
+
+
 def deposits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One deposit per order, on the order's account."""
     return table(spark, sf_dir, "orders").selectExpr(
