@@ -17,8 +17,9 @@ column), so reruns pick the same row.
 Cost: the kept path is one shuffle by txn_id whose map side already keeps
 only the first row per key (partial ``WindowGroupLimit``), so a hot txn_id
 does not pile onto one task. ``clean_summary`` is one scan: per txn_id a
-count and the first row's account, combined map-side. The quarantine tags
-every row once, stages the tagged rows and splits from there.
+count and the first row's account, combined map-side. The quarantine reads
+typed tables as they are, and stages the tagged rows of text input, so that
+text is parsed once.
 """
 
 from __future__ import annotations
@@ -134,7 +135,9 @@ def orphans_of(df: DataFrame, parent: DataFrame, key: str = "account_id",
 
 def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Every rejected row once, exactly as read, with its ``reason``."""
-    rows = staged(tag_rows(raw), "tagged")
+    rows = tag_rows(raw)
+    if _text_typed(raw):  # text is parsed once; typed tables are cheap to scan
+        rows = staged(rows, "tagged")
     rejected = rows.filter(F.col("_reason").isNotNull())
     valid = rows.filter(F.col("_reason").isNull())
     order = _tagged_order(raw)
