@@ -91,9 +91,9 @@ def test_quality_metrics_equal_brute_force(docs):
 def test_quality_thresholds_adapt_to_the_group(spark):
     def text(i, marks):
         return " ".join(f"w{i}x{k}" + ("###" if k < marks else "") for k in range(40))
-    rows = [(i, text(i, 0), "en", "plain") for i in range(150)]
-    rows += [(200 + i, text(i, 4), "en", "code") for i in range(150)]  # ordinary there
-    rows += [(500, text(1, 4), "en", "plain"), (501, text(2, 38), "en", "code"),
+    rows = [(1000 + i, text(i, 0), "en", "plain") for i in range(600)]
+    rows += [(2000 + i, text(i, 8), "en", "code") for i in range(600)]  # ordinary there
+    rows += [(500, text(1, 8), "en", "plain"), (501, text(2, 38), "en", "code"),
              (502, text(3, 1), "fr", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     out = {r.key: r.kept for r in quality_rules.apply_rules(df).collect()}
@@ -126,8 +126,8 @@ def test_bins_are_fine_and_few(spark):
 def test_a_groups_own_threshold_grows_with_it(spark):
     def text(i, marks):
         return " ".join(f"w{i}x{k}" + ("##" if k < marks else "") for k in range(40))
-    rows = [(i, text(i, 0), "en", "plain") for i in range(900)]
-    for source, n in (("few", 5), ("some", 60), ("many", 600)):
+    rows = [(i, text(i, 0), "en", "plain") for i in range(1500)]
+    for source, n in (("few", 5), ("some", 60), ("many", 240)):
         rows += [(1000 * n + i, text(i, 30), "en", source) for i in range(n)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     out = quality_rules.apply_rules(df).groupBy("source").agg(
