@@ -173,12 +173,18 @@ def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return tuple(map(np.concatenate, zip(*parts)))
 
 
+def hand_back() -> None:
+    """Return what earlier operators left unused in this Python worker."""
+    pa.default_memory_pool().release_unused()
+
+
 def spare_memory() -> None:
     """A Python worker serves many operators; one that hashes words needs
     none of the pieces that tokenising has remembered."""
     tokens = sys.modules.get("ledgerlake.llm.tokens")
     if tokens is not None:
         tokens.forget()
+    hand_back()
 
 
 def grouped_words(texts: Iterable, lower: bool = False

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import documents
+from ledgerlake.llm.common import documents, hand_back
 from ledgerlake.llm.tokens import encoder, public_tokenizer
 
 TIERS = (256, 512, 1024, 2048)
@@ -133,6 +133,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: Sequence[int] = TIERS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         base = TaskContext.get().partitionId() << 40
+        hand_back()
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
