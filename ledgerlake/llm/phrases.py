@@ -13,6 +13,10 @@ counted per language.
    not counted. Another pass counts just those, and so on until no pass
    finds a frequent phrase that can be extended (``longest`` passes at most).
 
+These passes count hashes of whole phrases, one number each, which keeps what
+they shuffle small; phrases that share a hash can only make it too frequent.
+A last pass counts what they found by the hashes of both parts.
+
 The sample decides how many passes are needed, never the result. S travels
 to the tasks as bitmaps of fixed size; a phrase that passes by chance is
 counted too, which costs time and changes nothing.
@@ -28,7 +32,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bitmaps import broadcast_bitmap, in_bitmap
@@ -173,38 +177,50 @@ def _levels(w: Words, part: slice, first: int, lengths, known: np.ndarray | None
             old.append(was)
 
 
-_COUNTS = pa.schema([("first", pa.int64()), ("rest", pa.int64()), ("hits", pa.int64())])
-_COUNTS_SQL = "first bigint, rest bigint, hits bigint"
+_REACHED = pa.schema([("gram", pa.int64()), ("hits", pa.int64())])
+_REACHED_SQL = "gram bigint, hits bigint"
+_COUNTS = pa.schema([("gram", pa.int64()), ("first", pa.int64()), ("rest", pa.int64()),
+                     ("hits", pa.int64())])
+_COUNTS_SQL = "gram bigint, first bigint, rest bigint, hits bigint"
 
 
-def _counted(lengths, known: Broadcast | None, done: list[Broadcast]):
-    """Counts of the phrases of ``_levels`` by stretch of documents."""
+def _counted(lengths, known: Broadcast | None, done: list[Broadcast],
+             wanted: Broadcast | None = None):
+    """Counts of the phrases of ``_levels`` by stretch of documents: (gram,
+    hits); with ``wanted``, of those in it and told apart by both their
+    parts, too: (gram, first, rest, hits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spare_memory()
         held, size = [], 0
 
         def found() -> Iterator[pa.RecordBatch]:
-            first, rest = map(np.concatenate, zip(*held))
-            # Rows in order share bytes, which shrinks the shuffle.
-            order = np.lexsort((rest, first))
-            first, rest = first[order], rest[order]
-            new = np.ones(len(first), bool)
-            new[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
+            keys = list(map(np.concatenate, zip(*held)))
+            order = np.lexsort(keys) if len(keys) > 1 else np.argsort(keys[0])
+            keys = [key[order] for key in keys]
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
             at = np.flatnonzero(new)
-            hits = np.diff(np.append(at, len(first)))
+            hits = np.diff(np.append(at, len(order)))
             for i in range(0, len(at), 100_000):
                 part = slice(i, i + 100_000)
-                yield batch(_COUNTS, signed(first[at[part]]), signed(rest[at[part]]), hits[part])
+                yield batch(_REACHED if wanted is None else _COUNTS,
+                            *(signed(key[at[part]]) for key in keys), hits[part])
 
         for b in batches:
             for texts, langs in _groups(b):
                 w = Words(texts, langs)
                 for part, first in w.blocks(max(lengths)):
-                    for _, left, right in _levels(w, part, first, lengths,
+                    for k, left, right in _levels(w, part, first, lengths,
                                                   None if known is None else known.value,
                                                   [d.value for d in done]):
-                        held.append((left, right))
-                        size += len(left)
+                        gram = left if k == 1 else _named(left, right, k)
+                        if wanted is None:
+                            held.append((gram,))
+                        else:
+                            hit = _has(wanted.value, gram)
+                            gram = gram[hit]
+                            held.append((gram, left[hit], right[hit]))
+                        size += len(gram)
                 if size >= COUNTED:
                     yield from found()
                     held, size = [], 0
@@ -213,27 +229,17 @@ def _counted(lengths, known: Broadcast | None, done: list[Broadcast]):
     return run
 
 
-_GRAMS = pa.schema([("gram", pa.int64()), ("k", pa.int32()), *_COUNTS])
-_GRAMS_SQL = "gram bigint, k int, " + _COUNTS_SQL
-
-
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the hash and length of phrases (first, rest, hits)."""
-    for b in batches:
-        first, rest = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-        k = np.where(rest == 0, 0, first & np.uint64(7)).astype(np.int32) + 1
-        gram = first.copy()
-        for n in range(2, int(k.max(initial=1)) + 1):
-            gram[k == n] = _named(first[k == n], rest[k == n], n)
-        yield batch(_GRAMS, signed(gram), k, *b.columns)
+def _reached(rows: DataFrame, least: float, lengths, known, done, name: str) -> DataFrame:
+    """(gram) of the phrases counted that reach ``least``, staged. Phrases
+    that share a gram are counted as one, so none is lost; at most one too
+    many is kept."""
+    counts = rows.mapInArrow(_counted(tuple(lengths), known, done), _REACHED_SQL)
+    return staged(counts.groupBy("gram").agg(F.sum("hits").alias("hits"))
+                  .where(F.col("hits") >= least).select("gram"), name)
 
 
-def _frequent(rows: DataFrame, least: float, lengths, known, done, name: str) -> DataFrame:
-    """(gram, k, first, rest, hits) of the phrases counted that reach
-    ``least``, staged."""
-    counts = rows.mapInArrow(_counted(tuple(lengths), known, done), _COUNTS_SQL)
-    return staged(counts.groupBy("first", "rest").agg(F.sum("hits").alias("hits"))
-                  .where(F.col("hits") >= least).mapInArrow(_grams, _GRAMS_SQL), name)
+def _length() -> Column:
+    return F.col("gram").bitwiseAND(F.lit(7))
 
 
 _WORDS = pa.schema([("gram", pa.int64()), ("lang", pa.string()), ("word", pa.string()),
@@ -284,20 +290,28 @@ def frequent_phrases(rows: DataFrame, least: int = LEAST, longest: int = LONGEST
     lowered = max(2, int(least * min(1.0, sample) * LOWERED))
     proposed, known = None, None
     for k in range(1, longest):
-        level = _frequent(picked, lowered, [k], known, [], "phrases-level").select("gram")
+        level = _reached(picked, lowered, [k], known, [], "phrases-level")
         proposed = level if proposed is None else proposed.unionByName(level)
         known = _bitmap(proposed)
 
     # The full pass over them and their border, then over what failed.
-    counts = _frequent(rows, least, range(1, longest + 1), known, [], "phrases-counts")
-    new = counts.join(proposed, "gram", "left_anti").where(F.col("k") < longest)
+    grams = _reached(rows, least, range(1, longest + 1), known, [], "phrases-grams")
+    new = grams.join(proposed, "gram", "left_anti").where(_length() < longest)
     done = [known]
     while not new.isEmpty():
-        known = _bitmap(counts)
-        more = _frequent(rows, least, range(2, longest + 1), known, done, "phrases-counts")
+        known = _bitmap(grams)
+        more = _reached(rows, least, range(2, longest + 1), known, done, "phrases-grams")
         done.append(known)
-        counts, new = counts.unionByName(more), more.where(F.col("k") < longest)
-    return counts
+        grams, new = grams.unionByName(more), more.where(_length() < longest)
+
+    # What is left is little: counted by both parts. The parts of a frequent
+    # phrase are frequent, so it is found among them.
+    known = _bitmap(grams)
+    counts = rows.mapInArrow(_counted(tuple(range(1, longest + 1)), known, [], known), _COUNTS_SQL)
+    return staged(counts.groupBy("gram", "first", "rest").agg(F.sum("hits").alias("hits"))
+                  .where(F.col("hits") >= least)
+                  .select("gram", _length().cast("int").alias("k"), "first", "rest", "hits"),
+                  "phrases-counts")
 
 
 def _described(counts: DataFrame, words: DataFrame, longest: int) -> DataFrame:
