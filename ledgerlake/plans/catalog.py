@@ -6,6 +6,7 @@ whole tables. Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -332,13 +333,20 @@ def _append_stream(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 
 def q_stream_dedupe_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream dedupe by txn_id within a 1-hour watermark, then totals of
-    the surviving events. Every third event arrives twice."""
-    events = events_stream(spark, sf_dir)
-    twice = F.when(F.col("txn_id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
-        F.array(F.lit(1)))
-    events = events.withColumn("copy", F.explode(twice)).drop("copy")
-    deduped = windows.dedupe_within_watermark(events, delay="1 hour")
+    """Stream dedupe by txn_id within the watermark's delay, then totals of
+    the surviving events. Every third event arrives again in later files,
+    which are a micro-batch of their own, so repeats are found by the state
+    kept between batches."""
+    events = tables.table(spark, sf_dir, "events")
+    path, files = scratch_path(spark, "events"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for part in (events, events.where("event_id % 3 = 0")):
+        # The stream reads files in the order of their times.
+        part.repartition(files).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(files))
+           .parquet(path))
+    # The later files bring events as old as the oldest.
+    deduped = windows.dedupe_within_watermark(tables.stream_events(src), delay="3650 days")
     out = _append_stream(spark, deduped, "dedupe")
     return _cents(totals.category_totals(spark.read.parquet(out)), "running_total")
 

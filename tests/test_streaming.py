@@ -123,6 +123,26 @@ def test_dedupe_within_watermark_and_orphans(spark, tmp_dir):
     assert [(r.txn_id, r.account_id) for r in got] == [("t1", "a1")]
 
 
+def test_dedupe_of_copies_in_later_batches(spark, tmp_dir):
+    """The copy comes a batch later: only the state between batches knows
+    the first."""
+    first = [(f"t{i}", "a1", 1.0, "rent", "2026-01-01T01:00:00") for i in range(6)]
+    later = first[::2] + [("t9", "a1", 1.0, "rent", "2026-01-01T01:30:00")]
+    for rows in (first, later):
+        spark.createDataFrame(rows, TRANSACTIONS).coalesce(1).write.mode("append").parquet(
+            f"{tmp_dir}/in")
+        time.sleep(0.05)
+    s = (spark.readStream.schema(TRANSACTIONS).option("maxFilesPerTrigger", 1)
+         .parquet(f"{tmp_dir}/in").withColumn("txn_ts", F.to_timestamp("txn_ts")))
+    q = (windows.dedupe_within_watermark(s).writeStream.format("parquet")
+         .option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.txn_id for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    assert got == ["t0", "t1", "t2", "t3", "t4", "t5", "t9"]
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [6, 4]
+
+
 def test_stream_equals_batch(spark, tmp_dir):
     import random
     rnd = random.Random(5)
