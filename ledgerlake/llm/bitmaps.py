@@ -34,6 +34,6 @@ def broadcast_bitmap(rows: DataFrame, column: Column) -> Broadcast:
 
 def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which uint64 values have their bit set."""
-    p = values & np.uint64((1 << BITS) - 1)
+    p = values & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[(p >> np.uint64(3)).astype(np.int64)]
             >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -19,7 +19,9 @@ A last pass counts what they found by the hashes of both parts.
 
 The sample decides how many passes are needed, never the result. S travels
 to the tasks as bitmaps of fixed size; a phrase that passes by chance is
-counted too, which costs time and changes nothing.
+counted too, which costs time and changes nothing. What an earlier pass has
+counted is told by following that pass through its levels: a phrase that
+merely lies in its bitmap by chance may never have been reached.
 """
 
 from __future__ import annotations
@@ -145,11 +147,13 @@ def _bitmap(rows: DataFrame) -> Broadcast:
 def _levels(w: Words, part: slice, first: int, lengths, known: np.ndarray | None,
             done: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(k, firsts, rests): the parts of the phrases of k words whose two
-    parts of k - 1 words are both in ``known``, and not both in one of
-    ``done`` (those were counted before). Words (k = 1) all count, as
-    themselves and 0. Starts from ``first`` on belong to the next block."""
+    parts of k - 1 words are both reached and in ``known``, but for those
+    that an earlier pass counted: both parts reached and in the pass's bitmap
+    in ``done``. Words (k = 1) all count, as themselves and 0. Starts from
+    ``first`` on belong to the next block."""
     piece = w.piece[part]
     at = np.arange(len(piece))
+    before = [np.ones(len(piece), bool) for _ in done]
     left, right = w.hash[part] ^ w.lang[part], np.zeros(len(piece), np.uint64)
     for k in range(1, max(lengths) + 1):
         if k > 1:
@@ -157,12 +161,13 @@ def _levels(w: Words, part: slice, first: int, lengths, known: np.ndarray | None
             pair &= piece[:len(pair)] == piece[k - 1:k - 1 + len(pair)]
             at = np.flatnonzero(pair)
             left, right = below[at], below[at + 1]
+            before = [was[at] & was[at + 1] for was in old]
         h = _named(left, right, k)
         if k in lengths:
             counted = at < first
             if k > 1:
-                for was in old:
-                    counted &= ~(was[at] & was[at + 1])
+                for reached in before:
+                    counted &= ~reached
                 yield k, left[counted], right[counted]
             else:
                 yield k, h[counted], right[counted]
@@ -171,9 +176,9 @@ def _levels(w: Words, part: slice, first: int, lengths, known: np.ndarray | None
             return
         below, inside, old = np.zeros(size, np.uint64), np.zeros(size, bool), []
         below[at], inside[at] = h, _has(known, h)
-        for bitmap in done:
+        for bitmap, reached in zip(done, before):
             was = np.zeros(size, bool)
-            was[at] = _has(bitmap, h)
+            was[at] = reached & _has(bitmap, h)
             old.append(was)
 
 

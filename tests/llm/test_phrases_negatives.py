@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from ledgerlake.llm import negatives, phrases
+from ledgerlake.llm import bitmaps, negatives, phrases
 
 
 def pieces(text):
@@ -64,6 +64,17 @@ def test_collocations_equal_brute_force(spark, monkeypatch, least, sample):
     assert {"en", "de", "und"} <= {r[0] for r in want}
 
 
+def test_collocations_with_crowded_bitmaps(spark, monkeypatch):
+    """Phrases that lie in a bitmap by chance are not taken for counted."""
+    monkeypatch.setattr(bitmaps, "BITS", 15)
+    rnd = random.Random(3)
+    lines = [" ".join(f"w{rnd.randrange(400)}" for _ in range(5)) for _ in range(1200)]
+    rows = [("en", "\n".join(rnd.sample(lines, 8))) for _ in range(900)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = phrases.collocations(df, least=4, sample=0.1).collect()
+    assert sorted(tuple(r) for r in got) == brute_phrases(rows, 4, 5, 2000)
+
+
 def test_collocations_of_nothing(spark, none):
     assert phrases.collocations(none).collect() == []
     few = spark.createDataFrame([("en", "a b c")], "lang string, text string")
