@@ -14,11 +14,13 @@ Execution: all rules of one table are folded into a single aggregate over
 that table, so each table – including a derived one such as the fact – is
 evaluated once. ``count(DISTINCT c)`` is planned as a two-level aggregate
 keyed by ``c``, so a hot value is combined map-side. Referential rules add
-a left join of the table to the distinct keys of each parent, with a match
-flag (broadcast when the keys are small by Spark's size estimate or AQE's
-runtime size, shuffled otherwise; AQE splits a skewed child partition, so
-a hot or NULL key does not stall one task). The report is lazy: one action
-runs every rule.
+a left join to the distinct keys of each parent, with a match flag
+(broadcast when the keys are small by Spark's size estimate or AQE's
+runtime size, shuffled otherwise). A table with one foreign key is first
+counted by that key, combined map-side, so a key and its counts are
+shuffled, never the rows, and a hot or NULL key is one row a task. With
+several keys the rows are joined; AQE splits a skewed child partition. The
+report is lazy: one action runs every rule.
 
 Null and range rules need no scan at all where the table is being written
 anyway: ``observe_rules`` counts their violations while the rows pass, and
@@ -171,15 +173,22 @@ def table_checks(df: DataFrame, rules: TableRules,
     if observed is not None:
         out += _observed_checks(df.sparkSession, rules, observed)
         row_rules = []
-    if fks:
-        df = _flag_parents(df, fks, parents or {})
     aggs = ["count(1) AS _total"]
     specs: list[tuple[str, str, str | None, str]] = []
     for i, (rule, c, detail, bad) in enumerate(row_rules):
         aggs.append(f"count_if({bad}) AS _row{i}")
         specs.append((rule, c, detail, f"_row{i}"))
+    if len(fks) == 1:
+        # One row per key before the join; the counts are added up after it.
+        key = fks[0].column
+        df = df.groupBy(F.col(_q(key)).alias(key)).agg(*[F.expr(e) for e in aggs])
+        aggs = [f"coalesce(sum({n}), 0) AS {n}"
+                for n in ("_total", *[name for *_, name in specs])]
+    if fks:
+        df = _flag_parents(df, fks, parents or {})
     for i, fk in enumerate(fks):
-        aggs.append(f"count_if(_hit{i} IS NULL) AS _fk{i}")
+        aggs.append(f"coalesce(sum(if(_hit{i} IS NULL, _total, 0)), 0) AS _fk{i}" if len(fks) == 1
+                    else f"count_if(_hit{i} IS NULL) AS _fk{i}")
         specs.append(("referential", fk.column, f"{fk.parent}.{fk.parent_column}", f"_fk{i}"))
     if specs:
         agg = df.agg(*[F.expr(e) for e in aggs])

@@ -281,11 +281,12 @@ def q_dq_fail_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     star["dim_loan"] = star["dim_loan"].where("interest_rate <= 40")
     variants = {
         "clean": {},
-        "dirty": {"fact_transaction": cleaning.clean_transactions(
-            tables.dirty_transactions(spark, sf_dir))},
+        "dirty": {"fact_transaction": staged(cleaning.clean_transactions(
+            tables.dirty_transactions(spark, sf_dir)), "dirty")},
         "accounts missing": {"dim_account": star["dim_account"].where(
             F.col("opened_date") >= F.lit(FIRST_LOAD).cast("date"))},
-        "customers repeated": {"dim_customer": tables.customers(spark, sf_dir)},
+        "customers repeated": {"dim_customer": staged(tables.customers(spark, sf_dir),
+                                                      "repeated")},
     }
     rows = []
     for name, changed in variants.items():
