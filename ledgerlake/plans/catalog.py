@@ -190,6 +190,10 @@ def q_dirty_raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "orders": tables.table(spark, sf_dir, "orders")}, DIRTY_RULES)
 
 
+# Rows of a file of JSON lines, so that compressed files are read in parallel.
+JSON_ROWS = 500_000
+
+
 def q_dirty_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gated ETL job over JSON lines of the dirty rows: read as text,
     built, gated. The gate fails, so nothing but the report is published;
@@ -201,7 +205,9 @@ def q_dirty_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "deposits": tables.deposits(spark, sf_dir),
                 "loans": tables.loans(spark, sf_dir)}
     for name, df in entities.items():
-        df.write.json(f"{raw}/{name}/{name}.jsonl")
+        # Compressed text cannot be split: many files, one task each.
+        (df.write.option("compression", "gzip").option("maxRecordsPerFile", JSON_ROWS)
+         .json(f"{raw}/{name}/{name}.jsonl"))
     result = run_etl(spark, load_raw(spark, raw), VersionedWriter(scratch_path(spark, "etl")),
                      rules=FULL_SUITE)
     if result.passed or "fact_transaction" in result.published:
