@@ -5,10 +5,12 @@
   task forwards at most one row per key: a key that holds a third of all
   rows costs no more than any other.
 
-* ``number_within`` – the full ``row_number()`` per key, one path for all
-  keys:
+* ``number_within`` – the full ``row_number()`` per key. Rows are staged
+  and counted by key; a key of at most LARGE rows is numbered by a plain
+  window over its hash partition. The few larger keys are not left to one
+  task each:
 
-  1. range-partition the rows on ``(key, order)`` and stage them; Spark's
+  1. range-partition their rows on ``(key, order)`` and stage them; Spark's
      range partitioner splits a large key over many partitions in order;
   2. number the rows inside each (key, partition);
   3. only keys that cross a partition border need an offset. A border key
@@ -16,8 +18,11 @@
      fewer of them than partitions; their row counts per partition, summed
      up in partition order, are the offsets.
 
-  The staged copy fixes the placement: the range bounds come from a sample,
-  so a second evaluation could place rows differently.
+  Both staged copies serve a purpose: the first is read for the counts, the
+  window and the sample that sets the range bounds, so that what leads to
+  the rows runs once; the second fixes the placement, as a second evaluation
+  could place rows differently. Callers that know the keys' sizes pass them
+  and save the first.
 """
 
 from __future__ import annotations
@@ -51,13 +56,38 @@ def keep_first(df: DataFrame, keys, order) -> DataFrame:
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def number_within(df: DataFrame, keys, order, out: str) -> DataFrame:
-    """Add ``out`` = ``row_number()`` within ``keys`` under ``order``."""
+# Rows of a key that one task sorts and numbers.
+LARGE = 1 << 20
+
+
+def _same(keys: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+
+
+def number_within(df: DataFrame, keys, order, out: str, sizes: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = ``row_number()`` within ``keys`` under ``order``.
+    ``sizes``: the keys with their rows or more (``_n``), at least of those
+    with more than LARGE; taken from the rows if not given."""
     keys = _cols(keys)
     ordering = order_columns(order)
+    if sizes is None:
+        df = staged(df, "numbered")
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = staged(sizes.where(F.col("_n") > LARGE)
+                   .select(*[F.col(k).alias(f"_b_{k}") for k in keys]), "large-keys")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)).alias(out)
+    if large.isEmpty():
+        return df.select(*df.columns, number)
+    few, same = F.broadcast(large), _same(keys)
+    return df.join(few, same, "left_anti").select(*df.columns, number).unionByName(
+        _number_large(df.join(few, same, "left_semi"), keys, ordering, out))
+
+
+def _number_large(df: DataFrame, keys: list[str], ordering: list[Column], out: str) -> DataFrame:
+    """``number_within`` for keys that no single task should hold."""
     by_key = [F.col(k).asc_nulls_first() for k in keys]
     placed = staged(df.repartitionByRange(*by_key, *ordering)
-                    .withColumn("_pid", F.spark_partition_id()), "numbered")
+                    .withColumn("_pid", F.spark_partition_id()), "placed")
     within = Window.partitionBy(*keys, "_pid").orderBy(*ordering)
     ranked = placed.withColumn("_rn", F.row_number().over(within))
 
@@ -66,7 +96,7 @@ def number_within(df: DataFrame, keys, order, out: str) -> DataFrame:
     border = (ends.select("_pid", F.explode(F.array("_lo", "_hi")).alias("_k")).distinct()
               .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
               .select(*[F.col(f"_k.{k}").alias(f"_b_{k}") for k in keys]))
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+    same = _same(keys)
     blocks = (placed.select(*keys, "_pid").join(border, same, "left_semi")
               .groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n")))
     before = (Window.partitionBy(*keys).orderBy("_pid")

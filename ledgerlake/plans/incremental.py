@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import storage
-from ledgerlake.operators import cleaning
+from ledgerlake.operators import cleaning, sequence
 from ledgerlake.operators.ranking import keep_first, number_within
 from ledgerlake.operators.sequence import SEQ
 from ledgerlake.session import staged
@@ -113,12 +113,11 @@ class IncrementalFact:
     def load(self, spark: SparkSession, raw: DataFrame) -> int:
         """Add raw rows; returns the number of months written."""
         number, content = self.state(spark)
+        if content["schema"] is None:
+            return self._first(spark, raw, number, content)
         load = content["load"] + 1
         delta = staged(cleaning.clean_transactions(raw).withColumn("_new", F.lit(1)), "delta")
-        fact = T.StructType([*[f for f in delta.schema.fields if f.name != "_new"],
-                             T.StructField(SEQ, T.IntegerType())])
-        if content["schema"] is None:
-            content = {**content, "schema": fact.jsonValue()}
+        fact = T.StructType.fromJson(content["schema"])
         index, accounts = self._index(fact), self._accounts(fact)
         done = content["load"]
 
@@ -148,25 +147,21 @@ class IncrementalFact:
             winners.join(late.select("account_id"), "account_id", "left_anti")
             .join(known.select("account_id", "n"), "account_id", "left"),
             "account_id", ["txn_ts", "txn_id"], "_rn")
-        upserts = grown.withColumn(SEQ, (F.coalesce("n", F.lit(0)) + F.col("_rn")).cast("int")) \
-            .select(*COLUMNS)
-        ends = _ends(upserts)
+        upserts = staged(grown.withColumn(
+            SEQ, (F.coalesce("n", F.lit(0)) + F.col("_rn")).cast("int")).select(*COLUMNS), "grown")
+        ends, replaced = _ends(upserts), removed.select("txn_id")
         if since is not None:
             changed, late_ends = self._renumbered(spark, content, since, late, winners, removed)
             upserts, ends = upserts.unionByName(changed), ends.unionByName(late_ends)
-        upserts = staged(upserts.withColumn(MONTH, _month()), "upserts")
+            replaced = replaced.unionByName(changed.select("txn_id"))
+        upserts = upserts.withColumn(MONTH, _month())
 
-        # Months with a changed row are written again.
+        # Months with a changed row are written again. A row that an account
+        # grew by replaces none but those removed.
         touched = sorted({r[0] for r in upserts.select(MONTH).unionByName(
             removed.select(_month().alias(MONTH))).distinct().collect()})
-        changed = upserts.select("txn_id").unionByName(removed.select("txn_id")).distinct()
-        kept = self._read(spark, content, touched).join(changed, "txn_id", "left_anti")
-        folder = f"{self.root}/months/{uuid.uuid4().hex}"
-        (kept.withColumn(MONTH, _month()).unionByName(upserts).hint("rebalance", MONTH)
-         .sortWithinPartitions(MONTH, "txn_date", "account_id")
-         .write.partitionBy(MONTH).parquet(folder))
-        there = {n.partition("=")[2]: f"{folder}/{n}" for n in storage.names(spark, folder)
-                 if n.startswith(f"{MONTH}=")}
+        kept = self._read(spark, content, touched).join(replaced, "txn_id", "left_anti")
+        there = self._write_months(spark, kept.withColumn(MONTH, _month()).unionByName(upserts))
 
         # Ids that moved or came; the accounts' new ends.
         index.write(winners.select("txn_id", _month().alias(MONTH)), load)
@@ -176,6 +171,27 @@ class IncrementalFact:
             "months": {**{m: p for m, p in content["months"].items() if m not in touched}, **there}})
         return len(touched)
 
+    def _first(self, spark: SparkSession, raw: DataFrame, number: int, content: dict) -> int:
+        """The first load: there is nothing to compare its rows with. The
+        index and the accounts' ends are read off the months written."""
+        fact = sequence.build_fact_transaction(cleaning.clean_transactions(raw)).select(*COLUMNS)
+        schema = T.StructType([*fact.schema.fields[:-1], T.StructField(SEQ, T.IntegerType())])
+        content = {**content, "load": 1, "schema": schema.jsonValue(),
+                   "months": self._write_months(spark, fact.withColumn(MONTH, _month()))}
+        rows = self._read(spark, content, content["months"])
+        self._index(schema).write(rows.select("txn_id", _month().alias(MONTH)), 1)
+        self._accounts(schema).write(_ends(rows), 1)
+        Manifests(spark, self.root).commit(number, content)
+        return len(content["months"])
+
+    def _write_months(self, spark: SparkSession, rows: DataFrame) -> dict[str, str]:
+        """Write rows, MONTH among them, by month; returns the folders."""
+        folder = f"{self.root}/months/{uuid.uuid4().hex}"
+        (rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "txn_date", "account_id")
+         .write.partitionBy(MONTH).parquet(folder))
+        return {n.partition("=")[2]: f"{folder}/{n}" for n in storage.names(spark, folder)
+                if n.startswith(f"{MONTH}=")}
+
     def _renumbered(self, spark: SparkSession, content: dict, since: str, late: DataFrame,
                     winners: DataFrame, removed: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows of the late accounts whose number changes, with their new

@@ -4,10 +4,13 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerlake import storage
 from ledgerlake.operators import cleaning, sequence
 from ledgerlake.plans import incremental
 from ledgerlake.plans.incremental import IncrementalFact
+from ledgerlake.session import checkpoint_root
 
 SCHEMA = "txn_id string, account_id long, amount double, category string, txn_ts timestamp"
 
@@ -73,3 +76,25 @@ def test_a_load_that_dies_is_run_again(spark, tmp_dir, monkeypatch):
     want = sequence.build_fact_transaction(cleaning.clean_transactions(
         spark.createDataFrame(rows(3, 30) + MOVED + AFTER, SCHEMA)))
     assert sorted_rows(fact.read(spark)) == sorted_rows(want)
+
+
+def test_a_load_computes_no_row_twice(spark, tmp_dir):
+    """What a load numbers is staged; the accounts' ends are read from it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(c):
+        seen.add(1)
+        return c
+    fact = IncrementalFact(f"{tmp_dir}/fact")
+    part = spark.createDataFrame(rows(5), SCHEMA)
+    valid = part.dropna(subset=["txn_id", "account_id", "amount", "txn_ts"]).count()
+    fact.load(spark, part.withColumn("category", counted("category")))
+    assert seen.value <= valid + 2
+    folders = [n.partition("-")[0] for n in storage.names(spark, f"{checkpoint_root(spark)}/ledgerlake")]
+    before = folders.count("index")
+    empty = IncrementalFact(f"{tmp_dir}/other")
+    empty.load(spark, part)
+    after = [n.partition("-")[0] for n in storage.names(spark, f"{checkpoint_root(spark)}/ledgerlake")]
+    assert after.count("index") == before  # a first load looks for no copies
+    assert sorted_rows(empty.read(spark)) == sorted_rows(fact.read(spark))

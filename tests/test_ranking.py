@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlake.operators import ranking
 from ledgerlake.operators.ranking import keep_first, number_within
 from ledgerlake.operators.sequence import build_fact_transaction
 
@@ -48,3 +49,29 @@ def test_fact_sequence_on_driver_data(spark):
     plain = clean.withColumn("txn_seq_in_account", F.row_number().over(w))
     pick = lambda d: sorted((r.txn_id, r.txn_seq_in_account) for r in d.collect())
     assert pick(build_fact_transaction(clean)) == pick(plain)
+
+
+def test_rows_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(v):
+        seen.add(1)
+        return v
+    df = skewed(spark).withColumn("v", counted("v"))
+    got = number_within(df, "k", ["ts", "id"], "rn")
+    got.write.format("noop").mode("overwrite").save()
+    assert seen.value == 2000
+
+
+def test_large_keys_are_split_and_the_others_are_not(spark, monkeypatch):
+    df = skewed(spark)
+    want = brute(df)
+    for large in (0, 30, 200, 5000):
+        monkeypatch.setattr(ranking, "LARGE", large)
+        got = number_within(df, "k", ["ts", "id"], "rn")
+        assert got.columns == [*df.columns, "rn"] and got.schema["rn"].dataType.typeName() == "integer"
+        assert {(r.k, r.id): r.rn for r in got.collect()} == want
+        sizes = df.groupBy("k").agg(F.count("*").alias("_n"))
+        given = number_within(df, "k", ["ts", "id"], "rn", sizes.where(F.col("_n") > 20))
+        assert {(r.k, r.id): r.rn for r in given.collect()} == want
