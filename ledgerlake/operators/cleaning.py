@@ -142,11 +142,12 @@ def quarantine_transactions(raw: DataFrame, accounts: DataFrame | None = None) -
     valid = rows.filter(F.col("_reason").isNull())
     order = _tagged_order(raw)
     # Ids seen more than once: an aggregate of the id column alone, combined
-    # map-side. Only rows of those ids are numbered.
-    repeated = (valid.groupBy("txn_id").agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > 1).select(F.col("txn_id").alias("_dup_id")))
-    candidates = valid.join(repeated, F.col("txn_id") == F.col("_dup_id"), "left_semi")
-    dups = number_within(candidates, "txn_id", order, "_rn").filter(F.col("_rn") > 1)
+    # map-side. Only rows of those ids are numbered, where the join leaves
+    # them.
+    repeated = staged(valid.groupBy("txn_id").agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > 1), "repeated-ids")
+    candidates = valid.join(repeated.select("txn_id"), "txn_id", "left_semi")
+    dups = number_within(candidates, "txn_id", order, "_rn", repeated).filter(F.col("_rn") > 1)
     out = (rejected.select(*raw.columns, F.col("_reason").alias("reason"))
            .unionByName(dups.select(*raw.columns, F.lit("duplicate").alias("reason"))))
     if accounts is not None:
