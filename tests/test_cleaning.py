@@ -172,3 +172,26 @@ def test_quarantine_keeps_rows_as_read(spark):
     assert got == [("t1", "5", "2026-01-01T10:00:00+02:00", "duplicate"),
                    ("t2", "1.50", "2026-01-02T00:00:00+00:00", "orphan")]
     assert [(r.txn_id, r.amount) for r in kept.collect()] == [("t1", 5.0)]
+
+
+def test_quarantine_numbers_repeated_rows_where_the_join_leaves_them(spark):
+    from ledgerlake import storage
+    from ledgerlake.operators.cleaning import quarantine_transactions
+    from ledgerlake.session import checkpoint_root
+    raw = spark.createDataFrame(
+        [(i, 1, float(n), "a", f"2024-01-0{n + 1} 00:00:00") for i in ("x", "y") for n in range(3)]
+        + [("z", 1, 1.0, "a", "2024-01-01 00:00:00"), (None, 1, 1.0, "a", "2024-01-01 00:00:00")],
+        "txn_id string, account_id long, amount double, category string, ts string") \
+        .selectExpr("txn_id", "account_id", "amount", "category", "CAST(ts AS timestamp) AS txn_ts")
+
+    def staged_names():
+        return [n.rpartition("-")[0] for n in storage.names(
+            spark, f"{checkpoint_root(spark)}/ledgerlake")]
+    before = staged_names()
+    got = sorted((str(r.txn_id), r.amount, r.reason) for r in quarantine_transactions(raw).collect())
+    assert got == [("None", 1.0, "null_key")] + [
+        (i, n, "duplicate") for i in ("x", "y") for n in (1.0, 2.0)]
+    after = staged_names()
+    # Neither the repeated rows nor a range-partitioned copy are written.
+    for name in ("numbered", "placed"):
+        assert after.count(name) == before.count(name)
