@@ -27,6 +27,9 @@ hold it together:
    class is verified against the stars that share most of its prefix; the
    links form components, and the next stars are tried across components;
 2. all candidate pairs from different components that are left are verified.
+   Posting lists with the same members are merged first, and a pair only
+   counts where the sketches of both whole sets, as long as the sets are
+   large, allow a link.
 
 No pair within a component is lost by that, and a large group of copies is
 never expanded into all its pairs.
@@ -98,19 +101,41 @@ def _sets_in(b: pa.RecordBatch, column: int, shingle: int) -> Iterator[np.ndarra
 # bits. With 1,024 bits sets of some hundred shingles pass little below the
 # threshold.
 ODD = 16
+# Sketches of larger sets have a bit for each shingle, up to so many longs:
+# one that is full says nothing. Both halves of a sketch together are the
+# sketch of half its length.
+WIDE = 128
 
 
-def odd_sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((shingles & np.uint64(64 * ODD - 1)).astype(np.int64),
-                       minlength=64 * ODD) & 1
+def odd_sketch(shingles: np.ndarray, longs: int = ODD) -> np.ndarray:
+    bits = np.bincount((shingles & np.uint64(64 * longs - 1)).astype(np.int64),
+                       minlength=64 * longs) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def may_link(percent: int) -> Column:
+def wide_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Odd sketch of ODD to WIDE longs, a power of two, by the set's size."""
+    longs = 1 << (-(-len(shingles) // 64) - 1).bit_length()
+    return odd_sketch(shingles, min(WIDE, max(ODD, longs)))
+
+
+def may_link(percent: int, wide: bool = False) -> Column:
     """Whether the odd sketches of two sets (n, odd and n2, odd2) allow a
-    similarity of ``percent``."""
+    similarity of ``percent``; ``wide`` ones differ in length."""
     apart = reduce(Column.__add__, [
         F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("odd2")[i])) for i in range(ODD)])
+    if wide:
+        here, there = F.size("odd"), F.size("odd2")
+        longs = F.least(here, there)
+
+        def folded(odd: str, i: Column) -> Column:
+            return F.get(odd, i).bitwiseXOR(F.coalesce(F.get(odd, i + longs),
+                                                       F.lit(0).cast("bigint")))
+
+        longer = F.aggregate(F.sequence(F.lit(0), longs - 1), F.lit(0), lambda total, i: (
+            total + F.bit_count(folded("odd", i).bitwiseXOR(folded("odd2", i)))))
+        apart = (F.when((here == ODD) & (there == ODD), apart)
+                 .when(F.greatest(here, there) <= 2 * longs, longer).otherwise(0))
     return apart * (100 + percent) <= (F.col("n") + F.col("n2")) * (100 - percent)
 
 
@@ -161,7 +186,7 @@ def _profile(shingle: int):
             for s in _sets_in(b, 2, shingle):
                 sizes.append(len(s))
                 classes.append(set_id(s) if len(s) else None)
-                odd.append(odd_sketch(s) if len(s) else None)
+                odd.append(wide_sketch(s) if len(s) else None)
                 frequent.add(s)
                 if frequent.full():
                     yield hot()
@@ -292,15 +317,25 @@ def linked_by(links: DataFrame) -> DataFrame:
     return components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def across(postings: DataFrame, linked: DataFrame) -> DataFrame:
+def across(postings: DataFrame, linked: DataFrame, percent: int | None = None) -> DataFrame:
     """Postings (token, c, ...) with their component, of the lists that hold
-    several."""
+    several. With ``percent``, a hash of the list's members (members) and their
+    smallest m (least_m), too, less lists of two whose sizes are too far apart."""
     marked = staged(postings.join(linked.withColumnRenamed("node", "c"), "c", "left")
                     .withColumn("comp", F.coalesce("component", "c")).drop("component"),
                     "jaccard-marked")
-    mixed = staged(marked.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("z"))
-                   .where("a < z").select("token"), "jaccard-mixed")
-    return staged(marked.join(mixed, "token"), "jaccard-mixed-postings")
+    lists = marked.groupBy("token")
+    ends = [F.min("comp").alias("a"), F.max("comp").alias("z")]
+    if percent is None:
+        mixed = lists.agg(*ends).where("a < z").select("token")
+    else:
+        mixed = (lists.agg(*ends, F.count(F.lit(1)).alias("k"), F.min("m").alias("least_m"),
+                           F.min("n").alias("least"), F.max("n").alias("most"),
+                           *[F.bit_xor(F.xxhash64("c", F.lit(i))).alias(f"x{i}") for i in (0, 1)])
+                 .where("a < z").where((F.col("k") > 2)
+                                       | (F.col("least") * 100 >= F.col("most") * percent))
+                 .select("token", F.xxhash64("k", "x0", "x1").alias("members"), "least_m"))
+    return staged(marked.join(staged(mixed, "jaccard-mixed"), "token"), "jaccard-mixed-postings")
 
 
 def stars(mixed: DataFrame, turn: int, enough: Column) -> DataFrame:
@@ -360,28 +395,41 @@ def odd_sketches(profile: DataFrame) -> DataFrame:
     return profile.where("c is not null").groupBy("c").agg(F.first("odd").alias("odd"))
 
 
-def _candidates(postings: DataFrame, percent: int) -> DataFrame:
+def bundles(mixed: DataFrame, percent: int) -> DataFrame:
+    """Postings of lists with the same members as one row: members, rare
+    (whether light), c, n, light, m, comp, the number of those that the smaller
+    set of a pair may use (usable), their first and last place. Two classes
+    share all postings of a bundle or none, so no common shingle is lost.
+    Classes with fewer postings left than a partner has to share drop out."""
+    short = F.col("n") - _least_larger("n", percent) + F.col("m")
+    bundled = (mixed.repartition("c").withColumn("rare", F.col("place") < F.col("light"))
+               .groupBy("c", "members", "rare").agg(
+                   *[F.first(x).alias(x) for x in ("n", "light", "m", "comp", "least_m")],
+                   F.count(F.lit(1)).alias("k"), F.count_if(F.col("place") < short).alias("usable"),
+                   F.min("place").alias("first"), F.max("place").alias("last")))
+    return (bundled.withColumn("left", F.sum("k").over(Window.partitionBy("c")))
+            .where("left >= m or least_m < m").drop("k", "left", "least_m"))
+
+
+def _candidates(bundled: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of classes from different components whose prefixes
     and odd sketches (odd) allow a link."""
-    columns = ("token", "c", "n", "light", "place", "m", "comp", "odd")
-    small = postings.select(*columns)
-    large = postings.select(*[F.col(x).alias(f"{x}2") for x in columns])
+    large = bundled.select(*[F.col(x).alias(f"{x}2") for x in bundled.columns if x != "usable"])
+    small = bundled.where("usable > 0")
 
     def enough(overlap: Column) -> Column:
         return overlap * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
 
-    meet = ((F.col("token") == F.col("token2")) & (F.col("comp") != F.col("comp2"))
+    meet = ((F.col("members") == F.col("members2")) & (F.col("comp") != F.col("comp2"))
             & ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("c") < F.col("c2"))))
             & (F.col("n") * 100 >= F.col("n2") * percent)
-            # Within the shorter prefix that the smaller set may use, and
-            # enough left on both sides of the shared shingle.
-            & enough(F.least("place", "place2") + 1
-                     + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) - 1)
-            & may_link(percent))
+            # Enough left on both sides of the shared shingles.
+            & enough(F.least("last", "last2")
+                     + F.least(F.col("n") - F.col("first"), F.col("n2") - F.col("first2")))
+            & may_link(percent, wide=True))
     short = F.col("n") - _least_larger("n", percent) + F.col("m")
-    small = small.where(F.col("place") < short)
-    light = (small.where("place < light").join(large.where("place2 < light2"), meet)
-             .groupBy("c", "c2").agg(F.count(F.lit(1)).alias("shared"),
+    light = (small.where("rare").join(large.where("rare2"), meet)
+             .groupBy("c", "c2").agg(F.sum("usable").alias("shared"),
                                      *[F.first(x).alias(x) for x in
                                        ("n", "n2", "m", "m2", "light", "light2")])
              .where(F.col("shared") >= F.least("m", "m2"))
@@ -390,8 +438,8 @@ def _candidates(postings: DataFrame, percent: int) -> DataFrame:
                  F.col("n") - F.least(short, F.col("light")),
                  F.col("n2") - F.least(F.col("n2") - _least("n2", percent) + F.col("m2"),
                                        F.col("light2"))))))
-    heavy = (small.where("place >= light").join(
-        large.where("place2 >= light2"),
+    heavy = (small.where("not rare").join(
+        large.where("not rare2"),
         meet & enough(F.least(F.col("n") - F.col("light"), F.col("n2") - F.col("light2"))))
         .select("c", "c2").distinct())
     return (light.select("c", "c2").unionByName(heavy).distinct()
@@ -455,7 +503,8 @@ def links_among(source: DataFrame, profile: DataFrame, percent: int, shingle: in
         linked = linked_by(known.unionByName(links))
 
     # Step 2: every pair left.
-    left = staged(across(postings, linked).join(odd_sketches(profile), "c"), "jaccard-left")
+    left = staged(bundles(across(postings, linked, percent), percent)
+                  .join(odd_sketches(profile), "c"), "jaccard-left")
     pairs = staged(_candidates(left, percent), "jaccard-pairs")
     rest = sets if sets is not None else sets_of(
         pairs.select(F.explode(F.array("a", "b")).alias("c")), source, shingle)

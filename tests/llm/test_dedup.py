@@ -191,6 +191,38 @@ def test_odd_sketch_never_exceeds_the_difference():
         assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+def test_sketches_of_large_sets_tell_them_apart(spark):
+    rnd = np.random.default_rng(8)
+    one = rnd.integers(0, 1 << 63, 4500).astype(np.uint64)
+    other = rnd.integers(0, 1 << 63, 4500).astype(np.uint64)
+    # Half of the shingles in common, six in seven, and one sketch twice as long.
+    pairs = [(one, np.concatenate([one[:2250], other[:2250]]), False),
+             (one, np.concatenate([one[:4000], other[:500]]), True),
+             (one[:4000], one, True), (one[:4000], other, False), (one[:900], one[:1100], True)]
+    assert {len(jaccard.wide_sketch(x)) for a, b, _ in pairs for x in (a, b)} == {16, 32, 64, 128}
+    rows = [(i, len(a), jaccard.wide_sketch(a).tolist(), len(b), jaccard.wide_sketch(b).tolist())
+            for i, (a, b, _) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "i int, n int, odd array<bigint>, n2 int, odd2 array<bigint>")
+    got = df.select("i", jaccard.may_link(75, wide=True).alias("may")).orderBy("i").collect()
+    assert [r.may for r in got] == [may for *_, may in pairs]
+
+
+def test_posting_lists_of_the_same_members_are_merged(spark):
+    # Classes 1 and 2 share tokens 1 to 9; 3 shares token 9 with both, and
+    # token 20 with 4; 5 and 6 share one token, but differ too much in size.
+    rows = [(t, c, c) for t in range(1, 10) for c in (1, 2)] + [(9, 3, 3), (20, 3, 3), (20, 4, 4)]
+    rows = [(t, c, 40, 30, t - 1, 1, 1.0) for t, c, _ in rows]
+    rows += [(21, 5, 40, 30, 0, 1, 1.0), (21, 6, 90, 80, 0, 1, 1.0)]
+    postings = spark.createDataFrame(rows, "token bigint, c bigint, n int, light int, place int, "
+                                           "m int, popular double")
+    linked = spark.createDataFrame([], "node bigint, component bigint")
+    got = jaccard.bundles(jaccard.across(postings, linked, 75), 75).collect()
+    # b = ceil(150 * 40 / 175) = 35: the smaller set may use places 0 to 5.
+    assert sorted((r.c, r["first"], r["last"], r.usable) for r in got) == [
+        (1, 0, 7, 6), (1, 8, 8, 0), (2, 0, 7, 6), (2, 8, 8, 0), (3, 8, 8, 0), (3, 19, 19, 0),
+        (4, 19, 19, 0)]
+
+
 def test_near_duplicates_of_nothing(none):
     assert minhash.near_duplicates(none).collect() == []
     assert minhash.without_near_duplicates(none).collect() == []
