@@ -5,6 +5,10 @@ from every document with a larger id. Short windows are looked at first;
 only windows repeated at one length are extended to about twice that
 length, until the full length is reached or no candidate survives.
 
+Levels 1 and 2 name what repeats in bitmaps of fixed size, so of their runs
+only the different values that a task meets are shuffled; a value that passes
+by chance is compared in full with the others.
+
 * Level 1, a quarter of the length: of the short windows inside each full
   window only the one with the smallest hash (the leftmost of equals) is
   kept, its *anchor*. The choice depends on the full window's words alone,
@@ -30,9 +34,11 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.bitmaps import broadcast_bitmap, in_bitmap
 from ledgerlake.llm.common import (BASES, Ranges, batch, distinct, documents, grouped_words,
                                    merged, mix, signed,
                                    staged, text_words, word_hashes)
@@ -42,6 +48,9 @@ WINDOW = 50
 LAST = (1 << 63) - 1
 # Windows whose least hash is taken at once.
 BLOCK = 1 << 16
+# Values a task looks through at a time for different ones.
+HELD = 1 << 20
+
 
 def runs_of(words: np.ndarray, bounds: np.ndarray, length: int):
     """text, start, count, anchor, left, right, run of every run of full
@@ -76,11 +85,8 @@ def runs_of(words: np.ndarray, bounds: np.ndarray, length: int):
     return text[start], start - lo, count, grams[p], left, right, run
 
 
-_RUNS = pa.schema([("k", pa.int64()), ("row", pa.int64()), ("start", pa.int32()),
-                   ("count", pa.int32()), ("anchor", pa.int64()), ("left", pa.int64()),
-                   ("right", pa.int64()), ("run", pa.int64())])
-_RUNS_SQL = ("k bigint, row bigint, start int, count int, anchor bigint, left bigint, "
-             "right bigint, run bigint")
+_SEEN = pa.schema([("value", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_SEEN_SQL = "value bigint, a bigint, b bigint"
 _WINDOWS = pa.schema([("k", pa.int64()), ("row", pa.int64()), ("start", pa.int32()),
                       ("w1", pa.int64()), ("w2", pa.int64())])
 _WINDOWS_SQL = "k bigint, row bigint, start int, w1 bigint, w2 bigint"
@@ -95,30 +101,26 @@ _STRETCH_SQL = ("k bigint, row bigint, start int, count int, s1 bigint, s2 bigin
                 "runs array<struct<start:int,count:int,anchor:bigint,run:bigint>>")
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins the runs (k, row, sorted runs) that follow each other. Equal
-    stretches have the same runs in the same order: a run's hash covers its
-    words, and each run begins one word after the windows of the one before."""
-    for b in batches:
-        runs = b.column(2)
-        flat, ends = runs.flatten(), runs.offsets.to_numpy() - runs.offsets[0].as_py()
-        start, count, anchor, run = (flat.field(n).to_numpy() for n in range(4))
-        if not len(start):
-            continue
-        text = np.repeat(np.arange(len(runs)), np.diff(ends))
-        new = np.ones(len(start), bool)
-        new[1:] = (start[1:] != start[:-1] + count[:-1]) | (text[1:] != text[:-1])
-        at = np.flatnonzero(new)
-        end = np.append(at[1:], len(start))
-        total = start[end - 1] + count[end - 1] - start[at]
-        hashes = [signed(Ranges(x.view(np.uint64), base)(at, end))
-                  for x, base in zip((anchor, run), BASES)]
-        offsets = pa.array(np.append(at, len(start)), pa.int32())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(b.column(0).to_numpy()[text[at]]), pa.array(b.column(1).to_numpy()[text[at]]),
-            pa.array(start[at]), pa.array(total.astype(np.int32)),
-            *map(pa.array, hashes),
-            pa.ListArray.from_arrays(offsets, flat.cast(_RUN))], schema=_STRETCH)
+def _stretches(keys: np.ndarray, rows: np.ndarray, text: np.ndarray, start: np.ndarray,
+               count: np.ndarray, anchor: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+    """Joins the runs that follow each other; a text's key and row are at its
+    number. Equal stretches have the same runs in the same order: a run's hash
+    covers its words, and each run begins one word after the windows of the
+    one before."""
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] != start[:-1] + count[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(new)
+    end = np.append(at[1:], len(start))
+    total = start[end - 1] + count[end - 1] - start[at]
+    hashes = [signed(Ranges(x, base)(at, end)) for x, base in zip((anchor, run), BASES)]
+    runs = pa.StructArray.from_arrays(
+        [pa.array(start, pa.int32()), pa.array(count, pa.int32()), pa.array(signed(anchor)),
+         pa.array(signed(run))], fields=list(_RUN))
+    offsets = pa.array(np.append(at, len(start)), pa.int32())
+    return pa.RecordBatch.from_arrays([
+        pa.array(keys[text[at]]), pa.array(rows[text[at]]), pa.array(start[at], pa.int32()),
+        pa.array(total, pa.int32()), *map(pa.array, hashes),
+        pa.ListArray.from_arrays(offsets, runs)], schema=_STRETCH)
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -130,10 +132,54 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
                        F.xxhash64(k, body).alias("row"), body.alias("text"))
 
 
-def _repeated(rows: DataFrame, column: str) -> DataFrame:
-    """Values of ``column`` that stand in at least two documents."""
-    return (rows.groupBy(column).agg(F.min("k").alias("a"), F.max("k").alias("b"))
-            .where("a < b").select(column))
+def _runs(batches: Iterator[pa.RecordBatch], length: int):
+    """(keys, rows, runs) of the texts (k, row, text), some texts at a time."""
+    for b in batches:
+        keys, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+        done = 0
+        for words, bounds in grouped_words(b.column(2)):
+            got = runs_of(words, bounds, length)
+            if got is not None:
+                yield keys[done:], rows[done:], got
+            done += len(bounds) - 1
+
+
+def _seen(length: int, anchors: Broadcast | None):
+    """(value, a, b): the anchors, or the extensions of the anchors in the
+    bitmap, with the smallest and the largest key that a task met them at."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def met() -> pa.RecordBatch:
+            value, k = map(np.concatenate, zip(*held))
+            order = np.lexsort((k, value))
+            value, k = value[order], k[order]
+            first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+            last = np.append(first[1:], len(value)) - 1
+            return batch(_SEEN, signed(value[first]), k[first], k[last])
+
+        for keys, _, (text, _, _, anchor, left, right, _) in _runs(batches, length):
+            k = keys[text]
+            if anchors is None:
+                held.append((anchor, k))
+            else:
+                hit = in_bitmap(anchors.value, anchor)
+                held += [(left[hit], k[hit]), (right[hit], k[hit])]
+            size += len(held[-1][0])
+            if size >= HELD:
+                yield met()
+                held, size = [], 0
+        if size:
+            yield met()
+    return run
+
+
+def _repeated(texts: DataFrame, length: int, anchors: Broadcast | None, name: str) -> Broadcast:
+    """Bitmap of the values of ``_seen`` that stand in at least two documents."""
+    seen = texts.mapInArrow(_seen(length, anchors), _SEEN_SQL)
+    values = staged(seen.groupBy("value").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+                    .where("a < b").select("value"), name)
+    return broadcast_bitmap(values, F.col("value"))
 
 
 def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
@@ -141,39 +187,21 @@ def repeated_ranges(docs: DataFrame, length: int = WINDOW, key: str = "doc_id",
     """(row, start, end): word ranges to remove, each a union of full
     windows that also start in a document with a smaller key."""
     texts = _texts(docs, key, text)
+    runs = texts.select("k", "row", "text")
+    # Levels 1 and 2.
+    anchors = _repeated(runs, length, None, "substring-short")
+    sides = _repeated(runs, length, anchors, "substring-sides")
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, rows, (text, start, count, anchor, left, right, run) in _runs(batches, length):
+            hit = in_bitmap(anchors.value, anchor)
+            hit &= in_bitmap(sides.value, left) | in_bitmap(sides.value, right)
+            if hit.any():
+                yield _stretches(keys, rows, *(x[hit] for x in (text, start, count, anchor, run)))
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
-            done = 0
-            for words, bounds in grouped_words(b.column(2)):
-                got = runs_of(words, bounds, length)
-                if got is not None:
-                    text, start, count, *hashes = got
-                    yield batch(_RUNS, keys[done + text], rows[done + text],
-                                start.astype(np.int32), count.astype(np.int32),
-                                *map(signed, hashes))
-                done += len(bounds) - 1
-
-    # Level 1. The tables of repeated values are staged so that the joins
-    # read two plain exchanges, which Spark can split at a hot value.
-    level1 = staged(texts.select("k", "row", "text").mapInArrow(merged(runs, _RUNS), _RUNS_SQL),
-                    "substring-runs")
-    level2 = level1.join(staged(_repeated(level1, "anchor"), "substring-short"), "anchor")
-    level2 = staged(level2, "substring-anchors")
-    # Level 2.
-    sides = staged(_repeated(level2.select("k", F.explode(F.array("left", "right")).alias("side")),
-                             "side"), "substring-sides")
-    hit = (level2.join(sides.select(F.col("side").alias("left"), F.lit(True).alias("on_left")),
-                       "left", "left")
-           .join(sides.select(F.col("side").alias("right"), F.lit(True).alias("on_right")),
-                 "right", "left")
-           .where("on_left or on_right"))
     # Level 3: a document's runs come together; stretches by their first
     # document. Later ones with the same stretch have nothing else in it.
-    by_text = (hit.groupBy("k", "row").agg(F.sort_array(F.collect_set(
-        F.struct("start", "count", "anchor", "run"))).alias("runs")))
-    stretches = staged(by_text.mapInArrow(merged(_stretches, _STRETCH), _STRETCH_SQL),
+    stretches = staged(runs.mapInArrow(merged(joined, _STRETCH), _STRETCH_SQL),
                        "substring-stretches")
     leader = staged(stretches.groupBy("s1", "s2").agg(F.min("k").alias("first")),
                     "substring-leaders")

@@ -5,6 +5,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,16 @@ def test_runs_of_a_long_text_in_blocks(monkeypatch):
         assert (a == b).all()
 
 
+def test_a_common_passage_is_looked_up_once():
+    rnd = random.Random(3)
+    passage = " ".join(str(rnd.random()) for _ in range(300))
+    texts = [(k, 0, f"{k} {passage}") for k in range(500)]
+    b = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*texts)], names=["k", "row", "text"])
+    got = pa.Table.from_batches(substring._seen(50, None)(iter([b]))).to_pylist()
+    assert 5 < len(got) < 500 + 300
+    assert sum((r["a"], r["b"]) == (0, 499) for r in got) > 5
+
+
 def test_substring_empty_table(none):
     assert substring.remove_repeats(none).collect() == []
     assert substring.without_repeats(none).collect() == []
