@@ -66,6 +66,8 @@ _FIRST = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 17
 # Phrase occurrences a task counts at a time before it hands them on.
 COUNTED = 1 << 21
+# Different phrases whose counts a task keeps to add the next ones to.
+KEPT = 1 << 19
 
 
 class Words:
@@ -191,25 +193,34 @@ _COUNTS_SQL = "gram bigint, first bigint, rest bigint, hits bigint"
 
 def _counted(lengths, known: Broadcast | None, done: list[Broadcast],
              wanted: Broadcast | None = None):
-    """Counts of the phrases of ``_levels`` by stretch of documents: (gram,
-    hits); with ``wanted``, of those in it and told apart by both their
+    """Counts of the phrases of ``_levels`` by task, or by stretch of documents
+    where a task meets many: (gram, hits); with ``wanted``, of those in it and told apart by both their
     parts, too: (gram, first, rest, hits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spare_memory()
         held, size = [], 0
+        kept = None  # keys and hits of the stretches before, bounded
 
-        def found() -> Iterator[pa.RecordBatch]:
+        def summed() -> list[np.ndarray]:
+            """Keys and hits of what is held and kept."""
             keys = list(map(np.concatenate, zip(*held)))
+            hits = np.ones(len(keys[0]), np.int64)
+            if kept is not None:
+                keys = [np.concatenate(both) for both in zip(kept, keys)]
+                hits = np.concatenate([kept[-1], hits])
             order = np.lexsort(keys) if len(keys) > 1 else np.argsort(keys[0])
             keys = [key[order] for key in keys]
             new = np.ones(len(order), bool)
             new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
             at = np.flatnonzero(new)
-            hits = np.diff(np.append(at, len(order)))
-            for i in range(0, len(at), 100_000):
+            return [*(key[at] for key in keys), np.add.reduceat(hits[order], at)]
+
+        def found(counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            *keys, hits = counts
+            for i in range(0, len(hits), 100_000):
                 part = slice(i, i + 100_000)
                 yield batch(_REACHED if wanted is None else _COUNTS,
-                            *(signed(key[at[part]]) for key in keys), hits[part])
+                            *(signed(key[part]) for key in keys), hits[part])
 
         for b in batches:
             for texts, langs in _groups(b):
@@ -227,10 +238,14 @@ def _counted(lengths, known: Broadcast | None, done: list[Broadcast],
                             held.append((gram, left[hit], right[hit]))
                         size += len(gram)
                 if size >= COUNTED:
-                    yield from found()
-                    held, size = [], 0
+                    kept, held, size = summed(), [], 0
+                    if len(kept[0]) > KEPT:
+                        yield from found(kept)
+                        kept = None
         if size:
-            yield from found()
+            kept = summed()
+        if kept is not None:
+            yield from found(kept)
     return run
 
 

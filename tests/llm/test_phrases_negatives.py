@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import bitmaps, negatives, phrases
@@ -75,6 +76,22 @@ def test_collocations_with_crowded_bitmaps(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == brute_phrases(rows, 4, 5, 2000)
 
 
+@pytest.mark.parametrize("most", [1 << 19, 20])
+def test_a_task_adds_up_the_counts_of_its_stretches(monkeypatch, most):
+    monkeypatch.setattr(phrases, "STRETCH", 200)
+    monkeypatch.setattr(phrases, "COUNTED", 100)
+    monkeypatch.setattr(phrases, "KEPT", most)
+    texts = [" ".join(f"w{(i + j) % 30}" for j in range(40)) for i in range(50)]
+    b = pa.RecordBatch.from_arrays([pa.array(["en"] * 50), pa.array(texts)], names=["lang", "text"])
+    rows = pa.Table.from_batches(phrases._counted((1,), None, [])(iter([b]))).to_pylist()
+    hits = collections.Counter()
+    for r in rows:
+        hits[r["gram"]] += r["hits"]
+    want = collections.Counter(w for t in texts for w in t.split())
+    assert sorted(hits.values()) == sorted(want.values())
+    assert len(rows) == 30 if most > 30 else len(rows) > 30
+
+
 def test_collocations_of_nothing(spark, none):
     assert phrases.collocations(none).collect() == []
     few = spark.createDataFrame([("en", "a b c")], "lang string, text string")
