@@ -295,11 +295,13 @@ def _sets(wanted: Broadcast, shingle: int):
 
 def sets_of(classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(c, shingles) for the classes (c), staged."""
-    wanted = staged(classes.distinct(), "jaccard-wanted")
-    bitmap = broadcast_bitmap(wanted, F.col("c"))
-    sets = staged(texts.mapInArrow(_sets(bitmap, shingle), "c bigint, shingles array<bigint>"),
-                  "jaccard-sets")
-    return staged(sets.join(wanted, "c", "left_semi").dropDuplicates(["c"]), "jaccard-sets")
+    with tidy(texts.sparkSession) as made:
+        wanted = staged(classes.distinct(), "jaccard-wanted")
+        bitmap = broadcast_bitmap(wanted, F.col("c"))
+        sets = staged(texts.mapInArrow(_sets(bitmap, shingle), "c bigint, shingles array<bigint>"),
+                      "jaccard-sets")
+        return sweep(made, sets.join(wanted, "c", "left_semi").dropDuplicates(["c"]),
+                     "jaccard-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -352,7 +354,7 @@ def stars(mixed: DataFrame, turn: int, enough: Column) -> DataFrame:
     found = (mixed.join(tops, "token").where("comp <> b_comp").groupBy("c", "b")
              .agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n")).where(enough)
              .withColumn("turn", F.row_number().over(best)).where(f"turn <= {STARS}"))
-    return staged(found.select(F.col("c").alias("a"), "b"), "jaccard-stars")
+    return found.select(F.col("c").alias("a"), "b")
 
 
 def _least(n: str, percent: int) -> Column:
@@ -462,6 +464,22 @@ def profile_of(rows: DataFrame, shingle: int) -> DataFrame:
     return staged(rows.mapInArrow(_profile(shingle), _PROFILE_SQL), "jaccard-profile")
 
 
+def _shared(source: DataFrame, order: Broadcast, shingle: int, percent: int) -> DataFrame:
+    """Postings (token, c, n, light, place, k) of the shingles that stand in
+    the prefixes of two classes at least; k counts their postings."""
+    met = (source.mapInArrow(_postings(order, shingle, percent, None), _POSTING_SQL)
+           .groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+    bitmap = broadcast_bitmap(met, F.col("token"))
+    postings = staged(source.mapInArrow(_postings(order, shingle, percent, bitmap), _POSTING_SQL),
+                      "jaccard-postings")
+    # A window, so that postings are dealt by token once.
+    every = Window.partitionBy("token")
+    lists = postings.withColumns({"a": F.min("c").over(every), "z": F.max("c").over(every),
+                                  "k": F.count(F.lit(1)).over(every)}).where("a < z")
+    return staged(lists.groupBy("token", "c", "n", "light", "place").agg(F.max("k").alias("k")),
+                  "jaccard-postings")
+
+
 def links_among(source: DataFrame, profile: DataFrame, percent: int, shingle: int,
                 sets: DataFrame | None = None, linked: DataFrame | None = None,
                 rounds: int = ROUNDS) -> DataFrame:
@@ -469,19 +487,9 @@ def links_among(source: DataFrame, profile: DataFrame, percent: int, shingle: in
     component) connect every pair of similar sets. ``source`` has one column,
     texts or sets; given whole ``sets`` (c, shingles) serve to verify."""
     order = heavy_shingles(profile)
-    # Shingles that stand in two prefixes at least.
-    met = (source.mapInArrow(_postings(order, shingle, percent, None), _POSTING_SQL)
-           .groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-    bitmap = broadcast_bitmap(met, F.col("token"))
-    postings = staged(source.mapInArrow(_postings(order, shingle, percent, bitmap), _POSTING_SQL),
-                      "jaccard-postings")
-    lists = staged(postings.groupBy("token").agg(
-        F.min("c").alias("a"), F.max("c").alias("z"), F.count(F.lit(1)).alias("k"))
-        .where("a < z").drop("a", "z"), "jaccard-lists")
-    postings = staged(postings.join(lists, "token").groupBy("token", "c", "n", "light", "place")
-                      .agg(F.max("k").alias("k")), "jaccard-postings")
-    # Each class weighs its prefixes and keeps the postings of the cheapest.
-    postings = staged(_chosen(postings, percent), "jaccard-postings")
+    with tidy(source.sparkSession) as made:
+        postings = sweep(made, _chosen(_shared(source, order, shingle, percent), percent),
+                         "jaccard-postings")
 
     # Step 1: stars. Their sets are fetched once: the classes that share
     # much with a star of the first turn.
@@ -491,8 +499,10 @@ def links_among(source: DataFrame, profile: DataFrame, percent: int, shingle: in
     known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
     of_stars = sets
     for turn in range(rounds):
-        found = stars(across(postings, linked), turn,
-                      F.col("shared") * 100 >= F.col("n") * STAR_PERCENT)
+        with tidy(source.sparkSession) as made:
+            found = sweep(made, stars(across(postings, linked), turn,
+                                      F.col("shared") * 100 >= F.col("n") * STAR_PERCENT),
+                          "jaccard-stars")
         if of_stars is None:
             of_stars = sets_of(found.select(F.explode(F.array("a", "b")).alias("c")), source,
                                shingle)
@@ -503,9 +513,10 @@ def links_among(source: DataFrame, profile: DataFrame, percent: int, shingle: in
         linked = linked_by(known.unionByName(links))
 
     # Step 2: every pair left.
-    left = staged(bundles(across(postings, linked, percent), percent)
-                  .join(odd_sketches(profile), "c"), "jaccard-left")
-    pairs = staged(_candidates(left, percent), "jaccard-pairs")
+    with tidy(source.sparkSession) as made:
+        left = sweep(made, bundles(across(postings, linked, percent), percent)
+                     .join(odd_sketches(profile), "c"), "jaccard-left")
+        pairs = sweep(made, _candidates(left, percent), "jaccard-pairs")
     rest = sets if sets is not None else sets_of(
         pairs.select(F.explode(F.array("a", "b")).alias("c")), source, shingle)
     return links.unionByName(verified(pairs, rest, percent))

@@ -140,7 +140,9 @@ def _links(texts: DataFrame, profile: DataFrame, percent: int, shingle: int) ->
     linked = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     sets = None
     for turn in range(ROUNDS):
-        found = jaccard.stars(jaccard.across(postings, linked), turn, F.lit(True))
+        with tidy(texts.sparkSession) as made:
+            found = sweep(made, jaccard.stars(jaccard.across(postings, linked), turn, F.lit(True)),
+                          "minhash-stars")
         if sets is None:
             sets = jaccard.sets_of(found.select(F.explode(F.array("a", "b")).alias("c")), texts,
                                    shingle)

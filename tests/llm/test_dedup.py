@@ -1,6 +1,8 @@
 """Substring dedup and Jaccard join against brute force."""
 
+import collections
 import hashlib
+import pathlib
 import random
 import tracemalloc
 
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import jaccard, minhash, substring
 from ledgerlake.llm.common import shingle_sets, text_words, word_hashes
 from ledgerlake.llm.components import components
+from ledgerlake.session import checkpoint_root
 
 LAST = 1 << 62
 
@@ -156,6 +159,26 @@ def test_jaccard_of_overlapping_cuts(spark, monkeypatch, heavy):
     assert 20 < len({c for _, _, c in got}) < 690
 
 
+def test_jaccard_join_drops_what_it_has_read(spark, monkeypatch):
+    """When pairs are verified, of the staged postings and sets only those
+    still needed are left."""
+    root, verified, left = pathlib.Path(checkpoint_root(spark), "ledgerlake"), jaccard.verified, []
+    before = set(root.glob("jaccard-*"))
+
+    def counted(*args):
+        new = set(root.glob("jaccard-*")) - before
+        left.append(collections.Counter(p.name.rsplit("-", 1)[0] for p in new))
+        return verified(*args)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    df = spark.createDataFrame(overlapping_cuts(200), "doc_id bigint, text string").repartition(4)
+    jaccard.jaccard_components(df).collect()
+    assert [x["jaccard-postings"] for x in left] == [1, 1]
+    assert [x["jaccard-sets"] for x in left] == [1, 2]
+    assert not any(x[f"jaccard-{y}"] for x in left for y in ("marked", "mixed", "mixed-postings",
+                                                             "tops", "lists", "wanted", "left"))
+
+
 @pytest.mark.parametrize("listed", [3, 32])
 def test_near_duplicates_equal_brute_force(spark, docs, monkeypatch, listed):
     # with few listed classes the larger buckets are joined exactly
